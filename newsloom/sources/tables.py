@@ -79,3 +79,23 @@ def source_corpus(spark: SparkSession, base: str) -> DataFrame:
     names = F.array(*[F.lit(n) for n in RAW_SOURCE_NAMES])
     idx = (doc_number() % len(RAW_SOURCE_NAMES) + 1).cast("int")
     return articles(spark, base).withColumn("source", F.element_at(names, idx))
+
+
+def event_batch(spark: SparkSession, base: str) -> DataFrame:
+    """An insert batch derived from ``events``: many events per user share a
+    url, entries are ordered by event time then id. Part of the urls exist in
+    :func:`articles` already."""
+    e = read_table(spark, base, "events")
+    return e.select(
+        F.concat(F.lit("https://example.org/doc/"), (F.col("user_id") * 10).cast("string")).alias("url"),
+        F.concat_ws(" ", "event_type", "props").alias("title"),
+        F.col("event_type").alias("source"),
+        F.col("ts").alias("entry_ts"),
+        F.col("event_id").alias("entry_pos"),
+    )
+
+
+def contract_batch(spark: SparkSession, base: str) -> DataFrame:
+    """Candidate rows for the row contract: the full first line as title."""
+    a = articles(spark, base).select("id", "url", "source", "content")
+    return a.select("id", first_line(F.col("content")).alias("title"), "url", "source")
