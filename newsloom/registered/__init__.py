@@ -1,3 +1,4 @@
 """Query registrations, grouped by area. Importing this package registers all."""
 
-from newsloom.registered import maintenance_queries, search_queries, write_queries  # noqa: F401
+from newsloom.registered import (maintenance_queries, page_queries, search_queries,  # noqa: F401
+                                 write_queries)

@@ -99,3 +99,40 @@ def contract_batch(spark: SparkSession, base: str) -> DataFrame:
     """Candidate rows for the row contract: the full first line as title."""
     a = articles(spark, base).select("id", "url", "source", "content")
     return a.select("id", first_line(F.col("content")).alias("title"), "url", "source")
+
+
+def orders_pages(spark: SparkSession, base: str) -> DataFrame:
+    """Pages built from ``orders`` whose correct date is known: the order
+    date written in one of four formats (or ``n/a``, or absent), wrapped as
+    ``<time>``, date ``<meta>`` or a date-classed element, with decoys the
+    precedence rules must skip. ``og:image`` is filled on half of them, the
+    other half has an empty first ``og:image``."""
+    o = read_table(spark, base, "orders").select("o_orderkey", "o_orderdate")
+    k = F.col("o_orderkey")
+    fmt = k % 6
+    wrap = F.floor(k / 6) % 3
+    d = F.col("o_orderdate")
+    s = (F.when(fmt == 0, F.date_format(d, "yyyy-MM-dd"))
+          .when(fmt == 1, F.date_format(d, "MMMM d, yyyy"))
+          .when(fmt == 2, F.date_format(d, "yyyy/M/d"))
+          .when(fmt == 3, F.date_format(d, "yyyy年M月d日"))
+          .when(fmt == 4, F.lit("n/a")))
+    date_el = (F.when(s.isNull(), F.lit(""))
+                .when(wrap == 0, F.concat(F.lit("<time datetime=\"1999-01-01\">"), s, F.lit("</time>"),
+                                          F.lit("<meta property=\"date\" content=\"1999-02-02\">")))
+                .when(wrap == 1, F.concat(F.lit("<meta property=\"article:published_time\" "
+                                                "content=\"1999-03-03\"><meta property=\"date\" content=\""),
+                                          s, F.lit("\">")))
+                .otherwise(F.concat(F.lit("<p class=\"local\"></p><span class=\"post-date\"> "), s,
+                                    F.lit(" </span>"))))
+    img = F.concat(F.lit("https://img.example.org/o"), k.cast("string"), F.lit(".png"))
+    og = F.when(F.floor(k / 6) % 2 == 0,
+                F.concat(F.lit("<meta property=\"og:image\" content=\""), img, F.lit("\">"))) \
+          .otherwise(F.concat(F.lit("<meta property=\"og:image\" content=\"\">"
+                                    "<meta property=\"og:image\" content=\""), img, F.lit("\">")))
+    html = F.concat(F.lit("<!DOCTYPE html><html><head><title>Order "), k.cast("string"),
+                    F.lit("</title>"), og, F.lit("</head><body><article><h1>Order "), k.cast("string"),
+                    F.lit("</h1>"), date_el, F.lit("<p>Total &amp; more</p></article></body></html>"))
+    return o.select("o_orderkey", "o_orderdate",
+                    F.concat(F.lit("https://shop.example.org/o/"), k.cast("string")).alias("url"),
+                    html.alias("html"), s.alias("date_string"))
