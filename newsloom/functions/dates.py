@@ -42,8 +42,8 @@ def is_iso_day(col) -> Column:
 
 
 def _ymd(y: Column, m: Column, d: Column) -> Column:
-    s = F.concat_ws("-", y, m, d)
-    return F.when((y != "") & (m != "") & (d != ""), F.try_to_date(s, "y-M-d"))
+    # A missing part leaves a string like "--" or "2024-5" that cannot parse.
+    return F.try_to_date(F.concat_ws("-", y, m, d), "y-M-d")
 
 
 def _month_number(name: Column) -> Column:
@@ -53,10 +53,16 @@ def _month_number(name: Column) -> Column:
     return F.element_at(F.create_map(*pairs), F.lower(F.substring(name, 1, 3)))
 
 
-def native_day(col) -> Column:
+def ascii_digits(col) -> Column:
+    return F.translate(_c(col), _FULLWIDTH, _ASCII)
+
+
+def native_day(col, normalised: bool = False) -> Column:
     """Calendar day from free text with built-in expressions only; NULL when
-    no supported form is found (those rows go to the residual parser)."""
-    s = F.translate(_c(col), _FULLWIDTH, _ASCII)
+    no supported form is found (those rows go to the residual parser).
+    Pass ``normalised=True`` for a column already through
+    :func:`ascii_digits` (staged as its own column, it is computed once)."""
+    s = _c(col) if normalised else ascii_digits(col)
     x = lambda pat, i: F.regexp_extract(s, pat, i)
 
     ymd_sep = r"([0-9]{4})[-/.]([0-9]{1,2})[-/.]([0-9]{1,2})"
@@ -73,8 +79,8 @@ def native_day(col) -> Column:
     return F.coalesce(
         _ymd(x(ymd_sep, 1), x(ymd_sep, 2), x(ymd_sep, 3)),
         _ymd(x(kanji, 1), x(kanji, 2), x(kanji, 3)),
-        F.when(m1.isNotNull(), _ymd(x(mdy_name, 3), m1.cast("string"), x(mdy_name, 2))),
-        F.when(m2.isNotNull(), _ymd(x(dmy_name, 3), m2.cast("string"), x(dmy_name, 1))),
+        _ymd(x(mdy_name, 3), m1.cast("string"), x(mdy_name, 2)),
+        _ymd(x(dmy_name, 3), m2.cast("string"), x(dmy_name, 1)),
         numeric_day,
     )
 
@@ -106,21 +112,22 @@ def _residual_day(text: pd.Series, ref: pd.Series) -> pd.Series:
     return pd.Series(out, dtype="object")
 
 
-def free_text_day(col, ref_date) -> Column:
+def free_text_day(col, ref_date, normalised=None) -> Column:
     """Native fast path, residual parser only for what it leaves. The
     residual UDF receives NULL for rows already solved, so they cost an
-    Arrow slot, not a parse."""
-    native = native_day(col)
+    Arrow slot, not a parse. ``normalised``: the same text already through
+    :func:`ascii_digits`."""
+    native = native_day(normalised, True) if normalised is not None else native_day(col)
     residual_text = F.when(native.isNull(), _c(col))
     ref = ref_date if isinstance(ref_date, Column) else F.lit(ref_date).cast("date")
     return F.coalesce(native, _residual_day(residual_text, ref))
 
 
-def resolve_day(raw, ref_date) -> Column:
+def resolve_day(raw, ref_date, normalised=None) -> Column:
     """Day from the raw date text chosen by precedence."""
     r = _c(raw)
     return F.when(is_iso_day(r), F.try_to_date(r, "yyyy-MM-dd")) \
-            .otherwise(free_text_day(r, ref_date))
+            .otherwise(free_text_day(r, ref_date, normalised))
 
 
 def bad_day(raw) -> Column:

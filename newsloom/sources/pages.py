@@ -54,7 +54,10 @@ def extract_fields(df: DataFrame, ref_date, url: str = "url") -> DataFrame:
     pf = F.col("page")
     raw = D.page_date_text(pf)
     return (df.withColumn("date_raw", raw)
-              .withColumn("published_day", D.resolve_day(F.col("date_raw"), ref_date))
+              .withColumn("_date_ascii", D.ascii_digits(F.col("date_raw")))
+              .withColumn("published_day", D.resolve_day(F.col("date_raw"), ref_date,
+                                                         F.col("_date_ascii")))
+              .drop("_date_ascii")
               .withColumn("bad_date", D.bad_day(F.col("date_raw")))
               .withColumn("image_url", pf["og_image"])
               .withColumn("site_name", site_name(pf["og_site_name"], F.col(url)))
