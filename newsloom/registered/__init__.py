@@ -1,4 +1,5 @@
 """Query registrations, grouped by area. Importing this package registers all."""
 
-from newsloom.registered import (maintenance_queries, page_queries, search_queries,  # noqa: F401
+from newsloom.registered import (feed_queries, maintenance_queries, page_queries,  # noqa: F401
+                                 search_queries,
                                  write_queries)

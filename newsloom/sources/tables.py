@@ -136,3 +136,71 @@ def orders_pages(spark: SparkSession, base: str) -> DataFrame:
     return o.select("o_orderkey", "o_orderdate",
                     F.concat(F.lit("https://shop.example.org/o/"), k.cast("string")).alias("url"),
                     html.alias("html"), s.alias("date_string"))
+
+
+def _xml_escape(col: F.Column) -> F.Column:
+    return F.replace(F.replace(F.replace(col, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")),
+                     F.lit(">"), F.lit("&gt;"))
+
+
+def page_feeds(spark: SparkSession, base: str):
+    """Feeds and landed fetches built from ``pages`` (checks of the collect
+    path). One feed per page, as RSS 2.0, RSS 1.0 (RDF) or Atom by page
+    number, listing: its own page (``#f`` link), the next page, an entry
+    without link, and an entry without title whose link was never fetched.
+    Every 25th feed is an unreadable document.
+
+    Returns ``(catalogue, landed_feeds, landed_pages)``.
+    """
+    import datetime as _dt
+
+    from newsloom.sources.feeds import feed_key
+    from newsloom.sources.pages import landed_from_table
+
+    p = read_table(spark, base, "pages").select("page_id", "url")
+    nxt = p.select((F.col("page_id") - 1).alias("page_id"), F.col("url").alias("next_url"))
+    j = p.join(nxt, "page_id", "left")
+    pid = F.col("page_id").cast("string")
+    feed_url = F.concat(F.lit("https://feeds.example.org/"), pid)
+    fmt = F.col("page_id") % 3
+
+    def item(title, link):
+        t = F.concat(F.lit("<title>"), title, F.lit("</title>")) if title is not None else F.lit("")
+        lk = _xml_escape(link) if link is not None else None
+        rss = F.concat(F.lit("<item>"), t,
+                       F.concat(F.lit("<link>"), lk, F.lit("</link>")) if lk is not None else F.lit(""),
+                       F.lit("</item>"))
+        rdf = F.concat(F.lit("<item rdf:about=\""), lk if lk is not None else F.lit("x"), F.lit("\">"), t,
+                       F.concat(F.lit("<link>"), lk, F.lit("</link>")) if lk is not None else F.lit(""),
+                       F.lit("</item>"))
+        atom = F.concat(F.lit("<entry>"), t, F.lit("<link rel=\"self\" href=\"https://self.example/\"/>"),
+                        F.concat(F.lit("<link rel=\"alternate\" href=\""), lk, F.lit("\"/>"))
+                        if lk is not None else F.lit(""), F.lit("</entry>"))
+        return F.when(fmt == 0, rss).when(fmt == 1, rdf).otherwise(atom)
+
+    a = item(F.concat(F.lit("A"), pid), F.concat(F.col("url"), F.lit("#f")))
+    b = F.when(F.col("next_url").isNotNull(),
+               item(F.concat(F.lit("B"), pid), F.concat(F.col("next_url"), F.lit("#f")))).otherwise(F.lit(""))
+    c = item(F.concat(F.lit("C"), pid), None)
+    d = item(None, F.col("url"))
+    items = F.concat(a, b, c, d)
+    body = (F.when(F.col("page_id") % 25 == 24, F.lit("<rss><channel><item><title>broken"))
+             .when(fmt == 0, F.concat(F.lit("<rss version=\"2.0\"><channel><title>F</title>"), items,
+                                      F.lit("</channel></rss>")))
+             .when(fmt == 1, F.concat(
+                 F.lit("<rdf:RDF xmlns:rdf=\"http://www.w3.org/1999/02/22-rdf-syntax-ns#\" "
+                       "xmlns=\"http://purl.org/rss/1.0/\"><channel rdf:about=\"https://feeds.example.org/\">"
+                       "<title>F</title></channel>"), items, F.lit("</rdf:RDF>")))
+             .otherwise(F.concat(F.lit("<feed xmlns=\"http://www.w3.org/2005/Atom\"><title>F</title>"),
+                                 items, F.lit("</feed>"))))
+    cat = j.select(
+        F.concat(F.lit("Feed "), (F.col("page_id") % 5).cast("string")).alias("source"),
+        F.col("page_id").cast("int").alias("source_pos"), feed_url.alias("feed_url"),
+        F.lit(0).alias("feed_pos"), F.lit("technology").alias("category"),
+        feed_key(feed_url).alias("feed_key"))
+    landed = j.select(feed_key(feed_url).alias("feed_key"), F.lit("r1").alias("run_id"),
+                      body.alias("body"))
+    pages = landed_from_table(
+        read_table(spark, base, "pages").withColumn("url", F.concat(F.col("url"), F.lit("#f"))),
+        _dt.datetime(2026, 12, 1, 5, 0, 0))
+    return cat, landed, pages
