@@ -23,3 +23,47 @@ def squeeze(col) -> Column:
     """Remove every LF, TAB, CR and ASCII space, then strip the ends.
     Interior U+3000 and U+00A0 stay (as in the reference)."""
     return strip_unicode(F.translate(_c(col), "\n\t\r ", ""))
+
+
+def split_tags(col) -> Column:
+    """Tag list from model text: split on ASCII comma, strip, drop empties.
+    Order and duplicates are kept; '、' and '，' do not split."""
+    return F.filter(F.transform(F.split(_c(col), ","), strip_unicode), lambda t: t != F.lit(""))
+
+
+# Clean-up rules the reference asks its tag generator to follow
+# (year suffix dropped; legal-entity and industry suffixes removed from brand
+# names), as ordered (pattern, replacement) pairs.
+TAG_CLEANUP_RULES = (
+    (r"^([0-9]{4})年$", "$1"),
+    (r"^株式会社\s*(.+)$", "$1"),
+    (r"^(.+?)\s*株式会社$", "$1"),
+    (r"^(.+?)自動車$", "$1"),
+)
+
+
+def clean_tags(col, rules=TAG_CLEANUP_RULES, distinct: bool = False) -> Column:
+    """Apply the ordered clean-up rules to every tag."""
+    def one(t: Column) -> Column:
+        for pat, rep in rules:
+            t = F.regexp_replace(t, pat, rep)
+        return t
+    out = F.transform(_c(col), one)
+    return F.array_distinct(out) if distinct else out
+
+
+# The topic tag the reference requires on semiconductor
+# articles, and the words that mark such an article.
+TOPIC_RULES = (("半導体", "半導体"), ("semiconductor", "半導体"))
+
+
+def topic_tags(tags, text, rules=TOPIC_RULES) -> Column:
+    """Append each rule's tag when its keyword occurs in the text
+    (case-insensitive) and the tag is not already present."""
+    out = F.coalesce(_c(tags), F.array().cast("array<string>"))
+    low = F.lower(_c(text))
+    for keyword, tag in rules:
+        hit = F.coalesce(F.contains(low, F.lit(keyword.lower())), F.lit(False))
+        out = F.when(hit & ~F.array_contains(out, F.lit(tag)),
+                     F.concat(out, F.array(F.lit(tag)))).otherwise(out)
+    return out
