@@ -14,6 +14,10 @@ from pyspark.sql import functions as F
 from newsloom.functions.text import strip_unicode
 
 SENTENCE_RE = r"[^.!?。！？\n]+[.!?。！？]*"
+# Same pattern for texts without the ideographic terminators: identical
+# matches there, and Java's regex engine runs a Latin-1 class ~10x faster.
+_SENTENCE_RE_ASCII = r"[^.!?\n]+[.!?]*"
+_CJK_STOPS = ("。", "！", "？")
 WORD_RE = r"\p{L}+"
 DEFAULT_BUDGET = 200  # characters, the length the reference asks its summariser for
 
@@ -23,8 +27,13 @@ def _c(col) -> Column:
 
 
 def sentences(text) -> Column:
-    return F.filter(F.transform(F.regexp_extract_all(_c(text), F.lit(SENTENCE_RE), 0), strip_unicode),
-                    lambda s: s != F.lit(""))
+    t = _c(text)
+    has_cjk = F.contains(t, F.lit(_CJK_STOPS[0]))
+    for stop in _CJK_STOPS[1:]:
+        has_cjk = has_cjk | F.contains(t, F.lit(stop))
+    raw = F.when(F.coalesce(has_cjk, F.lit(False)), F.regexp_extract_all(t, F.lit(SENTENCE_RE), 0)) \
+           .otherwise(F.regexp_extract_all(t, F.lit(_SENTENCE_RE_ASCII), 0))
+    return F.filter(F.transform(raw, strip_unicode), lambda s: s != F.lit(""))
 
 
 def words(text) -> Column:
@@ -32,12 +41,14 @@ def words(text) -> Column:
 
 
 def extractive_summary(text, title, budget: int = DEFAULT_BUDGET) -> Column:
-    title_words = F.array_distinct(words(title))
-    scored = F.transform(sentences(text), lambda s, i: F.struct(
-        # array_intersect is distinct and evaluated once per sentence; a
-        # nested lambda would re-evaluate the title words once per word.
-        (-F.size(F.array_intersect(words(s), title_words))).alias("neg_score"),
-        i.alias("pos"), s.alias("s"), F.char_length(s).alias("len")))
+    sents = sentences(text)
+    # Inside a lambda, an outer expression is re-evaluated for every element.
+    # Hand the title words in as data (evaluated once per row) instead.
+    tw = F.array_distinct(words(title))
+    pairs = F.arrays_zip(sents.alias("s"), F.array_repeat(tw, F.size(sents)).alias("tw"))
+    scored = F.transform(pairs, lambda p, i: F.struct(
+        (-F.size(F.array_intersect(words(p["s"]), p["tw"]))).alias("neg_score"),
+        i.alias("pos"), p["s"].alias("s"), F.char_length(p["s"]).alias("len")))
     ranked = F.array_sort(scored)
     start = F.struct(F.lit(0).alias("total"), F.lit(False).alias("stop"),
                      F.array().cast("array<struct<pos:int,s:string>>").alias("kept"))

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Characters Python's str.strip() treats as whitespace (the reference strips
-# with it), as one Java regex class.
-UNICODE_SPACE = (r"[\x{9}-\x{D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
-                 r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
+# Characters Python's str.strip() removes (the reference strips with it),
+# generated from the same rule; the highest is U+3000.
+WHITESPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+# The same set as one regular-expression class (Java and RE2 syntax).
+UNICODE_SPACE = "[" + "".join(f"\\x{{{ord(c):X}}}" for c in WHITESPACE) + "]"
 
 
 def _c(col) -> Column:
@@ -16,7 +17,9 @@ def _c(col) -> Column:
 
 
 def strip_unicode(col) -> Column:
-    return F.regexp_replace(_c(col), f"^{UNICODE_SPACE}+|{UNICODE_SPACE}+$", "")
+    """Strip every Unicode whitespace character from both ends (a character
+    set trim, no regular expression)."""
+    return F.btrim(_c(col), F.lit(WHITESPACE))
 
 
 def squeeze(col) -> Column:

@@ -1,9 +1,14 @@
 """Keyword tags by TF-IDF over the corpus.
 
-term counts per document -> document frequency per term -> score -> top-k
-per document. The join of per-document counts with document frequencies is
-salted: a common term (present in most documents) is spread over ``salt``
-tasks instead of one, and its frequency row is replicated ``salt`` times.
+Plan: documents are hash-partitioned by id once; term counts per document and
+the top-k window per document then run inside those partitions without
+another shuffle. Document frequencies are a partial-then-final aggregate per
+term (a term present in every document still costs one row per map task).
+The join of counts with frequencies is left to AQE: it becomes a broadcast
+only when the measured size of the frequency table is under the broadcast
+threshold, otherwise a sort-merge join whose oversized partitions (common
+terms) AQE splits. ``salt`` adds explicit salting on top, for clusters that
+run with AQE skew handling off.
 """
 
 from __future__ import annotations
@@ -13,10 +18,11 @@ from pyspark.sql import functions as F
 
 TERM_RE = r"\p{L}{3,}"
 DEFAULT_K = 10
-DEFAULT_SALT = 16
 
 
 def term_counts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``(doc, term, tf)``; with ``docs`` partitioned by id the aggregate
+    needs no shuffle of its own."""
     toks = docs.select(F.col(id_col).alias("doc"),
                        F.explode(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(TERM_RE), 0))
                        .alias("term"))
@@ -24,16 +30,20 @@ def term_counts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def keyword_terms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  k: int = DEFAULT_K, salt: int = DEFAULT_SALT) -> DataFrame:
+                  k: int = DEFAULT_K, salt: int | None = None) -> DataFrame:
     """``(id, rank, term, tf, df, score)`` for the top ``k`` terms of each
     document; ties broken by term."""
-    n_docs = docs.select(id_col).count()  # one number reaches the driver
-    tf = term_counts(docs, id_col, text_col)
+    base = docs.select(id_col, text_col)
+    n_docs = base.count()  # one number reaches the driver
+    tf = term_counts(base.repartition(F.col(id_col)), id_col, text_col)
     dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    tf_s = tf.withColumn("_salt", F.pmod(F.hash("doc"), F.lit(salt)))
-    df_s = dfreq.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-    j = tf_s.join(df_s, ["term", "_salt"]).drop("_salt")
-    scored = j.withColumn("score", F.round(F.col("tf") * F.log(F.lit(float(n_docs)) / F.col("df")), 9))
+    if salt and salt > 1:
+        tf_s = tf.withColumn("_salt", F.pmod(F.hash("doc"), F.lit(salt)))
+        df_s = dfreq.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+        j = tf_s.join(df_s, ["term", "_salt"]).drop("_salt")
+    else:
+        j = tf.join(dfreq, "term")
+    scored = j.withColumn("score", F.round(F.col("tf") * F.log(F.lit(float(max(n_docs, 1))) / F.col("df")), 9))
     w = Window.partitionBy("doc").orderBy(F.col("score").desc(), F.col("term").asc())
     top = scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
     return top.select(F.col("doc").alias(id_col), "rank", "term", "tf", "df", "score")

@@ -34,17 +34,26 @@ class CollectResult:
 
 
 def collect(catalogue: DataFrame, landed_feeds: DataFrame, pages: DataFrame,
-            existing: DataFrame, now: _dt.datetime, ref_date: _dt.date) -> CollectResult:
+            existing: DataFrame, now: _dt.datetime, ref_date: _dt.date,
+            materialise: bool = False) -> CollectResult:
     """Label every feed entry with one outcome: ``rejected`` (unreadable
     feed / contract), ``no_link``, ``unreachable``, ``conflict`` or
     ``inserted``. One labelled frame, no branch re-reads the input;
-    :func:`run_collect` materialises it once for both outputs."""
+    :func:`run_collect` materialises it once for both outputs.
+
+    With ``materialise`` the parsed feed entries are written once to the
+    shared checkpoint folder: they are read by the distinct-url branch and
+    the entry branch, and ``from_xml`` otherwise runs for each. Feed
+    documents are small next to pages, so it is off by default (measured:
+    the checkpoint costs more than the second parse at the test scales)."""
     cat = catalogue.select("feed_key", "source", "source_pos", "feed_pos")
     # The catalogue is configuration with a checked size (see feeds.catalogue),
     # so it is broadcast; feed documents never shuffle for this join.
     ent = (FD.entries(landed_feeds).join(F.broadcast(cat), "feed_key", "inner")
              .withColumn("url", F.when(F.col("feed_ok") & FD.has_link(), F.col("link")))
              .withColumn("title", FD.title_or_default()))
+    if materialise:
+        ent = cut_lineage(ent)
 
     # Reachability and page fields per distinct url: a url listed by many
     # feeds is checked and parsed once, and the entry side never meets the

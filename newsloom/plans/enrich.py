@@ -36,13 +36,20 @@ def worklist(articles: DataFrame, limit: int | None = None) -> DataFrame:
 
 
 def enrich(articles: DataFrame, pages: DataFrame, make_model=None, limit: int | None = None,
-           k: int = 10, budget: int = 200) -> EnrichResult:
+           k: int = 10, budget: int = 200, materialise: bool = True) -> EnrichResult:
     """Analysis reads the page text with its word breaks; the stored
-    ``content`` is the squeezed text, as the reference stores it."""
+    ``content`` is the squeezed text, as the reference stores it.
+
+    The parsed page text feeds the summary, the corpus keyword job, the tag
+    finishing and the outcome labels; with ``materialise`` (default) it is
+    written once to the shared checkpoint folder so the Python parse runs
+    once per page instead of once per consumer."""
     work = worklist(articles, limit)
     j = work.join(pages.select("url", "html"), "url", "left")
     parsed = P.with_page_fields(j).select("id", "title", F.col("page")["text"].alias("raw_text"))
     txt = parsed.select("id", "title", "raw_text", X.squeeze("raw_text").alias("content"))
+    if materialise:
+        txt = cut_lineage(txt)
     ok = txt.filter(F.coalesce(F.col("content") != F.lit(""), F.lit(False)))
     if make_model is None:
         gen = E.default_enrichment(ok.select("id", "title", F.col("raw_text").alias("text")),
