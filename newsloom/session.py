@@ -42,13 +42,19 @@ def build_session(master: str | None = None, app: str = "newsloom",
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in
-    ``spark.checkpoint.dir``. Only when it is unset (local tests) do we
-    choose one of our own."""
+    ``spark.checkpoint.dir`` (or the one already set on the context). Only
+    when neither is set (local tests) do we choose a folder of our own."""
     path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = tempfile.mkdtemp(prefix="newsloom-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    sc = spark.sparkContext
+    if path:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(path)
+        return path
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    path = tempfile.mkdtemp(prefix="newsloom-ckpt-")
+    sc.setCheckpointDir(path)
     return path
 
 
@@ -61,7 +67,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 def task_parallelism(spark: SparkSession) -> int:
     """Number of task slots the cluster offers (at least 1)."""
-    return max(1, spark.sparkContext.defaultParallelism)
+    try:
+        return max(1, spark.sparkContext.defaultParallelism)
+    except Exception:
+        return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
@@ -72,7 +81,11 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     round-robin shuffle is only paid when the input is too coarse.
     """
     want = min_partitions or task_parallelism(df.sparkSession)
-    if df.rdd.getNumPartitions() < want:
+    try:
+        have = df.rdd.getNumPartitions()
+    except Exception:  # sessions without RDD access: leave partitioning to Spark
+        return df
+    if have < want:
         return df.repartition(want)
     return df
 
