@@ -30,15 +30,22 @@ def _squeeze_sql(expr: str) -> str:
 
 # Text of the generated test pages by regular expressions: drop scripts,
 # styles, comments and declarations, then tags, then decode the four entities
-# those pages use.
-_PAGE_TEXT_SQL = """replace(replace(replace(replace(
-  regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html,
+# those pages use. A trailing semicolon is optional (some generated titles are
+# cut inside an entity, and HTML decodes ``&amp`` without one); ``&amp`` goes
+# last, in one pass, so decoding never creates a new entity.
+def _decode_sql(expr: str) -> str:
+    out = expr
+    for name, char in (("copy", "©"), ("middot", "·"), ("quot", '"'), ("amp", "&")):
+        out = f"regexp_replace({out}, '&{name};?', '{char}', 'g')"
+    return out
+
+
+_PAGE_TEXT_SQL = _decode_sql("""regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html,
     '(?s)<script[^>]*>.*?</script>', '', 'g'),
     '(?s)<style[^>]*>.*?</style>', '', 'g'),
     '(?s)<!--.*?-->', '', 'g'),
     '<![^>]*>', '', 'g'),
-    '<[^>]+>', '', 'g'),
-  '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&amp;', '&')"""
+    '<[^>]+>', '', 'g')""")
 
 
 def _pages(spark, sf):
@@ -66,9 +73,10 @@ def x9_squeeze_documents(spark, sf):
     return d.select("doc_id", X.squeeze("text").alias("text"))
 
 
-@register("k1_page_titles",
-          "SELECT page_id, replace(replace(replace(replace(regexp_extract(html, '(?s)<title>(.*?)</title>', 1),"
-          " '&copy;', '©'), '&middot;', '·'), '&quot;', '\"'), '&amp;', '&') AS title FROM pages")
+_TITLE_SQL = _decode_sql("regexp_extract(html, '(?s)<title>(.*?)</title>', 1)")
+
+
+@register("k1_page_titles", f"SELECT page_id, {_TITLE_SQL} AS title FROM pages")
 def k1_page_titles(spark, sf):
     return _parsed_pages(spark, sf).select("page_id", F.col("page")["title"].alias("title"))
 
