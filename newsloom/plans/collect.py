@@ -50,8 +50,8 @@ def collect(catalogue: DataFrame, landed_feeds: DataFrame, pages: DataFrame,
     # The catalogue is configuration with a checked size (see feeds.catalogue),
     # so it is broadcast; feed documents never shuffle for this join.
     ent = (FD.entries(landed_feeds).join(F.broadcast(cat), "feed_key", "inner")
-             .withColumn("url", F.when(F.col("feed_ok") & FD.has_link(), F.col("link")))
-             .withColumn("title", FD.title_or_default()))
+             .withColumns({"url": F.when(F.col("feed_ok") & FD.has_link(), F.col("link")),
+                           "title": FD.title_or_default()}))
     if materialise:
         ent = cut_lineage(ent)
 
@@ -60,23 +60,24 @@ def collect(catalogue: DataFrame, landed_feeds: DataFrame, pages: DataFrame,
     # page table with a hot key.
     urls = ent.filter(F.col("url").isNotNull()).select("url").distinct()
     gated = P.reachability(urls, pages.select("url", "http_status", "fetch_error"))
-    with_html = gated.join(pages.select("url", "html"), "url", "left").withColumn(
-        "html", F.when(F.col("reachable"), F.col("html")))
+    with_html = gated.join(pages.select("url", "html"), "url", "left").select(
+        "url", "reachable", "reason", F.when(F.col("reachable"), F.col("html")).alias("html"))
     info = P.extract_fields(P.with_page_fields(with_html), ref_date).select(
         "url", "reachable", F.col("reason").alias("page_reason"),
         "published_day", "bad_date", "image_url")
 
-    cand = ent.join(info, "url", "left").withColumn(
-        "published_date", F.col("published_day").cast("timestamp_ntz"))
     reason = (F.when(~F.col("feed_ok"), F.lit("bad_feed"))
                .when(F.col("url").isNull(), F.lit("no_link"))
                .when(~F.col("reachable"), F.col("page_reason"))
                .otherwise(writes.contract_reason()))
-    cand = cand.withColumn("reason", reason).withColumn(
-        "_stage", F.when(~F.col("feed_ok"), F.lit(S.OUTCOME_REJECTED))
-                   .when(F.col("url").isNull(), F.lit(S.OUTCOME_NO_LINK))
-                   .when(~F.col("reachable"), F.lit(S.OUTCOME_UNREACHABLE))
-                   .when(F.col("reason").isNotNull(), F.lit(S.OUTCOME_REJECTED)))
+    stage = (F.when(~F.col("feed_ok"), F.lit(S.OUTCOME_REJECTED))
+              .when(F.col("url").isNull(), F.lit(S.OUTCOME_NO_LINK))
+              .when(~F.col("reachable"), F.lit(S.OUTCOME_UNREACHABLE))
+              .when(F.col("reason").isNotNull(), F.lit(S.OUTCOME_REJECTED)))
+    cand = (ent.join(info, "url", "left")
+               .withColumns({"published_date": F.col("published_day").cast("timestamp_ntz"),
+                             "reason": reason})
+               .withColumn("_stage", stage))
 
     # First per url among acceptable entries, then insert-if-absent.
     acceptable = cand.filter(F.col("_stage").isNull())

@@ -15,7 +15,6 @@ from newsloom.plans import enrich as EN
 from newsloom.registered.base import ARTICLES_CTE
 from newsloom.registered.page_queries import _PAGE_TEXT_SQL, _squeeze_sql, _strip_sql
 from newsloom.registry import register
-from newsloom.session import spread
 from newsloom.sources.tables import articles, first_line, read_table
 
 NOW = _dt.datetime(2026, 12, 1, 6, 0, 0)
@@ -139,7 +138,7 @@ _DOC_SRC = "dsrc AS (SELECT doc_id AS id, split_part(text, chr(10), 1) AS title,
                                body="SELECT d.id AS doc_id, s.summary FROM dsrc d LEFT JOIN summ s ON s.id = d.id"))
 def x20_summary(spark, sf):
     """Extractive summary of every whole document."""
-    d = spread(read_table(spark, sf, "documents"))
+    d = read_table(spark, sf, "documents", spread_out=True)
     return d.select("doc_id", SM.extractive_summary(F.col("text"), first_line(F.col("text"))).alias("summary"))
 
 

@@ -49,7 +49,7 @@ _PAGE_TEXT_SQL = _decode_sql("""regexp_replace(regexp_replace(regexp_replace(reg
 
 
 def _pages(spark, sf):
-    return read_table(spark, sf, "pages")
+    return read_table(spark, sf, "pages", spread_out=True)
 
 
 def _parsed_pages(spark, sf):

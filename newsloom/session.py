@@ -45,7 +45,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     ``spark.checkpoint.dir`` (or the one already set on the context). Only
     when neither is set (local tests) do we choose a folder of our own."""
     path = spark.conf.get("spark.checkpoint.dir", None)
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # no context on this client: the server-side setting applies
+        return path or ""
     if path:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(path)
@@ -74,11 +77,14 @@ def task_parallelism(spark: SparkSession) -> int:
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Give Python-heavy stages enough partitions.
+    """Give a *scan* enough partitions for the per-row work that follows.
 
     A Parquet file with a single row group loads as one partition; at cluster
     scale inputs already arrive in many splits and this is a no-op, so the
-    round-robin shuffle is only paid when the input is too coarse.
+    round-robin shuffle is only paid when the input is too coarse. Call it on
+    a bare scan only: for a plan with shuffles, asking for the partition
+    count makes adaptive execution run those shuffles first. After a shuffle
+    no call is needed (AQE keeps at least the default parallelism).
     """
     want = min_partitions or task_parallelism(df.sparkSession)
     try:

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from newsloom.functions import dates as D
 from newsloom.functions import text as X
 from newsloom.functions.html import parse_page
-from newsloom.session import spread
 
 
 def fetch_ok() -> Column:
@@ -42,9 +41,8 @@ def split_reachable(entries: DataFrame, pages: DataFrame, key: str = "url"):
 
 
 def with_page_fields(df: DataFrame, html: str = "html") -> DataFrame:
-    """Parse each page once into ``page`` (struct). Partitions are spread
-    first when the input is too coarse for the Python stage."""
-    return spread(df).withColumn("page", parse_page(F.col(html)))
+    """Parse each page once into ``page`` (struct)."""
+    return df.withColumn("page", parse_page(F.col(html)))
 
 
 def extract_fields(df: DataFrame, ref_date, url: str = "url") -> DataFrame:
@@ -52,17 +50,20 @@ def extract_fields(df: DataFrame, ref_date, url: str = "url") -> DataFrame:
     projection after it (one parse per page):
     ``date_raw, published_day, bad_date, image_url, site_name, page_title, text``."""
     pf = F.col("page")
-    raw = D.page_date_text(pf)
-    return (df.withColumn("date_raw", raw)
-              .withColumn("_date_ascii", D.ascii_digits(F.col("date_raw")))
-              .withColumn("published_day", D.resolve_day(F.col("date_raw"), ref_date,
-                                                         F.col("_date_ascii")))
-              .drop("_date_ascii")
-              .withColumn("bad_date", D.bad_day(F.col("date_raw")))
-              .withColumn("image_url", pf["og_image"])
-              .withColumn("site_name", site_name(pf["og_site_name"], F.col(url)))
-              .withColumn("page_title", pf["title"])
-              .withColumn("text", pf["text"]))
+    # Three projections: fields of the struct, then the digit-normalised
+    # date text (computed once, read by every native pattern), then the day.
+    out = df.withColumns({
+        "date_raw": D.page_date_text(pf),
+        "image_url": pf["og_image"],
+        "site_name": site_name(pf["og_site_name"], F.col(url)),
+        "page_title": pf["title"],
+        "text": pf["text"],
+    })
+    out = out.withColumn("_date_ascii", D.ascii_digits(F.col("date_raw")))
+    return out.withColumns({
+        "published_day": D.resolve_day(F.col("date_raw"), ref_date, F.col("_date_ascii")),
+        "bad_date": D.bad_day(F.col("date_raw")),
+    }).drop("_date_ascii")
 
 
 def host_name(url: Column) -> Column:

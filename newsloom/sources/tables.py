@@ -6,10 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.schema import ARTICLE_COLUMNS
+from newsloom.session import spread
 
 
-def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
+def read_table(spark: SparkSession, base: str, name: str, spread_out: bool = False) -> DataFrame:
+    """Scan one landed table. ``spread_out`` for tables that feed per-row
+    heavy work (page parsing, text analysis): a scan that yields fewer
+    partitions than task slots is spread round-robin (no-op at scale)."""
+    df = spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
+    return spread(df) if spread_out else df
 
 
 def first_line(text_col) -> F.Column:
@@ -107,7 +112,7 @@ def orders_pages(spark: SparkSession, base: str) -> DataFrame:
     ``<time>``, date ``<meta>`` or a date-classed element, with decoys the
     precedence rules must skip. ``og:image`` is filled on half of them, the
     other half has an empty first ``og:image``."""
-    o = read_table(spark, base, "orders").select("o_orderkey", "o_orderdate")
+    o = read_table(spark, base, "orders", spread_out=True).select("o_orderkey", "o_orderdate")
     k = F.col("o_orderkey")
     fmt = k % 6
     wrap = F.floor(k / 6) % 3
@@ -201,6 +206,6 @@ def page_feeds(spark: SparkSession, base: str):
     landed = j.select(feed_key(feed_url).alias("feed_key"), F.lit("r1").alias("run_id"),
                       body.alias("body"))
     pages = landed_from_table(
-        read_table(spark, base, "pages").withColumn("url", F.concat(F.col("url"), F.lit("#f"))),
+        read_table(spark, base, "pages", spread_out=True).withColumn("url", F.concat(F.col("url"), F.lit("#f"))),
         _dt.datetime(2026, 12, 1, 5, 0, 0))
     return cat, landed, pages
