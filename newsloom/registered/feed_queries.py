@@ -82,3 +82,23 @@ def c1_collect_rows(spark, sf):
     rows = _collect(spark, sf).rows
     return rows.select("url", "title", "source", "published_date", "image_url", "id",
                        "created_at", "metadata_generated")
+
+
+@register("x19_f11_entry_fields",
+          "SELECT CAST(page_id % 3 AS INTEGER) AS fmt, count(*) AS entries, "
+          "count(*) FILTER (WHERE no_title) AS default_titles, count(*) FILTER (WHERE no_link) AS no_link "
+          "FROM ("
+          "  SELECT page_id, false AS no_title, false AS no_link FROM pages WHERE page_id % 25 <> 24"
+          "  UNION ALL SELECT p.page_id, false, false FROM pages p JOIN pages n ON n.page_id = p.page_id + 1"
+          "    WHERE p.page_id % 25 <> 24"
+          "  UNION ALL SELECT page_id, false, true FROM pages WHERE page_id % 25 <> 24"
+          "  UNION ALL SELECT page_id, true, false FROM pages WHERE page_id % 25 <> 24) e GROUP BY 1")
+def x19_f11_entry_fields(spark, sf):
+    """Entries whose title defaults to 'No Title' and entries skipped for a
+    missing link, per feed format."""
+    cat, landed, _ = page_feeds(spark, sf)
+    e = FD.entries(landed).filter("feed_ok").join(cat.select("feed_key", "source_pos"), "feed_key")
+    return (e.groupBy((F.col("source_pos") % 3).cast("int").alias("fmt"))
+             .agg(F.count(F.lit(1)).alias("entries"),
+                  F.count(F.when(FD.title_or_default() == F.lit(FD.NO_TITLE), F.lit(1))).alias("default_titles"),
+                  F.count(F.when(~FD.has_link(), F.lit(1))).alias("no_link")))

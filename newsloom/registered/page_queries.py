@@ -130,3 +130,19 @@ def k1_page_dates(spark, sf):
     pp = P.with_page_fields(orders_pages(spark, sf))
     out = P.extract_fields(pp, REF)
     return out.select("o_orderkey", "published_day", "bad_date", "image_url")
+
+
+@register("k2_residual_dates",
+          f"SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN {sql_day('o_orderdate')} "
+          f"ELSE {sql_day('date_trunc(' + chr(39) + 'year' + chr(39) + ', o_orderdate)')} END AS day "
+          "FROM orders")
+def k2_residual_dates(spark, sf):
+    """Partial dates the native path cannot solve (day and month only, or a
+    relative time) from every order, resolved by the residual parser with the
+    first day of the order's year as reference date."""
+    o = read_table(spark, sf, "orders", spread_out=True)
+    k = F.col("o_orderkey")
+    text = F.when(k % 2 == 0, F.concat(F.lit("Posted "), F.date_format("o_orderdate", "d MMM"))) \
+            .otherwise(F.lit("updated 3 hours ago"))
+    ref = F.trunc(F.to_date("o_orderdate"), "year")
+    return o.select("o_orderkey", D.resolve_day(text, ref).alias("day"))
