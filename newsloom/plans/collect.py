@@ -47,9 +47,10 @@ def collect(catalogue: DataFrame, landed_feeds: DataFrame, pages: DataFrame,
     documents are small next to pages, so it is off by default (measured:
     the checkpoint costs more than the second parse at the test scales)."""
     cat = catalogue.select("feed_key", "source", "source_pos", "feed_pos")
-    # The catalogue is configuration with a checked size (see feeds.catalogue),
-    # so it is broadcast; feed documents never shuffle for this join.
-    ent = (FD.entries(landed_feeds).join(F.broadcast(cat), "feed_key", "inner")
+    # No broadcast hint: a catalogue built from configuration is tiny and AQE
+    # broadcasts it after measuring it, while a catalogue derived from data
+    # (one feed per site) may grow with the data and then stays a shuffle join.
+    ent = (FD.entries(landed_feeds).join(cat, "feed_key", "inner")
              .withColumns({"url": F.when(F.col("feed_ok") & FD.has_link(), F.col("link")),
                            "title": FD.title_or_default()}))
     if materialise:
@@ -59,9 +60,9 @@ def collect(catalogue: DataFrame, landed_feeds: DataFrame, pages: DataFrame,
     # feeds is checked and parsed once, and the entry side never meets the
     # page table with a hot key.
     urls = ent.filter(F.col("url").isNotNull()).select("url").distinct()
-    gated = P.reachability(urls, pages.select("url", "http_status", "fetch_error"))
-    with_html = gated.join(pages.select("url", "html"), "url", "left").select(
-        "url", "reachable", "reason", F.when(F.col("reachable"), F.col("html")).alias("html"))
+    gated = P.reachability(urls, pages, carry=("html",))
+    with_html = gated.select("url", "reachable", "reason",
+                             F.when(F.col("reachable"), F.col("html")).alias("html"))
     info = P.extract_fields(P.with_page_fields(with_html), ref_date).select(
         "url", "reachable", F.col("reason").alias("page_reason"),
         "published_day", "bad_date", "image_url")

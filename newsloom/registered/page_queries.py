@@ -127,7 +127,7 @@ def x6_native_day(spark, sf):
           "CAST(o_orderkey AS VARCHAR) || '.png' END AS image_url FROM orders")
 def k1_page_dates(spark, sf):
     """Parse each constructed page once; date by precedence; og:image."""
-    pp = P.with_page_fields(orders_pages(spark, sf))
+    pp = P.with_page_fields(orders_pages(spark, sf, spread_out=True))
     out = P.extract_fields(pp, REF)
     return out.select("o_orderkey", "published_day", "bad_date", "image_url")
 

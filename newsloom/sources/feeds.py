@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_CATALOGUE_FEEDS = 100_000  # catalogue is config; it is broadcast below this
+MAX_CATALOGUE_FEEDS = 100_000  # catalogue read from configuration is refused above this
 
 _CATALOGUE_TYPE = T.StructType([
     T.StructField("sources", T.ArrayType(T.StructType([

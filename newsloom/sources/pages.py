@@ -24,15 +24,15 @@ def reject_reason() -> Column:
                    F.concat(F.lit("http_"), F.col("http_status").cast("string"))))
 
 
-def reachability(entries: DataFrame, pages: DataFrame, key: str = "url") -> DataFrame:
+def reachability(entries: DataFrame, pages: DataFrame, key: str = "url",
+                 carry: tuple[str, ...] = ()) -> DataFrame:
     """Entries joined to their fetched page, with ``reachable`` and a
     ``reason`` for the rest (a missing page row is a reject). Pages are
-    expected unique per url (one landed fetch per url)."""
-    p = pages.select(key, "http_status", "fetch_error", F.lit(True).alias("_has_page"))
-    j = entries.join(p, key, "left")
-    return (j.withColumn("reason", reject_reason())
-             .withColumn("reachable", F.col("reason").isNull())
-             .drop("_has_page"))
+    expected unique per url (one landed fetch per url). ``carry``: more page
+    columns to bring along in the same join (e.g. ``html``)."""
+    p = pages.select(key, "http_status", "fetch_error", *carry, F.lit(True).alias("_has_page"))
+    j = entries.join(p, key, "left").withColumn("reason", reject_reason())
+    return j.withColumn("reachable", F.col("reason").isNull()).drop("_has_page")
 
 
 def split_reachable(entries: DataFrame, pages: DataFrame, key: str = "url"):

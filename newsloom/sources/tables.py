@@ -106,13 +106,13 @@ def contract_batch(spark: SparkSession, base: str) -> DataFrame:
     return a.select("id", first_line(F.col("content")).alias("title"), "url", "source")
 
 
-def orders_pages(spark: SparkSession, base: str) -> DataFrame:
+def orders_pages(spark: SparkSession, base: str, spread_out: bool = False) -> DataFrame:
     """Pages built from ``orders`` whose correct date is known: the order
     date written in one of four formats (or ``n/a``, or absent), wrapped as
     ``<time>``, date ``<meta>`` or a date-classed element, with decoys the
     precedence rules must skip. ``og:image`` is filled on half of them, the
     other half has an empty first ``og:image``."""
-    o = read_table(spark, base, "orders", spread_out=True).select("o_orderkey", "o_orderdate")
+    o = read_table(spark, base, "orders", spread_out).select("o_orderkey", "o_orderdate")
     k = F.col("o_orderkey")
     fmt = k % 6
     wrap = F.floor(k / 6) % 3
