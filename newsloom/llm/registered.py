@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from newsloom.llm import bloom_dedup, mixing
+from newsloom.llm import bloom_dedup, minmax_dedup, mixing, packing, warc
 from newsloom.llm.common import table
 
 
@@ -60,9 +60,60 @@ SELECT d.doc_id, d.size, t.source_size, t.target, coalesce(k.taken, 0) AS taken
 FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source LEFT JOIN k USING (doc_id)
 """
 
+def op1_minmax_near_dedup(spark, sf_dir):
+    """Near-duplicate components of all documents by min-max hashing."""
+    return minmax_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+OP1_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS sh FROM d),
+n AS (SELECT doc_id, CAST(len(sh) AS BIGINT) AS n FROM s),
+x AS (SELECT doc_id, unnest(sh) AS g FROM s),
+p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM x a JOIN x b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+e AS (
+  SELECT p.a, p.b FROM p JOIN n na ON na.doc_id = p.a JOIN n nb ON nb.doc_id = p.b
+  WHERE 100 * p.both >= 75 * (na.n + nb.n - p.both)),
+u AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+r(id, near) AS (SELECT doc_id, doc_id FROM n UNION SELECT r.id, u.b FROM r JOIN u ON u.a = r.near),
+c AS (SELECT id, min(near) AS component_id FROM r GROUP BY id)
+SELECT n.doc_id, n.n AS n_shingles, c.component_id, n.doc_id = c.component_id AS kept
+FROM n JOIN c ON c.id = n.doc_id
+"""
+
+
+def op4_warc_segments(spark, sf_dir):
+    """All pages written as WARC records and read back."""
+    return warc.round_trip(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP4_SQL = r"""
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+k AS (SELECT b, max(page_id) AS keep, count(*) AS n FROM p WHERE octet_length(b) >= 1000 GROUP BY b)
+SELECT p.page_id, octet_length(p.b) AS payload_bytes, sha1(p.b) AS payload_digest,
+       CASE WHEN p.page_id <> k.keep THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN p.page_id <> k.keep THEN k.keep END AS refers_to
+FROM p LEFT JOIN k ON k.b = p.b
+"""
+
+
+def op10_best_fit_packing(spark, sf_dir):
+    """All documents tokenised and packed into sequences of 2048 ids."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op1_minmax_near_dedup": (op1_minmax_near_dedup, OP1_SQL),
     "op3_bloom_exact_dedup": (op3_bloom_exact_dedup, OP3_SQL),
+    "op4_warc_segments": (op4_warc_segments, OP4_SQL),
     "op6_weighted_fair_mix": (op6_weighted_fair_mix, OP6_SQL),
+    "op10_best_fit_packing": (op10_best_fit_packing, None),
 }
 
 
