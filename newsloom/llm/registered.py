@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from newsloom.llm import bloom_dedup, minmax_dedup, mixing, packing, warc
+from newsloom.llm import bloom_dedup, license_scan, minmax_dedup, mixing, packing, warc
 from newsloom.llm.common import table
 
 
@@ -108,8 +108,14 @@ def op10_best_fit_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op2_license_scan(spark, sf_dir):
+    """Licence detections in all documents."""
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_minmax_near_dedup": (op1_minmax_near_dedup, OP1_SQL),
+    "op2_license_scan": (op2_license_scan, None),
     "op3_bloom_exact_dedup": (op3_bloom_exact_dedup, OP3_SQL),
     "op4_warc_segments": (op4_warc_segments, OP4_SQL),
     "op6_weighted_fair_mix": (op6_weighted_fair_mix, OP6_SQL),
