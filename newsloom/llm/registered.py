@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from newsloom.llm import bloom_dedup, license_scan, minmax_dedup, mixing, packing, warc
+from newsloom.llm import bloom_dedup, license_scan, minmax_dedup, mixing, packing, surrogates, warc
 from newsloom.llm.common import table
 
 
@@ -113,12 +113,23 @@ def op2_license_scan(spark, sf_dir):
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
 
+#: Key of the registered query; a user passes their own.
+SURROGATE_KEY = "newsloom-surrogates"
+
+
+def op8_surrogates(spark, sf_dir):
+    """Personal data in all documents replaced by keyed surrogates."""
+    return surrogates.replace_private(table(spark, sf_dir, "documents"), SURROGATE_KEY).select(
+        "doc_id", "text", "n_entities", "kinds")
+
+
 QUERIES = {
     "op1_minmax_near_dedup": (op1_minmax_near_dedup, OP1_SQL),
     "op2_license_scan": (op2_license_scan, None),
     "op3_bloom_exact_dedup": (op3_bloom_exact_dedup, OP3_SQL),
     "op4_warc_segments": (op4_warc_segments, OP4_SQL),
     "op6_weighted_fair_mix": (op6_weighted_fair_mix, OP6_SQL),
+    "op8_surrogates": (op8_surrogates, None),
     "op10_best_fit_packing": (op10_best_fit_packing, None),
 }
 
