@@ -4,12 +4,13 @@ only ever sees counters."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from newsloom.session import cut_lineage
+from newsloom.session import cut_lineage, ensure_checkpoint_dir
 
 #: Words of the contracts: runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -25,6 +26,28 @@ def materialise(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
 
 
+def shared_table(df: DataFrame) -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder and read it back: a lineage
+    cut for wide tables that are read more than once, by columns."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+#: Ids that a semi-join broadcasts at most (8 bytes each); beyond that both
+#: sides are shuffled.
+BROADCAST_IDS = 2_000_000
+
+
+def rows_named(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose ``key`` is in ``ids`` (one materialised column of
+    the same name). The ids are counted first: only up to ``BROADCAST_IDS``
+    they are broadcast, so that the texts that stay out don't move."""
+    small = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    return df.join(F.broadcast(ids) if small else ids, key, "left_semi")
+
+
 def shuffle_partitions(df: DataFrame) -> int:
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import components, materialise
+from newsloom.llm.common import components, materialise, rows_named, shared_table
 
 SHINGLE = 5
 THRESHOLD = 75  # per cent
@@ -256,10 +256,10 @@ def _verified(docs, pairs, id_col, text, threshold, k) -> DataFrame:
     """The pairs (a, b) whose texts hold. Only texts named in a pair move."""
     if not pairs.limit(1).count():
         return pairs
-    named = pairs.select(F.col("a").alias("k")).union(pairs.select(F.col("b").alias("k"))).distinct()
-    texts = materialise(
-        docs.select(F.col(id_col).cast("long").alias("k"), F.col(text).cast("binary").alias("t"))
-            .join(named, "k", "left_semi").dropDuplicates(["k"]))
+    named = materialise(pairs.select(F.col("a").alias("k")).union(pairs.select(F.col("b").alias("k"))).distinct())
+    texts = shared_table(rows_named(
+        docs.select(F.col(id_col).cast("long").alias("k"), F.col(text).cast("binary").alias("t")), "k", named)
+        .dropDuplicates(["k"]))
     both = (pairs.join(texts.select(F.col("k").alias("b"), F.col("t").alias("tb")), "b")
                  .join(texts.select(F.col("k").alias("a"), F.col("t").alias("ta")), "a"))
     return materialise(both.select("a", "b", "ta", "tb").sortWithinPartitions("a").mapInArrow(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from newsloom.llm import bloom_dedup, license_scan, minmax_dedup, mixing, packing, surrogates, warc
+from newsloom.llm import bloom_dedup, license_scan, minmax_dedup, mixing, packing, suffix_dedup, surrogates, toxicity, warc
 from newsloom.llm.common import table
 
 
@@ -113,6 +113,17 @@ def op2_license_scan(spark, sf_dir):
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op5_toxicity_grades(spark, sf_dir):
+    """Expected severity of all documents, model fitted on the labels."""
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+def op7_suffix_repeats(spark, sf_dir):
+    """Passages of 50 words and more that occur more than once."""
+    return suffix_dedup.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 #: Key of the registered query; a user passes their own.
 SURROGATE_KEY = "newsloom-surrogates"
 
@@ -129,6 +140,8 @@ QUERIES = {
     "op3_bloom_exact_dedup": (op3_bloom_exact_dedup, OP3_SQL),
     "op4_warc_segments": (op4_warc_segments, OP4_SQL),
     "op6_weighted_fair_mix": (op6_weighted_fair_mix, OP6_SQL),
+    "op5_toxicity_grades": (op5_toxicity_grades, None),
+    "op7_suffix_repeats": (op7_suffix_repeats, None),
     "op8_surrogates": (op8_surrogates, None),
     "op10_best_fit_packing": (op10_best_fit_packing, None),
 }
