@@ -268,5 +268,7 @@ def _verified(docs, pairs, id_col, text, threshold, k) -> DataFrame:
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", threshold: int = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` whose id stands for its group; all columns."""
-    kept = near_duplicates(docs, id_col, text, threshold).filter("kept").select(F.col("doc_id").alias("_k")).distinct()
-    return docs.join(kept, docs[id_col].cast("long") == F.col("_k"), "left_semi")
+    kept = materialise(near_duplicates(docs, id_col, text, threshold).filter("kept")
+                       .select(F.col("doc_id").alias("_k")).distinct())
+    keyed = docs.withColumn("_k", F.col(id_col).cast("long"))
+    return rows_named(keyed, "_k", kept).drop("_k")

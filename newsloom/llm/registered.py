@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from newsloom.llm import bloom_dedup, license_scan, minmax_dedup, mixing, packing, suffix_dedup, surrogates, toxicity, warc
+import corpus_pipeline
+from newsloom.llm import bloom_dedup, graph_ann, license_scan, minmax_dedup, mixing, packing, suffix_dedup, surrogates, toxicity, warc
 from newsloom.llm.common import table
 
 
@@ -103,6 +104,11 @@ FROM p LEFT JOIN k ON k.b = p.b
 """
 
 
+def op9_pruned_graph_ann(spark, sf_dir):
+    """Ten nearest neighbours of every hundredth vector among all."""
+    return graph_ann.search_all(table(spark, sf_dir, "embeddings"))
+
+
 def op10_best_fit_packing(spark, sf_dir):
     """All documents tokenised and packed into sequences of 2048 ids."""
     return packing.pack_documents(table(spark, sf_dir, "documents"))
@@ -143,7 +149,9 @@ QUERIES = {
     "op5_toxicity_grades": (op5_toxicity_grades, None),
     "op7_suffix_repeats": (op7_suffix_repeats, None),
     "op8_surrogates": (op8_surrogates, None),
+    "op9_pruned_graph_ann": (op9_pruned_graph_ann, None),
     "op10_best_fit_packing": (op10_best_fit_packing, None),
+    "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
 
 
