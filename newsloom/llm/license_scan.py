@@ -142,8 +142,8 @@ def rules() -> list[Rule]:
             number = v if " " in v else f"{v}(?: 0)?"
             out += [
                 Rule(f"{label}-or-later", VERSIONED, key,
-                     f"{name}{issued} (?:version |v ?){number} (?:of the license )?or (?:at your option )?(?:any )?later(?: version)?"),
-                Rule(label, VERSIONED, key, f"{name}{issued} (?:version |v ?){number}(?: only)?"),
+                     f"(?:gnu )?{name}{issued} (?:version |v ?){number} (?:of the license )?or (?:at your option )?(?:any )?later(?: version)?"),
+                Rule(label, VERSIONED, key, f"(?:gnu )?{name}{issued} (?:version |v ?){number}(?: only)?"),
                 Rule(f"{label}-or-later", VERSIONED, stem, f"{stem} ?v?(?:ersion)? ?{number} or (?:any )?later(?: version)?"),
                 Rule(label, VERSIONED, stem, f"{stem} ?v?(?:ersion)? ?{number}(?: only)?"),
                 Rule(label, VERSIONED, "gnu org", f"gnu org (?:licenses|copyleft) (?:old licenses )?{stem} {number}(?: html| txt)?"),

@@ -37,26 +37,26 @@ IDENTICAL = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 # --- which records repeat another one's payload ----------------------------
 
-def revisits(pages: DataFrame, id_col: str = "page_id", payload: str = "html",
+def revisits(pages: DataFrame, id_col: str = "page_id", uri: str = "url", payload: str = "html",
              min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
-    """``pages`` with ``_payload`` (binary), ``_digest`` (hex SHA-1),
-    ``_refers`` (id of the response, null for a response).
+    """``page_id, uri, payload`` (binary), ``digest`` (hex SHA-1) and
+    ``refers`` (id of the response, null for a response) of all ``pages``.
 
     Equal payloads of at least ``min_bytes`` have one response, the largest
     id; smaller ones take no part in the join, so a hot short payload moves
     nowhere. Counting is partial before the shuffle, and a hot digest is a
     plain join key that adaptive execution splits.
     """
-    rows = pages.withColumn("_payload", F.coalesce(F.col(payload).cast("binary"), F.lit(b""))) \
-                .withColumn("_digest", F.sha1("_payload"))
-    long_ones = F.octet_length("_payload") >= min_bytes
-    keep = (rows.filter(long_ones).groupBy(F.col("_digest").alias("_kd"))
-            .agg(F.max(id_col).alias("_keep"), F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n"))
-    paired = rows.filter(long_ones).join(keep, F.col("_digest") == F.col("_kd"), "left").drop("_kd")
-    kind = pages.schema[id_col].dataType
-    short = rows.filter(~long_ones).withColumn("_keep", F.lit(None).cast(kind))
+    rows = pages.select(F.col(id_col).alias("page_id"), F.col(uri).cast("string").alias("uri"),
+                        F.coalesce(F.col(payload).cast("binary"), F.lit(b"")).alias("payload")) \
+                .withColumn("digest", F.sha1("payload"))
+    long_ones = F.octet_length("payload") >= min_bytes
+    keep = (rows.filter(long_ones).groupBy(F.col("digest").alias("_d"))
+            .agg(F.max("page_id").alias("_keep"), F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n"))
+    paired = rows.filter(long_ones).join(keep, F.col("digest") == F.col("_d"), "left").drop("_d")
+    short = rows.filter(~long_ones).withColumn("_keep", F.lit(None).cast(rows.schema["page_id"].dataType))
     return paired.unionByName(short).withColumn(
-        "_refers", F.when(~F.col(id_col).eqNullSafe(F.col("_keep")), F.col("_keep"))).drop("_keep")
+        "refers", F.when(~F.col("page_id").eqNullSafe(F.col("_keep")), F.col("_keep"))).drop("_keep")
 
 
 # --- writing ----------------------------------------------------------------
@@ -131,8 +131,8 @@ def _write_batches(segment_bytes: int):
 def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", uri: str = "url", payload: str = "html",
                    segment_bytes: int = SEGMENT_BYTES, records_per_file: int = RECORDS_PER_FILE) -> None:
     """Write ``pages`` as gzip-compressed WARC files under ``path``."""
-    rows = revisits(pages, id_col, payload)
-    records = rows.select(id_col, F.col(uri), "_payload", "_digest", "_refers").mapInArrow(
+    rows = revisits(pages, id_col, uri, payload)
+    records = rows.select("page_id", "uri", "payload", "digest", "refers").mapInArrow(
         _write_batches(segment_bytes), "r binary")
     (records.select(F.col("r").cast("string").alias("value")).write.mode("error")
      .option("lineSep", END.decode()).option("compression", "gzip")
