@@ -1,21 +1,17 @@
-"""Date resolution for article pages.
+"""Date resolution for article pages, in built-in expressions only.
 
 Precedence: first ``<time>`` text, then the first date ``<meta>``, then the
 first element with a date-like class. An exact ``YYYY-MM-DD`` string is taken
 as is (an impossible day becomes NULL and is flagged ``bad_date``, the article
-is kept). Other text goes through a native fast path of regular expressions
-and ``try_to_date``; only rows it cannot solve reach the Python residual
-parser, which fills missing parts from an explicit ``ref_date``.
+is kept). In other text the complete date that comes first counts; without
+one, the partial or relative date that comes first is filled up from an
+explicit ``ref_date``. No clock is read: without ``ref_date`` those are NULL.
 """
 
 from __future__ import annotations
 
-import datetime as _dt
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 ISO_DAY = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
 
@@ -57,70 +53,88 @@ def ascii_digits(col) -> Column:
     return F.translate(_c(col), _FULLWIDTH, _ASCII)
 
 
+def _int(text: Column) -> Column:
+    return F.when(text != "", text.cast("int"))
+
+
+def _earliest(text: Column, forms) -> Column:
+    """Day of the form that matches first in the text. ``forms``: (pattern,
+    day of its groups); a match that is no calendar day is passed over."""
+    found = []
+    for pattern, day in forms:
+        value = day(lambda i, p=pattern: F.regexp_extract(text, p, i))
+        found.append(F.when(value.isNotNull(), F.struct(
+            F.regexp_instr(text, F.lit(pattern)).alias("at"), value.alias("day"))))
+    return F.array_min(F.filter(F.array(*found), lambda f: f.isNotNull() & (f["at"] > 0)))["day"]
+
+
+# No digit, and no digit with a separator, may touch a date of numbers, so
+# that longer numbers and version numbers are none.
+_BEFORE = r"(?<![0-9])(?<![0-9][-/.])"
+_AFTER = r"(?![0-9])(?![-/.][0-9])"
+_DAY = r"([0-9]{1,2})(?:st|nd|rd|th)?"
+
+
+def _numeric(g) -> Column:
+    """Month first as the reference reads it, unless that can't be a month."""
+    a, b, y = g(1), g(2), g(3)
+    return F.when(_int(a) > 12, _ymd(y, b, a)).otherwise(_ymd(y, a, b))
+
+
+COMPLETE = (
+    (_BEFORE + r"([0-9]{4})[-/.]([0-9]{1,2})[-/.]([0-9]{1,2})" + _AFTER, lambda g: _ymd(g(1), g(2), g(3))),
+    (r"(?<![0-9])([0-9]{4})\s*年\s*([0-9]{1,2})\s*月\s*([0-9]{1,2})\s*日", lambda g: _ymd(g(1), g(2), g(3))),
+    (r"(?i)\b" + _MONTH_RE + r"\s+" + _DAY + r",?\s+([0-9]{4})(?![0-9])",
+     lambda g: _ymd(g(3), _month_number(g(1)).cast("string"), g(2))),
+    (r"(?i)(?<![0-9])" + _DAY + r"\s+" + _MONTH_RE + r",?\s+([0-9]{4})(?![0-9])",
+     lambda g: _ymd(g(3), _month_number(g(2)).cast("string"), g(1))),
+    (_BEFORE + r"([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})" + _AFTER, _numeric),
+)
+
+
 def native_day(col, normalised: bool = False) -> Column:
-    """Calendar day from free text with built-in expressions only; NULL when
-    no supported form is found (those rows go to the residual parser).
-    Pass ``normalised=True`` for a column already through
+    """Calendar day of the first complete date in free text; NULL without
+    one. Pass ``normalised=True`` for a column already through
     :func:`ascii_digits` (staged as its own column, it is computed once)."""
-    s = _c(col) if normalised else ascii_digits(col)
-    x = lambda pat, i: F.regexp_extract(s, pat, i)
-
-    ymd_sep = r"([0-9]{4})[-/.]([0-9]{1,2})[-/.]([0-9]{1,2})"
-    kanji = r"([0-9]{4})\s*年\s*([0-9]{1,2})\s*月\s*([0-9]{1,2})\s*日"
-    mdy_name = r"(?i)\b" + _MONTH_RE + r"\s+([0-9]{1,2})(?:st|nd|rd|th)?,?\s+([0-9]{4})"
-    dmy_name = r"(?i)\b([0-9]{1,2})(?:st|nd|rd|th)?\s+" + _MONTH_RE + r",?\s+([0-9]{4})"
-    numeric = r"\b([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})"
-
-    m1 = _month_number(x(mdy_name, 1))
-    m2 = _month_number(x(dmy_name, 2))
-    a, b, y = x(numeric, 1), x(numeric, 2), x(numeric, 3)
-    a_num = F.when(a != "", a.cast("int"))
-    numeric_day = F.when(a_num > 12, _ymd(y, b, a)).otherwise(_ymd(y, a, b))
-    return F.coalesce(
-        _ymd(x(ymd_sep, 1), x(ymd_sep, 2), x(ymd_sep, 3)),
-        _ymd(x(kanji, 1), x(kanji, 2), x(kanji, 3)),
-        _ymd(x(mdy_name, 3), m1.cast("string"), x(mdy_name, 2)),
-        _ymd(x(dmy_name, 3), m2.cast("string"), x(dmy_name, 1)),
-        numeric_day,
+    return _earliest(_c(col) if normalised else ascii_digits(col), COMPLETE)
+
+
+def partial_day(col, ref: Column) -> Column:
+    """Day of the first partial or relative date in (normalised) text, filled
+    up from ``ref``; NULL without ``ref``. Hours and minutes ago are the
+    reference day; a weekday is the next one, the reference day included."""
+    s = _c(col)
+    year = F.year(ref).cast("string")
+    days = F.create_map(*[x for unit, n in (("day", 1), ("week", 7)) for x in (F.lit(unit), F.lit(n))])
+
+    def ago(g) -> Column:
+        n, unit = _int(g(1)), F.lower(g(2))
+        return (F.when(unit.isin("second", "minute", "hour"), ref).when(unit == "month", F.add_months(ref, -n))
+                .when(unit == "year", F.add_months(ref, -12 * n)).otherwise(F.date_sub(ref, n * F.try_element_at(days, unit))))
+
+    forms = (
+        (r"(?i)\b" + _MONTH_RE + r"\s+" + _DAY + r"(?![0-9])", lambda g: _ymd(year, _month_number(g(1)).cast("string"), g(2))),
+        (r"(?i)(?<![0-9])" + _DAY + r"\s+" + _MONTH_RE, lambda g: _ymd(year, _month_number(g(2)).cast("string"), g(1))),
+        (r"(?i)\b" + _MONTH_RE + r",?\s+([0-9]{4})(?![0-9])",
+         lambda g: _ymd(g(2), _month_number(g(1)).cast("string"), F.day(ref).cast("string"))),
+        (r"(?<![0-9])([0-9]{1,2})\s*月\s*([0-9]{1,2})\s*日", lambda g: _ymd(year, g(1), g(2))),
+        (_BEFORE + r"([0-9]{1,2})/([0-9]{1,2})" + _AFTER, lambda g: _ymd(year, g(1), g(2))),
+        (r"(?i)(?<![0-9])([0-9]{1,3})\s+(second|minute|hour|day|week|month|year)s?\s+ago\b", ago),
+        (r"(?i)\b(yesterday)\b", lambda g: F.when(g(1) != "", F.date_sub(ref, 1))),
+        (r"(?i)\b(today|just now)\b", lambda g: F.when(g(1) != "", ref)),
+        (r"(?i)\b(mon|tue|wed|thu|fri|sat|sun)(?:day|sday|nesday|rsday|urday)?\b",
+         lambda g: F.when(g(1) != "", F.call_function("next_day", F.date_sub(ref, 1), F.upper(g(1))))),
+        (r"(?<![0-9:])([0-9]{1,2}:[0-9]{2})(?![0-9])", lambda g: F.when(g(1) != "", ref)),
     )
-
-
-def parse_fuzzy(text: str | None, ref: _dt.date | None) -> _dt.date | None:
-    """Residual parser: fuzzy text, missing parts taken from ``ref``."""
-    if text is None or not text.strip():
-        return None
-    from dateutil import parser as _parser
-    base = _dt.datetime.combine(ref, _dt.time()) if ref is not None else \
-        _dt.datetime.combine(_dt.date.today(), _dt.time())
-    try:
-        return _parser.parse(text, fuzzy=True, default=base).date()
-    except (ValueError, OverflowError, TypeError):
-        return None
-
-
-@F.pandas_udf(T.DateType())
-def _residual_day(text: pd.Series, ref: pd.Series) -> pd.Series:
-    out = []
-    for t, r in zip(text, ref):
-        if t is None or (isinstance(t, float) and pd.isna(t)):
-            out.append(None)
-            continue
-        rd = None if r is None or (not isinstance(r, _dt.date) and pd.isna(r)) else r
-        if isinstance(rd, pd.Timestamp):
-            rd = rd.date()
-        out.append(parse_fuzzy(t, rd))
-    return pd.Series(out, dtype="object")
+    return F.when(ref.isNotNull(), _earliest(s, forms))
 
 
 def free_text_day(col, ref_date, normalised=None) -> Column:
-    """Native fast path, residual parser only for what it leaves. The
-    residual UDF receives NULL for rows already solved, so they cost an
-    Arrow slot, not a parse. ``normalised``: the same text already through
-    :func:`ascii_digits`."""
-    native = native_day(normalised, True) if normalised is not None else native_day(col)
-    residual_text = F.when(native.isNull(), _c(col))
-    ref = ref_date if isinstance(ref_date, Column) else F.lit(ref_date).cast("date")
-    return F.coalesce(native, _residual_day(residual_text, ref))
+    """Complete date first, else a partial or relative one. ``normalised``:
+    the same text already through :func:`ascii_digits`."""
+    text = normalised if normalised is not None else ascii_digits(col)
+    ref = ref_date if isinstance(ref_date, Column) else F.lit(None if ref_date is None else str(ref_date)).cast("date")
+    return F.coalesce(native_day(text, True), partial_day(text, ref))
 
 
 def resolve_day(raw, ref_date, normalised=None) -> Column:

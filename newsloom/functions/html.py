@@ -24,6 +24,7 @@ PAGE_FIELDS = T.StructType([
     T.StructField("og_image", T.StringType()),
     T.StructField("og_site_name", T.StringType()),
     T.StructField("text", T.StringType()),
+    T.StructField("blocks", T.StringType()),
 ])
 
 # Fixed values matching the reference extraction rules.
@@ -41,13 +42,23 @@ VOID_TAGS = frozenset({
 })
 
 
+# Elements that separate words of the analysed text: everything but the
+# inline elements of running text.
+INLINE_TAGS = frozenset({
+    "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i",
+    "ins", "kbd", "mark", "q", "rb", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "tt",
+    "u", "var", "wbr",
+})
+
+
 class _Collector:
-    """Text buffer of one open element."""
-    __slots__ = ("parts", "done")
+    """Text of one element: the page's text parts from ``start`` up to
+    ``stop`` (None while the element is open)."""
+    __slots__ = ("start", "stop")
 
-    def __init__(self):
-        self.parts: list[str] = []
-        self.done = False
+    def __init__(self, start: int):
+        self.start = start
+        self.stop: int | None = None
 
 
 class PageParser(HTMLParser):
@@ -56,6 +67,8 @@ class PageParser(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.stack: list[tuple[str, list[_Collector]]] = []
+        self.open_tags: dict[str, int] = {}
+        self.block_parts: list[str] = []
         self.hidden = 0
         self.text_parts: list[str] = []
         self.title: _Collector | None = None
@@ -69,17 +82,18 @@ class PageParser(HTMLParser):
     # -- tokens --------------------------------------------------------
     def handle_starttag(self, tag, attrs):
         a = {k: ("" if v is None else v) for k, v in attrs}
+        self._break(tag)
         if tag == "meta":
             self._meta(a)
         opened: list[_Collector] = []
         if tag == "time" and self.time is None:
-            self.time = _Collector()
+            self.time = _Collector(len(self.text_parts))
             opened.append(self.time)
         if tag == "title" and self.title is None:
-            self.title = _Collector()
+            self.title = _Collector(len(self.text_parts))
             opened.append(self.title)
         if self.winner is None and DATE_CLASS.search(a.get("class", "") or ""):
-            c = _Collector()
+            c = _Collector(len(self.text_parts))
             self.open_cands.append(c)
             opened.append(c)
         if tag in VOID_TAGS:
@@ -87,6 +101,7 @@ class PageParser(HTMLParser):
                 self._close(c)
             return
         self.stack.append((tag, opened))
+        self.open_tags[tag] = self.open_tags.get(tag, 0) + 1
         if tag in HIDDEN_TEXT_TAGS:
             self.hidden += 1
 
@@ -96,6 +111,9 @@ class PageParser(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
+        self._break(tag)
+        if not self.open_tags.get(tag):
+            return  # an end tag without its start closes nothing
         for i in range(len(self.stack) - 1, -1, -1):
             if self.stack[i][0] == tag:
                 while len(self.stack) > i:
@@ -134,21 +152,25 @@ class PageParser(HTMLParser):
         if self.hidden:
             return
         self.text_parts.append(data)
-        for _, opened in self.stack:
-            for c in opened:
-                if not c.done:
-                    c.parts.append(data)
-        if self.winner is None and data.strip():
-            for c in self.open_cands:
-                if not c.done:
-                    self.winner = c
-                    break
+        self.block_parts.append(data)
+        if self.winner is None and self.open_cands and data.strip():
+            self.winner = self.open_cands[0]
+
+    def _break(self, tag):
+        if tag not in INLINE_TAGS and self.block_parts and self.block_parts[-1] != "\n":
+            self.block_parts.append("\n")
 
     def _close(self, c: _Collector):
-        c.done = True
+        c.stop = len(self.text_parts)
+        if self.open_cands and self.open_cands[-1] is c:
+            self.open_cands.pop()
+
+    def _inside(self, c: _Collector | None) -> str | None:
+        return "".join(self.text_parts[c.start:c.stop]) if c else None
 
     def _pop(self):
         tag, opened = self.stack.pop()
+        self.open_tags[tag] -= 1
         if tag in HIDDEN_TEXT_TAGS:
             self.hidden -= 1
         for c in opened:
@@ -157,13 +179,14 @@ class PageParser(HTMLParser):
     def result(self) -> dict:
         self.close()
         return {
-            "title": "".join(self.title.parts) if self.title else None,
-            "time_text": "".join(self.time.parts) if self.time else None,
+            "title": self._inside(self.title),
+            "time_text": self._inside(self.time),
             "meta_date": self.meta_date,
-            "class_text": "".join(self.winner.parts).strip() if self.winner else None,
+            "class_text": self._inside(self.winner).strip() if self.winner else None,
             "og_image": self.og.get("og:image"),
             "og_site_name": self.og.get("og:site_name"),
             "text": "".join(self.text_parts),
+            "blocks": re.sub("\n{2,}", "\n", "".join(self.block_parts)).strip("\n"),
         }
 
 

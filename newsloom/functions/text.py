@@ -63,10 +63,19 @@ TOPIC_RULES = (("半導体", "半導体"), ("semiconductor", "半導体"))
 def topic_tags(tags, text, rules=TOPIC_RULES) -> Column:
     """Append each rule's tag when its keyword occurs in the text
     (case-insensitive) and the tag is not already present."""
-    out = F.coalesce(_c(tags), F.array().cast("array<string>"))
+    return with_topics(F.coalesce(_c(tags), F.array().cast("array<string>")), topic_hits(text, rules))
+
+
+def with_topics(tags, hits) -> Column:
+    """``tags`` and those of ``hits`` they lack. The hits are one array that
+    is appended once, so the plan grows with the number of rules only."""
+    return F.concat(tags, F.array_except(hits, F.array_append(tags, F.lit(None).cast("string"))))
+
+
+def topic_hits(text, rules=TOPIC_RULES) -> Column:
+    """Tags of the rules whose keyword occurs in the text, in rule order
+    (null for the others)."""
     low = F.lower(_c(text))
-    for keyword, tag in rules:
-        hit = F.coalesce(F.contains(low, F.lit(keyword.lower())), F.lit(False))
-        out = F.when(hit & ~F.array_contains(out, F.lit(tag)),
-                     F.concat(out, F.array(F.lit(tag)))).otherwise(out)
-    return out
+    if not rules:
+        return F.array().cast("array<string>")
+    return F.array(*[F.when(F.contains(low, F.lit(k.lower())), F.lit(t)) for k, t in rules])

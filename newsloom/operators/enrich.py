@@ -1,8 +1,6 @@
-"""Summary and tag enrichment.
-
-Default: extractive summary (per row, built-in expressions) and TF-IDF
-keyword tags (corpus-level Spark job). Pluggable: a user model applied with
-``mapInPandas`` over Arrow batches; the model is built once per partition.
+"""Pluggable enrichment: a user model applied with ``mapInPandas`` over Arrow
+batches; the model is built once per partition. The default enrichment,
+extractive summary and TF-IDF tags, is part of the enrich plan.
 """
 
 from __future__ import annotations
@@ -13,9 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.functions.summary import extractive_summary
-from newsloom.functions.text import clean_tags, split_tags, topic_tags
-from newsloom.operators.keywords import keyword_tags, keyword_terms
+from newsloom.functions.text import split_tags
 
 MODEL_OUTPUT = "id string, summary string, tag_text string"
 
@@ -24,19 +20,6 @@ MODEL_OUTPUT = "id string, summary string, tag_text string"
 ModelMaker = Callable[[], Callable[[pd.DataFrame], pd.DataFrame]]
 
 
-def default_enrichment(df: DataFrame, id_col: str = "id", text_col: str = "text",
-                       title_col: str = "title", k: int = 10,
-                       budget: int = 200) -> DataFrame:
-    """``(id, summary, tags)``: extractive summary of the whole text and the
-    top-``k`` TF-IDF terms over the corpus given."""
-    summ = df.select(F.col(id_col).alias("id"),
-                     extractive_summary(F.col(text_col), F.col(title_col), budget).alias("summary"))
-    tags = keyword_tags(keyword_terms(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")),
-                                      "id", "text", k), "id")
-    return summ.join(tags, "id", "left").select(
-        "id", "summary", F.coalesce(F.col("tags"), F.array().cast("array<string>")).alias("tags"))
-
-
 def model_enrichment(df: DataFrame, make_model: ModelMaker, id_col: str = "id",
                      text_col: str = "text") -> DataFrame:
     """``(id, summary, tags)`` from a user model. A row the model fails on
@@ -64,9 +47,3 @@ def model_enrichment(df: DataFrame, make_model: ModelMaker, id_col: str = "id",
     return res.select("id", F.nullif(F.col("summary"), F.lit("")).alias("summary"),
                       F.coalesce(split_tags(F.col("tag_text")), F.array().cast("array<string>"))
                       .alias("tags"))
-
-
-def finish_tags(df: DataFrame, text_col: str = "text", distinct: bool = False) -> DataFrame:
-    """Clean-up rules on each tag, then the mandatory topic tags."""
-    return df.withColumn("tags", topic_tags(clean_tags(F.col("tags"), distinct=distinct),
-                                            F.col(text_col)))

@@ -1,14 +1,16 @@
 """Keyword tags by TF-IDF over the corpus.
 
-Plan: documents are hash-partitioned by id once; term counts per document and
-the top-k window per document then run inside those partitions without
-another shuffle. Document frequencies are a partial-then-final aggregate per
-term (a term present in every document still costs one row per map task).
-The join of counts with frequencies is left to AQE: it becomes a broadcast
-only when the measured size of the frequency table is under the broadcast
-threshold, otherwise a sort-merge join whose oversized partitions (common
-terms) AQE splits. ``salt`` adds explicit salting on top, for clusters that
-run with AQE skew handling off.
+Plan: terms are exploded and counted per (document, term); the partial count
+in the task that reads a document is already complete, so the shuffle
+carries one row per distinct term of a document and no text. Document
+frequencies are a partial-then-final aggregate per term over the same rows
+(a term present in every document costs one row per map task). The join of
+counts with frequencies is left to AQE: a broadcast only when the measured
+size of the frequency table is under the broadcast threshold, otherwise a
+sort-merge join whose oversized partitions (common terms) AQE splits.
+``salt`` adds explicit salting on top, for clusters that run with AQE skew
+handling off. The top-k window per document takes one more shuffle, of
+scored terms.
 """
 
 from __future__ import annotations
@@ -16,34 +18,56 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-TERM_RE = r"\p{L}{3,}"
+# Runs of one script are terms: two Han or Katakana characters and more, or
+# three letters and more of a script written with spaces.
+_SPACED = ("Latin", "Cyrillic", "Greek", "Arabic", "Hebrew", "Hangul", "Thai", "Devanagari")
+
+
+def _term_pattern(script) -> str:
+    spaced = "".join(script(s) for s in _SPACED)
+    return f"{script('Han')}{{2,}}|[{script('Katakana')}ー]{{2,}}|[{spaced}]{{3,}}"
+
+
+TERM_RE = _term_pattern(lambda s: rf"\p{{Is{s}}}")
+TERM_RE2 = _term_pattern(lambda s: rf"\p{{{s}}}")  # the same in RE2 syntax
 DEFAULT_K = 10
 
 
+def _terms(text_col: str):
+    return F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(TERM_RE), 0)
+
+
 def term_counts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``(doc, term, tf)``; with ``docs`` partitioned by id the aggregate
-    needs no shuffle of its own."""
-    toks = docs.select(F.col(id_col).alias("doc"),
-                       F.explode(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(TERM_RE), 0))
-                       .alias("term"))
+    """``(doc, term, tf)``."""
+    toks = docs.select(F.col(id_col).alias("doc"), F.explode(_terms(text_col)).alias("term"))
     return toks.groupBy("doc", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
+def document_frequencies(corpus: DataFrame, text_col: str = "text") -> DataFrame:
+    """``(term, df)``; the distinct terms are taken inside each row."""
+    return (corpus.select(F.explode(F.array_distinct(_terms(text_col))).alias("term"))
+            .groupBy("term").agg(F.count(F.lit(1)).alias("df")))
+
+
 def keyword_terms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  k: int = DEFAULT_K, salt: int | None = None) -> DataFrame:
+                  k: int = DEFAULT_K, salt: int | None = None, corpus: DataFrame | None = None) -> DataFrame:
     """``(id, rank, term, tf, df, score)`` for the top ``k`` terms of each
-    document; ties broken by term."""
-    base = docs.select(id_col, text_col)
-    n_docs = base.count()  # one number reaches the driver
-    tf = term_counts(base.repartition(F.col(id_col)), id_col, text_col)
-    dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    document; ties broken by term. ``corpus`` (same text column; default
+    ``docs``) is what document frequencies are counted over. The inverse
+    frequency is smoothed, ``ln((1 + N) / (1 + df)) + 1``, so a corpus of one
+    document still ranks its terms by how often they occur."""
+    n_docs = (docs if corpus is None else corpus).count()  # one number reaches the driver
+    tf = term_counts(docs.select(id_col, text_col), id_col, text_col)
+    dfreq = (tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")) if corpus is None
+             else document_frequencies(corpus, text_col))
     if salt and salt > 1:
         tf_s = tf.withColumn("_salt", F.pmod(F.hash("doc"), F.lit(salt)))
         df_s = dfreq.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
         j = tf_s.join(df_s, ["term", "_salt"]).drop("_salt")
     else:
         j = tf.join(dfreq, "term")
-    scored = j.withColumn("score", F.round(F.col("tf") * F.log(F.lit(float(max(n_docs, 1))) / F.col("df")), 9))
+    idf = F.log(F.lit(float(n_docs + 1)) / (F.col("df") + 1)) + 1
+    scored = j.withColumn("score", F.round(F.col("tf") * idf, 9))
     w = Window.partitionBy("doc").orderBy(F.col("score").desc(), F.col("term").asc())
     top = scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
     return top.select(F.col("doc").alias(id_col), "rank", "term", "tf", "df", "score")

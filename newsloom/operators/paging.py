@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as _dt
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from newsloom.functions.times import ntz
+
 
 @dataclass(frozen=True)
 class Key:
@@ -50,16 +52,32 @@ def with_position(page_df: DataFrame, keys: list[Key], offset: int) -> DataFrame
 
 def page(df: DataFrame, limit: int = 100, offset: int = 0,
          keys: list[Key] | None = None, position: bool = True) -> DataFrame:
-    """``ORDER BY keys LIMIT limit OFFSET offset``; plans as a per-partition
-    top-(offset+limit) followed by one merge, never a full sort."""
+    """``ORDER BY keys LIMIT limit OFFSET offset``.
+
+    The top-(offset+limit) per partition and its merge run over the key
+    columns only; the page's rows are then fetched by ``id`` (unique), so
+    wide columns such as ``content`` never pass through the merging task."""
     if limit < 0 or offset < 0:
         raise ValueError("limit and offset must be non-negative")
     keys = keys or listing_keys()
-    out = order(df, keys)
-    if offset:
-        out = out.offset(offset)
-    out = out.limit(limit)
-    return with_position(out, keys, offset) if position else out
+    top = _cut(df.select(*[k.col for k in keys]), keys, limit, offset)
+    return _fetch(df, with_position(top, keys, offset), position)
+
+
+def _cut(narrow: DataFrame, keys: list[Key], limit: int, offset: int = 0) -> DataFrame:
+    out = order(narrow, keys)
+    return (out.offset(offset) if offset else out).limit(limit)
+
+
+def _fetch(df: DataFrame, placed: DataFrame, position: bool) -> DataFrame:
+    """Rows of ``df`` whose ``id`` is on the page, in page order."""
+    out = df.join(placed.select("id", "pos"), "id").select(*df.columns, "pos").orderBy("pos")
+    return out if position else out.drop("pos")
+
+
+def _lit(v) -> Column:
+    """A cursor value; datetimes as zone-free timestamps."""
+    return ntz(v) if isinstance(v, _dt.datetime) else F.lit(v)
 
 
 def _later(k: Key, last) -> Column:
@@ -67,10 +85,10 @@ def _later(k: Key, last) -> Column:
     if last is None:
         # NULL sorts last: nothing is strictly after it; NULL first: every value is.
         return c.isNotNull() if k.nulls_first else F.lit(False)
-    after = (c > F.lit(last)) if k.ascending else (c < F.lit(last))
-    if k.nulls_first:
-        return F.coalesce(after, F.lit(False))
-    return c.isNull() | F.coalesce(after, F.lit(False))
+    after = (c > _lit(last)) if k.ascending else (c < _lit(last))
+    # Plain comparisons only, so that the whole filter can be pushed; a NULL
+    # comparison is no match, as in any filter.
+    return after if k.nulls_first else (c.isNull() | after)
 
 
 def after_cursor(keys: list[Key], cursor: tuple) -> Column:
@@ -85,18 +103,32 @@ def after_cursor(keys: list[Key], cursor: tuple) -> Column:
         later = _later(k, v)
         if i == len(pairs) - 1:
             return later
-        return later | (F.col(k.col).eqNullSafe(F.lit(v)) & build(i + 1))
+        same = F.col(k.col).isNull() if v is None else F.col(k.col) == _lit(v)
+        return later | (same & build(i + 1))
+
+    return bound(pairs[0][0], pairs[0][1]) & build(0)
+
 
-    return build(0)
+def bound(k: Key, last) -> Column:
+    """What every row after the cursor fulfils on the first key alone: a plain
+    comparison that is pushed down to the scan, so row groups before the
+    cursor are skipped."""
+    c = F.col(k.col)
+    if last is None:
+        return F.lit(True) if k.nulls_first else c.isNull()
+    at = (c >= _lit(last)) if k.ascending else (c <= _lit(last))
+    return at if k.nulls_first else (at | c.isNull())
 
 
 def keyset_page(df: DataFrame, cursor: tuple | None, limit: int = 100,
                 keys: list[Key] | None = None) -> DataFrame:
-    """Next page after ``cursor``; cost does not grow with page depth."""
+    """Next page after ``cursor``. The first key's bound is pushed to the
+    scan; keys only go through the top-k, as in :func:`page`."""
     keys = keys or listing_keys()
     if cursor is not None:
         df = df.filter(after_cursor(keys, cursor))
-    return order(df, keys).limit(limit)
+    top = _cut(df.select(*[k.col for k in keys]), keys, limit)
+    return _fetch(df, with_position(top, keys, 0), False)
 
 
 def cursor_of(page_df: DataFrame, keys: list[Key] | None = None) -> tuple | None:
@@ -121,7 +153,8 @@ def page_meta(page_df: DataFrame, limit: int, offset: int) -> DataFrame:
 def exact_has_more(df: DataFrame, limit: int, offset: int,
                    keys: list[Key] | None = None) -> DataFrame:
     """Exact variant: reads ``limit + 1`` rows, so a full last page says no."""
-    probe = page(df, limit + 1, offset, keys, position=False)
+    keys = keys or listing_keys()
+    probe = _cut(df.select(*[k.col for k in keys]), keys, limit + 1, offset)
     n = F.count(F.lit(1))
     return probe.agg(
         F.least(n, F.lit(limit)).alias("n_rows"),

@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_RULES = 10_000  # rule tables are configuration; refuse anything larger
+from newsloom.functions.times import ntz
 
 
 @dataclass(frozen=True)
@@ -54,13 +54,7 @@ CLEANUP_SOURCES = (
 
 
 def rules_from(table) -> list[Rule]:
-    """Rules from a list of :class:`Rule` or a rule DataFrame
-    ``(pos, target, like_pattern, exclude)``; sorted by ``pos``."""
-    if isinstance(table, DataFrame):
-        rows = table.select("pos", "target", "like_pattern", "exclude").limit(MAX_RULES + 1).collect()
-        if len(rows) > MAX_RULES:
-            raise ValueError(f"rule table larger than {MAX_RULES} rows")
-        table = [Rule(r.pos, r.target, r.like_pattern, r.exclude) for r in rows]
+    """The rules (configuration: a list of :class:`Rule`) sorted by ``pos``."""
     return sorted(table, key=lambda r: r.pos)
 
 
@@ -111,18 +105,20 @@ def apply_flags(flagged: DataFrame, now: _dt.datetime | None = None,
     touched = reduce(lambda a, b: a | b, [F.col(h) for h in hits], F.lit(False))
     out = flagged.filter(~F.col("_del")).withColumn(col, F.col("_new"))
     if now is not None and stamp in flagged.columns:
-        out = out.withColumn(stamp, F.when(touched, F.lit(now).cast("timestamp_ntz"))
+        out = out.withColumn(stamp, F.when(touched, ntz(now))
                              .otherwise(F.col(stamp)))
     return out.drop("_del", "_new", *hits)
 
 
-def step_counts(flagged: DataFrame, rules, delete=(), col: str = "source") -> DataFrame:
+def step_counts(flagged: DataFrame, rules, delete=(), col: str = "source", weight: str | None = None) -> DataFrame:
     """Rows affected per step: ``(step, kind, match, target, rows)``; one
-    aggregate pass, unpivoted on the one-row result."""
+    aggregate pass, unpivoted on the one-row result. ``weight``: a column
+    with the number of rows a row of ``flagged`` stands for."""
     rules = rules_from(rules)
-    aggs = [F.sum((F.col("_del") & (F.col(col) == F.lit(s))).cast("long")).alias(f"d{i}")
-            for i, s in enumerate(delete)]
-    aggs += [F.sum(F.col(f"_hit_{i}").cast("long")).alias(f"h{i}") for i in range(len(rules))]
+    n = F.col(weight) if weight else F.lit(1).cast("long")
+    rows = lambda hit: F.sum(F.when(hit, n).otherwise(0))
+    aggs = [rows(F.col("_del") & (F.col(col) == F.lit(s))).alias(f"d{i}") for i, s in enumerate(delete)]
+    aggs += [rows(F.col(f"_hit_{i}")).alias(f"h{i}") for i in range(len(rules))]
     one = flagged.agg(*aggs) if aggs else flagged.agg(F.count(F.lit(1)).alias("_n"))
     parts = []
     for i, s in enumerate(delete):

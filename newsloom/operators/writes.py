@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsloom import schema as S
+from newsloom.functions.times import ntz
 
 
 def article_id(url: Column) -> Column:
@@ -37,7 +38,7 @@ def apply_contract(df: DataFrame, now: _dt.datetime) -> tuple[DataFrame, DataFra
     ``metadata_generated`` = FALSE."""
     tagged = df.withColumn("reason", contract_reason())
     ok = tagged.filter(F.col("reason").isNull()).drop("reason")
-    stamp = F.lit(now).cast("timestamp_ntz")
+    stamp = ntz(now)
     defaults = {
         "id": article_id(F.col("url")),
         "created_at": stamp,
@@ -68,28 +69,33 @@ def first_per_key(df: DataFrame, key: str | list[str], order: list[str]) -> Data
 
 
 def insert_if_absent(existing: DataFrame, batch: DataFrame, key: str = "url",
-                     order: list[str] | None = None) -> DataFrame:
+                     *, order: list[str]) -> DataFrame:
     """Rows of ``batch`` to append: first occurrence per key inside the batch
-    (``order``), and only keys not already in ``existing`` (first writer
+    in ``order``, and only keys not already in ``existing`` (first writer
     wins across runs). Only the key column of ``existing`` is read."""
-    firsts = first_per_key(batch, key, order) if order else batch.dropDuplicates([key])
-    return firsts.join(existing.select(key).distinct(), key, "left_anti")
+    firsts = first_per_key(batch, key, order)
+    return firsts.join(known_keys(existing, firsts, key), key, "left_anti")
+
+
+def known_keys(existing: DataFrame, batch: DataFrame, key: str = "url") -> DataFrame:
+    """Keys of ``batch`` that ``existing`` has. The batch is the small side of
+    this semi-join: adaptive execution broadcasts its keys where they are
+    few, so the table's keys are neither shuffled nor made distinct; the
+    result has at most one row per key of a unique ``batch`` and table."""
+    return existing.select(key).join(batch.select(key), key, "left_semi")
 
 
 def insert_outcomes(existing: DataFrame, batch: DataFrame, key: str = "url",
-                    order: list[str] | None = None) -> DataFrame:
+                    *, order: list[str]) -> DataFrame:
     """Each batch row labelled ``inserted`` (it is the first for its key and
     the key is new) or ``conflict`` (an earlier row or the table already has
     the key), as the reference counts attempts."""
-    order = order or []
-    known = existing.select(key).distinct().withColumn("_known", F.lit(True))
     # The key-only join runs on one row per key (after first_per_key), so a
     # hot key never meets the table side in bulk; the join back to the batch
     # is on (key, order...), which identifies single rows.
-    firsts = (first_per_key(batch.select(key, *order), key, order)
-              .join(known, key, "left")
-              .withColumn("_new", F.col("_known").isNull())
-              .drop("_known"))
+    firsts = first_per_key(batch.select(key, *order), key, order)
+    firsts = (firsts.join(known_keys(existing, firsts, key), key, "left_anti")
+              .withColumn("_new", F.lit(True)))
     labelled = batch.join(firsts, [key, *order], "left")
     return labelled.withColumn(
         "outcome",
@@ -101,14 +107,28 @@ def outcome_counts(df: DataFrame, col: str = "outcome") -> DataFrame:
     return df.groupBy(col).agg(F.count(F.lit(1)).alias("count"))
 
 
+def run_counters(outcomes: DataFrame) -> DataFrame:
+    """One row of a collect run's counters: ``attempted`` (entries that
+    reached the insert), ``inserted``, ``conflicts`` and ``skipped``."""
+    n = lambda *names: F.count(F.when(F.col("outcome").isin(*names), 1))
+    return outcomes.agg(
+        n(S.OUTCOME_INSERTED, S.OUTCOME_CONFLICT).alias("attempted"), n(S.OUTCOME_INSERTED).alias("inserted"),
+        n(S.OUTCOME_CONFLICT).alias("conflicts"),
+        n(S.OUTCOME_REJECTED, S.OUTCOME_UNREACHABLE, S.OUTCOME_NO_LINK).alias("skipped"))
+
+
 def update_by_key(existing: DataFrame, updates: DataFrame, key: str = "id",
-                  now: _dt.datetime | None = None, mark: dict[str, Column] | None = None) -> DataFrame:
+                  now: _dt.datetime | None = None, mark: dict[str, Column] | None = None,
+                  order: list[str] | None = None) -> DataFrame:
     """Keyed update: for rows whose key appears in ``updates``, take every
     column present in ``updates`` (even NULL or an empty array), set ``mark``
     columns (default ``metadata_generated = TRUE``) and stamp ``updated_at``
-    with ``now``; other rows are unchanged. ``updates`` must have unique keys.
+    with ``now``; other rows are unchanged. Where ``updates`` has a key more
+    than once, the row that comes first in ``order`` (then by the remaining
+    columns) counts, so a table row is never multiplied.
     """
-    set_cols = [c for c in updates.columns if c != key]
+    updates = first_per_key(updates, key, list(order or ()))
+    set_cols = [c for c in updates.columns if c != key and c not in (order or ())]
     mark = {"metadata_generated": F.lit(True)} if mark is None else mark
     u = updates.select(F.col(key), F.lit(True).alias("_matched"),
                        *[F.col(c).alias(f"_new_{c}") for c in set_cols])
@@ -121,7 +141,7 @@ def update_by_key(existing: DataFrame, updates: DataFrame, key: str = "id",
         elif c in mark:
             out.append(F.when(hit, mark[c]).otherwise(F.col(c)).alias(c))
         elif c == "updated_at" and now is not None:
-            out.append(F.when(hit, F.lit(now).cast("timestamp_ntz")).otherwise(F.col(c)).alias(c))
+            out.append(F.when(hit, ntz(now)).otherwise(F.col(c)).alias(c))
         else:
             out.append(F.col(c))
     return j.select(*out)

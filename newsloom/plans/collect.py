@@ -1,8 +1,8 @@
 """Collect: landed feeds + landed pages -> new article rows and outcomes.
 
 catalogue -> entries -> link check -> default title -> reachability ->
-page fields (parsed once per distinct url) -> date / image -> row contract
--> first per url in catalogue order -> insert if absent.
+page fields (parsed on the page scan) -> date / image -> row contract ->
+first per url in catalogue order -> insert if absent.
 """
 
 from __future__ import annotations
@@ -14,9 +14,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsloom import schema as S
+from newsloom.functions.times import ntz
+from newsloom.operators import writes
 from newsloom.schema import ARTICLE_COLUMNS
 from newsloom.session import cut_lineage
-from newsloom.operators import writes
 from newsloom.sources import feeds as FD
 from newsloom.sources import pages as P
 
@@ -33,65 +34,72 @@ class CollectResult:
         return article_rows(self.outcomes)
 
 
+def page_fields(pages: DataFrame, ref_date) -> DataFrame:
+    """Per url of the landed fetches, those of its latest one: ``url,
+    reachable, page_reason, published_day, bad_date, image_url``. Pages are
+    parsed where they are read and only the extracted fields are shuffled;
+    a fetch that failed is not parsed."""
+    ok = pages.withColumn("html", F.when(P.fetch_ok(), F.col("html")))
+    parsed = P.extract_fields(P.with_page_fields(ok), ref_date)
+    last = P.latest_fetch(parsed.select(
+        "url", *[c for c in ("fetched_at",) if c in pages.columns], "http_status", "fetch_error",
+        "published_day", "bad_date", "image_url"))
+    reason = P.reject_reason()
+    return (last.withColumn("_has_page", F.lit(True)).withColumn("page_reason", reason)
+            .select("url", F.col("page_reason").isNull().alias("reachable"), "page_reason",
+                    "published_day", "bad_date", "image_url"))
+
+
 def collect(catalogue: DataFrame, landed_feeds: DataFrame, pages: DataFrame,
             existing: DataFrame, now: _dt.datetime, ref_date: _dt.date,
-            materialise: bool = False) -> CollectResult:
-    """Label every feed entry with one outcome: ``rejected`` (unreadable
-    feed / contract), ``no_link``, ``unreachable``, ``conflict`` or
-    ``inserted``. One labelled frame, no branch re-reads the input;
+            materialise: bool = True) -> CollectResult:
+    """Label every feed entry with one outcome: ``rejected`` (unknown or
+    unreadable feed / contract), ``no_link``, ``unreachable``, ``conflict``
+    or ``inserted``. One labelled frame, no branch re-reads the input;
     :func:`run_collect` materialises it once for both outputs.
 
-    With ``materialise`` the parsed feed entries are written once to the
-    shared checkpoint folder: they are read by the distinct-url branch and
-    the entry branch, and ``from_xml`` otherwise runs for each. Feed
-    documents are small next to pages, so it is off by default (measured:
-    the checkpoint costs more than the second parse at the test scales)."""
-    cat = catalogue.select("feed_key", "source", "source_pos", "feed_pos")
+    With ``materialise`` (default) the joined entries are written once to
+    the shared checkpoint folder: choosing the first per url and labelling
+    the entries both read them."""
+    cat = catalogue.select("feed_key", "source", "source_pos", "feed_pos", F.lit(True).alias("_known_feed"))
     # No broadcast hint: a catalogue built from configuration is tiny and AQE
     # broadcasts it after measuring it, while a catalogue derived from data
     # (one feed per site) may grow with the data and then stays a shuffle join.
-    ent = (FD.entries(landed_feeds).join(cat, "feed_key", "inner")
+    ent = (FD.entries(landed_feeds).join(cat, "feed_key", "left")
              .withColumns({"url": F.when(F.col("feed_ok") & FD.has_link(), F.col("link")),
                            "title": FD.title_or_default()}))
-    if materialise:
-        ent = cut_lineage(ent)
-
-    # Reachability and page fields per distinct url: a url listed by many
-    # feeds is checked and parsed once, and the entry side never meets the
-    # page table with a hot key.
-    urls = ent.filter(F.col("url").isNotNull()).select("url").distinct()
-    gated = P.reachability(urls, pages, carry=("html",))
-    with_html = gated.select("url", "reachable", "reason",
-                             F.when(F.col("reachable"), F.col("html")).alias("html"))
-    info = P.extract_fields(P.with_page_fields(with_html), ref_date).select(
-        "url", "reachable", F.col("reason").alias("page_reason"),
-        "published_day", "bad_date", "image_url")
-
-    reason = (F.when(~F.col("feed_ok"), F.lit("bad_feed"))
+    # Entries without a url have nothing to join; together they would be one
+    # hot key.
+    info = page_fields(pages, ref_date)
+    linked = ent.filter(F.col("url").isNotNull()).join(info, "url", "left")
+    bare = ent.filter(F.col("url").isNull())
+    reason = (F.when(F.col("_known_feed").isNull(), F.lit("unknown_feed"))
+               .when(~F.col("feed_ok"), F.lit("bad_feed"))
                .when(F.col("url").isNull(), F.lit("no_link"))
+               .when(F.col("reachable").isNull(), F.lit("no_page"))
                .when(~F.col("reachable"), F.col("page_reason"))
                .otherwise(writes.contract_reason()))
-    stage = (F.when(~F.col("feed_ok"), F.lit(S.OUTCOME_REJECTED))
+    stage = (F.when(F.col("_known_feed").isNull() | ~F.col("feed_ok"), F.lit(S.OUTCOME_REJECTED))
               .when(F.col("url").isNull(), F.lit(S.OUTCOME_NO_LINK))
-              .when(~F.col("reachable"), F.lit(S.OUTCOME_UNREACHABLE))
+              .when(~F.coalesce("reachable", F.lit(False)), F.lit(S.OUTCOME_UNREACHABLE))
               .when(F.col("reason").isNotNull(), F.lit(S.OUTCOME_REJECTED)))
-    cand = (ent.join(info, "url", "left")
-               .withColumns({"published_date": F.col("published_day").cast("timestamp_ntz"),
-                             "reason": reason})
-               .withColumn("_stage", stage))
+    cand = (linked.unionByName(bare, allowMissingColumns=True)
+            .withColumns({"published_date": F.col("published_day").cast("timestamp_ntz"), "reason": reason})
+            .withColumn("_stage", stage)
+            .select("feed_key", *ORDER, "title", "url", "source", "published_date", "bad_date", "image_url",
+                    "reason", "_stage"))
+    if materialise:
+        cand = cut_lineage(cand)
 
     # First per url among acceptable entries, then insert-if-absent.
     acceptable = cand.filter(F.col("_stage").isNull())
-    firsts = (writes.first_per_key(acceptable.select("url", *ORDER), "url", ORDER)
-              .join(existing.select("url").distinct().withColumn("_known", F.lit(True)), "url", "left")
-              .select("url", *ORDER, F.col("_known").isNull().alias("_new")))
-    labelled = cand.join(firsts, ["url", *ORDER], "left").withColumn(
-        "outcome", F.coalesce(
-            F.col("_stage"),
-            F.when(F.coalesce(F.col("_new"), F.lit(False)), F.lit(S.OUTCOME_INSERTED)),
-            F.lit(S.OUTCOME_CONFLICT)))
-    stamp = F.lit(now).cast("timestamp_ntz")
-    out = labelled.select(
+    new = writes.insert_if_absent(existing, acceptable.select("url", *ORDER), "url", order=ORDER) \
+                .withColumn("_new", F.lit(True))
+    rest = cand.filter(F.col("_stage").isNotNull()).withColumn("outcome", F.col("_stage"))
+    labelled = acceptable.join(new, ["url", *ORDER], "left").withColumn(
+        "outcome", F.when(F.col("_new"), F.lit(S.OUTCOME_INSERTED)).otherwise(F.lit(S.OUTCOME_CONFLICT))).drop("_new")
+    stamp = ntz(now)
+    out = labelled.unionByName(rest).select(
         "feed_key", "run_id", "source_pos", "feed_pos", "entry_pos", "outcome", "reason",
         F.coalesce(F.col("bad_date"), F.lit(False)).alias("bad_date"),
         writes.article_id(F.col("url")).alias("id"), "title", "url", "source", "image_url",
@@ -113,10 +121,10 @@ def outcome_counts(outcomes: DataFrame) -> DataFrame:
 
 def run_collect(store, catalogue: DataFrame, landed_feeds: DataFrame, pages: DataFrame,
                 now: _dt.datetime, ref_date: _dt.date) -> DataFrame:
-    """Collect into an :class:`~newsloom.sources.store.ArticleStore`:
+    """Collect into an :class:`~newsloom.sources.store.ArticleTable`:
     materialise the labelled entries once (reliable checkpoint in the shared
     checkpoint folder), append the inserted rows, return outcome counts."""
     res = collect(catalogue, landed_feeds, pages, store.read(), now, ref_date)
     labelled = cut_lineage(res.outcomes)
-    store.append(article_rows(labelled), now)
+    store.append(article_rows(labelled))
     return outcome_counts(labelled)

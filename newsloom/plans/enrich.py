@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 
 from newsloom import schema as S
 from newsloom.functions import text as X
+from newsloom.functions.summary import extractive_summary
 from newsloom.operators import enrich as E
+from newsloom.operators import keywords as KW
 from newsloom.operators import paging, search, writes
 from newsloom.session import cut_lineage
 from newsloom.sources import pages as P
@@ -35,57 +37,74 @@ def worklist(articles: DataFrame, limit: int | None = None) -> DataFrame:
     return w
 
 
+def page_texts(pages: DataFrame) -> DataFrame:
+    """(url, text) of the latest fetch of every page, parsed on the page
+    scan; blocks of the page are separated by line ends, so that words of
+    different blocks don't run together."""
+    kept = [c for c in ("fetched_at",) if c in pages.columns]
+    parsed = P.with_page_fields(pages).select("url", *kept, F.col("page")["blocks"].alias("text"))
+    return P.latest_fetch(parsed).select("url", "text")
+
+
 def enrich(articles: DataFrame, pages: DataFrame, make_model=None, limit: int | None = None,
-           k: int = 10, budget: int = 200, materialise: bool = True) -> EnrichResult:
-    """Analysis reads the page text with its word breaks; the stored
-    ``content`` is the squeezed text, as the reference stores it.
-
-    The parsed page text feeds the summary, the corpus keyword job, the tag
-    finishing and the outcome labels; with ``materialise`` (default) it is
-    written once to the shared checkpoint folder so the Python parse runs
-    once per page instead of once per consumer."""
+           k: int = 10, budget: int = 200) -> EnrichResult:
+    """Analysis reads the page text with its word and block breaks; the
+    stored ``content`` is the squeezed text, as the reference stores it.
+
+    The parsed texts are written once to the shared checkpoint folder; they
+    feed the pending rows and, all of them, the document frequencies of the
+    tags, which so don't depend on what else is pending. Summary and topic
+    words are found in the same projection as the text; only ids and terms
+    are shuffled after it. A user model runs once per article: its results
+    are written down before they are used."""
+    texts = cut_lineage(page_texts(pages))
     work = worklist(articles, limit)
-    j = work.join(pages.select("url", "html"), "url", "left")
-    parsed = P.with_page_fields(j).select("id", "title", F.col("page")["text"].alias("raw_text"))
-    txt = parsed.select("id", "title", "raw_text", X.squeeze("raw_text").alias("content"))
-    if materialise:
-        txt = cut_lineage(txt)
-    ok = txt.filter(F.coalesce(F.col("content") != F.lit(""), F.lit(False)))
+    own = work.join(texts, "url", "left").select("id", "title", "text", X.squeeze("text").alias("content"))
+    has_text = F.coalesce(F.col("content") != F.lit(""), F.lit(False))
     if make_model is None:
-        gen = E.default_enrichment(ok.select("id", "title", F.col("raw_text").alias("text")),
-                                   "id", "text", "title", k, budget)
+        rows = cut_lineage(own.select(
+            "id", "text", has_text.alias("_ok"),
+            F.when(has_text, extractive_summary(F.col("text"), F.col("title"), budget)).alias("summary"),
+            X.topic_hits(F.col("text")).alias("_topics")))
+        terms = KW.keyword_terms(rows.filter("_ok"), "id", "text", k, corpus=texts.filter("text <> ''"))
+        tags = KW.keyword_tags(terms, "id")
     else:
-        gen = E.model_enrichment(ok.select("id", F.col("content").alias("text")), make_model)
-    gen = E.finish_tags(gen.join(ok.select("id", F.col("raw_text").alias("text")), "id"))
-    done = gen.filter(F.col("summary").isNotNull()).join(ok.select("id", "content"), "id")
-    updates = done.select("id", "content", "summary", "tags")
-    reason = (F.when(F.col("_t").isNull(), F.lit("no_text"))
-               .when(F.col("_s").isNull(), F.lit("no_summary")))
-    outcomes = (work.select("id")
-                .join(ok.select("id", F.lit(True).alias("_t")), "id", "left")
-                .join(updates.select("id", F.lit(True).alias("_s")), "id", "left")
-                .withColumn("reason", reason)
-                .withColumn("outcome", F.when(F.col("reason").isNull(), F.lit(S.OUTCOME_UPDATED))
-                            .otherwise(F.lit(S.OUTCOME_SKIPPED)))
-                .select("id", "outcome", "reason"))
+        rows = cut_lineage(own.select("id", "text", has_text.alias("_ok"), X.topic_hits(F.col("text")).alias("_topics")))
+        gen = cut_lineage(E.model_enrichment(
+            rows.filter("_ok").select("id", X.squeeze("text").alias("text")), make_model))
+        rows = rows.join(gen.select("id", "summary"), "id", "left")
+        tags = gen.select("id", "tags")
+    have = X.clean_tags(F.coalesce("tags", F.array().cast("array<string>")))
+    updates = (rows.filter(F.col("_ok") & F.col("summary").isNotNull()).join(tags, "id", "left")
+               .select("id", X.squeeze("text").alias("content"), "summary",
+                       X.with_topics(have, F.col("_topics")).alias("tags")))
+    reason = F.when(~F.col("_ok"), F.lit("no_text")).when(F.col("summary").isNull(), F.lit("no_summary"))
+    outcomes = rows.select("id", F.when(reason.isNull(), F.lit(S.OUTCOME_UPDATED))
+                           .otherwise(F.lit(S.OUTCOME_SKIPPED)).alias("outcome"), reason.alias("reason"))
     return EnrichResult(updates, outcomes)
 
 
 def apply(articles: DataFrame, result: EnrichResult, now: _dt.datetime) -> DataFrame:
-    """New table version: updated rows get content, summary, tags,
+    """The table after the update: updated rows get content, summary, tags,
     ``metadata_generated`` TRUE and ``updated_at`` = ``now``."""
     return writes.update_by_key(articles, result.updates, "id", now)
 
 
+def run_counters(outcomes: DataFrame) -> DataFrame:
+    """One row of an enrich run's counters: ``pending`` rows worked on,
+    ``updated`` ones, and those ``still_pending``."""
+    done = F.count(F.when(F.col("outcome") == S.OUTCOME_UPDATED, 1))
+    n = F.count(F.lit(1))
+    return outcomes.agg(n.alias("pending"), done.alias("updated"), (n - done).alias("still_pending"))
+
+
 def run_enrich(store, pages: DataFrame, now: _dt.datetime, make_model=None,
                limit: int | None = None) -> DataFrame:
-    """Incremental enrich against an ArticleStore: only pending rows are
-    worked; failures stay pending for the next run. The updates are
-    materialised once in the shared checkpoint folder, then the new version
-    is written. Returns outcome counts."""
-    current = store.read()
-    res = enrich(current, pages, make_model, limit)
-    updates = cut_lineage(res.updates)
-    res = EnrichResult(updates, res.outcomes)
-    store.rewrite(apply(current, res, now), "enrich", now)
-    return writes.outcome_counts(res.outcomes)
+    """Incremental enrich against an ArticleTable: only pending rows are
+    worked; failures stay pending for the next run. Updates and outcomes are
+    derived from the same written rows; only the id partitions with an
+    updated row are rewritten. Returns outcome counts."""
+    res = enrich(store.read(), pages, make_model, limit)
+    counts = cut_lineage(writes.outcome_counts(res.outcomes))
+    store.update(cut_lineage(res.updates), now)
+    return counts

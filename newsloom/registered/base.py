@@ -9,7 +9,7 @@ ARTICLES_CTE = """
 articles AS (
   SELECT
     'a-' || lpad(CAST(d.doc_id AS VARCHAR), 12, '0') AS id,
-    substr(split_part(d.text, chr(10), 1), 1, 500) AS title,
+    split_part(d.text, chr(10), 1) AS title,
     coalesce(p.url, 'https://example.org/doc/' || CAST(d.doc_id AS VARCHAR)) AS url,
     d.source AS source,
     CASE WHEN d.doc_id % 3 = 0 THEN NULL
@@ -17,9 +17,9 @@ articles AS (
     d.text AS content,
     CASE WHEN d.doc_id % 7 = 0 THEN NULL
          ELSE CAST(DATE '2024-01-01' + CAST(d.doc_id % 30 AS INTEGER) AS TIMESTAMP) END AS published_date,
-    CASE WHEN l.doc_id IS NOT NULL THEN substr(d.text, 1, 200) END AS summary,
+    CASE WHEN l.doc_id IS NOT NULL THEN d.text END AS summary,
     CASE WHEN l.doc_id IS NOT NULL
-         THEN list_slice(string_split(split_part(d.text, chr(10), 1), ' '), 1, 5) END AS tags,
+         THEN string_split(split_part(d.text, chr(10), 1), ' ') END AS tags,
     e.ts AS created_at,
     e.ts AS updated_at,
     l.doc_id IS NOT NULL AS metadata_generated

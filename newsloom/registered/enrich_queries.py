@@ -11,9 +11,10 @@ from newsloom.checkout import sql_arr, sql_ts
 from newsloom.functions import summary as SM
 from newsloom.functions import text as X
 from newsloom.operators import keywords as KW
+from newsloom.operators import search
 from newsloom.plans import enrich as EN
 from newsloom.registered.base import ARTICLES_CTE
-from newsloom.registered.page_queries import _PAGE_TEXT_SQL, _squeeze_sql, _strip_sql
+from newsloom.registered.page_queries import _BLOCKS_SQL, _squeeze_sql, _strip_sql
 from newsloom.registry import register
 from newsloom.sources.tables import articles, first_line, read_table
 
@@ -63,15 +64,19 @@ def summary_ctes(src: str, budget: int = SM.DEFAULT_BUDGET) -> list[str]:
     ]
 
 
-def keyword_ctes(src: str, k: int = KW.DEFAULT_K) -> list[str]:
-    """CTEs over ``src(id, text)`` ending in ``kw(id, rank, term, tf, df)``
-    and ``kwt(id, tags)``."""
+def keyword_ctes(src: str, k: int = KW.DEFAULT_K, corpus: str | None = None) -> list[str]:
+    """CTEs over ``src(id, text)`` and, for the document frequencies,
+    ``corpus(text)``, ending in ``kw(id, rank, term, tf, df)`` and
+    ``kwt(id, tags)``."""
+    corpus = corpus or src
     return [
-        f"kt AS (SELECT id, unnest(regexp_extract_all(lower(text), '{KW.TERM_RE}')) AS term FROM {src})",
+        f"kt AS (SELECT id, unnest(regexp_extract_all(lower(text), '{KW.TERM_RE2}')) AS term FROM {src})",
         "ktf AS (SELECT id, term, count(*) AS tf FROM kt GROUP BY id, term)",
-        "kdf AS (SELECT term, count(*) AS df FROM ktf GROUP BY term)",
-        f"kn AS (SELECT count(*) AS n FROM {src})",
-        "ks AS (SELECT ktf.id, ktf.term, ktf.tf, kdf.df, round(ktf.tf * ln(kn.n / kdf.df), 9) AS score "
+        f"kdf AS (SELECT term, count(*) AS df FROM (SELECT unnest(list_distinct(regexp_extract_all(lower(text), "
+        f"'{KW.TERM_RE2}'))) AS term FROM {corpus}) GROUP BY term)",
+        f"kn AS (SELECT count(*) AS n FROM {corpus})",
+        "ks AS (SELECT ktf.id, ktf.term, ktf.tf, kdf.df, "
+        "round(ktf.tf * (ln(CAST(kn.n + 1 AS DOUBLE) / (kdf.df + 1)) + 1), 9) AS score "
         "FROM ktf JOIN kdf USING (term) CROSS JOIN kn)",
         "kr AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY score DESC, term) AS rank FROM ks)",
         f"kw AS (SELECT id, rank, term, tf, df FROM kr WHERE rank <= {k})",
@@ -84,7 +89,7 @@ def _with(*ctes: str, body: str) -> str:
 
 
 # ---------------------------------------------------------------- queries
-_WORDS_SQL = "list_slice(string_split(split_part(text, chr(10), 1), ' '), 1, 5)"
+_WORDS_SQL = "string_split(split_part(text, chr(10), 1), ' ')"
 _TAG_TEXT_SQL = (f"CASE WHEN doc_id % 2 = 0 THEN array_to_string({_WORDS_SQL}, ', ') "
                  f"ELSE array_to_string({_WORDS_SQL}, ' ,') END || ', ' || chr(12288) || ' , '")
 
@@ -95,8 +100,7 @@ def x10_tag_split(spark, sf):
     both spacings, a blank and an empty part) split back to a list."""
     d = read_table(spark, sf, "documents")
     sep = F.when(F.col("doc_id") % 2 == 0, F.lit(", ")).otherwise(F.lit(" ,"))
-    words = F.slice(F.split(first_line(F.col("text")), " "), 1, 5)
-    tag_text = F.concat(F.array_join(words, "\u0000"), F.lit(", 　 , "))
+    words = F.split(first_line(F.col("text")), " ")
     tag_text = F.concat(F.replace(F.array_join(words, "\u0000"), F.lit("\u0000"), sep),
                         F.lit(", 　 , "))
     return d.select("doc_id", X.split_tags(tag_text).alias("tags"))
@@ -131,6 +135,19 @@ def x13_topic_tags(spark, sf):
     return a.select("id", X.topic_tags(F.col("tags"), F.col("content"), _X13_RULES).alias("tags"))
 
 
+_X13_MANY = tuple((f"{a}{b}", f"{a}{b}") for a in "aeinrst" for b in "aeinrst")[:30]
+
+
+@register("x13_thirty_rules", "WITH " + ARTICLES_CTE + ", h AS (SELECT id, list_filter([" + ", ".join(
+    f"CASE WHEN contains(lower(content), {_q(k)}) THEN {_q(t)} END" for k, t in _X13_MANY) +
+    "], lambda x: x IS NOT NULL AND NOT coalesce(list_contains(tags, x), false)) AS hits, tags FROM articles) "
+    f"SELECT id, {sql_arr('list_concat(coalesce(tags, CAST([] AS VARCHAR[])), hits)')} AS tags FROM h")
+def x13_thirty_rules(spark, sf):
+    """Thirty rules at once: the plan stays linear in their number."""
+    a = articles(spark, sf)
+    return a.select("id", X.topic_tags(F.col("tags"), F.col("content"), _X13_MANY).alias("tags"))
+
+
 _DOC_SRC = "dsrc AS (SELECT doc_id AS id, split_part(text, chr(10), 1) AS title, text FROM documents)"
 
 
@@ -154,11 +171,13 @@ def x21_keyword_terms(spark, sf):
 _C2_CTES = [
     ARTICLES_CTE,
     "work AS (SELECT id, title, url FROM articles WHERE metadata_generated = false)",
-    f"wp AS (SELECT w.id, w.title, {_PAGE_TEXT_SQL} AS raw_text FROM work w LEFT JOIN pages p ON p.url = w.url)",
+    f"pt AS (SELECT url, max({_BLOCKS_SQL}) AS text FROM pages GROUP BY url)",
+    "corp AS (SELECT text FROM pt WHERE text <> '')",
+    "wp AS (SELECT w.id, w.title, p.text AS raw_text FROM work w LEFT JOIN pt p ON p.url = w.url)",
     f"okr AS (SELECT id, title, raw_text AS text, {_squeeze_sql('raw_text')} AS content FROM wp "
     f"WHERE coalesce({_squeeze_sql('raw_text')} <> '', false))",
     *summary_ctes("okr"),
-    *keyword_ctes("okr"),
+    *keyword_ctes("okr", corpus="corp"),
     "gen AS (SELECT o.id, o.content, o.text, s.summary, coalesce(k.tags, CAST([] AS VARCHAR[])) AS tags "
     "FROM okr o LEFT JOIN summ s ON s.id = o.id LEFT JOIN kwt k ON k.id = o.id)",
     f"upd AS (SELECT id, content, summary, {topic_tags_sql(clean_tags_sql('tags'), 'text')} AS tags "
@@ -174,6 +193,22 @@ def c2_enrich_outcomes(spark, sf):
     return res.outcomes.groupBy("outcome").agg(F.count(F.lit(1)).alias("count"))
 
 
+_ONE = "(SELECT min(a.id) FROM articles a JOIN pages p ON p.url = a.url WHERE NOT a.metadata_generated)"
+
+
+@register("c2_one_document_batch", _with(*[
+    c.replace("WHERE metadata_generated = false)", f"WHERE id = {_ONE})") if c.startswith("work AS") else c for c in _C2_CTES],
+    body=f"SELECT id, content, summary, {sql_arr('tags')} AS tags FROM upd"))
+def c2_one_document_batch(spark, sf):
+    """One pending article: its tags come from the frequencies of the whole
+    corpus."""
+    a, pages = articles(spark, sf), read_table(spark, sf, "pages")
+    first = search.pending(a).join(pages.select("url"), "url").agg(F.min("id").alias("id"))
+    one = a.withColumn("metadata_generated", F.lit(True)).join(first, "id", "left_anti").unionByName(
+        a.join(first, "id", "left_semi"))
+    return EN.enrich(one, pages).updates
+
+
 @register("c2_enrich_rows", _with(*_C2_CTES, body=(
     f"SELECT a.id, CASE WHEN u.id IS NOT NULL THEN u.content ELSE a.content END AS content, "
     f"CASE WHEN u.id IS NOT NULL THEN u.summary ELSE a.summary END AS summary, "

@@ -7,11 +7,12 @@ import datetime as _dt
 from pyspark.sql import functions as F
 
 from newsloom.checkout import sql_ts
+from newsloom.operators import writes
 from newsloom.plans import collect as C
 from newsloom.registered.base import ARTICLES_CTE
 from newsloom.registry import register
 from newsloom.sources import feeds as FD
-from newsloom.sources.tables import articles, page_feeds
+from newsloom.sources.tables import articles, order_feeds, page_feeds
 
 NOW = _dt.datetime(2026, 12, 1, 5, 0, 0)
 _CREATED = sql_ts("TIMESTAMP '2026-12-01 05:00:00'")
@@ -48,21 +49,23 @@ def _collect(spark, sf):
     return C.collect(cat, landed, pages, articles(spark, sf), NOW, REF)
 
 
-@register("s2_feed_entries",
-          "SELECT CAST(page_id % 3 AS INTEGER) AS fmt, count(*) AS entries, count(link) AS links FROM ("
-          "  SELECT page_id, url AS link FROM pages WHERE page_id % 25 <> 24"
-          "  UNION ALL SELECT p.page_id, n.url FROM pages p JOIN pages n ON n.page_id = p.page_id + 1"
-          "    WHERE p.page_id % 25 <> 24"
-          "  UNION ALL SELECT page_id, NULL FROM pages WHERE page_id % 25 <> 24"
-          "  UNION ALL SELECT page_id, url FROM pages WHERE page_id % 25 <> 24) e GROUP BY 1")
+_ALL_ENTRIES_SQL = (
+    "SELECT sha1('https://feeds.example.org/' || CAST(fid AS VARCHAR)) AS feed_key, pos, title, link FROM ("
+    "  SELECT page_id AS fid, 0 AS pos, 'A' || CAST(page_id AS VARCHAR) AS title, url || '#f' AS link FROM pages"
+    "  UNION ALL SELECT p.page_id, 1, 'B' || CAST(p.page_id AS VARCHAR), n.url || '#f'"
+    "    FROM pages p JOIN pages n ON n.page_id = p.page_id + 1"
+    "  UNION ALL SELECT p.page_id, CASE WHEN n.page_id IS NULL THEN 1 ELSE 2 END, 'C' || CAST(p.page_id AS VARCHAR), NULL"
+    "    FROM pages p LEFT JOIN pages n ON n.page_id = p.page_id + 1"
+    "  UNION ALL SELECT p.page_id, CASE WHEN n.page_id IS NULL THEN 2 ELSE 3 END, {untitled}, p.url"
+    "    FROM pages p LEFT JOIN pages n ON n.page_id = p.page_id + 1) e WHERE fid % 25 <> 24")
+
+
+@register("s2_feed_entries", _ALL_ENTRIES_SQL.format(untitled="CAST(NULL AS VARCHAR)"))
 def s2_feed_entries(spark, sf):
-    """Entries per feed format (0 RSS, 1 RDF, 2 Atom) read back from the
-    generated documents; unreadable documents give no entries."""
-    cat, landed, _ = page_feeds(spark, sf)
-    e = FD.entries(landed).filter("feed_ok").join(cat.select("feed_key", "source_pos"), "feed_key")
-    return (e.groupBy((F.col("source_pos") % 3).cast("int").alias("fmt"))
-             .agg(F.count(F.lit(1)).alias("entries"),
-                  F.count(F.when(FD.has_link(), F.lit(1))).alias("links")))
+    """Every entry read back from the generated documents of all three feed
+    formats; unreadable documents give none."""
+    _, landed, _ = page_feeds(spark, sf)
+    return FD.entries(landed).filter("feed_ok").select("feed_key", F.col("entry_pos").alias("pos"), "title", "link")
 
 
 @register("c1_collect_outcomes", _sql(
@@ -85,20 +88,58 @@ def c1_collect_rows(spark, sf):
 
 
 @register("x19_f11_entry_fields",
-          "SELECT CAST(page_id % 3 AS INTEGER) AS fmt, count(*) AS entries, "
-          "count(*) FILTER (WHERE no_title) AS default_titles, count(*) FILTER (WHERE no_link) AS no_link "
-          "FROM ("
-          "  SELECT page_id, false AS no_title, false AS no_link FROM pages WHERE page_id % 25 <> 24"
-          "  UNION ALL SELECT p.page_id, false, false FROM pages p JOIN pages n ON n.page_id = p.page_id + 1"
-          "    WHERE p.page_id % 25 <> 24"
-          "  UNION ALL SELECT page_id, false, true FROM pages WHERE page_id % 25 <> 24"
-          "  UNION ALL SELECT page_id, true, false FROM pages WHERE page_id % 25 <> 24) e GROUP BY 1")
+          "SELECT feed_key, pos, title, link IS NOT NULL AS has_link FROM (" +
+          _ALL_ENTRIES_SQL.format(untitled="'No Title'") + ") t")
 def x19_f11_entry_fields(spark, sf):
-    """Entries whose title defaults to 'No Title' and entries skipped for a
-    missing link, per feed format."""
-    cat, landed, _ = page_feeds(spark, sf)
-    e = FD.entries(landed).filter("feed_ok").join(cat.select("feed_key", "source_pos"), "feed_key")
-    return (e.groupBy((F.col("source_pos") % 3).cast("int").alias("fmt"))
-             .agg(F.count(F.lit(1)).alias("entries"),
-                  F.count(F.when(FD.title_or_default() == F.lit(FD.NO_TITLE), F.lit(1))).alias("default_titles"),
-                  F.count(F.when(~FD.has_link(), F.lit(1))).alias("no_link")))
+    """Titles, 'No Title' where an entry has none, and whether it has a link."""
+    _, landed, _ = page_feeds(spark, sf)
+    return FD.entries(landed).filter("feed_ok").select(
+        "feed_key", F.col("entry_pos").alias("pos"), FD.title_or_default().alias("title"), FD.has_link().alias("has_link"))
+
+
+# -- feeds over orders: dates, images, rejects, refetches, known urls ---------
+_ORDERS_CTE = f"""o AS (
+  SELECT o_orderkey AS k, o_orderkey % 10 AS n, 'https://shop.example.org/o/' || CAST(o_orderkey AS VARCHAR) AS url,
+         CASE WHEN o_orderkey % 10 <> 4 AND o_orderkey % 6 < 4 THEN {sql_ts("CAST(o_orderdate AS TIMESTAMP)")} END AS day
+  FROM orders)"""
+
+
+def _orders(spark, sf):
+    return C.collect(*order_feeds(spark, sf), NOW, REF)
+
+
+@register("c1_order_rows", f"WITH {_ORDERS_CTE} SELECT sha256(url) AS id, url, 'Order & ' || CAST(k AS VARCHAR) || "
+          "chr(160) || 'x' AS title, 'Shop' AS source, day AS published_date, n = 4 AS bad_date, "
+          f"'https://img.example.org/o' || CAST(k AS VARCHAR) || '.png' AS image_url, {_CREATED} AS created_at "
+          "FROM o WHERE n IN (0, 1, 2, 4, 7)")
+def c1_order_rows(spark, sf):
+    """Inserted rows with known dates and images, one per url although some
+    pages were fetched twice."""
+    out = _orders(spark, sf).outcomes.filter("outcome = 'inserted'")
+    return out.select("id", "url", "title", "source", "published_date", "bad_date", "image_url", "created_at")
+
+
+@register("c1_order_outcomes", f"WITH {_ORDERS_CTE} SELECT outcome, reason, count(*) AS count FROM ("
+          "SELECT CASE n WHEN 3 THEN 'rejected' WHEN 5 THEN 'conflict' WHEN 6 THEN 'unreachable' WHEN 8 THEN 'rejected' "
+          "WHEN 9 THEN 'no_link' ELSE 'inserted' END AS outcome, CASE n WHEN 3 THEN 'title_too_long' WHEN 6 THEN 'http_404' "
+          "WHEN 8 THEN 'unknown_feed' WHEN 9 THEN 'no_link' END AS reason FROM o "
+          "UNION ALL SELECT 'conflict', NULL FROM o WHERE n = 2) t GROUP BY outcome, reason")
+def c1_order_outcomes(spark, sf):
+    return _orders(spark, sf).outcomes.groupBy("outcome", "reason").agg(F.count(F.lit(1)).alias("count"))
+
+
+@register("c1_refetched_pages", f"WITH {_ORDERS_CTE} SELECT url, true AS reachable, day AS published_day, "
+          "'https://img.example.org/o' || CAST(k AS VARCHAR) || '.png' AS image_url FROM o WHERE n = 7")
+def c1_refetched_pages(spark, sf):
+    """One row per url for the pages fetched twice, with the later fetch's
+    fields."""
+    pages = order_feeds(spark, sf)[2]
+    last = C.page_fields(pages, REF).filter(F.col("url").rlike("7$"))
+    return last.select("url", "reachable", F.col("published_day").cast("timestamp_ntz").alias("published_day"), "image_url")
+
+
+@register("a8_run_counters", f"WITH {_ORDERS_CTE} SELECT count(*) FILTER (n IN (0, 1, 2, 4, 5, 7)) + "
+          "count(*) FILTER (n = 2) AS attempted, count(*) FILTER (n IN (0, 1, 2, 4, 7)) AS inserted, "
+          "count(*) FILTER (n IN (2, 5)) AS conflicts, count(*) FILTER (n IN (3, 6, 8, 9)) AS skipped FROM o")
+def a8_run_counters(spark, sf):
+    return writes.run_counters(_orders(spark, sf).outcomes)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from newsloom.checkout import sql_day
 from newsloom.functions import dates as D
 from newsloom.functions import text as X
+from newsloom.functions.html import INLINE_TAGS
 from newsloom.registered.base import ARTICLES_CTE
 from newsloom.registry import register
 from newsloom.sources import pages as P
@@ -48,6 +49,19 @@ _PAGE_TEXT_SQL = _decode_sql("""regexp_replace(regexp_replace(regexp_replace(reg
     '<[^>]+>', '', 'g')""")
 
 
+_INLINE_RE2 = "(?i)</?(?:" + "|".join(sorted(INLINE_TAGS)) + r")(?:\\s[^>]*)?/?>"
+
+# The same with a line end in the place of every element that is not inline.
+_BLOCKS_SQL = "regexp_replace(regexp_replace(" + _decode_sql(f"""regexp_replace(regexp_replace(regexp_replace(
+    regexp_replace(regexp_replace(regexp_replace(html,
+    '(?s)<script[^>]*>.*?</script>', chr(10), 'g'),
+    '(?s)<style[^>]*>.*?</style>', chr(10), 'g'),
+    '(?s)<!--.*?-->', '', 'g'),
+    '<![^>]*>', '', 'g'),
+    '{_INLINE_RE2}', '', 'g'),
+    '<[^>]+>', chr(10), 'g')""") + ", '\\n{2,}', chr(10), 'g'), '^\\n|\\n$', '', 'g')"
+
+
 def _pages(spark, sf):
     return read_table(spark, sf, "pages", spread_out=True)
 
@@ -62,6 +76,12 @@ def x8_page_text(spark, sf):
     return _parsed_pages(spark, sf).select("page_id", F.col("page")["text"].alias("text"))
 
 
+@register("x8_page_blocks", f"SELECT page_id, {_BLOCKS_SQL} AS text FROM pages")
+def x8_page_blocks(spark, sf):
+    """The same text with its blocks separated (what the analysis reads)."""
+    return _parsed_pages(spark, sf).select("page_id", F.col("page")["blocks"].alias("text"))
+
+
 @register("x9_squeezed_page_text", f"SELECT page_id, {_squeeze_sql(_PAGE_TEXT_SQL)} AS text FROM pages")
 def x9_squeezed_page_text(spark, sf):
     return _parsed_pages(spark, sf).select("page_id", X.squeeze(F.col("page")["text"]).alias("text"))

@@ -43,7 +43,7 @@ def w1_first_per_url(spark, sf):
     f"SELECT {_FIRST_COLS} FROM firsts f "
     "WHERE NOT EXISTS (SELECT 1 FROM articles a WHERE a.url = f.url)", BATCH_CTE, FIRSTS_CTE))
 def s4_insert_if_absent(spark, sf):
-    return writes.insert_if_absent(articles(spark, sf), event_batch(spark, sf), "url", ORDER)
+    return writes.insert_if_absent(articles(spark, sf), event_batch(spark, sf), "url", order=ORDER)
 
 
 @register("a8_collect_outcomes", _sql(
@@ -52,7 +52,7 @@ def s4_insert_if_absent(spark, sf):
     "FROM batch b LEFT JOIN firsts f ON f.url = b.url AND f.entry_ts = b.entry_ts "
     "AND f.entry_pos = b.entry_pos GROUP BY 1", BATCH_CTE, FIRSTS_CTE))
 def a8_collect_outcomes(spark, sf):
-    labelled = writes.insert_outcomes(articles(spark, sf), event_batch(spark, sf), "url", ORDER)
+    labelled = writes.insert_outcomes(articles(spark, sf), event_batch(spark, sf), "url", order=ORDER)
     return writes.outcome_counts(labelled)
 
 
@@ -83,12 +83,24 @@ def s7_accepted_defaults(spark, sf):
 
 
 def _updates(a):
-    """Updates for every pending article: a summary from the title and up to
-    three long words as tags (possibly an empty list)."""
+    """Updates for every pending article: the title as summary and its long
+    words as tags (possibly an empty list)."""
     return search.pending(a).select(
         "id",
-        F.substring("title", 1, 100).alias("summary"),
-        F.slice(F.filter(F.split("title", " "), lambda w: F.char_length(w) > 3), 1, 3).alias("tags"))
+        F.col("title").alias("summary"),
+        F.filter(F.split("title", " "), lambda w: F.char_length(w) > 3).alias("tags"))
+
+
+@register("s5_duplicate_updates", _sql(
+    "SELECT a.id, CASE WHEN a.metadata_generated THEN a.summary ELSE 'first' END AS summary, "
+    f"{sql_ts(f'CASE WHEN a.metadata_generated THEN a.updated_at ELSE {_NOW_SQL} END')} AS updated_at FROM articles a"))
+def s5_duplicate_updates(spark, sf):
+    """Three updates for every pending id: the first in order counts and no
+    row is multiplied."""
+    a = articles(spark, sf)
+    u = search.pending(a).select("id", F.explode(F.array(F.lit("second"), F.lit("first"), F.lit("third"))).alias("summary"))
+    u = u.withColumn("pos", F.when(F.col("summary") == "first", 0).when(F.col("summary") == "second", 1).otherwise(2))
+    return writes.update_by_key(a, u, "id", NOW, order=["pos"]).select("id", "summary", "updated_at")
 
 
 @register("s5_keyed_update", _sql(
@@ -97,8 +109,8 @@ def _updates(a):
     f"{sql_ts(f'CASE WHEN u.id IS NOT NULL THEN {_NOW_SQL} ELSE a.updated_at END')} AS updated_at, "
     "CASE WHEN u.id IS NOT NULL THEN true ELSE a.metadata_generated END AS metadata_generated "
     "FROM articles a LEFT JOIN upd u ON u.id = a.id",
-    "upd AS (SELECT id, substr(title, 1, 100) AS summary, "
-    "list_slice(list_filter(string_split(title, ' '), lambda w: length(w) > 3), 1, 3) AS tags "
+    "upd AS (SELECT id, title AS summary, "
+    "list_filter(string_split(title, ' '), lambda w: length(w) > 3) AS tags "
     "FROM articles WHERE metadata_generated = false)"))
 def s5_keyed_update(spark, sf):
     a = articles(spark, sf)

@@ -9,12 +9,12 @@ Atom share one ``from_xml`` schema.
 
 from __future__ import annotations
 
+import html.entities
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_CATALOGUE_FEEDS = 100_000  # catalogue read from configuration is refused above this
-
 _CATALOGUE_TYPE = T.StructType([
     T.StructField("sources", T.ArrayType(T.StructType([
         T.StructField("source", T.StringType()),
@@ -27,7 +27,13 @@ _CATALOGUE_TYPE = T.StructType([
 
 FEED_SCHEMA = ("channel struct<item: array<struct<title: string, link: string>>>, "
                "item array<struct<title: string, link: string>>, "
-               "entry array<struct<title: string, link: array<struct<_href: string, _rel: string>>>>")
+               "entry array<struct<title: string, link: array<struct<_href: string, _rel: string>>>>, "
+               "_corrupt_record string")
+_XML_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+
+#: Root element of a feed, and one whole entry of a damaged one.
+FEED_ROOT = r"(?i)<(?:rss|rdf:RDF|feed)[\s>]"
+WHOLE_ENTRY = r"(?s)<(item|entry)[\s>].*?</\1\s*>"
 
 NO_TITLE = "No Title"  # fixed value: title given to an entry without one
 
@@ -46,7 +52,7 @@ def load_config(path: str) -> dict:
 
 
 def feed_key(url: Column) -> Column:
-    return F.substring(F.sha1(url), 1, 16)
+    return F.sha1(url)
 
 
 def catalogue(spark: SparkSession, config: dict) -> DataFrame:
@@ -57,9 +63,6 @@ def catalogue(spark: SparkSession, config: dict) -> DataFrame:
                "feeds": [{"url": f.get("url"), "category": f.get("category")}
                          for f in ((cfg or {}).get("feeds") or [])]}
               for name, cfg in sources.items()]
-    n = sum(len(s["feeds"]) for s in packed)
-    if n > MAX_CATALOGUE_FEEDS:
-        raise ValueError(f"catalogue has {n} feeds; limit {MAX_CATALOGUE_FEEDS}")
     df = spark.createDataFrame([(packed,)], _CATALOGUE_TYPE)
     s = df.select(F.posexplode("sources").alias("source_pos", "s"))
     f = s.select("source_pos", F.col("s.source").alias("source"),
@@ -71,7 +74,8 @@ def catalogue(spark: SparkSession, config: dict) -> DataFrame:
 
 
 def landed_feed_name(key: Column) -> Column:
-    return F.regexp_extract(key, r"^([0-9a-f]{16})", 1)
+    """Feed key of a landed file's name; NULL where the name has none."""
+    return F.nullif(F.regexp_extract(key, r"^([0-9a-f]{40})\.", 1), F.lit(""))
 
 
 def read_landed(spark: SparkSession, path: str) -> DataFrame:
@@ -84,10 +88,53 @@ def from_files(df: DataFrame) -> DataFrame:
     """``(file_name, value)`` rows to ``(feed_key, run_id, body)``."""
     return df.select(
         landed_feed_name(F.col("file_name")).alias("feed_key"),
-        F.regexp_extract("file_name", r"^[0-9a-f]{16}\.(.*)\.xml$", 1).alias("run_id"),
+        F.regexp_extract("file_name", r"^[0-9a-f]{40}\.(.*)\.xml$", 1).alias("run_id"),
         F.col("value").alias("body"))
 
 
+def _entity_table() -> Column:
+    """Named HTML entities and their characters."""
+    names = sorted(html.entities.name2codepoint.items())
+    return F.map_from_arrays(F.array(*[F.lit(n) for n, _ in names]), F.array(*[F.lit(chr(c)) for _, c in names]))
+
+
+def _repair(text: Column) -> Column:
+    """Named HTML entities as characters and every other bare ampersand
+    escaped; what XML itself knows stays."""
+    table = _entity_table()
+
+    def one(p: Column, i: Column) -> Column:
+        name = F.regexp_extract(p, r"^([A-Za-z][A-Za-z0-9]*);", 1)
+        return (F.when(i == 0, p)
+                .when(p.rlike(r"^(?:amp|lt|gt|quot|apos|#[0-9]+|#x[0-9A-Fa-f]+);"), F.concat(F.lit("&"), p))
+                .otherwise(F.coalesce(
+                    F.concat(F.try_element_at(table, name), F.regexp_replace(p, "^[A-Za-z0-9]+;", "")),
+                    F.concat(F.lit("&amp;"), p))))
+    return F.array_join(F.transform(F.split(text, "&", -1), one), "")
+
+
+def xml_ready(body: Column) -> Column:
+    """A feed document an XML reader takes although its writer was careless:
+    ampersands repaired, CDATA sections as escaped text."""
+    def one(p: Column, i: Column) -> Column:
+        raw = F.substring_index(p, "]]>", 1)
+        rest = F.substr(p, F.length(raw) + 4)
+        escaped = F.replace(F.replace(raw, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+        return F.when(i == 0, _repair(p)).otherwise(F.concat(escaped, _repair(rest)))
+    return F.array_join(F.transform(F.split(body, r"<!\[CDATA\[", -1), one), "")
+
+
+def _salvaged(xml: Column) -> Column:
+    """The whole entries of a damaged document as a document of their own;
+    NULL where it has none."""
+    found = F.regexp_extract_all(xml, F.lit(WHOLE_ENTRY), F.lit(0))
+    items = F.filter(found, lambda e: e.rlike(r"^<item"))
+    atoms = F.filter(found, lambda e: e.rlike(r"^<entry"))
+    doc = F.concat(F.lit("<rss><channel>"), F.array_join(items, ""), F.lit("</channel>"),
+                   F.array_join(atoms, ""), F.lit("</rss>"))
+    return F.when(F.size(found) > 0, doc)
+
+
 def _atom_as_item(e: Column) -> Column:
     alt = F.filter(e["link"], lambda l: l["_rel"].isNull() | (l["_rel"] == "alternate"))
     return F.struct(e["title"].alias("title"), F.get(alt, 0)["_href"].alias("link"))
@@ -96,13 +143,23 @@ def _atom_as_item(e: Column) -> Column:
 def entries(landed: DataFrame) -> DataFrame:
     """One row per feed entry: ``(feed_key, run_id, entry_pos, title,
     link, feed_ok)``; a document that is not a readable feed gives one row
-    with ``feed_ok`` FALSE and NULL entry fields."""
-    doc = landed.withColumn("_x", F.from_xml(F.col("body"), FEED_SCHEMA, {"mode": "PERMISSIVE"}))
-    items = F.coalesce(
-        F.col("_x.channel.item"),
-        F.col("_x.item"),
-        F.transform(F.col("_x.entry"), _atom_as_item))
-    docs = doc.select("feed_key", "run_id", items.alias("_items"))
+    with ``feed_ok`` FALSE and NULL entry fields. A feed without entries is
+    readable and gives no row. Bare ampersands and HTML entities are
+    repaired; of a document that is damaged beyond that, its whole entries
+    are read."""
+    doc = landed.select("feed_key", "run_id", F.col("body").rlike(FEED_ROOT).alias("_root"),
+                        xml_ready(F.col("body")).alias("_xml"))
+    doc = doc.withColumn("_x", F.from_xml("_xml", FEED_SCHEMA, _XML_OPTIONS))
+    bad = F.col("_x").isNull() | F.col("_x._corrupt_record").isNotNull()
+    doc = doc.withColumn("_again", F.when(bad & F.col("_root"), _salvaged(F.col("_xml")))) \
+             .withColumn("_y", F.from_xml("_again", FEED_SCHEMA, _XML_OPTIONS))
+    whole = F.col("_root") & ~bad
+    saved = F.col("_again").isNotNull() & F.col("_y._corrupt_record").isNull()
+    items = F.coalesce(*[c for x in ("_x", "_y") for c in (
+        F.col(f"{x}.channel.item"), F.col(f"{x}.item"), F.transform(F.col(f"{x}.entry"), _atom_as_item))],
+        F.array().cast("array<struct<title:string,link:string>>"))
+    docs = doc.select("feed_key", "run_id",
+                      F.when(F.coalesce(whole | saved, F.lit(False)), items).alias("_items"))
     # One pass: posexplode_outer keeps unreadable documents as one NULL row;
     # the NULL row of a readable but empty feed is dropped.
     rows = docs.select("feed_key", "run_id", F.col("_items").isNotNull().alias("feed_ok"),

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.functions import dates as D
-from newsloom.functions import text as X
 from newsloom.functions.html import parse_page
+from newsloom.functions.times import ntz
 
 
 def fetch_ok() -> Column:
@@ -24,13 +24,24 @@ def reject_reason() -> Column:
                    F.concat(F.lit("http_"), F.col("http_status").cast("string"))))
 
 
+def latest_fetch(pages: DataFrame, key: str = "url", by: str = "fetched_at") -> DataFrame:
+    """One row per ``key``: the latest landed fetch (``by``; without such a
+    column, or on a tie, the largest of the remaining values). Combined in
+    every task before the shuffle."""
+    rest = [c for c in pages.columns if c not in (key, by)]
+    front = [F.col(by)] if by in pages.columns else []
+    last = pages.groupBy(key).agg(F.max(F.struct(*front, *[F.col(c) for c in rest])).alias("_last"))
+    return last.select(key, "_last.*").select(*pages.columns)
+
+
 def reachability(entries: DataFrame, pages: DataFrame, key: str = "url",
                  carry: tuple[str, ...] = ()) -> DataFrame:
-    """Entries joined to their fetched page, with ``reachable`` and a
-    ``reason`` for the rest (a missing page row is a reject). Pages are
-    expected unique per url (one landed fetch per url). ``carry``: more page
-    columns to bring along in the same join (e.g. ``html``)."""
-    p = pages.select(key, "http_status", "fetch_error", *carry, F.lit(True).alias("_has_page"))
+    """Entries joined to the latest fetch of their page, with ``reachable``
+    and a ``reason`` for the rest (a missing page row is a reject).
+    ``carry``: more page columns to bring along in the same join; carry
+    extracted fields, not ``html``."""
+    wanted = [key, "http_status", "fetch_error", *carry, *[c for c in ("fetched_at",) if c in pages.columns]]
+    p = latest_fetch(pages.select(*wanted), key).drop("fetched_at").withColumn("_has_page", F.lit(True))
     j = entries.join(p, key, "left").withColumn("reason", reject_reason())
     return j.withColumn("reachable", F.col("reason").isNull()).drop("_has_page")
 
@@ -69,7 +80,7 @@ def extract_fields(df: DataFrame, ref_date, url: str = "url") -> DataFrame:
 def host_name(url: Column) -> Column:
     """Network location without ``www.``, first letter upper, rest lower."""
     host = F.replace(F.try_parse_url(url, F.lit("AUTHORITY")), F.lit("www."), F.lit(""))
-    return F.nullif(F.concat(F.upper(F.substring(host, 1, 1)), F.lower(F.substring(host, 2, 1 << 20))),
+    return F.nullif(F.concat(F.upper(F.substring(host, 1, 1)), F.lower(F.substr(host, F.lit(2)))),
                     F.lit(""))
 
 
@@ -78,10 +89,6 @@ def site_name(og_site_name: Column, url: Column) -> Column:
     return F.coalesce(F.nullif(og_site_name, F.lit("")), host_name(url))
 
 
-def squeezed_text(col: str | Column = "text") -> Column:
-    return X.squeeze(col)
-
-
 def landed_from_table(pages: DataFrame, fetched_at: _dt.datetime) -> DataFrame:
     """Test ``pages`` table to the landed-fetch shape, with a status derived
     from the page number (404, 503 and transport errors mixed in)."""
@@ -91,5 +98,5 @@ def landed_from_table(pages: DataFrame, fetched_at: _dt.datetime) -> DataFrame:
         F.when(n == 3, F.lit(404)).when(n == 7, F.lit(503)).when(n == 9, F.lit(None))
          .otherwise(F.lit(200)).cast("int").alias("http_status"),
         F.when(n == 9, F.lit("connection reset")).alias("fetch_error"),
-        F.lit(fetched_at).cast("timestamp_ntz").alias("fetched_at"),
+        ntz(fetched_at).alias("fetched_at"),
     )

@@ -1,11 +1,10 @@
-"""Versioned Parquet article table.
+"""The article table as a Spark table.
 
-Plain Parquet has no MERGE or DELETE: inserts append files to the current
-version, rewrites (keyed update, delete, normalisation) write a new version
-directory and then record it in a small commit log written by Spark itself.
-A version is readable only once its log row exists, so a job that dies half
-way leaves the previous version current. A path being read is never
-overwritten.
+Rows are partitioned by a hash of their id. Inserts append; a keyed update
+rewrites only the partitions that hold an updated row (dynamic partition
+overwrite). Spark's own writers commit both; the rows to be written are
+checkpointed first, because a table can't be overwritten while it is read.
+One writer at a time is assumed, as for the reference's scheduled jobs.
 """
 
 from __future__ import annotations
@@ -14,70 +13,65 @@ import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from newsloom.operators import writes
 from newsloom.schema import ARTICLE_COLUMNS, ARTICLE_SCHEMA
+from newsloom.session import cut_lineage
 
-_LOG_SCHEMA = T.StructType([
-    T.StructField("version", T.LongType(), False),
-    T.StructField("path", T.StringType(), False),
-    T.StructField("operation", T.StringType(), False),
-    T.StructField("committed_at", T.TimestampNTZType(), False),
-])
+PART = "id_part"
 
 
-class ArticleStore:
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark = spark
-        self.root = root.rstrip("/")
+class ArticleTable:
+    """``name`` in the session catalog; ``path`` for a table outside the
+    warehouse; ``parts`` id partitions, fixed when the table is created."""
 
-    # -- log -----------------------------------------------------------
-    @property
-    def _log_path(self) -> str:
-        return f"{self.root}/_commits"
+    def __init__(self, spark: SparkSession, name: str, path: str | None = None, parts: int = 64):
+        self.spark, self.name, self.parts = spark, name, parts
+        if not spark.catalog.tableExists(name):
+            empty = spark.createDataFrame([], ARTICLE_SCHEMA).withColumn(PART, F.lit(0))
+            writer = empty.write.format("parquet").partitionBy(PART)
+            (writer.option("path", path) if path else writer).saveAsTable(name)
 
-    def _log(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(_LOG_SCHEMA).json(self._log_path)
-        except Exception:  # no commit yet
-            return None
-
-    def current_version(self) -> int | None:
-        log = self._log()
-        if log is None:
-            return None
-        v = log.agg(F.max("version").alias("v")).first()["v"]
-        return None if v is None else int(v)
-
-    def _version_path(self, v: int) -> str:
-        return f"{self.root}/v{v:08d}"
-
-    def _commit(self, v: int, operation: str, now: _dt.datetime) -> None:
-        row = [(v, self._version_path(v), operation, now)]
-        (self.spark.createDataFrame(row, _LOG_SCHEMA).coalesce(1)
-             .write.mode("append").json(self._log_path))
+    def _placed(self, rows: DataFrame) -> DataFrame:
+        part = F.pmod(F.xxhash64("id"), F.lit(self.parts)).cast("int")
+        return rows.select(*ARTICLE_COLUMNS).withColumn(PART, part)
 
-    # -- reads ---------------------------------------------------------
     def read(self) -> DataFrame:
-        v = self.current_version()
-        if v is None:
-            return self.spark.createDataFrame([], ARTICLE_SCHEMA)
-        return self.spark.read.schema(ARTICLE_SCHEMA).parquet(self._version_path(v))
-
-    # -- writes --------------------------------------------------------
-    def append(self, rows: DataFrame, now: _dt.datetime) -> None:
-        """Add rows to the current version (creating version 1 if empty)."""
-        v = self.current_version()
-        rows = rows.select(*ARTICLE_COLUMNS)
-        if v is None:
-            rows.write.mode("errorifexists").parquet(self._version_path(1))
-            self._commit(1, "create", now)
-        else:
-            rows.write.mode("append").parquet(self._version_path(v))
-
-    def rewrite(self, table: DataFrame, operation: str, now: _dt.datetime) -> int:
-        """Write ``table`` (usually derived from :meth:`read`) as a new version."""
-        v = (self.current_version() or 0) + 1
-        table.select(*ARTICLE_COLUMNS).write.mode("errorifexists").parquet(self._version_path(v))
-        self._commit(v, operation, now)
-        return v
+        """The rows as last written, by whichever session."""
+        self.spark.catalog.refreshTable(self.name)
+        return self.spark.table(self.name).select(*ARTICLE_COLUMNS)
+
+    def append(self, rows: DataFrame) -> None:
+        """Insert new rows."""
+        self._placed(rows).write.mode("append").insertInto(self.name)
+
+    def update(self, updates: DataFrame, now: _dt.datetime) -> None:
+        """Keyed update (:func:`writes.update_by_key`). Partition numbers of
+        the updates, at most ``parts``, reach the driver."""
+        placed = updates.withColumn(PART, F.pmod(F.xxhash64("id"), F.lit(self.parts)).cast("int"))
+        touched = [r[PART] for r in placed.select(PART).distinct().collect()]
+        if touched:
+            self.spark.catalog.refreshTable(self.name)
+            old = self.spark.table(self.name).filter(F.col(PART).isin(touched)).select(*ARTICLE_COLUMNS)
+            self._overwrite(writes.update_by_key(old, updates, "id", now))
+
+    def replace(self, rows: DataFrame) -> None:
+        """Write ``rows``, usually derived from :meth:`read`, as the whole
+        table. Partitions that lose all their rows are dropped."""
+        kept = self._placed(cut_lineage(rows.select(*ARTICLE_COLUMNS)))
+        left = {r[PART] for r in kept.select(PART).distinct().collect()}
+        self._overwrite(kept, checkpointed=True)
+        for r in self.spark.sql(f"SHOW PARTITIONS {self.name}").collect():
+            if int(r[0].partition("=")[2]) not in left:
+                self.spark.sql(f"ALTER TABLE {self.name} DROP PARTITION ({r[0]})")
+
+    def _overwrite(self, rows: DataFrame, checkpointed: bool = False) -> None:
+        placed = rows if checkpointed else self._placed(cut_lineage(rows))
+        # Only the session setting reaches an insert into a catalog table.
+        conf, mode = placed.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
+        before = conf.get(mode)
+        conf.set(mode, "dynamic")
+        try:
+            placed.write.insertInto(self.name, overwrite=True)
+        finally:
+            conf.set(mode, before)

@@ -44,7 +44,7 @@ def articles(spark: SparkSession, base: str) -> DataFrame:
     doc = F.col("doc_id")
     return joined.select(
         F.concat(F.lit("a-"), F.lpad(doc.cast("string"), 12, "0")).alias("id"),
-        F.substring(line1, 1, 500).alias("title"),
+        line1.alias("title"),
         F.coalesce(F.col("url"),
                    F.concat(F.lit("https://example.org/doc/"), doc.cast("string"))).alias("url"),
         F.col("source"),
@@ -55,8 +55,8 @@ def articles(spark: SparkSession, base: str) -> DataFrame:
         F.when(doc % 7 == 0, F.lit(None).cast("timestamp_ntz"))
          .otherwise(F.date_add(F.lit("2024-01-01").cast("date"), (doc % 30).cast("int"))
                     .cast("timestamp_ntz")).alias("published_date"),
-        F.when(labelled, F.substring("text", 1, 200)).alias("summary"),
-        F.when(labelled, F.slice(F.split(line1, " "), 1, 5)).alias("tags"),
+        F.when(labelled, F.col("text")).alias("summary"),
+        F.when(labelled, F.split(line1, " ")).alias("tags"),
         F.col("ts").alias("created_at"),
         F.col("ts").alias("updated_at"),
         labelled.alias("metadata_generated"),
@@ -209,3 +209,50 @@ def page_feeds(spark: SparkSession, base: str):
         read_table(spark, base, "pages", spread_out=True).withColumn("url", F.concat(F.col("url"), F.lit("#f"))),
         _dt.datetime(2026, 12, 1, 5, 0, 0))
     return cat, landed, pages
+
+
+def order_feeds(spark: SparkSession, base: str):
+    """Feeds, fetches and existing urls built from ``orders`` (checks of the
+    collect path with known results). One RSS feed per order, written
+    carelessly: a bare ampersand and an HTML entity in every title. By the
+    last digit of the order key: 2 lists its page twice; 3 has a title over
+    the limit; 4 an impossible date; 5 is in the table already; 6 was not
+    found; 7 was fetched twice, first with another date and image; 8 is no
+    feed of the catalogue; 9 has an entry without link.
+
+    Returns ``(catalogue, landed_feeds, landed_pages, existing)``.
+    """
+    import datetime as _dt
+
+    from newsloom.functions.times import ntz
+    from newsloom.sources.feeds import feed_key
+
+    o = read_table(spark, base, "orders", True).select("o_orderkey", "o_orderdate")
+    k, d = F.col("o_orderkey"), F.col("o_orderdate")
+    n, key = k % 10, F.col("o_orderkey").cast("string")
+    url = F.concat(F.lit("https://shop.example.org/o/"), key)
+    feed = F.concat(F.lit("https://feeds.example.org/o/"), key)
+    title = F.when(n == 3, F.repeat(F.lit("x"), 501)).otherwise(F.concat(F.lit("Order & "), key, F.lit("&nbsp;x")))
+    entry = F.concat(F.lit("<item><title>"), title, F.lit("</title>"),
+                     F.when(n == 9, F.lit("")).otherwise(F.concat(F.lit("<link>"), url, F.lit("</link>"))), F.lit("</item>"))
+    again = F.when(n == 2, F.concat(F.lit("<item><title>Again</title><link>"), url, F.lit("</link></item>"))).otherwise(F.lit(""))
+    landed = o.select(feed_key(feed).alias("feed_key"), F.lit("r1").alias("run_id"), F.concat(
+        F.lit("<rss version=\"2.0\"><channel><title>Orders</title>"), entry, again,
+        F.lit("</channel></rss>")).alias("body"))
+    catalogue = o.filter(n != 8).select(
+        F.lit("Shop").alias("source"), F.lit(0).alias("source_pos"), feed.alias("feed_url"), k.cast("int").alias("feed_pos"),
+        F.lit("orders").alias("category"), feed_key(feed).alias("feed_key"))
+    written = (F.when(n == 4, F.lit("2024-13-45")).when(k % 6 == 0, F.date_format(d, "yyyy-MM-dd"))
+               .when(k % 6 == 1, F.date_format(d, "MMMM d, yyyy")).when(k % 6 == 2, F.date_format(d, "yyyy/M/d"))
+               .when(k % 6 == 3, F.date_format(d, "yyyy年M月d日")).when(k % 6 == 4, F.lit("n/a")).otherwise(F.lit("")))
+    image = F.concat(F.lit("https://img.example.org/o"), key, F.lit(".png"))
+
+    def page(day, img, when, rows):
+        html = F.concat(F.lit("<html><head><meta property=\"og:image\" content=\""), img,
+                        F.lit("\"></head><body><time>"), day, F.lit("</time><p>text</p></body></html>"))
+        return rows.select(url.alias("url"), html.alias("html"), F.when(n == 6, 404).otherwise(200).alias("http_status"),
+                           F.lit(None).cast("string").alias("fetch_error"), ntz(when).alias("fetched_at"))
+    first, later = _dt.datetime(2026, 12, 1, 4), _dt.datetime(2026, 12, 1, 5)
+    pages = page(written, image, later, o).unionByName(
+        page(F.lit("1999-01-01"), F.lit("https://img.example.org/old.png"), first, o.filter(n == 7)))
+    return catalogue, landed, pages, o.filter(n == 5).select(url.alias("url"))

@@ -18,18 +18,18 @@ from pyspark.sql import functions as F
 
 from newsloom.plans import collect as C
 from newsloom.sources import feeds as FD
-from newsloom.session import ensure_checkpoint_dir
 
 
 def collect_stream(spark: SparkSession, landing: str, store, catalogue: DataFrame,
                    pages: Callable[[], DataFrame], now: Callable[[], _dt.datetime],
-                   ref_date: Callable[[], _dt.date], checkpoint: str | None = None,
+                   ref_date: Callable[[], _dt.date], checkpoint: str,
                    counts_sink: Callable[[DataFrame, int], None] | None = None):
     """Start the incremental collect; returns the ``StreamingQuery``
     (``awaitTermination()`` waits for the available files to finish).
     ``pages``/``now``/``ref_date`` are called per batch so each batch sees
-    the landed pages and the job time of its run."""
-    ckpt = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/incremental-collect"
+    the landed pages and the job time of its run. ``checkpoint`` is the
+    stream's own folder: two streams must not share one, and the next run
+    must find it again."""
     stream = (spark.readStream.format("text").option("wholetext", True)
               .option("pathGlobFilter", "*.xml").load(landing)
               .select(F.col("_metadata.file_name").alias("file_name"), "value"))
@@ -41,6 +41,6 @@ def collect_stream(spark: SparkSession, landing: str, store, catalogue: DataFram
             counts_sink(counts, epoch)
 
     return (stream.writeStream.foreachBatch(batch)
-            .option("checkpointLocation", ckpt)
+            .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True)
             .start())

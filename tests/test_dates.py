@@ -21,6 +21,11 @@ CASES = [
     ("Friday", dt.date(2026, 12, 4)),
     ("", None), (" ", None), ("No date", None),
     ("2024-13-45", None),
+    ("March 5, 2024 updated 2024-03-09", dt.date(2024, 3, 5)),
+    ("12024-03-05", None), ("v2024.1.15.2", None), ("2024-03-051", None),
+    ("2 days ago", dt.date(2026, 11, 29)), ("yesterday", dt.date(2026, 11, 30)),
+    ("3月5日", dt.date(2026, 3, 5)), ("updated 10:30", dt.date(2026, 12, 1)),
+    ("March 45, 2024 then 2024-03-07 10:00", dt.date(2024, 3, 7)),
 ]
 
 
@@ -40,3 +45,10 @@ def test_iso_pattern_rejects_trailing_newline(spark):
 def test_bad_day_flag(spark):
     df = spark.createDataFrame([("2024-13-45",), ("2024-01-01",)], "s string")
     assert dict(df.select("s", D.bad_day("s").alias("b")).collect()) == {"2024-13-45": True, "2024-01-01": False}
+
+
+def test_no_reference_day_no_clock(spark):
+    """Without a reference day a partial date is NULL, a complete one is not."""
+    df = spark.createDataFrame([("3 hours ago",), ("Posted 5 Mar",), ("5 Mar 2024",)], "s string")
+    got = dict(df.select("s", D.resolve_day("s", None).alias("d")).collect())
+    assert got == {"3 hours ago": None, "Posted 5 Mar": None, "5 Mar 2024": dt.date(2024, 3, 5)}

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from newsloom.plans import collect as C
 from newsloom.sources import feeds as FD
-from newsloom.sources.store import ArticleStore
+from newsloom.sources.store import ArticleTable
 from newsloom.streaming.incremental import collect_stream
 
 NOW = dt.datetime(2026, 12, 1, 5)
@@ -43,7 +43,7 @@ BROKEN = "<rss><channel><item><title>broken"
 
 
 def key(url):
-    return hashlib.sha1(url.encode()).hexdigest()[:16]
+    return hashlib.sha1(url.encode()).hexdigest()
 
 
 def land(folder, url, run, body):
@@ -110,7 +110,7 @@ def test_collect_first_wins_and_outcomes(spark, scratch):
 
 def test_incremental_collect_stream(spark, scratch):
     landing = os.path.join(scratch, "landing")
-    store = ArticleStore(spark, os.path.join(scratch, "store"))
+    store = ArticleTable(spark, "t_stream", os.path.join(scratch, "store"), parts=4)
     cat = FD.catalogue(spark, {"sources": {"S": {"feeds": [{"url": "https://f/1"}]}}})
     pages = pages_df(spark, ["u1", "u2", "u3"])
     ckpt = os.path.join(scratch, "ckpt")
@@ -132,3 +132,47 @@ def test_incremental_collect_stream(spark, scratch):
     run()
     assert sorted((r.url, r.title) for r in store.read().collect()) == \
         [("u1", "first"), ("u2", "second"), ("u3", "late")]
+
+
+def _entries(spark, *bodies):
+    df = spark.createDataFrame([(f"k{i}", "r", b) for i, b in enumerate(bodies)], "feed_key string, run_id string, body string")
+    return [(r.feed_key, r.title, r.link, r.feed_ok) for r in FD.entries(df).orderBy("feed_key", "entry_pos").collect()]
+
+
+def test_careless_feeds_are_read(spark):
+    item = "<item><title>{}</title><link>http://x/?a=1{}b=2</link></item>"
+    got = _entries(
+        spark, "<rss><channel>" + item.format("Q & A", "&") + "</channel></rss>",
+        "<rss><channel>" + item.format("a&nbsp;b &eacute; &bogus; &amp; &#65;", "&amp;") + "</channel></rss>",
+        "<rss><channel><item><title><![CDATA[x & <i>y</i> &amp;]]></title><link>u</link></item></channel></rss>",
+        "<rss><channel>" + item.format("whole", "&amp;") + "<item><title>cut off",
+        "<feed><entry><title type='html'>&lt;b&gt;x&lt;/b&gt;</title><link href='u'/></entry></feed>")
+    assert got == [("k0", "Q & A", "http://x/?a=1&b=2", True),
+                   ("k1", "a\u00a0b \u00e9 &bogus; & A", "http://x/?a=1&b=2", True),
+                   ("k2", "x & <i>y</i> &amp;", "u", True),
+                   ("k3", "whole", "http://x/?a=1&b=2", True),
+                   ("k4", "<b>x</b>", "u", True)]
+
+
+def test_empty_feed_is_readable_and_other_documents_are_not(spark):
+    got = _entries(spark, "<rss><channel><title>F</title></channel></rss>",
+                   "<feed xmlns='http://www.w3.org/2005/Atom'><title>F</title></feed>",
+                   "<html><body>x</body></html>", "not xml", "")
+    assert got == [("k2", None, None, False), ("k3", None, None, False), ("k4", None, None, False)]
+
+
+def test_unknown_feeds_and_refetched_pages(spark, scratch):
+    land(scratch, "https://a.example/rss", "r1", RSS)
+    land(scratch, "https://nobody.example/rss", "r1", RSS)
+    with open(os.path.join(scratch, "odd-name.xml"), "w", encoding="utf-8") as fh:
+        fh.write(RSS)
+    old = pages_df(spark, ["https://x.example/1", "https://x.example/2"])
+    new = old.withColumn("fetched_at", F.col("fetched_at") + F.expr("INTERVAL 1 HOUR")) \
+             .withColumn("html", F.replace("html", F.lit("2024-03-0"), F.lit("2025-03-0")))
+    res = C.collect(FD.catalogue(spark, CONFIG), FD.read_landed(spark, scratch), old.unionByName(new),
+                    spark.createDataFrame([], "url string"), NOW, REF)
+    rows = {r.url: r for r in res.rows.collect()}
+    assert len(rows) == res.rows.count() == 2
+    assert rows["https://x.example/1"].published_date == dt.datetime(2025, 3, 1)
+    unknown = res.outcomes.filter("reason = 'unknown_feed'")
+    assert unknown.count() == 10 and unknown.filter("outcome <> 'rejected'").count() == 0

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from newsloom.functions.html import parse_html
+from newsloom.functions import text as X
 from newsloom.sources import pages as P
 
 REF = dt.date(2026, 12, 1)
@@ -58,7 +59,7 @@ def test_text_squeeze_through_spark(spark):
     html = ['<title>T</title><script>x</script><style>y</style><!-- c --><p>a b</p>&amp;',
             "<p>&#12288;あ&#12288;い&#12288;</p>", ""]
     df = spark.createDataFrame([(h,) for h in html], "html string")
-    out = P.with_page_fields(df).select(P.squeezed_text(F.col("page")["text"]).alias("t"))
+    out = P.with_page_fields(df).select(X.squeeze(F.col("page")["text"]).alias("t"))
     assert sorted(r.t for r in out.collect()) == sorted(["Tab&", "あ　い", ""])
 
 
@@ -81,3 +82,17 @@ def test_one_parse_per_page(spark):
         P.extract_fields(P.with_page_fields(df), REF).explain("formatted")
     evals = [ln for ln in buf.getvalue().splitlines() if ln.startswith("Arguments:") and "_parse_pages(" in ln]
     assert len(evals) == 1
+
+
+def test_unclosed_tags_take_linear_time():
+    import time
+    for piece in ("<p>x", "<p class='date'>\n", "<time><p class='cal'>x"):
+        start = time.process_time()
+        parse_html(piece * 20_000)
+        assert time.process_time() - start < 2
+
+
+def test_blocks_are_separated_and_inline_text_is_not():
+    r = parse_html("<title>A news</title><h1>zebra</h1><p>one <b>two</b>three<br>four</p>")
+    assert r["text"] == "A newszebraone twothreefour"
+    assert r["blocks"] == "A news\nzebra\none twothree\nfour"

@@ -53,3 +53,45 @@ def test_keyword_job_shape(spark):
     p = _plan(terms)
     assert "WindowGroupLimit" in p
     assert "partial_count" in p
+
+
+def test_keyset_bound_is_pushed_and_content_stays_out_of_the_top_k(spark, scratch):
+    import datetime as dt
+
+    from newsloom.operators import paging
+    a = _stored(spark, scratch)
+    nxt = paging.keyset_page(a, (dt.datetime(2024, 1, 9), dt.datetime(2024, 1, 1), "a-1"), 50)
+    pushed = [line for line in _plan(nxt).splitlines() if line.startswith("PushedFilters:")]
+    assert pushed and all("LessThanOrEqual(published_date,2024-01-09T00:00)" in line for line in pushed)
+    for df in (nxt, paging.page(a, 50, 50)):
+        tops = [line for line in df._jdf.queryExecution().executedPlan().toString().splitlines()
+                if "TakeOrderedAndProject" in line or "GlobalLimit" in line]
+        assert tops and all("content" not in line for line in tops)
+
+
+def test_collect_parses_on_the_page_scan(spark, scratch):
+    """The parse reads the scan: no exchange below it, and above it only the
+    extracted fields."""
+    from newsloom.plans.collect import page_fields
+    from newsloom.sources.tables import order_feeds
+    order_feeds(spark, SF_SMALL)[2].write.parquet(scratch + "/pages")
+    plan = page_fields(spark.read.parquet(scratch + "/pages"), None)._jdf.queryExecution().executedPlan().toString()
+    above, below = plan.split("ArrowEvalPython")
+    assert "Exchange" not in below and "html" in below and "html" not in above
+
+
+def test_table_side_of_the_insert_is_neither_shuffled_nor_made_distinct(spark, scratch):
+    a = _stored(spark, scratch)
+    batch = event_batch(spark, SF_SMALL).limit(5)
+    df = writes.insert_if_absent(a, batch, "url", order=["entry_ts", "entry_pos"])
+    df.collect()
+    p = df._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in p and "LeftSemi" in p
+
+
+def test_topic_rules_grow_linearly(spark):
+    from newsloom.functions import text as X
+    d = spark.createDataFrame([(["a"], "text")], "tags array<string>, text string")
+    size = lambda n: len(d.select(X.topic_tags("tags", "text", tuple((f"k{i:03d}", f"t{i:03d}") for i in range(n))))
+                         ._jdf.queryExecution().analyzed().toString())
+    assert size(60) < 3 * size(30)

@@ -1,4 +1,4 @@
-"""Versioned store, insert idempotence, keyed update, pluggable model and
+"""Article table, insert idempotence, keyed update, pluggable model and
 incremental enrich."""
 
 import datetime as dt
@@ -9,27 +9,27 @@ from pyspark.sql import functions as F
 from newsloom.operators import writes
 from newsloom.plans import enrich as EN
 from newsloom.schema import ARTICLE_SCHEMA
-from newsloom.sources.store import ArticleStore
+from newsloom.sources.store import ArticleTable
 
 NOW = dt.datetime(2026, 12, 1, 6)
 
 
 def _article(i, url, pending=True):
     return (f"id{i}", f"Title {i}", url, "src", None, None, None, None, None,
-            dt.datetime(2026, 1, i + 1), dt.datetime(2026, 1, i + 1), not pending)
+            dt.datetime(2026, 1, i % 28 + 1), dt.datetime(2026, 1, i % 28 + 1), not pending)
 
 
 def test_insert_if_absent_idempotent(spark, scratch):
-    store = ArticleStore(spark, scratch)
+    store = ArticleTable(spark, "t_insert", scratch + "/t")
     batch = spark.createDataFrame([("u1", 0, "a"), ("u1", 1, "b"), ("u2", 2, "c")],
                                   "url string, pos int, title string")
-    first = writes.insert_if_absent(store.read(), batch, "url", ["pos"])
+    first = writes.insert_if_absent(store.read(), batch, "url", order=["pos"])
     assert sorted((r.url, r.title) for r in first.collect()) == [("u1", "a"), ("u2", "c")]
     rows = first.select(writes.article_id(F.col("url")).alias("id"), "title", "url",
                         F.lit("s").alias("source"), *[F.lit(None).cast(f.dataType).alias(f.name)
                                                       for f in ARTICLE_SCHEMA.fields[4:]])
-    store.append(rows, NOW)
-    again = writes.insert_if_absent(store.read(), batch, "url", ["pos"])
+    store.append(rows)
+    again = writes.insert_if_absent(store.read(), batch, "url", order=["pos"])
     assert again.count() == 0
 
 
@@ -52,9 +52,9 @@ def _fake_model():
 
 
 def test_enrich_with_model_and_retry(spark, scratch):
-    store = ArticleStore(spark, scratch)
+    store = ArticleTable(spark, "t_enrich", scratch + "/t", parts=4)
     store.append(spark.createDataFrame([_article(0, "u0"), _article(1, "u1"), _article(2, "u2")],
-                                       ARTICLE_SCHEMA), NOW)
+                                       ARTICLE_SCHEMA))
     pages = spark.createDataFrame(
         [("u0", "<p>hello world</p>"), ("u1", "<p>FAIL here</p>"), ("u2", "<p> \n </p>")],
         "url string, html string")
@@ -69,7 +69,7 @@ def test_enrich_with_model_and_retry(spark, scratch):
                              .otherwise(F.col("html")))
     counts = {r.outcome: r["count"] for r in EN.run_enrich(store, fixed, NOW, _fake_model).collect()}
     assert counts == {"updated": 1, "skipped": 1}
-    assert store.current_version() == 3
+    assert store.read().count() == 3
 
 
 def test_default_enrichment(spark):
@@ -78,5 +78,78 @@ def test_default_enrichment(spark):
                                   "url string, html string")
     res = EN.enrich(a, pages)
     r = res.updates.first()
-    assert r.summary.startswith("Title0Titlewords") or r.summary.startswith("Title 0")
+    assert "0Title" not in r.summary and r.content.startswith("Title0Titlewords")
     assert r.tags and all(isinstance(t, str) for t in r.tags)
+
+
+def _counting_model(folder):
+    def make():
+        def run(pdf: pd.DataFrame) -> pd.DataFrame:
+            import os
+            import uuid
+            for i in pdf["id"]:
+                open(os.path.join(folder, f"{i}-{uuid.uuid4().hex}"), "w").close()
+            return pd.DataFrame({"id": pdf["id"], "summary": "S", "tag_text": "a"})
+        return run
+    return make
+
+
+def test_model_sees_every_article_once(spark, scratch):
+    import os
+    store = ArticleTable(spark, "t_once", scratch + "/t", parts=4)
+    store.append(spark.createDataFrame([_article(i, f"u{i}") for i in range(20)], ARTICLE_SCHEMA))
+    pages = spark.createDataFrame([(f"u{i}", f"<p>text {i}</p>") for i in range(20)], "url string, html string")
+    os.makedirs(scratch + "/calls")
+    counts = {r.outcome: r["count"] for r in EN.run_enrich(store, pages, NOW, _counting_model(scratch + "/calls")).collect()}
+    assert counts == {"updated": 20}
+    seen = [f.split("-")[0] for f in os.listdir(scratch + "/calls")]
+    assert sorted(seen) == sorted(f"id{i}" for i in range(20))
+
+
+def test_one_pending_page_is_tagged_by_the_whole_corpus(spark):
+    """Tags of a row don't depend on what else is pending."""
+    rows = [_article(i, f"u{i}") for i in range(6)]
+    html = ["<p>about again another common words here about</p>"] * 5 + ["<p>about again zebra zebra crossing</p>"]
+    pages = spark.createDataFrame([(f"u{i}", h) for i, h in enumerate(html)], "url string, html string")
+    alone = EN.enrich(spark.createDataFrame(rows[5:], ARTICLE_SCHEMA), pages).updates.first()
+    among = {r.id: r for r in EN.enrich(spark.createDataFrame(rows, ARTICLE_SCHEMA), pages).updates.collect()}["id5"]
+    assert alone.tags == among.tags and alone.tags[0] == "zebra"
+
+
+def test_terms_are_runs_of_one_script(spark):
+    from newsloom.operators import keywords as KW
+    df = spark.createDataFrame([("d", "トヨタ自動車は半導体の新工場を建設すると発表した new plant")], "id string, text string")
+    got = {r.term for r in KW.term_counts(df, "id", "text").collect()}
+    assert got == {"トヨタ", "自動車", "半導体", "新工場", "建設", "発表", "new", "plant"}
+
+
+def test_only_touched_partitions_are_rewritten(spark, scratch):
+    import glob
+    store = ArticleTable(spark, "t_parts", scratch + "/t", parts=8)
+    store.append(spark.createDataFrame([_article(i, f"u{i}") for i in range(60)], ARTICLE_SCHEMA))
+    before = set(glob.glob(scratch + "/t/id_part=*/*.parquet"))
+    upd = spark.createDataFrame([("id7", "s", ["t"]), ("id7", "z", ["t"])], "id string, summary string, tags array<string>")
+    store.update(upd, NOW)
+    after = set(glob.glob(scratch + "/t/id_part=*/*.parquet"))
+    assert len({f.rsplit("/", 1)[0] for f in before - after}) == 1
+    rows = store.read().collect()
+    assert len(rows) == 60 and [r.summary for r in rows if r.id == "id7"] == ["s"]
+
+
+def test_stored_normalise_and_cleanup(spark, scratch):
+    from newsloom.plans import maintenance as M
+    names = ["ITmedia NEWS"] * 3 + ["ITmedia"] * 2 + ["マイナビニュース"] + ["TECH+"] * 2 + ["GIGAZINE"]
+    rows = [_article(i, f"u{i}")[:3] + (s,) + _article(i, f"u{i}")[4:] for i, s in enumerate(names)]
+    store = ArticleTable(spark, "t_maint", scratch + "/t", parts=4)
+    store.append(spark.createDataFrame(rows, ARTICLE_SCHEMA))
+    run = M.run_normalise(store, "default", NOW)
+    assert [tuple(r) for r in run.before.collect()] == [
+        ("GIGAZINE", 1), ("ITmedia", 2), ("ITmedia NEWS", 3), ("TECH+", 2), ("マイナビニュース", 1)]
+    after = [("GIGAZINE", 1), ("ITmedia", 5), ("マイナビ Tech+", 2)]
+    assert [tuple(r) for r in run.after.collect()] == after
+    assert {r.match: r.rows for r in run.steps.collect() if r.rows} == {"マイナビニュース": 1, "ITmedia%": 3, "TECH+%": 2}
+    assert sorted(tuple(r) for r in store.read().groupBy("source").count().collect()) == sorted(after)
+    store.append(spark.createDataFrame([("id50", "t", "u50", "ITmedia NEWS", *[None] * 8)], ARTICLE_SCHEMA))
+    res = M.run_cleanup(store)
+    assert (res.preview_total, res.deleted) == (1, 1) and store.read().count() == 8
+    assert M.run_cleanup(store).deleted == 0
