@@ -96,7 +96,7 @@ def families(rng, n_families, size, edits):
     return rows
 
 
-@pytest.mark.parametrize("block", [512, 8])
+@pytest.mark.parametrize("block", [256, 8])
 def test_near_duplicates_match_brute_force(spark, block):
     rng = random.Random(3)
     rows = awkward(rng) + families(rng, 12, 25, [0, 1, 2, 3, 5, 8])
