@@ -7,17 +7,17 @@ sets.
 
 Candidates are never all pairs of a bucket. A first round links each
 document to one bucket representative, which joins groups of copies of any
-size with one candidate a document. Only buckets that still hold documents
-of different components are looked at again: there documents outside the
-bucket's largest component are compared, in blocks of bounded size, with
-all others by their signatures, and pairs that may reach the threshold are
-confirmed. No candidate or bucket is capped.
+size with one candidate a document. In buckets that still hold several
+components, documents outside the largest one are compared with all others
+by their signatures; components with a pair that may reach the threshold
+form a family. The documents of a family meet in blocks of bounded size,
+where every such pair between components is tested on the full sets; only
+the links found leave the task. No candidate, bucket or family is capped.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -31,11 +31,11 @@ PERMUTATIONS = 64
 #: Signature values of a band. 32 bands of 4 miss a pair at the threshold with
 #: probability (1 - 0.75**4)**32 = 5e-6.
 BAND = 4
-BLOCK = 512
-#: Share of equal signature values from which a pair is looked at (a pair at
-#: the threshold is below with probability < 1e-9), and from which it is
-#: expected to be confirmed.
-MAYBE, STRONG = 0.5, 0.88
+#: Rows of a side that meet in one task.
+BLOCK = 256
+#: Share of equal signature values from which a pair is tested (a pair at
+#: the threshold is below with probability 4e-6).
+MAYBE = 0.58
 
 _RNG = np.random.Generator(np.random.PCG64(20240229))
 _MULTIPLY = (_RNG.integers(0, 1 << 63, 256, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
@@ -119,45 +119,154 @@ def _confirm(threshold: int, k: int):
     return run
 
 
-def _residual(threshold: int, assume: float):
-    """Candidates in one block of a bucket: rows of the left side against
-    rows of the right side that belong to another component. Pairs expected
-    to hold are taken best first, one for each two components they join; the
-    uncertain ones of components still apart are all taken."""
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        left, right = pdf[pdf.side == 0].drop_duplicates("rep"), pdf[pdf.side == 1].drop_duplicates("rep")
+#: Signature comparisons made at once.
+PAIRS = 50_000
+
+
+def _alike(sketch, left, right) -> np.ndarray:
+    """Share of equal signature values of the pairs (left, right)."""
+    out = np.empty(len(left))
+    for at in range(0, len(left), PAIRS):
+        cut = slice(at, at + PAIRS)
+        out[cut] = (sketch[left[cut]] == sketch[right[cut]]).mean(axis=1)
+    return out
+
+
+class _Sets:
+    """Union-find over component numbers, as they come."""
+
+    def __init__(self):
+        self.up: dict = {}
+
+    def root(self, c):
+        while (nxt := self.up.get(c, c)) != c:
+            c = nxt
+        return c
+
+    def join(self, x, y) -> bool:
+        x, y = self.root(x), self.root(y)
+        if x != y:
+            self.up[max(x, y)] = min(x, y)
+        return x != y
+
+
+def _starts(t: pa.Table, keys) -> np.ndarray:
+    new = np.zeros(t.num_rows, bool)
+    new[0] = True
+    for name in keys:
+        v = t.column(name).to_numpy()
+        new[1:] |= v[1:] != v[:-1]
+    return np.flatnonzero(new)
+
+
+def _by_block(keys, work):
+    """Apply ``work`` to the whole blocks of a partition that comes sorted by
+    ``keys``; of every batch the last block waits for the next one. A block
+    has 2 * BLOCK rows or so."""
+    def run(batches):
+        rest = None
+        for batch in batches:
+            t = pa.Table.from_batches([batch])
+            t = t if rest is None else pa.concat_tables([rest, t]).combine_chunks()
+            if not t.num_rows:
+                continue
+            at = int(_starts(t, keys)[-1])
+            if at:
+                yield work(t.slice(0, at).combine_chunks())
+            rest = t.slice(at)
+        if rest is not None and rest.num_rows:
+            yield work(rest.combine_chunks())
+    return run
+
+
+def _sketches(t: pa.Table) -> np.ndarray:
+    return np.frombuffer(b"".join(t.column("sketch").to_pylist()), "<u2").reshape(t.num_rows, -1)
+
+
+def _close(threshold: int):
+    """Components with a pair, left against right rows of a block, that may
+    reach the threshold; as few links as join them."""
+    keys = ("band", "hash", "i", "j")
+
+    def work(t: pa.Table) -> pa.RecordBatch:
+        component, size, side = (t.column(n).to_numpy() for n in ("component", "n", "side"))
+        sketch, starts = _sketches(t), _starts(t, keys)
+        stops = np.append(starts[1:], t.num_rows)
+        left_n = np.add.reduceat(side == 0, starts)
+        right_n = stops - starts - left_n
+        pairs = left_n * right_n
+        out: set = set()
+
+        def take(first: int, last: int) -> None:
+            ln, rn, n = left_n[first:last], right_n[first:last], pairs[first:last]
+            block = np.repeat(np.arange(first, last), n)
+            at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            per = np.repeat(np.maximum(rn, 1), n)
+            x, y = starts[block] + at // per, starts[block] + left_n[block] + at % per
+            lo, hi = np.minimum(size[x], size[y]), np.maximum(size[x], size[y])
+            ok = (component[x] != component[y]) & (100 * lo >= threshold * hi)
+            x, y, block = x[ok], y[ok], block[ok]
+            ok = _alike(sketch, x, y) >= MAYBE
+            found = np.unique(np.stack([block[ok], component[x[ok]], component[y[ok]]], axis=1), axis=0)
+            for g in np.split(found, np.flatnonzero(np.diff(found[:, 0])) + 1) if len(found) else []:
+                sets = _Sets()
+                out.update((min(p, q), max(p, q)) for _, p, q in g.tolist() if sets.join(p, q))
+
+        first, load = 0, 0
+        for g, more in enumerate(pairs.tolist()):
+            load += more
+            if load > 4 * PAIRS:
+                take(first, g + 1)
+                first, load = g + 1, 0
+        if first < len(starts):
+            take(first, len(starts))
+        return pa.record_batch({"a": pa.array([p for p, _ in out], pa.int64()), "b": pa.array([q for _, q in out], pa.int64())})
+    return _by_block(keys, work)
+
+
+def _shared(x: np.ndarray, y: np.ndarray) -> int:
+    """Size of the intersection of two sorted sets."""
+    if len(x) > len(y):
+        x, y = y, x
+    return int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+
+
+def _test(threshold: int, k: int):
+    """Links between components in the blocks of a family, on full sets; one
+    for each two components they join in the block."""
+    keys = ("family", "i", "j")
+
+    def work(t: pa.Table) -> pa.RecordBatch:
+        rep, component, size, side = (t.column(n).to_numpy() for n in ("rep", "component", "n", "side"))
+        sketch, texts, starts = _sketches(t), t.column("t"), _starts(t, keys)
         out_a, out_b = [], []
-        if len(left) and len(right):
-            ls = np.frombuffer(b"".join(left.sketch), "<u2").reshape(len(left), -1)
-            rs = np.frombuffer(b"".join(right.sketch), "<u2").reshape(len(right), -1)
-            ln, rn = left.n.to_numpy(), right.n.to_numpy()
-            lc, rc = left.component.to_numpy(), right.component.to_numpy()
-            found = []
-            for j in range(len(right)):
-                ok = (lc != rc[j]) & (100 * np.minimum(ln, rn[j]) >= threshold * np.maximum(ln, rn[j]))
-                rows = np.flatnonzero(ok)
-                if len(rows):
-                    same = (ls[rows] == rs[j]).mean(axis=1)
-                    found += [(s, i, j) for s, i in zip(same.tolist(), rows.tolist(), strict=True) if s >= MAYBE]
-            found.sort(reverse=True)
-            up: dict = {}
-
-            def root(c):
-                while up.get(c, c) != c:
-                    c = up[c]
-                return c
-
-            lid, rid = left.rep.to_numpy(), right.rep.to_numpy()
-            for s, i, j in found:
-                x, y = root(lc[i]), root(rc[j])
-                if x == y:
+        for lo, hi in zip(starts, np.append(starts[1:], t.num_rows), strict=True):
+            mid = lo + int((side[lo:hi] == 0).sum())
+            sets, full = _Sets(), {}
+
+            def of(row, full=full):
+                if row not in full:
+                    full[row] = shingle_set(texts[row].as_py(), k)
+                return full[row]
+            for y in range(mid, hi):
+                x = np.arange(lo, mid)
+                x = x[(component[x] != component[y]) & (100 * np.minimum(size[x], size[y]) >= threshold * np.maximum(size[x], size[y]))]
+                if not len(x):
                     continue
-                if s >= assume:
-                    up[x] = y
-                out_a.append(min(lid[i], rid[j]))
-                out_b.append(max(lid[i], rid[j]))
-        return pd.DataFrame({"a": np.array(out_a, np.int64), "b": np.array(out_b, np.int64)})
-    return run
+                alike = _alike(sketch, x, np.full(len(x), y))
+                for at in np.argsort(-alike, kind="stable").tolist():
+                    if alike[at] < MAYBE:
+                        break
+                    row = int(x[at])
+                    if sets.root(component[row]) == sets.root(component[y]):
+                        continue
+                    both = _shared(of(row), of(y))
+                    if 100 * both >= threshold * (int(size[row]) + int(size[y]) - both):
+                        sets.join(component[row], component[y])
+                        out_a.append(min(rep[row], rep[y]))
+                        out_b.append(max(rep[row], rep[y]))
+        return pa.record_batch({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
+    return _by_block(keys, work)
 
 
 def _blocks(buckets: DataFrame, reps: DataFrame, labels: DataFrame, block: int) -> DataFrame:
@@ -171,7 +280,7 @@ def _blocks(buckets: DataFrame, reps: DataFrame, labels: DataFrame, block: int)
     sizes = rows.groupBy("band", "hash", "component").agg(F.count(F.lit(1)).alias("c"))
     split = (sizes.groupBy("band", "hash").agg(F.max(F.struct("c", "component")).alias("top"), F.sum("c").alias("all"))
              .filter(F.col("all") > F.col("top.c"))
-             .select("band", "hash", F.col("top.component").alias("major"),
+             .select("band", "hash", "top", "all", F.col("top.component").alias("major"),
                      F.ceil(F.col("top.c") / block).cast("int").alias("ms"),
                      F.ceil((F.col("all") - F.col("top.c")) / block).cast("int").alias("ss")))
     rows = rows.join(split, ["band", "hash"])
@@ -180,8 +289,8 @@ def _blocks(buckets: DataFrame, reps: DataFrame, labels: DataFrame, block: int)
     rows = rows.withColumn("i", F.when(outside, F.col("ms") + part).otherwise(part))
     # left: for an outside row only right blocks up to its own, so that each
     # pair of blocks meets once
-    left = rows.withColumn("j", F.explode(F.sequence(F.lit(0), F.when(outside, part).otherwise(F.col("ss") - 1)))) \
-               .withColumn("side", F.lit(0))
+    left = rows.filter(~outside | (F.col("all") - F.col("top.c") > 1)).withColumn(
+        "j", F.explode(F.sequence(F.lit(0), F.when(outside, part).otherwise(F.col("ss") - 1)))).withColumn("side", F.lit(0))
     right = (rows.filter(outside).withColumn("j", part)
              .withColumn("i", F.explode(F.array_union(
                  F.sequence(F.lit(0), F.col("ms") - 1),
@@ -218,20 +327,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     buckets = materialise(placed.join(shared, ["band", "hash"]))
     edges = _first_links(docs, buckets, id_col, text, threshold, k)
     labels = components(edges)
-    tested = None
-    for assume in (STRONG, 2.0):
-        spread = _blocks(buckets.drop("center"), reps, labels, block)
-        more = spread.groupBy("band", "hash", "i", "j").applyInPandas(
-            _residual(threshold, assume), "a long, b long").distinct()
-        if tested is not None:
-            more = more.join(tested, ["a", "b"], "left_anti")
-        tested = materialise(more)
-        links = _verified(docs, tested, id_col, text, threshold, k)
-        edges = edges.unionByName(links)
-        if links.limit(1).count():
-            labels = components(edges)
-        if assume > 1 or not tested.join(links, ["a", "b"], "left_anti").limit(1).count():
-            break  # every pair was confirmed, or none was left out
+    links = _family_links(docs, buckets.drop("center"), reps, labels, id_col, text, threshold, k, block)
+    if links.limit(1).count():
+        labels = components(edges.unionByName(links))
     of_print = smallest.join(labels.select(F.col("id").alias("rep"), "component"), "rep", "left").select(
         F.col("print").alias("_p"), F.coalesce("component", "rep").alias("_component"))
     joined = signed.filter("print is not null").select("id", "n", "print").join(
@@ -243,6 +341,38 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
         F.coalesce(F.col("id") == F.col("c"), F.lit(False)).alias("kept"))
 
 
+def _family_links(docs, buckets, reps, labels, id_col, text, threshold, k, block) -> DataFrame:
+    """All links between ``labels`` components that share a bucket, as few as
+    join them within each block."""
+    key = ["band", "hash", "i", "j"]
+    close = _blocks(buckets, reps, labels, block).repartition(*key).sortWithinPartitions(*key, "side").mapInArrow(
+        _close(threshold), "a long, b long")
+    close = materialise(close.distinct())
+    if not close.limit(1).count():
+        return close
+    family = components(close).select(F.col("id").alias("component"), F.col("component").alias("family"))
+    rows = (reps.select("rep", "n", "sketch").join(labels.select(F.col("id").alias("rep"), "component"), "rep", "left")
+            .withColumn("component", F.coalesce("component", "rep")).join(family, "component"))
+    rows = materialise(rows)
+    blocks = rows.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("nb"))
+    texts = _texts(docs, rows.select(F.col("rep").alias("k")), id_col, text)
+    placed = (rows.join(blocks, "family").join(texts.withColumnRenamed("k", "rep"), "rep")
+              .withColumn("_p", F.pmod(F.xxhash64("rep"), F.col("nb")).cast("int")))
+    last = F.col("nb") - 1
+    left = placed.withColumn("i", F.col("_p")).withColumn("j", F.explode(F.sequence(F.col("_p"), last))).withColumn("side", F.lit(0))
+    right = placed.withColumn("j", F.col("_p")).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("_p")))).withColumn("side", F.lit(1))
+    cols = ["family", "i", "j", "side", "rep", "component", "n", "sketch", "t"]
+    spread = left.select(*cols).unionByName(right.select(*cols))
+    return materialise(spread.repartition("family", "i", "j").sortWithinPartitions("family", "i", "j", "side").mapInArrow(
+        _test(threshold, k), "a long, b long"))
+
+
+def _texts(docs, ids, id_col, text) -> DataFrame:
+    """(k, t) of the documents with the materialised ``ids`` (k)."""
+    rows = docs.select(F.col(id_col).cast("long").alias("k"), F.col(text).cast("binary").alias("t"))
+    return shared_table(rows_named(rows, "k", ids).dropDuplicates(["k"]))
+
+
 def _first_links(docs, buckets, id_col, text, threshold, k) -> DataFrame:
     """Each row of a bucket proposes the representative it shares most bands
     with; one candidate per document."""
@@ -257,9 +387,7 @@ def _verified(docs, pairs, id_col, text, threshold, k) -> DataFrame:
     if not pairs.limit(1).count():
         return pairs
     named = materialise(pairs.select(F.col("a").alias("k")).union(pairs.select(F.col("b").alias("k"))).distinct())
-    texts = shared_table(rows_named(
-        docs.select(F.col(id_col).cast("long").alias("k"), F.col(text).cast("binary").alias("t")), "k", named)
-        .dropDuplicates(["k"]))
+    texts = _texts(docs, named, id_col, text)
     both = (pairs.join(texts.select(F.col("k").alias("b"), F.col("t").alias("tb")), "b")
                  .join(texts.select(F.col("k").alias("a"), F.col("t").alias("ta")), "a"))
     return materialise(both.select("a", "b", "ta", "tb").sortWithinPartitions("a").mapInArrow(
@@ -270,5 +398,5 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", thresh
     """The rows of ``docs`` whose id stands for its group; all columns."""
     kept = materialise(near_duplicates(docs, id_col, text, threshold).filter("kept")
                        .select(F.col("doc_id").alias("_k")).distinct())
-    keyed = docs.withColumn("_k", F.col(id_col).cast("long"))
-    return rows_named(keyed, "_k", kept).drop("_k")
+    keyed = docs.select(F.col(id_col).cast("long").alias("_k"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    return rows_named(keyed, "_k", kept).select("_row.*")
