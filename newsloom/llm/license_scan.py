@@ -205,7 +205,8 @@ GATE = "(?i)" + "|".join((
 
 
 def _occurrences(words: Column, pattern: Column) -> Column:
-    """Array of (start, stop) in words, of the pattern's places in turn."""
+    """Array of (start, stop) in words, of the pattern's places in turn.
+    Every word, and so every place, begins with a space."""
     spaces = lambda c: F.length(c) - F.length(F.replace(c, F.lit(" "), F.lit("")))
     hits = F.regexp_extract_all(words, pattern, F.lit(0))
     gaps = F.split(words, pattern, -1)
@@ -222,16 +223,17 @@ def _occurrences(words: Column, pattern: Column) -> Column:
 def detections(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per detection, and one with nulls for a document without any:
     ``_row, doc_id, n_words, label, priority, base, start, stop, kept``."""
-    known = [r._asdict() | {"order": i, "pattern": f"(?<![^ ])(?:{r.pattern})(?![^ ])"} for i, r in enumerate(rules())]
+    known = [r._asdict() | {"order": i, "pattern": f" (?:{r.pattern})(?= )"} for i, r in enumerate(rules())]
     table = F.from_json(F.lit(json.dumps(known)), "array<struct<label:string,priority:int,keyword:string,"
                                                   "pattern:string,base:boolean,order:int>>")
     t = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(
         F.monotonically_increasing_id().alias("_row"), F.col(id_col).alias("doc_id"),
         F.regexp_count(t, F.lit(COUNTED)).cast("long").alias("n_words"),
-        F.when(t.rlike(GATE), F.trim(F.regexp_replace(F.translate(t, UPPER, LOWER), BREAK, " "))).alias("_words"))
+        F.when(t.rlike(GATE), F.regexp_replace(F.concat(F.lit(" "), F.translate(t, UPPER, LOWER), F.lit(" ")), BREAK, " ")).alias("_words"))
     matched = rows.withColumn("_rule", F.explode_outer(F.when(
-        F.col("_words").isNotNull(), F.filter(table, lambda r: F.instr(F.col("_words"), r["keyword"]) > 0))))
+        F.col("_words").isNotNull(), F.filter(table, lambda r: (F.instr(F.col("_words"), r["keyword"]) > 0)
+                                               & F.regexp_like(F.col("_words"), r["pattern"])))))
     placed = matched.select("_row", "doc_id", "n_words", "_rule.label", "_rule.priority", "_rule.base", "_rule.order",
                             F.explode_outer(_occurrences(F.col("_words"), F.col("_rule.pattern"))).alias("_at"))
     found = placed.select("*", "_at.start", "_at.stop").drop("_at")
