@@ -55,8 +55,11 @@ PATTERNS = (
 )
 TYPES = tuple(dict.fromkeys(t for t, _ in PATTERNS))
 ANY = "|".join(p for _, p in PATTERNS)
-#: What a text needs to be looked at: a digit, an @, a credential's name or a title.
-GATE = rf"[0-9@]|(?i:token|secret|passw|pwd|key)|(?:{_ALL_TITLES})\.? "
+#: What a text needs to be looked at: an @, four digits close to each other, the
+#: head of an account number, a group of an address, a credential's name or form,
+#: or a title. Every pattern implies one of them.
+GATE = (r"[0-9](?:[ ().+/-]{0,2}[0-9]){3}|@|[A-Z]{2}[0-9]{2}|:[0-9A-Fa-f]{1,4}:|(?i:token|secret|passw|pwd|api.?key|access.?key)"
+        rf"|AKIA|gh[pousr]_|sk-|xox|(?:{_ALL_TITLES})\.? ")
 ROUNDS = 12
 
 
