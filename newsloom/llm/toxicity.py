@@ -30,14 +30,14 @@ from newsloom.llm.common import materialise
 
 #: Documented bound of the training sample, half of it for either class.
 MAX_TRAIN = 20_000
-MAX_FEATURES = 4096
+MAX_FEATURES = 2048
 #: A marker occurs in so many toxic training documents at least, and its
 #: log odds differ from the others' by so many standard errors.
 MIN_TOXIC_DOCS = 3
 MIN_Z = 2.3
 GRADE_STEPS = (3, 8)
 PREFIX = 5
-ROUNDS = 400
+ROUNDS = 250
 PENALTY = 0.002
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -65,7 +65,7 @@ def _strength(count):
     return 1.0 + np.log(count)
 
 
-def fit(rows: list[int], cols: list[int], counts: list[int], grades: np.ndarray, features: int,
+def fit(rows, cols, counts, grades: np.ndarray, features: int,
         rounds: int = ROUNDS, penalty: float = PENALTY) -> tuple[np.ndarray, np.ndarray]:
     """Weights and thresholds by gradient descent (Adam) on the penalised
     log likelihood. Thresholds are a first one and positive steps."""
@@ -105,16 +105,20 @@ def fit(rows: list[int], cols: list[int], counts: list[int], grades: np.ndarray,
 
 def _train_rows(batches):
     for batch in batches:
-        toxic, terms, counts = [], [], []
-        for y, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+        terms, counts = [], []
+        for text in batch.column(2):
             found = term_counts(text.as_py())
-            toxic.append(y)
             terms.append(list(found))
             counts.append(list(found.values()))
-        yield pa.record_batch({"toxic": pa.array(toxic, pa.int32()), "terms": pa.array(terms, pa.list_(pa.string())),
+        yield pa.record_batch({"row": batch.column(0), "toxic": batch.column(1), "terms": pa.array(terms, pa.list_(pa.string())),
                                "counts": pa.array(counts, pa.list_(pa.int32()))})
 
 
+def _columns(df: DataFrame) -> dict[str, np.ndarray]:
+    table = df.toArrow()
+    return {n: table.column(n).to_numpy() for n in table.column_names}
+
+
 def sample_labels(labels: DataFrame, max_rows: int, id_col: str = "doc_id", toxic: str = "toxic") -> DataFrame:
     """At most about ``max_rows`` labelled ids, half of them of either class,
     chosen by a hash of the id. Rows without id or label are left out; a
@@ -143,8 +147,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
     joined = docs.select(F.col(id_col).alias("_id"), F.col(text).alias("_text")).join(F.broadcast(sample), "_id")
     unique = joined.groupBy(F.xxhash64("_text").alias("_h")).agg(
         F.max("_toxic").alias("_toxic"), F.first("_text").alias("_text"))
-    rows = materialise(unique.select("_toxic", "_text").mapInArrow(
-        _train_rows, "toxic int, terms array<string>, counts array<int>"))
+    rows = materialise(unique.select("_h", "_toxic", "_text").mapInArrow(
+        _train_rows, "row long, toxic int, terms array<string>, counts array<int>"))
     sizes = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
     if not n1 or not n0:
@@ -160,20 +164,21 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
         return Model({}, np.zeros(0), np.full(1, 6.0))
     pairs = F.arrays_zip("terms", "counts")
     known = rows.sparkSession.createDataFrame([(t, i) for t, i in terms.items()], "term string, number int")
-    hits = rows.withColumn("_row", F.monotonically_increasing_id()).select("_row", "toxic", F.explode_outer(pairs).alias("p")) \
-               .select("_row", "toxic", F.col("p.terms").alias("term"), F.col("p.counts").alias("n")) \
-               .join(F.broadcast(known), "term", "left") \
-               .groupBy("_row", "toxic").agg(F.collect_list(F.when(F.col("number").isNotNull(), F.struct("number", "n"))).alias("x"),
-                                             F.sum(F.when(F.col("number").isNotNull() & ~F.col("term").endswith("*"), F.col("n"))).alias("hits"))
-    sample_rows = sorted(hits.select("toxic", "hits", "x").collect(), key=lambda r: (r["toxic"], r["hits"] or 0, sorted(r["x"])))
-    grades = np.array([0 if not r["toxic"] else 1 + sum((r["hits"] or 0) >= s for s in GRADE_STEPS) for r in sample_rows])
-    at, cols, counts = [], [], []
-    for i, r in enumerate(sample_rows):
-        for p in sorted(r["x"]):
-            at.append(i)
-            cols.append(p["number"])
-            counts.append(p["n"])
-    weights, thresholds = fit(at, cols, counts, grades, len(terms))
+    hits = (rows.select("row", "toxic", F.explode_outer(pairs).alias("p"))
+            .select("row", "toxic", F.col("p.terms").alias("term"), F.col("p.counts").alias("n"))
+            .join(F.broadcast(known), "term", "left").filter("number is not null")
+            .select("row", "number", "n", (~F.col("term").endswith("*")).alias("word")))
+    # columns of numbers, in a fixed order: a few bytes for each occurrence
+    at = _columns(rows.select("row", "toxic"))
+    order = np.argsort(at["row"])
+    names, toxic_rows = at["row"][order], at["toxic"][order]
+    hit = _columns(hits)
+    place = np.searchsorted(names, hit["row"])
+    order = np.lexsort((hit["number"], place))
+    place, number, count, word = place[order], hit["number"][order], hit["n"][order], hit["word"][order]
+    markers = np.bincount(place, weights=np.where(word, count, 0), minlength=len(names))
+    grades = np.where(toxic_rows > 0, 1 + sum((markers >= s).astype(int) for s in GRADE_STEPS), 0)
+    weights, thresholds = fit(place, number, count, grades, len(terms))
     return Model(terms, weights, thresholds)
 
 
