@@ -25,8 +25,10 @@ from newsloom.llm.common import materialise, prefix_sum
 
 CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
-#: Entries kept per worker before the caches start anew (about 100 MB).
-CACHE_ENTRIES = 400_000
+#: Entries of a generation of a worker's caches of words and of their pieces;
+#: two generations of each are kept (about 60 MB).
+CACHE_WORDS = 150_000
+CACHE_PIECES = 60_000
 
 # --- tokens ---------------------------------------------------------------
 
@@ -62,27 +64,37 @@ class WordTokens:
         self.special = {t.content for t in self.whole.get_added_tokens_decoder().values()}
         letters = _byte_letters()
         self.letters = str.maketrans({chr(i): "".join(letters[b] for b in chr(i).encode()) for i in range(33, 256)})
+        # Words and pieces in use, and those of the generation before: what is
+        # still asked for moves to the new one, the rest goes.
         self.words: dict[bytes, bytes] = {}
+        self.old_words: dict[bytes, bytes] = {}
         self.pieces: dict[str, bytes] = {}
+        self.old_pieces: dict[str, bytes] = {}
 
     def _piece(self, piece: str) -> bytes:
         ids = self.pieces.get(piece)
         if ids is None:
-            if len(self.pieces) >= CACHE_ENTRIES:
-                self.pieces.clear()
-            ids = array("I", [t.id for t in self.model.tokenize(piece.translate(self.letters))]).tobytes()
+            if len(self.pieces) >= CACHE_PIECES:
+                self.old_pieces, self.pieces = self.pieces, {}
+            ids = self.old_pieces.get(piece)
+            if ids is None:
+                ids = array("I", [t.id for t in self.model.tokenize(piece.translate(self.letters))]).tobytes()
             self.pieces[piece] = ids
         return ids
 
     def _word(self, word: bytes) -> bytes:
+        if len(self.words) >= CACHE_WORDS:
+            self.old_words, self.words = self.words, {}
+        ids = self.words.get(word) or self.old_words.get(word)
+        if ids is not None:
+            self.words[word] = ids
+            return ids
         text = word.decode()
         if _SIMPLE.fullmatch(text) and not any(s in text for s in self.special):
             ids = b"".join([self._piece(p) for p in _PIECE.findall(text.lower())])
         else:
             ids = array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
         if len(word) <= 64:
-            if len(self.words) >= CACHE_ENTRIES:
-                self.words.clear()
             self.words[word] = ids
         return ids
 
