@@ -36,21 +36,32 @@ SYLLABLES = {"latin": ("ba", "de", "fi", "go", "ha", "ki", "lo", "mu", "na", "pe
 _NAME = r"\p{Lu}[\p{Ll}\p{M}'’-]+"
 _ALL_TITLES = "|".join(t for ts in TITLES.values() for t in ts)
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
+_IP = rf"(?:{_OCTET}\.){{3}}{_OCTET}(?![\d]|\.\d)"
+_IP6 = r"(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])"
+_CARD = r"\d{4}(?:[ -]?\d{4}){2}[ -]?\d{1,7}(?![\d-])"
+_LOCAL = r"\d{3}[.-]\d{3}[.-]\d{4}(?![\d-])"
+_SSN = r"\d{3}-\d{2}-\d{4}(?![\d-])"
+#: After a blank, a group that begins one of these is no part of the number before it.
+_OWN = rf"(?! (?:{_IP}|{_IP6}|{_LOCAL}|{_SSN}))"
+#: Announced credentials; the credential word may end a longer name (client_secret).
+_ANNOUNCED = (r"(?<=(?i:token|secret|password|passwd|pwd|api.?key|access.?key)[\"']{0,1}\s{0,3}[:=]\s{0,3}[\"']{0,1})"
+              r"[A-Za-z0-9_\-/+=.]{8,}")
 
 #: (type, pattern), in order: at a place the first that matches counts.
 PATTERNS = (
     ("email", r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}"),
-    ("secret", r"(?<=\b(?i:token|secret|password|passwd|pwd|api.?key|access.?key)[\"']{0,1}\s{0,3}[:=]\s{0,3}[\"']{0,1})"
-               r"[A-Za-z0-9_\-/+=.]{8,}"),
+    ("secret", _ANNOUNCED),
     ("secret", r"\b(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,}|xox[abp]-[A-Za-z0-9-]{10,})"),
-    ("iban", r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b"),
-    ("ip", rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?![\d]|\.\d)"),
-    ("ip6", r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])"),
-    ("card", r"(?<![\d.-])\d{4}(?:[ -]?\d{4}){2}[ -]?\d{1,7}(?![\d-])"),
-    ("phone", r"(?<![\d\p{L}])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}(?!\d)"),
+    ("iban", rf"\b[A-Z]{{2}}\d{{2}}(?:{_OWN} ?[A-Z0-9]{{4}}){{3,7}}(?:{_OWN} ?[A-Z0-9]{{1,3}})?\b"),
+    ("ip", rf"(?<![\d.]){_IP}"),
+    ("ip6", rf"(?<![0-9A-Fa-f:]){_IP6}"),
+    ("card", rf"(?<![\d.-]){_CARD}"),
+    # a number of +1 has ten digits, whatever follows
+    ("phone", r"(?<![\d\p{L}])\+1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}(?!\d)"),
+    ("phone", rf"(?<![\d\p{{L}}])\+\d{{1,3}}[ .-]?(?:\(\d{{1,4}}\)|\d{{1,4}})(?:{_OWN}(?! {_CARD})[ .-]?\d{{2,4}}){{2,4}}(?!\d)"),
     ("phone", r"(?<![\d\p{L}])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)"),
-    ("phone", r"(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-])"),
-    ("ssn", r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"),
+    ("phone", rf"(?<![\d.-]){_LOCAL}"),
+    ("ssn", rf"(?<![\d-]){_SSN}"),
     ("person", rf"(?<![\p{{L}}\p{{N}}])(?:{_ALL_TITLES})\.? {_NAME}(?: {_NAME})?"),
 )
 TYPES = tuple(dict.fromkeys(t for t, _ in PATTERNS))
@@ -68,7 +79,7 @@ def kind_of(entity: Column) -> Column:
     A credential found by its announcement fits none and is the rest."""
     out = F.lit("secret")
     for name, pattern in reversed(PATTERNS):
-        if not pattern.startswith("(?<=\\b(?i:"):
+        if pattern != _ANNOUNCED:
             out = F.when(entity.rlike(f"^(?:{pattern})$"), F.lit(name)).otherwise(out)
     return out
 

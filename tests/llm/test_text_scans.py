@@ -125,6 +125,33 @@ def test_surrogates(spark):
     assert surrogates.replace_private(empty_docs(spark), "key").count() == 0
 
 
+NEIGHBOURS = {
+    30: ("+1 (826) 555-4081 190.137.223.204", ["+1 (826) 555-4081", "190.137.223.204"]),
+    31: ("call +1 (826) 555-4081 2024 times", ["+1 (826) 555-4081"]),
+    32: ("+1 (826) 555-4081 4111 1111 1111 1111", ["+1 (826) 555-4081", "4111 1111 1111 1111"]),
+    33: ("+44 20 7946 0958 190.137.223.204", ["+44 20 7946 0958", "190.137.223.204"]),
+    34: ("+442071838750 123-45-6789", ["+442071838750", "123-45-6789"]),
+    35: ("ES91 2100 0418 4502 0005 1332 190.137.223.204", ["ES91 2100 0418 4502 0005 1332", "190.137.223.204"]),
+    36: ("access_token = k3Jd93kLm2", ["k3Jd93kLm2"]),
+    37: ("client_secret: 'q8Zr71bVx0'", ["q8Zr71bVx0"]),
+    38: ("export DB_PASSWORD=hunter2hunter2", ["hunter2hunter2"]),
+    39: ("myApiKey: a1b2c3d4e5 and DE89 3704 0044 0532 0130 00", ["a1b2c3d4e5", "DE89 3704 0044 0532 0130 00"]),
+}
+
+
+def test_neighbouring_numbers_and_prefixed_credentials(spark):
+    docs = docs_frame(spark, [(i, t, "a") for i, (t, _) in NEIGHBOURS.items()])
+    got = {r["doc_id"]: r for r in surrogates.replace_private(docs, "key").collect()}
+    for i, (text, private) in NEIGHBOURS.items():
+        gaps = re.split("|".join(map(re.escape, private)), text)
+        assert got[i]["n_entities"] == len(private), (i, got[i])
+        assert re.fullmatch("(.+)".join(map(re.escape, gaps)), got[i]["text"]), (i, got[i])
+        assert not any(p in got[i]["text"] for p in private), (i, got[i])
+    phones = [re.sub(r"\D", "", got[i]["entities"][0]["surrogate"]) for i in (30, 31, 32)]
+    assert len(set(phones)) == 1
+    assert got[30]["entities"][1]["surrogate"] == got[33]["entities"][1]["surrogate"] == got[35]["entities"][1]["surrogate"]
+
+
 def test_surrogates_stay_distinct_when_the_space_is_small(spark):
     """All two-letter local parts of one site: drawn surrogates collide and
     hit existing addresses, and are drawn again until none does."""
