@@ -84,39 +84,53 @@ def _retain(length: int, key: int):
     return run
 
 
-def _batch(gram, ids, starts):
+def _batch(gram, ids, starts, heads):
     return pa.record_batch({"gram": pa.array(np.concatenate(gram)), "id": pa.array(np.concatenate(ids)),
-                            "start": pa.array(np.concatenate(starts))})
+                            "start": pa.array(np.concatenate(starts)), "head": pa.array(np.concatenate(heads))})
+
+
+def _heads(gram: np.ndarray, start: np.ndarray, length: int) -> np.ndarray:
+    """Whether a stretch stands at the first place of its words in the text;
+    places that overlap the first one count with it."""
+    _, at, back = np.unique(gram, return_index=True, return_inverse=True)
+    return start < start[at][back] + length
 
 
 def _stretches(length: int, key: int):
     def run(batches):
         for batch in batches:
-            gram, ids, starts, size = [], [], [], 0
+            gram, ids, starts, heads, size = [], [], [], [], 0
             for doc, text, places in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
                 w = Words(text.as_py())
                 start = np.flatnonzero(np.isin(w.selected(length, key), np.asarray(places.as_py())))
                 gram.append(w.grams(length)[start].view(np.int64))
                 ids.append(np.full(len(start), doc, np.int64))
                 starts.append(start.astype(np.int32))
+                heads.append(_heads(gram[-1], start, length))
                 size += len(start)
                 if size > 100_000:
-                    yield _batch(gram, ids, starts)
-                    gram, ids, starts, size = [], [], [], 0
+                    yield _batch(gram, ids, starts, heads)
+                    gram, ids, starts, heads, size = [], [], [], [], 0
             if size:
-                yield _batch(gram, ids, starts)
+                yield _batch(gram, ids, starts, heads)
     return run
 
 
 def _grown(length: int):
-    """Starts of repeated stretches, grown together into passages."""
+    """Starts of repeated stretches, grown together into passages. In a text
+    that has whole copies every stretch is repeated, first unless told
+    otherwise."""
     def run(batches):
         for batch in batches:
             out = {"print": [], "start_word": [], "end_word": [], "first": []}
-            for print_, starts in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            for print_, n, copies, starts in zip(*(batch.column(i).to_pylist() for i in range(3)), batch.column(3), strict=True):
                 rows = sorted((r["start"], r["first"]) for r in starts.as_py())
                 s = np.array([r[0] for r in rows])
                 f = np.array([r[1] for r in rows])
+                if copies > 1:
+                    every = np.ones(max(n - length, s[-1]) + 1, bool)
+                    every[s] = f
+                    s, f = np.arange(len(every)), every
                 cuts = np.flatnonzero((np.diff(s) > length) | (np.diff(f.astype(int)) != 0)) + 1
                 for part, own in zip(np.split(s, cuts), np.split(f, cuts), strict=True):
                     out["print"].append(print_)
@@ -137,10 +151,12 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text: str = "text
 
     Words are runs without ASCII white space, numbered from 0; the passage
     is [start_word, end_word) and can't be longer. ``first`` tells whether
-    it stands in the document with the smallest id that has it (inside one
-    document: at its first place); where that changes, the passage is cut.
-    A document whose words are those of another one is one passage as a
-    whole. Texts of fewer words (null, empty) have none, and documents
+    it stands at its first place (places overlapping it included) in the
+    document with the smallest id that has it; where that changes, the
+    passage is cut. A document whose words are those of one with a smaller
+    id is one passage as a whole, not first; of the one with the smallest id
+    all words are repeated, and those passages that stand in still smaller
+    ids are not first. Texts of fewer words (null, empty) have none, and documents
     without a repeated passage have no row. Rows repeating an id are copies
     of each other if their texts are. Ids are integers; rows with a null id
     take no part. An empty table gives an empty result; other columns are
@@ -149,29 +165,30 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text: str = "text
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).cast("binary").alias("t")).filter("id is not null")
     kept = shared_table(rows.mapInArrow(
         _retain(length, key), "id long, print long, n long, keys array<long>, places array<int>").filter(f"n >= {length}"))
-    same = kept.groupBy("print").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"))
+    same = kept.groupBy("print").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.min("n").alias("n"))
     suffixes = kept.select("print", F.explode(F.arrays_zip("keys", "places")).alias("s")).select(
         "print", F.col("s.keys").alias("key"), F.col("s.places").alias("place"))
     at = F.xxhash64("print", "place")
     runs = suffixes.groupBy("key").agg(F.min(at).alias("lo"), F.max(at).alias("hi")).filter("lo <> hi").select("key")
     found = suffixes.join(runs, "key", "left_semi").groupBy("print").agg(F.collect_set("place").alias("places"))
-    found = materialise(found.join(same, "print").select(F.col("rep").alias("id"), "print", "places", "copies"))
+    found = materialise(found.join(same, "print").select(F.col("rep").alias("id"), "print", "places", "copies", "n"))
     texts = rows_named(rows, "id", found.select("id")).dropDuplicates(["id"])
     grams = shared_table(texts.join(found.select("id", "places"), "id").select("id", "t", "places").mapInArrow(
-        _stretches(length, key), "gram long, id long, start int"))
+        _stretches(length, key), "gram long, id long, start int, head boolean"))
     repeated = grams.groupBy("gram").agg(
         F.min("id").alias("lo"), F.max("id").alias("hi"), F.min("start").alias("from"), F.max("start").alias("to")) \
         .filter("lo <> hi or from <> to")
     starts = grams.join(repeated, "gram").groupBy("id").agg(F.collect_list(F.struct(
-        "start", F.when(F.col("lo") == F.col("hi"), F.col("start") == F.col("from"))
-        .otherwise(F.col("id") == F.col("lo")).alias("first"))).alias("starts"))
-    spans = starts.join(found.select("id", "print"), "id").select("print", "starts").mapInArrow(
+        "start", ((F.col("id") == F.col("lo")) & F.col("head")).alias("first"))).alias("starts"))
+    spans = starts.join(found.select("id", "print", "n", "copies"), "id").select("print", "n", "copies", "starts").mapInArrow(
         _grown(length), "print long, start_word long, end_word long, first boolean")
-    info = kept.select("id", "print", "n").join(same, "print")
-    whole = info.filter("copies > 1").select(
-        F.col("id").alias("doc_id"), F.lit(0).cast("long").alias("start_word"), F.col("n").alias("end_word"),
-        (F.col("id") == F.col("rep")).alias("first"))
-    part = info.filter("copies = 1").join(spans, "print").select(F.col("id").alias("doc_id"), "start_word", "end_word", "first")
+    info = kept.select("id", "print", "n").join(same.drop("n"), "print")
+    whole = info.filter("id <> rep").select(
+        F.col("id").alias("doc_id"), F.lit(0).cast("long").alias("start_word"), F.col("n").alias("end_word"), F.lit(False).alias("first"))
+    # a text with copies but no passage of its own is first as a whole
+    part = info.filter("id = rep").join(spans, "print", "left").filter("copies > 1 or start_word is not null").select(
+        F.col("id").alias("doc_id"), F.coalesce("start_word", F.lit(0).cast("long")).alias("start_word"),
+        F.coalesce("end_word", "n").alias("end_word"), F.coalesce("first", F.lit(True)).alias("first"))
     return whole.unionByName(part).withColumn("n_words", F.col("end_word") - F.col("start_word")).select(
         "doc_id", "start_word", "end_word", "n_words", "first")
 

@@ -201,6 +201,32 @@ def test_removing_repeats_leaves_one_copy(spark):
         assert out[i].split() == rows[i - 1][1].split()[:60] + rows[i - 1][1].split()[130:]
 
 
+def test_first_is_one_place_with_copies_and_repeats_inside(spark):
+    rng = random.Random(9)
+    p, q = words(rng, 70), words(rng, 60)
+    own = {i: (words(rng, 60), words(rng, 60)) for i in (1, 5, 7, 9, 11)}
+    text = {i: a + p + b for i, (a, b) in own.items()}
+    text[1] = own[1][0] + p + own[1][1] + p  # twice in the first document
+    text[9] = own[9][0]                      # copies without a passage
+    text[11] = ["-"] * 300                   # overlaps itself
+    text[12] = q + ["-"] * 200
+    text |= {6: text[5], 8: text[7], 10: text[9]}
+    docs = docs_frame(spark, [(i, " ".join(t), "s") for i, t in text.items()])
+    rows = collections.defaultdict(list)
+    for r in suffix_dedup.repeated_passages(docs).collect():
+        rows[r["doc_id"]].append((r["start_word"], r["end_word"], r["first"]))
+    assert sorted(rows[1]) == [(60, 130, True), (190, 260, False)]
+    for i in (5, 7):
+        assert sorted(rows[i]) == [(0, 109, True), (60, 130, False), (81, 190, True)]
+        assert rows[i + 1] == [(0, 190, False)]
+    assert rows[9] == [(0, 60, True)] and rows[10] == [(0, 60, False)]
+    out = {r["doc_id"]: r["text"].split() for r in suffix_dedup.remove_repeats(docs).collect()}
+    assert out[1] == own[1][0] + p + own[1][1]
+    assert out[5] == own[5][0] + own[5][1] and out[7] == own[7][0] + own[7][1] and out[9] == own[9][0]
+    assert out[6] == out[8] == out[10] == []
+    assert out[11] == ["-"] * 50 and out[12] == q
+
+
 def test_every_stretch_holds_a_retained_suffix():
     rng = random.Random(8)
     w = suffix_dedup.Words(" ".join(words(rng, 500, 30)).encode())
