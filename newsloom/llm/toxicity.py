@@ -11,8 +11,10 @@ frequent in toxic training documents than in others: 0 not toxic; 1 toxic;
 
 Features are the selected marker terms, whole lower-cased words and word
 beginnings of five letters, present or not and how often (logarithm of the
-count). The model is fitted on at most ``MAX_TRAIN`` labelled documents;
-every document is scored on its whole text.
+count). The model is fitted on at most ``MAX_TRAIN`` labelled documents; a
+sampled class is weighted by its inverse sampling rate, so that the decision
+is that of the natural share of toxic documents. Every document is scored on
+its whole text.
 """
 
 from __future__ import annotations
@@ -66,16 +68,18 @@ def _strength(count):
 
 
 def fit(rows, cols, counts, grades: np.ndarray, features: int,
-        rounds: int = ROUNDS, penalty: float = PENALTY) -> tuple[np.ndarray, np.ndarray]:
+        rounds: int = ROUNDS, penalty: float = PENALTY, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Weights and thresholds by gradient descent (Adam) on the penalised
-    log likelihood. Thresholds are a first one and positive steps."""
+    log likelihood, in which every row counts ``weight`` (1). Thresholds are
+    a first one and positive steps."""
     n, levels = len(grades), int(grades.max()) if len(grades) else 0
     if not n or not levels:
         return np.zeros(features), np.full(1, 6.0)
     r, c = np.asarray(rows, np.int64), np.asarray(cols, np.int64)
     x = _strength(np.asarray(counts, float)) if len(r) else np.zeros(0)
     above = np.stack([grades > j for j in range(levels)], axis=1)
-    share = above.mean(axis=0).clip(1e-3, 1 - 1e-3)
+    scale = np.ones(n) if weight is None else np.asarray(weight, float) * (n / np.sum(weight))
+    share = (above * scale[:, None]).mean(axis=0).clip(1e-3, 1 - 1e-3)
     first = -np.log(share / (1 - share))
     theta = np.concatenate([first[:1], np.log(np.maximum(np.diff(first), 0.1))])
     params = np.concatenate([np.zeros(features), theta])
@@ -89,8 +93,8 @@ def fit(rows, cols, counts, grades: np.ndarray, features: int,
         edge = np.concatenate([np.ones((n, 1)), p, np.zeros((n, 1))], axis=1)
         upper, lower = edge[np.arange(n), grades], edge[np.arange(n), grades + 1]
         prob = np.maximum(upper - lower, 1e-9)
-        du = np.where(grades > 0, upper * (1 - upper), 0) / prob
-        dl = np.where(grades < levels, lower * (1 - lower), 0) / prob
+        du = scale * np.where(grades > 0, upper * (1 - upper), 0) / prob
+        dl = scale * np.where(grades < levels, lower * (1 - lower), 0) / prob
         gw = -np.bincount(c, weights=(du - dl)[r] * x, minlength=features) / n + penalty * w / math.sqrt(n)
         gc = np.zeros(levels)
         np.add.at(gc, grades[grades > 0] - 1, du[grades > 0])
@@ -110,8 +114,8 @@ def _train_rows(batches):
             found = term_counts(text.as_py())
             terms.append(list(found))
             counts.append(list(found.values()))
-        yield pa.record_batch({"row": batch.column(0), "toxic": batch.column(1), "terms": pa.array(terms, pa.list_(pa.string())),
-                               "counts": pa.array(counts, pa.list_(pa.int32()))})
+        yield pa.record_batch({"row": batch.column(0), "toxic": batch.column(1), "weight": batch.column(3),
+                               "terms": pa.array(terms, pa.list_(pa.string())), "counts": pa.array(counts, pa.list_(pa.int32()))})
 
 
 def _columns(df: DataFrame) -> dict[str, np.ndarray]:
@@ -121,19 +125,21 @@ def _columns(df: DataFrame) -> dict[str, np.ndarray]:
 
 def sample_labels(labels: DataFrame, max_rows: int, id_col: str = "doc_id", toxic: str = "toxic") -> DataFrame:
     """At most about ``max_rows`` labelled ids, half of them of either class,
-    chosen by a hash of the id. Rows without id or label are left out; a
-    repeated id counts as toxic if any of its rows is."""
+    chosen by a hash of the id; ``_weight`` is the inverse sampling rate of
+    the class. Rows without id or label are left out; a repeated id counts
+    as toxic if any of its rows is."""
     one = labels.filter(F.col(id_col).isNotNull() & F.col(toxic).isNotNull()).groupBy(
         F.col(id_col).alias("_id")).agg(F.max((F.col(toxic).cast("int") > 0).cast("int")).alias("_toxic"))
     one = materialise(one)
     sizes = {r["_toxic"]: r["n"] for r in one.groupBy("_toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     total = sum(sizes.values())
     if total <= max_rows:
-        return one
+        return one.withColumn("_weight", F.lit(1.0))
     toxic_rows = min(sizes.get(1, 0), max_rows // 2)
-    share = {1: toxic_rows / max(1, sizes.get(1, 0)), 0: (max_rows - toxic_rows) / max(1, sizes.get(0, 0))}
+    share = {1: toxic_rows / max(1, sizes.get(1, 0)), 0: min(1.0, (max_rows - toxic_rows) / max(1, sizes.get(0, 0)))}
     place = F.pmod(F.xxhash64("_id"), F.lit(1 << 30)) / float(1 << 30)
-    return one.filter(place < F.when(F.col("_toxic") == 1, share[1]).otherwise(share[0]))
+    rate = F.when(F.col("_toxic") == 1, share[1]).otherwise(share[0])
+    return one.filter(place < rate).withColumn("_weight", 1 / rate)
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", toxic: str = "toxic",
@@ -146,9 +152,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
     # the sample is bounded by max_rows
     joined = docs.select(F.col(id_col).alias("_id"), F.col(text).alias("_text")).join(F.broadcast(sample), "_id")
     unique = joined.groupBy(F.xxhash64("_text").alias("_h")).agg(
-        F.max("_toxic").alias("_toxic"), F.first("_text").alias("_text"))
-    rows = materialise(unique.select("_h", "_toxic", "_text").mapInArrow(
-        _train_rows, "row long, toxic int, terms array<string>, counts array<int>"))
+        F.max("_toxic").alias("_toxic"), F.first("_text").alias("_text"), F.max_by("_weight", "_toxic").alias("_weight"))
+    rows = materialise(unique.select("_h", "_toxic", "_text", "_weight").mapInArrow(
+        _train_rows, "row long, toxic int, weight double, terms array<string>, counts array<int>"))
     sizes = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
     if not n1 or not n0:
@@ -169,16 +175,16 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
             .join(F.broadcast(known), "term", "left").filter("number is not null")
             .select("row", "number", "n", (~F.col("term").endswith("*")).alias("word")))
     # columns of numbers, in a fixed order: a few bytes for each occurrence
-    at = _columns(rows.select("row", "toxic"))
+    at = _columns(rows.select("row", "toxic", "weight"))
     order = np.argsort(at["row"])
-    names, toxic_rows = at["row"][order], at["toxic"][order]
+    names, toxic_rows, weight = at["row"][order], at["toxic"][order], at["weight"][order]
     hit = _columns(hits)
     place = np.searchsorted(names, hit["row"])
     order = np.lexsort((hit["number"], place))
     place, number, count, word = place[order], hit["number"][order], hit["n"][order], hit["word"][order]
     markers = np.bincount(place, weights=np.where(word, count, 0), minlength=len(names))
     grades = np.where(toxic_rows > 0, 1 + sum((markers >= s).astype(int) for s in GRADE_STEPS), 0)
-    weights, thresholds = fit(place, number, count, grades, len(terms))
+    weights, thresholds = fit(place, number, count, grades, len(terms), weight=weight)
     return Model(terms, weights, thresholds)
 
 

@@ -217,6 +217,29 @@ def test_training_sample_is_bounded(spark):
     assert sum(sizes.values()) < 1200 and abs(sizes[1] - 500) < 120
 
 
+def test_sampled_classes_decide_alike(spark):
+    """A tenth is toxic; one strong marker, and a weak one that a third of
+    its documents justify: the decision doesn't depend on the sample."""
+    rng = random.Random(5)
+    rows, labels = [], []
+    for i in range(4000):
+        text, toxic = words(rng, 20, 400), i % 10 == 0
+        if rng.random() < (0.6 if toxic else 0.15):
+            text.append("dubious")
+        if toxic and rng.random() < 0.6:
+            text += ["moron"] * rng.randrange(1, 12)
+        rows.append((i, " ".join(text), "s"))
+        labels.append((i, int(toxic)))
+    docs, marked = docs_frame(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int")
+    weak = {i for i, t, _ in rows if "dubious" in t and "moron" not in t}
+    strong = {i for i, t, _ in rows if "moron" in t}
+    for max_rows in (10_000, 800):
+        model = toxicity.train(docs, marked, max_rows=max_rows)
+        bad = {i for i, t, _ in rows if toxicity.severity(model, t)[2] >= 0.5}
+        assert len(bad & weak) <= 0.05 * len(weak) and len(bad & strong) >= 0.95 * len(strong), max_rows
+        assert len(bad - weak - strong) <= 20
+
+
 def test_shared_weights_order_the_grades():
     grades = np.array([0] * 50 + [1] * 20 + [2] * 20 + [3] * 20)
     rows = list(range(50, 110))
