@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import components, materialise, rows_named, shared_table
+from newsloom.llm.common import WORD, components, materialise, rows_named, shared_table
 
 SHINGLE = 5
 THRESHOLD = 75  # per cent
@@ -94,7 +94,7 @@ def _sign(permutations: int, k: int):
                 bands.append(_mix(sig.reshape(-1, BAND) @ _PLACE[:BAND]).view(np.int64))
                 sketch.append((_mix(sig) & np.uint64(0xFFFF)).astype("<u2").tobytes())
             yield pa.record_batch({
-                "id": batch.column(0), "n": pa.array(count, pa.int64()), "print": pa.array(prints, pa.binary()),
+                "id": batch.column(0), "h": batch.column(2), "n": pa.array(count, pa.int64()), "print": pa.array(prints, pa.binary()),
                 "bands": pa.array(bands, pa.list_(pa.int64())), "sketch": pa.array(sketch, pa.binary())})
     return run
 
@@ -307,41 +307,61 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     Documents are linked where 100 * |intersection| >= threshold * |union| of
     their distinct k-word shingles; component_id is the smallest id
     reachable. Texts without words (null, empty, blank) have an empty set and
-    no link. Rows with equal sets are one candidate, their smallest id; rows
-    repeating an id are all marked alike. Ids are integers; a row with a null
-    id takes no part and comes back with a null component, not kept. An
-    empty table gives an empty result; other columns are not read.
+    no link. Rows with equal sets are one candidate. Rows that repeat an id
+    with the same text are marked alike; with different texts each is linked
+    and marked by its own text, and of linked ones one text is kept. Ids are
+    integers; a row with a null id takes no part and comes back with a null
+    component, not kept (``keep_one`` keeps it). An empty table gives an
+    empty result; other columns are not read.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).cast("binary").alias("t"))
+    marks = _marked(docs, id_col, text, threshold, k, permutations, block, False)
+    return marks.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("c").alias("component_id"),
+                        (F.col("kept") & F.col("id").isNotNull()).alias("kept"))
+
+
+def _hash(text: str):
+    """What names a text: 64 bits of its bytes. Ids may be null or repeated."""
+    return F.xxhash64(F.col(text).cast("binary"))
+
+
+def _marked(docs, id_col, text, threshold, k, permutations, block, nulls) -> DataFrame:
+    """One row per row of ``docs``: id, h (the text's hash), n, c (smallest id
+    of the component), kept. The kept text of a component is that of its
+    smallest id, the smallest hash among several. With ``nulls`` rows
+    without id are linked too; without, they have no component."""
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).cast("binary").alias("t"), _hash(text).alias("h"))
     signed = materialise(rows.mapInArrow(_sign(permutations, k),
-                                         "id long, n long, print binary, bands array<long>, sketch binary"))
-    prints = signed.filter("print is not null and id is not null")
-    smallest = prints.groupBy("print").agg(F.min("id").alias("rep"))
+                                         "id long, h long, n long, print binary, bands array<long>, sketch binary"))
+    prints = signed.filter("print is not null" if nulls else "print is not null and id is not null")
+    # rows without id come last
+    low = F.min(F.struct(F.col("id").isNull().alias("null"), "id", "h")).alias("low")
+    smallest = materialise(prints.groupBy("print").agg(low).select("print", "low", F.col("low.h").alias("rep")))
     # one row per distinct set; its bands come from the row that stands for it
     reps = materialise(prints.join(smallest.select(F.col("print").alias("_p"), "rep"),
-                        (F.col("print") == F.col("_p")) & (F.col("id") == F.col("rep")), "left_semi")
-            .dropDuplicates(["id"]).select(F.col("id").alias("rep"), "n", "bands", "sketch"))
+                        (F.col("print") == F.col("_p")) & (F.col("h") == F.col("rep")), "left_semi")
+            .dropDuplicates(["h"]).select(F.col("h").alias("rep"), "n", "bands", "sketch"))
     placed = reps.select("rep", F.posexplode("bands").alias("band", "hash"))
     shared = placed.groupBy("band", "hash").agg(F.min("rep").alias("center"), F.max("rep").alias("last")) \
                    .filter("center <> last").drop("last")
     buckets = materialise(placed.join(shared, ["band", "hash"]))
-    edges = _first_links(docs, buckets, id_col, text, threshold, k)
+    edges = _first_links(docs, buckets, text, threshold, k)
     labels = components(edges)
-    links = _family_links(docs, buckets.drop("center"), reps, labels, id_col, text, threshold, k, block)
+    links = _family_links(docs, buckets.drop("center"), reps, labels, text, threshold, k, block)
     if links.limit(1).count():
         labels = components(edges.unionByName(links))
-    of_print = smallest.join(labels.select(F.col("id").alias("rep"), "component"), "rep", "left").select(
-        F.col("print").alias("_p"), F.coalesce("component", "rep").alias("_component"))
-    joined = signed.filter("print is not null").select("id", "n", "print").join(
+    placed = smallest.join(labels.select(F.col("id").alias("rep"), "component"), "rep", "left")
+    lows = placed.filter("component is not null").groupBy("component").agg(F.min("low").alias("_all"))
+    of_print = placed.join(lows, "component", "left").select(
+        F.col("print").alias("_p"), F.coalesce("_all", "low").alias("_low"))
+    joined = signed.filter("print is not null").select("id", "h", "n", "print").join(
         of_print, F.col("print") == F.col("_p"), "left").select(
-        "id", "n", F.when(F.col("id").isNotNull(), F.col("_component")).alias("c"))
-    empty = signed.filter("print is null").select("id", "n", F.col("id").alias("c"))
-    return joined.unionByName(empty).select(
-        F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("c").alias("component_id"),
-        F.coalesce(F.col("id") == F.col("c"), F.lit(False)).alias("kept"))
+        "id", "h", "n", F.when(F.col("id").isNotNull() | F.lit(nulls), F.col("_low.id")).alias("c"),
+        F.coalesce(F.col("id").eqNullSafe(F.col("_low.id")) & (F.col("h") == F.col("_low.h")), F.lit(False)).alias("kept"))
+    empty = signed.filter("print is null").select("id", "h", "n", F.col("id").alias("c"), F.lit(True).alias("kept"))
+    return joined.unionByName(empty)
 
 
-def _family_links(docs, buckets, reps, labels, id_col, text, threshold, k, block) -> DataFrame:
+def _family_links(docs, buckets, reps, labels, text, threshold, k, block) -> DataFrame:
     """All links between ``labels`` components that share a bucket, as few as
     join them within each block."""
     key = ["band", "hash", "i", "j"]
@@ -355,7 +375,7 @@ def _family_links(docs, buckets, reps, labels, id_col, text, threshold, k, block
             .withColumn("component", F.coalesce("component", "rep")).join(family, "component"))
     rows = materialise(rows)
     blocks = rows.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("nb"))
-    texts = _texts(docs, rows.select(F.col("rep").alias("k")), id_col, text)
+    texts = _texts(docs, rows.select(F.col("rep").alias("k")), text)
     placed = (rows.join(blocks, "family").join(texts.withColumnRenamed("k", "rep"), "rep")
               .withColumn("_p", F.pmod(F.xxhash64("rep"), F.col("nb")).cast("int")))
     last = F.col("nb") - 1
@@ -367,27 +387,27 @@ def _family_links(docs, buckets, reps, labels, id_col, text, threshold, k, block
         _test(threshold, k), "a long, b long"))
 
 
-def _texts(docs, ids, id_col, text) -> DataFrame:
-    """(k, t) of the documents with the materialised ``ids`` (k)."""
-    rows = docs.select(F.col(id_col).cast("long").alias("k"), F.col(text).cast("binary").alias("t"))
-    return shared_table(rows_named(rows, "k", ids).dropDuplicates(["k"]))
+def _texts(docs, hashes, text) -> DataFrame:
+    """(k, t) of the texts with the materialised ``hashes`` (k)."""
+    rows = docs.select(_hash(text).alias("k"), F.col(text).cast("binary").alias("t"))
+    return shared_table(rows_named(rows, "k", hashes).dropDuplicates(["k"]))
 
 
-def _first_links(docs, buckets, id_col, text, threshold, k) -> DataFrame:
+def _first_links(docs, buckets, text, threshold, k) -> DataFrame:
     """Each row of a bucket proposes the representative it shares most bands
     with; one candidate per document."""
     votes = buckets.filter("rep <> center").groupBy("rep", "center").agg(F.count(F.lit(1)).alias("v"))
     best = votes.groupBy("rep").agg(F.max(F.struct("v", (-F.col("center")).alias("c"))).alias("m"))
     pairs = materialise(best.select((-F.col("m.c")).alias("a"), F.col("rep").alias("b")))
-    return _verified(docs, pairs, id_col, text, threshold, k)
+    return _verified(docs, pairs, text, threshold, k)
 
 
-def _verified(docs, pairs, id_col, text, threshold, k) -> DataFrame:
+def _verified(docs, pairs, text, threshold, k) -> DataFrame:
     """The pairs (a, b) whose texts hold. Only texts named in a pair move."""
     if not pairs.limit(1).count():
         return pairs
     named = materialise(pairs.select(F.col("a").alias("k")).union(pairs.select(F.col("b").alias("k"))).distinct())
-    texts = _texts(docs, named, id_col, text)
+    texts = _texts(docs, named, text)
     both = (pairs.join(texts.select(F.col("k").alias("b"), F.col("t").alias("tb")), "b")
                  .join(texts.select(F.col("k").alias("a"), F.col("t").alias("ta")), "a"))
     return materialise(both.select("a", "b", "ta", "tb").sortWithinPartitions("a").mapInArrow(
@@ -395,8 +415,17 @@ def _verified(docs, pairs, id_col, text, threshold, k) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", threshold: int = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` whose id stands for its group; all columns."""
-    kept = materialise(near_duplicates(docs, id_col, text, threshold).filter("kept")
-                       .select(F.col("doc_id").alias("_k")).distinct())
-    keyed = docs.select(F.col(id_col).cast("long").alias("_k"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
-    return rows_named(keyed, "_k", kept).select("_row.*")
+    """The rows of ``docs`` that stand for their group; all columns. Rows
+    without id are linked too; where a group has no others, one row of its
+    smallest text hash stands for it. Texts without words all stay."""
+    marks = materialise(_marked(docs, id_col, text, threshold, SHINGLE, PERMUTATIONS, BLOCK, True).filter("kept"))
+    # id and text as one number; a row that stands for its group is never lost by an equal one
+    name = lambda i, h: F.xxhash64(i, h)
+    kept = materialise(marks.select(name(F.col("id"), F.col("h")).alias("_k")).distinct())
+    i = F.col(id_col).cast("long")
+    keyed = docs.select(name(i, _hash(text)).alias("_k"), (i.isNull() & F.coalesce(F.col(text).cast("string").rlike(WORD), F.lit(
+        False))).alias("_bare"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    out = rows_named(keyed, "_k", kept)
+    if marks.filter("id is null and n > 0").limit(1).count():
+        out = out.filter(~F.col("_bare")).unionByName(out.filter("_bare").dropDuplicates(["_k"]))
+    return out.select("_row.*")

@@ -127,6 +127,30 @@ def test_keep_one_has_one_row_a_group(spark):
     assert sorted(r["doc_id"] for r in out.collect()) == sorted(i for i, v in near_expected(rows).items() if v[2])
 
 
+def test_keep_one_with_null_and_repeated_ids(spark):
+    rng = random.Random(10)
+    base, other, lone, bare = (words(rng, 60) for _ in range(4))
+    near = [*base[:-1], "x"]
+    rows = [(1, " ".join(base), "a"), (None, " ".join(near), "b"),          # linked to 1: gone
+            (None, " ".join(lone), "c"), (None, " ".join(lone), "d"),       # one of both
+            (None, " ".join([*lone[:-1], "y"]), "e"),                       # linked to them
+            (None, " ".join(bare), "f"),                                    # alone
+            (None, None, "g"), (None, " ", "h"),                            # no words, no link
+            (5, " ".join(other), "i"), (5, " ".join(words(rng, 60)), "j"),  # one id, two texts
+            (5, " ".join([*other[:-1], "z"]), "k"),                         # linked to the first
+            (6, " ".join([*other[:-2], "z", "z"]), "l"),                    # linked to 5
+            (5, " ".join([*base[:-2], "v", "v"]), "m")]                     # linked to 1
+    docs = docs_frame(spark, rows)
+    out = minmax_dedup.keep_one(docs)
+    assert out.columns == docs.columns
+    got = [r["source"] for r in out.collect()]
+    assert len(got) == len(set(got))
+    assert {"a", "f", "g", "h", "j"} <= set(got) and not set(got) & set("blm")
+    assert len(set(got) & set("cde")) == 1 and len(set(got) & set("ik")) == 1 and len(got) == 7
+    marks = collections.Counter((r["doc_id"], r["component_id"], r["kept"]) for r in minmax_dedup.near_duplicates(docs).collect())
+    assert marks == {(1, 1, True): 1, (None, None, False): 7, (5, 5, True): 2, (5, 5, False): 1, (5, 1, False): 1, (6, 5, False): 1}
+
+
 def test_min_and_max_estimate_the_similarity():
     rng = random.Random(5)
     import numpy as np
