@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from newsloom.llm import bloom_dedup, graph_ann, license_scan, minmax_dedup, mixing, packing, suffix_dedup, surrogates, toxicity, warc
+from newsloom.llm import (bloom_dedup, dialogue_repair, graph_ann, license_scan, minmax_dedup, mixing, packing, quality_rules,
+                          suffix_dedup, surrogates, toxicity, warc, whitening)
 from newsloom.llm.common import table
 
 
@@ -140,6 +141,121 @@ def op8_surrogates(spark, sf_dir):
         "doc_id", "text", "n_entities", "kinds")
 
 
+def op11_bit_sliced_whitening(spark, sf_dir):
+    """All embeddings whitened on the exact covariance of the distinct ones."""
+    return whitening.whiten_table(table(spark, sf_dir, "embeddings"))
+
+
+def op12_quality_rules(spark, sf_dir):
+    """All documents measured and judged by the threshold table."""
+    return quality_rules.judge(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+OP12_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lang, coalesce(text, '') AS t FROM documents),
+w AS (
+  SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d),
+g AS (
+  SELECT rid, unnest(list_transform(range(1, len(w) - 6), lambda i: {'i': i, 'g': array_to_string(w[i:i + 7], ' ')}), recursive := true)
+  FROM w),
+r AS (SELECT rid, i FROM g QUALIFY count(*) OVER (PARTITION BY rid, g) > 1),
+c AS (
+  SELECT rid, CAST(sum(least(8, coalesce(nxt - i, 8))) AS BIGINT) AS n_repeat_words
+  FROM (SELECT rid, i, lead(i) OVER (PARTITION BY rid ORDER BY i) AS nxt FROM r) GROUP BY rid),
+m AS (
+  SELECT w.doc_id, w.lang, len(w) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+         length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+         len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(c.n_repeat_words, 0) AS n_repeat_words, len(l) AS n_lines,
+         len(list_filter(w, lambda x: list_contains(CASE lang
+           WHEN 'en' THEN ['the', 'of', 'and', 'to', 'a', 'in', 'is', 'that', 'it', 'for', 'was', 'on', 'with', 'as', 'be', 'by', 'are', 'this', 'at', 'from']
+           WHEN 'de' THEN ['der', 'die', 'und', 'in', 'den', 'von', 'zu', 'das', 'sich', 'mit', 'des', 'auf', 'für', 'ist', 'im', 'nicht', 'dem', 'ein', 'eine', 'als']
+           WHEN 'fr' THEN ['de', 'la', 'le', 'et', 'les', 'en', 'des', 'un', 'du', 'une', 'que', 'est', 'pour', 'par', 'dans', 'avec', 'qui', 'pas', 'sur', 'au']
+           WHEN 'es' THEN ['de', 'la', 'que', 'el', 'en', 'y', 'los', 'las', 'se', 'del', 'un', 'por', 'con', 'no', 'una', 'su', 'para', 'es', 'al', 'lo']
+           ELSE [] END, lower(x)))) AS n_stop_words,
+         len(list_filter(l, lambda x: regexp_matches(x, '^ *[-*\x{2022}]'))) AS n_bullet_lines,
+         len(list_filter(l, lambda x: regexp_matches(x, '(\.\.\.|\x{2026}) *$'))) AS n_cut_lines
+  FROM w LEFT JOIN c USING (rid)),
+b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND 100 * word_chars BETWEEN 200 * n_words AND 1500 * n_words AND 100 * n_symbols <= 25 * n_words
+         AND (coalesce(lang, '') NOT IN ('en', 'de', 'fr', 'es') OR 100 * n_stop_words >= n_words)
+         AND 100 * n_dup_lines <= 50 * n_lines AND 100 * n_bullet_lines <= 90 * n_lines
+         AND 100 * n_cut_lines <= 30 * n_lines AS kept
+FROM b
+"""
+
+
+def op13_dialogue_repair(spark, sf_dir):
+    """All conversations damaged, audited and repaired."""
+    return dialogue_repair.audit(table(spark, sf_dir, "conversations"))
+
+
+OP13_SQL = r"""
+WITH RECURSIVE src AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         xor(list_reduce(list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''),
+                                        lambda ch: ascii(ch)),
+             lambda c, b: list_reduce(range(8), lambda x, k: xor(x >> 1, 3988292384 * (x & 1)), xor(c, b)), 4294967295),
+             4294967295) % 20 AS pick
+  FROM conversations),
+dmg AS (
+  SELECT conv_id, turn, CASE WHEN pick = 4 THEN 'user' ELSE role END AS role,
+         CASE pick WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE WHEN pick = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM src WHERE pick <> 0),
+pos AS (
+  SELECT *, dense_rank() OVER (ORDER BY conv_id) AS c,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, encode(role), encode(text), copy) AS n,
+         regexp_replace(text, '[ 	-]+$', '') AS solid FROM dmg),
+rws AS (
+  SELECT c, conv_id, n, turn, role, text, substr(role, 1, 1) AS ini,
+         CASE WHEN solid = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY c, role, text ORDER BY n) > 1 THEN 'duplicate'
+              WHEN right(solid, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE 'none' END AS fault,
+         lag(ini) OVER (PARTITION BY c ORDER BY n) AS before
+  FROM pos),
+ins(st, k, mid, edits, cost, turns) AS (
+  VALUES ('E', 0, 'E', '', 0, []::VARCHAR[]), ('E', 1, 'U', 'I', 5, ['user:']), ('E', 2, 'A', 'II', 10, ['user:', 'assistant:']),
+         ('S', 0, 'S', '', 0, []), ('S', 1, 'U', 'I', 5, ['user:']), ('S', 2, 'A', 'II', 10, ['user:', 'assistant:']),
+         ('U', 0, 'U', '', 0, []), ('U', 1, 'A', 'I', 5, ['assistant:']),
+         ('A', 0, 'A', '', 0, []), ('A', 1, 'U', 'I', 5, ['user:'])),
+nxt(mid, want, after) AS (VALUES ('E', 'user', 'U'), ('S', 'user', 'U'), ('U', 'assistant', 'A'), ('A', 'user', 'U')),
+way AS (
+  SELECT r.c, r.n, i.st, i.edits || e.edit AS edits, i.turns || e.line AS turns,
+         i.cost + e.cost AS cost, e.after
+  FROM rws r CROSS JOIN ins i JOIN nxt x USING (mid),
+       LATERAL (SELECT 'D' AS edit, 2 AS cost, i.mid AS after, []::VARCHAR[] AS line
+                UNION ALL SELECT 'K', CASE WHEN r.fault = 'truncated' THEN 5 ELSE 0 END,
+                                 CASE WHEN r.ini = 's' THEN 'S' ELSE x.after END, [r.role || ':' || r.text]
+                WHERE r.fault NOT IN ('blank', 'duplicate') AND (r.ini = x.want[1] OR r.ini = 's' AND i.mid = 'E')
+                UNION ALL SELECT 'R', CASE WHEN r.fault = 'truncated' THEN 6 ELSE 1 END, x.after, [x.want || ':' || r.text]
+                WHERE r.fault NOT IN ('blank', 'duplicate')) e),
+walk AS (
+  SELECT DISTINCT c, CAST(0 AS BIGINT) AS n, 'E' AS st, 0 AS cost, '' AS audit, []::VARCHAR[] AS lines FROM rws
+  UNION ALL
+  SELECT c, n, st, cost, audit, lines FROM (
+    SELECT w.c, y.n, y.after AS st, w.cost + y.cost AS cost, w.audit || y.edits AS audit, w.lines || y.turns AS lines,
+           row_number() OVER (PARTITION BY w.c, y.after ORDER BY w.cost + y.cost, w.audit || y.edits) AS best
+    FROM walk w JOIN way y ON y.c = w.c AND y.n = w.n + 1 AND y.st = w.st) WHERE best = 1),
+fin AS (
+  SELECT w.c, w.cost + i.cost AS cost, w.audit || i.edits AS audit, w.lines || i.turns AS lines
+  FROM walk w JOIN (SELECT c, max(n) AS n FROM rws GROUP BY c) l USING (c, n) JOIN ins i ON i.st = w.st AND i.mid IN ('E', 'A')
+  QUALIFY row_number() OVER (PARTITION BY w.c ORDER BY w.cost + i.cost, w.audit || i.edits) = 1),
+tot AS (
+  SELECT c, any_value(conv_id) AS conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (before || ini NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM rws GROUP BY c)
+SELECT ids.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(cost, 0) AS BIGINT) AS cost,
+       coalesce(audit, '') AS audit, sha256(coalesce(array_to_string(lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) ids
+LEFT JOIN (tot JOIN fin USING (c)) f ON f.conv_id IS NOT DISTINCT FROM ids.conv_id
+"""
+
+
 QUERIES = {
     "op1_minmax_near_dedup": (op1_minmax_near_dedup, OP1_SQL),
     "op2_license_scan": (op2_license_scan, None),
@@ -151,6 +267,9 @@ QUERIES = {
     "op8_surrogates": (op8_surrogates, None),
     "op9_pruned_graph_ann": (op9_pruned_graph_ann, None),
     "op10_best_fit_packing": (op10_best_fit_packing, None),
+    "op11_bit_sliced_whitening": (op11_bit_sliced_whitening, None),
+    "op12_quality_rules": (op12_quality_rules, OP12_SQL),
+    "op13_dialogue_repair": (op13_dialogue_repair, OP13_SQL),
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
 
