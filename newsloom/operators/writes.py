@@ -68,6 +68,28 @@ def first_per_key(df: DataFrame, key: str | list[str], order: list[str]) -> Data
     return df.groupBy(*keys).agg(packed).select(*keys, "_first.*").select(*df.columns)
 
 
+#: Keys that a semi-join hands to every executor: at most so many, of so many
+#: characters together.
+BROADCAST_KEYS, BROADCAST_CHARS = 200_000, 16_000_000
+
+
+def rows_with_keys(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
+    """Rows of ``df`` whose ``on`` columns occur in ``keys`` (a null first key
+    occurs nowhere, other nulls are equal).
+    ``keys`` is read twice, so it should be cheap or written down: it is
+    measured first and broadcast if it is small, so that wide rows of ``df``
+    stay where they are; beyond that both sides are shuffled."""
+    chars = sum((F.coalesce(F.char_length(F.col(c).cast("string")), F.lit(0)) for c in on), F.lit(0))
+    head = keys.limit(BROADCAST_KEYS + 1).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(chars), F.lit(0)).alias("chars")).first()
+    small = head["n"] <= BROADCAST_KEYS and head["chars"] <= BROADCAST_CHARS
+    k = keys.select(*[F.col(c).alias(f"_key_{c}") for c in on])
+    same = [df[on[0]] == F.col(f"_key_{on[0]}"), *[df[c].eqNullSafe(F.col(f"_key_{c}")) for c in on[1:]]]
+    match = same[0]
+    for more in same[1:]:
+        match = match & more
+    return df.join(F.broadcast(k) if small else k, match, "left_semi")
+
+
 def insert_if_absent(existing: DataFrame, batch: DataFrame, key: str = "url",
                      *, order: list[str]) -> DataFrame:
     """Rows of ``batch`` to append: first occurrence per key inside the batch

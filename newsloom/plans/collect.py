@@ -1,8 +1,9 @@
 """Collect: landed feeds + landed pages -> new article rows and outcomes.
 
-catalogue -> entries -> link check -> default title -> reachability ->
-page fields (parsed on the page scan) -> date / image -> row contract ->
-first per url in catalogue order -> insert if absent.
+catalogue -> entries -> link check -> default title -> reachability (narrow
+columns of the landed pages) -> row contract -> first per url in catalogue
+order -> insert if absent -> page fields of the new urls only (parsed on the
+page scan) -> date / image.
 """
 
 from __future__ import annotations
@@ -34,20 +35,24 @@ class CollectResult:
         return article_rows(self.outcomes)
 
 
-def page_fields(pages: DataFrame, ref_date) -> DataFrame:
-    """Per url of the landed fetches, those of its latest one: ``url,
-    reachable, page_reason, published_day, bad_date, image_url``. Pages are
-    parsed where they are read and only the extracted fields are shuffled;
-    a fetch that failed is not parsed."""
+def page_fields(pages: DataFrame, ref_date, states: DataFrame | None = None) -> DataFrame:
+    """Per url, the fields of its latest landed fetch: ``url, published_day,
+    bad_date, image_url``, and without ``states`` also ``reachable,
+    page_reason``. Pages are parsed where they are read and only the extracted
+    fields are shuffled; a fetch that failed is not parsed. ``states``
+    (:func:`pages.fetch_states`): only the fetches that it names are parsed,
+    and only urls that answered have a row."""
+    when = [c for c in ("fetched_at",) if c in pages.columns]
+    fields = ["published_day", "bad_date", "image_url"]
+    if states is not None:
+        parsed = P.extract_fields(P.with_page_fields(P.pages_to_parse(pages, states)), ref_date)
+        return P.latest_fetch(parsed.select("url", *when, *fields)).select("url", *fields)
     ok = pages.withColumn("html", F.when(P.fetch_ok(), F.col("html")))
     parsed = P.extract_fields(P.with_page_fields(ok), ref_date)
-    last = P.latest_fetch(parsed.select(
-        "url", *[c for c in ("fetched_at",) if c in pages.columns], "http_status", "fetch_error",
-        "published_day", "bad_date", "image_url"))
+    last = P.latest_fetch(parsed.select("url", *when, "http_status", "fetch_error", *fields))
     reason = P.reject_reason()
     return (last.withColumn("_has_page", F.lit(True)).withColumn("page_reason", reason)
-            .select("url", F.col("page_reason").isNull().alias("reachable"), "page_reason",
-                    "published_day", "bad_date", "image_url"))
+            .select("url", F.col("page_reason").isNull().alias("reachable"), "page_reason", *fields))
 
 
 def collect(catalogue: DataFrame, landed_feeds: DataFrame, pages: DataFrame,
@@ -55,24 +60,30 @@ def collect(catalogue: DataFrame, landed_feeds: DataFrame, pages: DataFrame,
             materialise: bool = True) -> CollectResult:
     """Label every feed entry with one outcome: ``rejected`` (unknown or
     unreadable feed / contract), ``no_link``, ``unreachable``, ``conflict``
-    or ``inserted``. One labelled frame, no branch re-reads the input;
-    :func:`run_collect` materialises it once for both outputs.
-
-    With ``materialise`` (default) the joined entries are written once to
-    the shared checkpoint folder: choosing the first per url and labelling
-    the entries both read them."""
+    or ``inserted``. ``existing`` holds the table's urls.
+
+    The work follows what is new: of the landed pages, the narrow columns are
+    semi-joined with the batch's links; of the acceptable entries the first per
+    url is chosen and urls that the table has are taken out; only the pages of
+    the urls that are left are parsed. Published day and image are those of
+    inserted rows, null in others.
+
+    With ``materialise`` (default) the entries of the batch and the urls to
+    insert are written to the shared checkpoint folder, as several steps read
+    them; they hold links and titles, no page."""
+    keep = cut_lineage if materialise else (lambda df: df)
     cat = catalogue.select("feed_key", "source", "source_pos", "feed_pos", F.lit(True).alias("_known_feed"))
     # No broadcast hint: a catalogue built from configuration is tiny and AQE
     # broadcasts it after measuring it, while a catalogue derived from data
     # (one feed per site) may grow with the data and then stays a shuffle join.
-    ent = (FD.entries(landed_feeds).join(cat, "feed_key", "left")
-             .withColumns({"url": F.when(F.col("feed_ok") & FD.has_link(), F.col("link")),
-                           "title": FD.title_or_default()}))
+    ent = keep(FD.entries(landed_feeds).join(cat, "feed_key", "left").select(
+        "feed_key", *ORDER, "source", "feed_ok", "_known_feed",
+        F.when(F.col("feed_ok") & FD.has_link(), F.col("link")).alias("url"), FD.title_or_default().alias("title")))
     # Entries without a url have nothing to join; together they would be one
     # hot key.
-    info = page_fields(pages, ref_date)
-    linked = ent.filter(F.col("url").isNotNull()).join(info, "url", "left")
-    bare = ent.filter(F.col("url").isNull())
+    linked, bare = ent.filter(F.col("url").isNotNull()), ent.filter(F.col("url").isNull())
+    states = keep(P.fetch_states(pages, linked.select("url").distinct()))
+    gate = states.select("url", "reachable", "page_reason")
     reason = (F.when(F.col("_known_feed").isNull(), F.lit("unknown_feed"))
                .when(~F.col("feed_ok"), F.lit("bad_feed"))
                .when(F.col("url").isNull(), F.lit("no_link"))
@@ -83,27 +94,25 @@ def collect(catalogue: DataFrame, landed_feeds: DataFrame, pages: DataFrame,
               .when(F.col("url").isNull(), F.lit(S.OUTCOME_NO_LINK))
               .when(~F.coalesce("reachable", F.lit(False)), F.lit(S.OUTCOME_UNREACHABLE))
               .when(F.col("reason").isNotNull(), F.lit(S.OUTCOME_REJECTED)))
-    cand = (linked.unionByName(bare, allowMissingColumns=True)
-            .withColumns({"published_date": F.col("published_day").cast("timestamp_ntz"), "reason": reason})
-            .withColumn("_stage", stage)
-            .select("feed_key", *ORDER, "title", "url", "source", "published_date", "bad_date", "image_url",
-                    "reason", "_stage"))
-    if materialise:
-        cand = cut_lineage(cand)
-
-    # First per url among acceptable entries, then insert-if-absent.
+    cand = (linked.join(gate, "url", "left").unionByName(bare, allowMissingColumns=True)
+            .withColumn("reason", reason).withColumn("_stage", stage)
+            .select("feed_key", *ORDER, "title", "url", "source", "reason", "_stage"))
+
+    # First per url among acceptable entries, then insert-if-absent, then the
+    # pages of what is left.
     acceptable = cand.filter(F.col("_stage").isNull())
-    new = writes.insert_if_absent(existing, acceptable.select("url", *ORDER), "url", order=ORDER) \
-                .withColumn("_new", F.lit(True))
+    new = keep(writes.insert_if_absent(existing, acceptable.select("url", *ORDER), "url", order=ORDER))
+    info = page_fields(pages, ref_date, keep(states.join(new.select("url"), "url", "left_semi")))
+    found = new.join(info, "url", "left").withColumn("_new", F.lit(True))
     rest = cand.filter(F.col("_stage").isNotNull()).withColumn("outcome", F.col("_stage"))
-    labelled = acceptable.join(new, ["url", *ORDER], "left").withColumn(
+    labelled = acceptable.join(found, ["url", *ORDER], "left").withColumn(
         "outcome", F.when(F.col("_new"), F.lit(S.OUTCOME_INSERTED)).otherwise(F.lit(S.OUTCOME_CONFLICT))).drop("_new")
     stamp = ntz(now)
-    out = labelled.unionByName(rest).select(
+    out = labelled.unionByName(rest, allowMissingColumns=True).select(
         "feed_key", "run_id", "source_pos", "feed_pos", "entry_pos", "outcome", "reason",
         F.coalesce(F.col("bad_date"), F.lit(False)).alias("bad_date"),
         writes.article_id(F.col("url")).alias("id"), "title", "url", "source", "image_url",
-        F.lit(None).cast("string").alias("content"), "published_date",
+        F.lit(None).cast("string").alias("content"), F.col("published_day").cast("timestamp_ntz").alias("published_date"),
         F.lit(None).cast("string").alias("summary"),
         F.lit(None).cast("array<string>").alias("tags"),
         stamp.alias("created_at"), stamp.alias("updated_at"),

@@ -11,8 +11,9 @@ from newsloom.operators import writes
 from newsloom.plans import collect as C
 from newsloom.registered.base import ARTICLES_CTE
 from newsloom.registry import register
+from newsloom.session import cut_lineage
 from newsloom.sources import feeds as FD
-from newsloom.sources.tables import articles, order_feeds, page_feeds
+from newsloom.sources.tables import articles, order_feeds, page_feeds, read_table
 
 NOW = _dt.datetime(2026, 12, 1, 5, 0, 0)
 _CREATED = sql_ts("TIMESTAMP '2026-12-01 05:00:00'")
@@ -128,16 +129,79 @@ def c1_order_outcomes(spark, sf):
     return _orders(spark, sf).outcomes.groupBy("outcome", "reason").agg(F.count(F.lit(1)).alias("count"))
 
 
-@register("c1_refetched_pages", f"WITH {_ORDERS_CTE} SELECT url, true AS reachable, day AS published_day, "
-          "'https://img.example.org/o' || CAST(k AS VARCHAR) || '.png' AS image_url FROM o WHERE n = 7")
+@register("c1_refetched_pages", f"WITH {_ORDERS_CTE} SELECT url, n <> 6 AS reachable, CASE WHEN n <> 6 THEN day END AS published_day, "
+          "CASE WHEN n <> 6 THEN 'https://img.example.org/o' || CAST(k AS VARCHAR) || '.png' END AS image_url FROM o")
 def c1_refetched_pages(spark, sf):
-    """One row per url for the pages fetched twice, with the later fetch's
-    fields."""
-    pages = order_feeds(spark, sf)[2]
-    last = C.page_fields(pages, REF).filter(F.col("url").rlike("7$"))
+    """One row per url of all landed pages, with the fields of the later
+    fetch where a page was fetched twice."""
+    last = C.page_fields(order_feeds(spark, sf)[2], REF)
     return last.select("url", "reachable", F.col("published_day").cast("timestamp_ntz").alias("published_day"), "image_url")
 
 
+# -- two collects in sequence -------------------------------------------------
+NEXT_DAY = _dt.datetime(2026, 12, 2, 5, 0, 0)
+_NEXT = sql_ts("TIMESTAMP '2026-12-02 05:00:00'")
+_TWO_CTE = (_ORDERS_CTE + ", d AS (SELECT *, sha1('https://feeds.example.org/o/' || CAST(k AS VARCHAR))[1] < '8' AS early FROM o)")
+
+
+def _two_collects(spark, sf):
+    """Some feeds land on the first day, all of them (with other titles) on
+    the second; the second run meets the first one's urls."""
+    cat, landed, pages, known = order_feeds(spark, sf)
+    first = cut_lineage(C.collect(cat, landed.filter(F.substring("feed_key", 1, 1) < "8"), pages, known, NOW, REF).outcomes)
+    late = landed.select("feed_key", F.lit("r2").alias("run_id"), F.replace("body", F.lit("Order &"), F.lit("Late &")).alias("body"))
+    have = known.unionByName(C.article_rows(first).select("url"))
+    return first, C.collect(cat, late, pages, have, NEXT_DAY, REF).outcomes
+
+
+@register("i1_two_collects", f"WITH {_TWO_CTE} SELECT url, CASE WHEN early THEN 'Order & ' ELSE 'Late & ' END || CAST(k AS VARCHAR) || "
+          f"chr(160) || 'x' AS title, day AS published_date, CASE WHEN early THEN {_CREATED} ELSE {_NEXT} END AS created_at "
+          "FROM d WHERE n IN (0, 1, 2, 4, 7)")
+def i1_two_collects(spark, sf):
+    """Rows after two collect runs: the first run's title stays."""
+    first, second = _two_collects(spark, sf)
+    return C.article_rows(first).unionByName(C.article_rows(second)).select("url", "title", "published_date", "created_at")
+
+
+_OUTCOME = ("CASE n WHEN 3 THEN 'rejected' WHEN 5 THEN 'conflict' WHEN 6 THEN 'unreachable' WHEN 8 THEN 'rejected' "
+            "WHEN 9 THEN 'no_link' ELSE {new} END")
+
+
+@register("i1_two_outcomes", f"WITH {_TWO_CTE} SELECT run, outcome, count(*) AS count FROM ("
+          f"SELECT 1 AS run, {_OUTCOME.format(new=chr(39) + 'inserted' + chr(39))} AS outcome FROM d WHERE early "
+          "UNION ALL SELECT 1, 'conflict' FROM d WHERE early AND n = 2 "
+          f"UNION ALL SELECT 2, {_OUTCOME.format(new='CASE WHEN early THEN ' + chr(39) + 'conflict' + chr(39) + ' ELSE ' + chr(39) + 'inserted' + chr(39) + ' END')} FROM d "
+          "UNION ALL SELECT 2, 'conflict' FROM d WHERE n = 2) t GROUP BY run, outcome")
+def i1_two_outcomes(spark, sf):
+    """Entries by run and outcome: what the first run inserted is a conflict
+    of the second."""
+    runs = [o.select(F.lit(i + 1).alias("run"), "outcome") for i, o in enumerate(_two_collects(spark, sf))]
+    return runs[0].unionByName(runs[1]).groupBy("run", "outcome").agg(F.count(F.lit(1)).alias("count"))
+
+
+# -- catalogue ----------------------------------------------------------------
+@register("s1_catalogue", """
+SELECT source, source_pos, feed_url, feed_pos, coalesce(category, 'unknown') AS category, sha1(feed_url) AS feed_key
+FROM (SELECT 'Site ' || source AS source, 0 AS source_pos, 'https://f.example/' || CAST(doc_id AS VARCHAR) || '/a' AS feed_url,
+             0 AS feed_pos, lang AS category FROM documents WHERE doc_id % 7 <> 0
+      UNION ALL SELECT 'Site ' || source, 0, 'https://f.example/' || CAST(doc_id AS VARCHAR) || '/b', 1, NULL FROM documents WHERE doc_id % 7 <> 0
+      UNION ALL SELECT 'Second', 2, 'https://g.example/' || CAST(doc_id AS VARCHAR), 0, source FROM documents) t""")
+def s1_catalogue(spark, sf):
+    """Catalogues derived from the documents, one each, flattened: sources in
+    order, some without feeds, feeds with and without category."""
+    key = F.col("doc_id").cast("string")
+    feed = lambda url, category: F.struct(url.alias("url"), category.alias("category"))
+    base = F.concat(F.lit("https://f.example/"), key)
+    none = F.lit(None).cast("string")
+    own = F.when(F.col("doc_id") % 7 != 0, F.array(feed(F.concat(base, F.lit("/a")), F.col("lang")), feed(F.concat(base, F.lit("/b")), none)))
+    nested = read_table(spark, sf, "documents").select(F.array(
+        F.struct(F.concat(F.lit("Site "), F.col("source")).alias("source"), own.alias("feeds")),
+        F.struct(F.lit("Empty").alias("source"), F.lit(None).cast("array<struct<url:string,category:string>>").alias("feeds")),
+        F.struct(F.lit("Second").alias("source"), F.array(feed(F.concat(F.lit("https://g.example/"), key), F.col("source"))).alias("feeds")),
+    ).alias("sources"))
+    return FD.flatten_catalogue(nested)
+
+
 @register("a8_run_counters", f"WITH {_ORDERS_CTE} SELECT count(*) FILTER (n IN (0, 1, 2, 4, 5, 7)) + "
           "count(*) FILTER (n = 2) AS attempted, count(*) FILTER (n IN (0, 1, 2, 4, 7)) AS inserted, "
           "count(*) FILTER (n IN (2, 5)) AS conflicts, count(*) FILTER (n IN (3, 6, 8, 9)) AS skipped FROM o")

@@ -63,8 +63,13 @@ def catalogue(spark: SparkSession, config: dict) -> DataFrame:
                "feeds": [{"url": f.get("url"), "category": f.get("category")}
                          for f in ((cfg or {}).get("feeds") or [])]}
               for name, cfg in sources.items()]
-    df = spark.createDataFrame([(packed,)], _CATALOGUE_TYPE)
-    s = df.select(F.posexplode("sources").alias("source_pos", "s"))
+    return flatten_catalogue(spark.createDataFrame([(packed,)], _CATALOGUE_TYPE))
+
+
+def flatten_catalogue(nested: DataFrame) -> DataFrame:
+    """Catalogue rows of nested ``sources`` (array of ``source`` and its
+    ``feeds``, in file order), from configuration or landed as a table."""
+    s = nested.select(F.posexplode("sources").alias("source_pos", "s"))
     f = s.select("source_pos", F.col("s.source").alias("source"),
                  F.posexplode(F.col("s.feeds")).alias("feed_pos", "f"))
     return f.select(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from newsloom.functions import dates as D
 from newsloom.functions.html import parse_page
 from newsloom.functions.times import ntz
+from newsloom.operators.writes import rows_with_keys
 
 
 def fetch_ok() -> Column:
@@ -34,6 +35,29 @@ def latest_fetch(pages: DataFrame, key: str = "url", by: str = "fetched_at") ->
     return last.select(key, "_last.*").select(*pages.columns)
 
 
+def _fetch_keys(pages: DataFrame) -> list[str]:
+    """Columns that tell the fetches of a url apart."""
+    return [c for c in ("fetched_at", "http_status", "fetch_error") if c in pages.columns]
+
+
+def fetch_states(pages: DataFrame, urls: DataFrame) -> DataFrame:
+    """State of the latest fetch of each of ``urls`` (one column ``url``):
+    the fetch's own columns, ``reachable`` and ``page_reason``. Only the
+    narrow columns of the landed pages are read."""
+    keys = _fetch_keys(pages)
+    last = latest_fetch(rows_with_keys(pages.select("url", *keys), urls, ["url"]))
+    return (last.withColumn("_has_page", F.lit(True)).withColumn("page_reason", reject_reason())
+            .select("url", *keys, F.col("page_reason").isNull().alias("reachable"), "page_reason"))
+
+
+def pages_to_parse(pages: DataFrame, states: DataFrame) -> DataFrame:
+    """The landed fetches that ``states`` names and that answered: a semi-join
+    below the parse, so that pages nobody asked for, earlier fetches and
+    failed ones are not parsed."""
+    keys = _fetch_keys(states)
+    return rows_with_keys(pages, states.filter("reachable").select("url", *keys), ["url", *keys])
+
+
 def reachability(entries: DataFrame, pages: DataFrame, key: str = "url",
                  carry: tuple[str, ...] = ()) -> DataFrame:
     """Entries joined to the latest fetch of their page, with ``reachable``

@@ -23,14 +23,20 @@ from newsloom.sources import feeds as FD
 def collect_stream(spark: SparkSession, landing: str, store, catalogue: DataFrame,
                    pages: Callable[[], DataFrame], now: Callable[[], _dt.datetime],
                    ref_date: Callable[[], _dt.date], checkpoint: str,
-                   counts_sink: Callable[[DataFrame, int], None] | None = None):
+                   counts_sink: Callable[[DataFrame, int], None] | None = None,
+                   max_files: int | None = 1000, max_bytes: str | None = None):
     """Start the incremental collect; returns the ``StreamingQuery``
     (``awaitTermination()`` waits for the available files to finish).
     ``pages``/``now``/``ref_date`` are called per batch so each batch sees
     the landed pages and the job time of its run. ``checkpoint`` is the
     stream's own folder: two streams must not share one, and the next run
-    must find it again."""
-    stream = (spark.readStream.format("text").option("wholetext", True)
+    must find it again. A micro-batch takes at most ``max_files`` feed files,
+    or files of ``max_bytes`` together (one of the two), so a backlog is worked
+    off in batches of bounded size; the stream stops when it has caught up."""
+    if (max_files is None) == (max_bytes is None):
+        raise ValueError("give max_files or max_bytes")
+    bound = {"maxFilesPerTrigger": max_files} if max_bytes is None else {"maxBytesPerTrigger": max_bytes}
+    stream = (spark.readStream.format("text").option("wholetext", True).options(**bound)
               .option("pathGlobFilter", "*.xml").load(landing)
               .select(F.col("_metadata.file_name").alias("file_name"), "value"))
 
