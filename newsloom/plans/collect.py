@@ -130,10 +130,12 @@ def outcome_counts(outcomes: DataFrame) -> DataFrame:
 
 def run_collect(store, catalogue: DataFrame, landed_feeds: DataFrame, pages: DataFrame,
                 now: _dt.datetime, ref_date: _dt.date) -> DataFrame:
-    """Collect into an :class:`~newsloom.sources.store.ArticleTable`:
-    materialise the labelled entries once (reliable checkpoint in the shared
+    """Collect into an :class:`~newsloom.sources.store.ArticleTable`, whose
+    bucketed urls the batch is checked against: materialise the labelled entries once (reliable checkpoint in the shared
     checkpoint folder), append the inserted rows, return outcome counts."""
-    res = collect(catalogue, landed_feeds, pages, store.read(), now, ref_date)
+    res = collect(catalogue, landed_feeds, pages, store.urls(), now, ref_date)
     labelled = cut_lineage(res.outcomes)
-    store.append(article_rows(labelled))
+    new = article_rows(labelled)
+    if not new.isEmpty():
+        store.append(new)
     return outcome_counts(labelled)

@@ -102,9 +102,9 @@ def run_enrich(store, pages: DataFrame, now: _dt.datetime, make_model=None,
                limit: int | None = None) -> DataFrame:
     """Incremental enrich against an ArticleTable: only pending rows are
     worked; failures stay pending for the next run. Updates and outcomes are
-    derived from the same written rows; only the id partitions with an
-    updated row are rewritten. Returns outcome counts."""
-    res = enrich(store.read(), pages, make_model, limit)
+    derived from the same written rows; only the pending partitions are read
+    and, of those, the ones with an updated row rewritten. Returns outcome counts."""
+    res = enrich(store.pending(), pages, make_model, limit)
     counts = cut_lineage(writes.outcome_counts(res.outcomes))
-    store.update(cut_lineage(res.updates), now)
+    store.update(cut_lineage(res.updates), now, pending_only=True)
     return counts

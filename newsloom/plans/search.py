@@ -23,3 +23,31 @@ def search_page(articles: DataFrame, source=None, tag=None, q=None, date=None,
     else:
         rows = paging.page(projections.article_row(hits), limit, offset, keys)
     return rows, paging.page_meta(rows, limit, offset)
+
+
+def stored_page(store, limit: int = 100, offset: int = 0) -> DataFrame:
+    """Page of the stored table's whole listing. The counts by day give the
+    dates it can hold, so only their partitions and files are read, however
+    long the table and deep the offset."""
+    span = store.day_range(limit, offset)
+    if span is None or limit == 0:
+        return paging.page(store.read().limit(0), limit)
+    return paging.page(store.between(span["first"], span["last"], span["undated"]) if span["first"]
+                       else store.undated(), limit, span["skip"])
+
+
+def stored_after(store, cursor: tuple, limit: int = 100) -> DataFrame:
+    """Rows of the listing behind ``cursor`` (values of the listing keys),
+    from the partitions of the days that the next ``limit`` rows can be on."""
+    if cursor[0] is None:
+        return paging.keyset_page(store.undated(), cursor, limit)
+    day = cursor[0].date()
+    span = store.day_range(limit, after=day)
+    rows = store.between(span["first"] or day, day, span["undated"])
+    return paging.keyset_page(rows, cursor, limit)
+
+
+def stored_day(store, day) -> DataFrame:
+    """Rows of one calendar day: one month's partitions, and of those the
+    files that hold the day."""
+    return store.between(day, day)

@@ -1,77 +1,277 @@
-"""The article table as a Spark table.
+"""The article table as Spark tables behind one view.
 
-Rows are partitioned by a hash of their id. Inserts append; a keyed update
-rewrites only the partitions that hold an updated row (dynamic partition
-overwrite). Spark's own writers commit both; the rows to be written are
-checkpointed first, because a table can't be overwritten while it is read.
-One writer at a time is assumed, as for the reference's scheduled jobs.
+Rows are partitioned by ``state`` (pending / done) and the month of
+``published_date``, and sorted on it in the files, so the worklist, a day, a
+date range and an enrich run read (and an update rewrites) the partitions
+they need and no others. Two narrow tables go with them: the urls, bucketed
+and sorted on ``url``, against which a batch is anti-joined without moving the
+table's side, and the number of rows by day, from which a listing page knows
+its date range.
+
+The view names the current version. :meth:`ArticleTable.replace` writes a new
+version beside it and then points the view there, one catalog statement; the
+version before stays until the next one. Steps that touch several tables note
+what they do in a table property first; whoever writes next finishes it, and
+readers take it into account, so a stopped job leaves no wrong rows. Spark's
+own writers commit everything. One writer at a time is assumed, as for
+scheduled jobs.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from newsloom.operators import writes
 from newsloom.schema import ARTICLE_COLUMNS, ARTICLE_SCHEMA
 from newsloom.session import cut_lineage
 
-PART = "id_part"
+PENDING, DONE = "pending", "done"
+UNDATED = "none"
+_PLACE = ["state", "month"]
+_NOTE = "newsloom.step"
+_VERSION = "newsloom.version"
+
+
+def month_of(date: Column) -> Column:
+    return F.coalesce(F.date_format(date, "yyyy-MM"), F.lit(UNDATED))
 
 
 class ArticleTable:
-    """``name`` in the session catalog; ``path`` for a table outside the
-    warehouse; ``parts`` id partitions, fixed when the table is created."""
+    """``name`` in the session catalog; ``path`` for a folder outside the
+    warehouse; ``parts`` buckets of the url table, fixed for a version."""
 
     def __init__(self, spark: SparkSession, name: str, path: str | None = None, parts: int = 64):
         self.spark, self.name, self.parts = spark, name, parts
+        self._within = ""
+        if path:
+            self._within = f"{name}_tables."
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}_tables LOCATION '{path}'")
         if not spark.catalog.tableExists(name):
-            empty = spark.createDataFrame([], ARTICLE_SCHEMA).withColumn(PART, F.lit(0))
-            writer = empty.write.format("parquet").partitionBy(PART)
-            (writer.option("path", path) if path else writer).saveAsTable(name)
+            self._create(1)
+            self._point(1)
+
+    # -- versions ---------------------------------------------------------
+    def _tables(self, version: int) -> tuple[str, str, str]:
+        base = f"{self._within}{self.name}_v{version}"
+        return base, f"{base}_urls", f"{base}_days"
+
+    def _version(self) -> int:
+        rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.name}").collect()
+        return int({r["key"]: r["value"] for r in rows}[_VERSION])
+
+    def _create(self, version: int) -> None:
+        rows, urls, days = self._tables(version)
+        for t in (rows, urls, days):
+            self.spark.sql(f"DROP TABLE IF EXISTS {t}")
+        empty = self.spark.createDataFrame([], ARTICLE_SCHEMA)
+        self._placed(empty).write.format("parquet").partitionBy(*_PLACE).saveAsTable(rows)
+        empty.select("url").write.format("parquet").bucketBy(self.parts, "url").sortBy("url").saveAsTable(urls)
+        self._day_counts(empty).write.format("parquet").saveAsTable(days)
+
+    def _point(self, version: int) -> None:
+        columns = ", ".join([*ARTICLE_COLUMNS, *_PLACE])
+        self.spark.sql(f"CREATE OR REPLACE VIEW {self.name} TBLPROPERTIES ('{_VERSION}' = '{version}') AS "
+                       f"SELECT {columns} FROM {self._tables(version)[0]}")
+
+    def _note(self, step: dict | None) -> None:
+        t = self._tables(self._version())[0]
+        self.spark.sql(f"ALTER TABLE {t} UNSET TBLPROPERTIES IF EXISTS ('{_NOTE}')" if step is None else
+                       f"ALTER TABLE {t} SET TBLPROPERTIES ('{_NOTE}' = '{json.dumps(step)}')")
+
+    def _noted(self) -> dict | None:
+        rows = self.spark.sql(f"SHOW TBLPROPERTIES {self._tables(self._version())[0]}").collect()
+        found = {r["key"]: r["value"] for r in rows}.get(_NOTE)
+        return json.loads(found) if found else None
+
+    # -- layout -----------------------------------------------------------
+    @staticmethod
+    def _placed(rows: DataFrame) -> DataFrame:
+        waiting = F.coalesce(~F.col("metadata_generated"), F.lit(False))
+        return rows.select(*ARTICLE_COLUMNS).withColumns({
+            "state": F.when(waiting, PENDING).otherwise(DONE), "month": month_of(F.col("published_date"))})
+
+    @staticmethod
+    def _clustered(placed: DataFrame) -> DataFrame:
+        """Files of disjoint date ranges within a partition, sorted: a month
+        with many rows becomes several files, not one task."""
+        order = [*_PLACE, "published_date", "id"]
+        return placed.repartitionByRange(*order).sortWithinPartitions(*order)
+
+    @staticmethod
+    def _day_counts(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(F.to_date("published_date").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+
+    def _physical(self) -> DataFrame:
+        t = self._tables(self._version())[0]
+        self.spark.catalog.refreshTable(t)
+        return self.spark.table(t)
 
-    def _placed(self, rows: DataFrame) -> DataFrame:
-        part = F.pmod(F.xxhash64("id"), F.lit(self.parts)).cast("int")
-        return rows.select(*ARTICLE_COLUMNS).withColumn(PART, part)
+    # -- reading ----------------------------------------------------------
+    def _rows(self) -> DataFrame:
+        """All rows with their place. While rows move from pending to done,
+        those that have arrived count."""
+        rows, step = self._physical(), self._noted()
+        if not step or step["step"] != "move":
+            return rows
+        moving = (F.col("state") == PENDING) & F.col("month").isin(step["months"])
+        arrived = rows.filter((F.col("state") == DONE) & F.col("month").isin(step["months"])).select("id")
+        return rows.filter(~moving).unionByName(rows.filter(moving).join(arrived, "id", "left_anti"))
 
     def read(self) -> DataFrame:
         """The rows as last written, by whichever session."""
-        self.spark.catalog.refreshTable(self.name)
-        return self.spark.table(self.name).select(*ARTICLE_COLUMNS)
+        return self._rows().select(*ARTICLE_COLUMNS)
 
+    def pending(self) -> DataFrame:
+        """Rows that wait for their metadata: only their partitions are read."""
+        return self._rows().filter(F.col("state") == PENDING).select(*ARTICLE_COLUMNS)
+
+    def between(self, first: _dt.date | None, last: _dt.date | None, undated: bool = False) -> DataFrame:
+        """Rows published from ``first`` to ``last`` (inclusive, None: open),
+        with ``undated`` also those without a date. Months are pruned as
+        partitions, files and row groups by the pushed bounds."""
+        month, date = F.col("month"), F.col("published_date")
+        here = month != UNDATED
+        if first is not None:
+            here = here & (month >= first.strftime("%Y-%m")) & (date >= F.lit(f"{first} 00:00:00").cast("timestamp_ntz"))
+        if last is not None:
+            end = last + _dt.timedelta(days=1)
+            here = here & (month <= last.strftime("%Y-%m")) & (date < F.lit(f"{end} 00:00:00").cast("timestamp_ntz"))
+        return self._rows().filter((here | (month == UNDATED)) if undated else here).select(*ARTICLE_COLUMNS)
+
+    def undated(self) -> DataFrame:
+        """Rows without a published date."""
+        return self._rows().filter(F.col("month") == UNDATED).select(*ARTICLE_COLUMNS)
+
+    def urls(self) -> DataFrame:
+        """``url`` of every row, bucketed: a join on it moves the other side."""
+        t = self._tables(self._version())[1]
+        self.spark.catalog.refreshTable(t)
+        return self.spark.table(t)
+
+    def days(self) -> DataFrame:
+        """``(day, n)``: rows by published day, null for undated ones."""
+        t = self._tables(self._version())[2]
+        self.spark.catalog.refreshTable(t)
+        return self.spark.table(t).groupBy("day").agg(F.sum("n").alias("n"))
+
+    def day_range(self, limit: int, offset: int = 0, after: _dt.date | None = None) -> dict | None:
+        """Of the listing (newest day first, undated rows last), the days that
+        hold its rows ``offset`` to ``offset + limit``: ``first, last,
+        undated, skip`` (rows of the range before the page). ``after``: the
+        page follows a cursor on that day, whose rows come on top. None when
+        the listing ends before. One row reaches the driver."""
+        newest = Window.orderBy(F.col("day").desc_nulls_last())
+        days = self.days()
+        if after is not None:
+            days = days.filter(F.col("day").isNull() | (F.col("day") <= F.lit(after)))
+            # Rows of the cursor's own day may all be before it.
+            days = days.withColumn("n", F.when(F.col("day") == F.lit(after), 0).otherwise(F.col("n")))
+        run = days.withColumn("end", F.sum("n").over(newest)).withColumn("start", F.col("end") - F.col("n"))
+        need = (F.col("start") < offset + limit) & (F.col("end") > offset) if after is None else F.col("start") < limit
+        hit = run.filter(need).agg(F.min("day").alias("first"), F.max("day").alias("last"), F.min("start").alias("start"),
+                                   F.count(F.when(F.col("day").isNull(), 1)).alias("undated"), F.count(F.lit(1)).alias("n")).first()
+        if not hit["n"]:
+            return None
+        return {"first": hit["first"], "last": hit["last"], "undated": hit["undated"] > 0, "skip": offset - hit["start"] if after is None else 0}
+
+    # -- writing ----------------------------------------------------------
     def append(self, rows: DataFrame) -> None:
-        """Insert new rows."""
-        self._placed(rows).write.mode("append").insertInto(self.name)
-
-    def update(self, updates: DataFrame, now: _dt.datetime) -> None:
-        """Keyed update (:func:`writes.update_by_key`). Partition numbers of
-        the updates, at most ``parts``, reach the driver."""
-        placed = updates.withColumn(PART, F.pmod(F.xxhash64("id"), F.lit(self.parts)).cast("int"))
-        touched = [r[PART] for r in placed.select(PART).distinct().collect()]
-        if touched:
-            self.spark.catalog.refreshTable(self.name)
-            old = self.spark.table(self.name).filter(F.col(PART).isin(touched)).select(*ARTICLE_COLUMNS)
-            self._overwrite(writes.update_by_key(old, updates, "id", now))
+        """Insert new rows; ``rows`` is read several times. Rows, then urls
+        and counts: a job that stops in between leaves a note."""
+        self.settle()
+        self._note({"step": "append"})
+        self._insert(rows, self._version())
+        self._note(None)
 
-    def replace(self, rows: DataFrame) -> None:
-        """Write ``rows``, usually derived from :meth:`read`, as the whole
-        table. Partitions that lose all their rows are dropped."""
-        kept = self._placed(cut_lineage(rows.select(*ARTICLE_COLUMNS)))
-        left = {r[PART] for r in kept.select(PART).distinct().collect()}
-        self._overwrite(kept, checkpointed=True)
-        for r in self.spark.sql(f"SHOW PARTITIONS {self.name}").collect():
-            if int(r[0].partition("=")[2]) not in left:
-                self.spark.sql(f"ALTER TABLE {self.name} DROP PARTITION ({r[0]})")
-
-    def _overwrite(self, rows: DataFrame, checkpointed: bool = False) -> None:
-        placed = rows if checkpointed else self._placed(cut_lineage(rows))
+    def _insert(self, rows: DataFrame, version: int) -> None:
+        t, urls, days = self._tables(version)
+        self._clustered(self._placed(rows)).write.insertInto(t)
+        self._insert_urls(rows.select("url"), urls)
+        self._day_counts(rows).coalesce(1).write.insertInto(days)
+
+    def _insert_urls(self, urls: DataFrame, table: str) -> None:
+        # The writer's buckets are the shuffle's: one file a bucket and run.
+        urls.repartition(self.parts, "url").sortWithinPartitions("url").write.insertInto(table)
+
+    def update(self, updates: DataFrame, now: _dt.datetime, pending_only: bool = False) -> None:
+        """Keyed update (:func:`writes.update_by_key`) that marks its rows
+        done. Only partitions with an updated row are rewritten; rows that
+        were pending are added to their month's done files, which are not read
+        for it. ``pending_only``: updated rows are pending ones, so only those
+        partitions are looked at. Names of the touched partitions reach the
+        driver."""
+        if "published_date" in updates.columns:
+            raise ValueError("an update can't move rows to another month")
+        self.settle()
+        rows = self._physical()
+        if pending_only:
+            rows = rows.filter(F.col("state") == PENDING)
+        touched = [(r["state"], r["month"]) for r in
+                   rows.join(updates.select("id"), "id", "left_semi").select(*_PLACE).distinct().collect()]
+        if not touched:
+            return
+        here = lambda: F.struct(*_PLACE).isin([F.struct(F.lit(s).alias("state"), F.lit(m).alias("month")) for s, m in touched])
+        # Plain comparisons on the partition columns, so that partitions are pruned.
+        by_state = {s: [m for t, m in touched if t == s] for s, _ in touched}
+        old = rows.filter(F.lit(False))
+        for state, months in by_state.items():
+            old = old.unionByName(rows.filter((F.col("state") == state) & F.col("month").isin(months)))
+        new = cut_lineage(self._placed(writes.update_by_key(old.select(*ARTICLE_COLUMNS), updates, "id", now)))
+        t = self._tables(self._version())[0]
+        self._note({"step": "move", "months": by_state.get(PENDING, [])})
+        self._clustered(new.filter(~here())).write.insertInto(t)
+        stay = new.filter(here())
+        self._overwrite(self._clustered(stay), t)
+        left = {(r["state"], r["month"]) for r in stay.select(*_PLACE).distinct().collect()}
+        for state, month in set(touched) - left:
+            self.spark.sql(f"ALTER TABLE {t} DROP IF EXISTS PARTITION (state='{state}', month='{month}')")
+        self._note(None)
+
+    def _overwrite(self, placed: DataFrame, table: str) -> None:
         # Only the session setting reaches an insert into a catalog table.
-        conf, mode = placed.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
+        conf, mode = self.spark.conf, "spark.sql.sources.partitionOverwriteMode"
         before = conf.get(mode)
         conf.set(mode, "dynamic")
         try:
-            placed.write.insertInto(self.name, overwrite=True)
+            placed.write.insertInto(table, overwrite=True)
         finally:
             conf.set(mode, before)
+
+    def replace(self, rows: DataFrame) -> None:
+        """Make ``rows``, usually derived from :meth:`read`, the whole table:
+        a new, newly clustered version, current from one statement on."""
+        version = self._version()
+        for t in self._tables(version - 1):
+            self.spark.sql(f"DROP TABLE IF EXISTS {t}")
+        self._create(version + 1)
+        t, urls, days = self._tables(version + 1)
+        self._clustered(self._placed(rows)).write.insertInto(t)
+        self.spark.catalog.refreshTable(t)
+        written = self.spark.table(t)
+        self._insert_urls(written.select("url"), urls)
+        self._day_counts(written).coalesce(1).write.insertInto(days)
+        self._point(version + 1)
+
+    def settle(self) -> None:
+        """Finish what a stopped writer noted. A move: pending rows that have
+        arrived are taken out. An append: urls and counts are made anew from
+        the rows."""
+        step = self._noted()
+        if step is None:
+            return
+        if step["step"] == "append":
+            self.replace(self._physical())
+            return
+        t = self._tables(self._version())[0]
+        months = step["months"]
+        left = cut_lineage(self._rows().filter((F.col("state") == PENDING) & F.col("month").isin(months))
+                           .select(*ARTICLE_COLUMNS, *_PLACE))
+        self._overwrite(self._clustered(left), t)
+        have = {r["month"] for r in left.select("month").distinct().collect()}
+        for month in set(months) - have:
+            self.spark.sql(f"ALTER TABLE {t} DROP IF EXISTS PARTITION (state='{PENDING}', month='{month}')")
+        self._note(None)

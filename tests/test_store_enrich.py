@@ -123,19 +123,6 @@ def test_terms_are_runs_of_one_script(spark):
     assert got == {"トヨタ", "自動車", "半導体", "新工場", "建設", "発表", "new", "plant"}
 
 
-def test_only_touched_partitions_are_rewritten(spark, scratch):
-    import glob
-    store = ArticleTable(spark, "t_parts", scratch + "/t", parts=8)
-    store.append(spark.createDataFrame([_article(i, f"u{i}") for i in range(60)], ARTICLE_SCHEMA))
-    before = set(glob.glob(scratch + "/t/id_part=*/*.parquet"))
-    upd = spark.createDataFrame([("id7", "s", ["t"]), ("id7", "z", ["t"])], "id string, summary string, tags array<string>")
-    store.update(upd, NOW)
-    after = set(glob.glob(scratch + "/t/id_part=*/*.parquet"))
-    assert len({f.rsplit("/", 1)[0] for f in before - after}) == 1
-    rows = store.read().collect()
-    assert len(rows) == 60 and [r.summary for r in rows if r.id == "id7"] == ["s"]
-
-
 def test_stored_normalise_and_cleanup(spark, scratch):
     from newsloom.plans import maintenance as M
     names = ["ITmedia NEWS"] * 3 + ["ITmedia"] * 2 + ["マイナビニュース"] + ["TECH+"] * 2 + ["GIGAZINE"]
