@@ -15,9 +15,11 @@ scored terms.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from newsloom.session import cut_lineage
+
 # Runs of one script are terms: two Han or Katakana characters and more, or
 # three letters and more of a script written with spaces.
 _SPACED = ("Latin", "Cyrillic", "Greek", "Arabic", "Hebrew", "Hangul", "Thai", "Devanagari")
@@ -33,19 +35,20 @@ TERM_RE2 = _term_pattern(lambda s: rf"\p{{{s}}}")  # the same in RE2 syntax
 DEFAULT_K = 10
 
 
-def _terms(text_col: str):
-    return F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(TERM_RE), 0)
+def terms(text: Column) -> Column:
+    """All terms of a text, in order."""
+    return F.regexp_extract_all(F.lower(text), F.lit(TERM_RE), 0)
 
 
 def term_counts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``(doc, term, tf)``."""
-    toks = docs.select(F.col(id_col).alias("doc"), F.explode(_terms(text_col)).alias("term"))
+    toks = docs.select(F.col(id_col).alias("doc"), F.explode(terms(F.col(text_col))).alias("term"))
     return toks.groupBy("doc", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def document_frequencies(corpus: DataFrame, text_col: str = "text") -> DataFrame:
     """``(term, df)``; the distinct terms are taken inside each row."""
-    return (corpus.select(F.explode(F.array_distinct(_terms(text_col))).alias("term"))
+    return (corpus.select(F.explode(F.array_distinct(terms(F.col(text_col)))).alias("term"))
             .groupBy("term").agg(F.count(F.lit(1)).alias("df")))
 
 
@@ -53,13 +56,22 @@ def keyword_terms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                   k: int = DEFAULT_K, salt: int | None = None, corpus: DataFrame | None = None) -> DataFrame:
     """``(id, rank, term, tf, df, score)`` for the top ``k`` terms of each
     document; ties broken by term. ``corpus`` (same text column; default
-    ``docs``) is what document frequencies are counted over. The inverse
-    frequency is smoothed, ``ln((1 + N) / (1 + df)) + 1``, so a corpus of one
-    document still ranks its terms by how often they occur."""
+    ``docs``) is what document frequencies are counted over."""
     n_docs = (docs if corpus is None else corpus).count()  # one number reaches the driver
     tf = term_counts(docs.select(id_col, text_col), id_col, text_col)
     dfreq = (tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")) if corpus is None
              else document_frequencies(corpus, text_col))
+    return top_terms(tf, cut_lineage(dfreq), n_docs, id_col, k, salt)
+
+
+def top_terms(tf: DataFrame, dfreq: DataFrame, n_docs: int, id_col: str = "doc_id", k: int = DEFAULT_K,
+              salt: int | None = None) -> DataFrame:
+    """The top ``k`` of counted terms (:func:`term_counts`) by the document
+    frequencies ``(term, df)`` of ``n_docs`` documents. The inverse frequency
+    is smoothed, ``ln((1 + N) / (1 + df)) + 1``, so a corpus of one document
+    still ranks its terms by how often they occur. ``dfreq`` should be written
+    down: joined straight from its aggregate, a term that most documents hold
+    would be one task's, as adaptive execution can't split that side."""
     if salt and salt > 1:
         tf_s = tf.withColumn("_salt", F.pmod(F.hash("doc"), F.lit(salt)))
         df_s = dfreq.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
