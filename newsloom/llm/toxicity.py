@@ -32,14 +32,14 @@ from newsloom.llm.common import materialise
 
 #: Documented bound of the training sample, half of it for either class.
 MAX_TRAIN = 20_000
-MAX_FEATURES = 2048
+MAX_FEATURES = 4096
 #: A marker occurs in so many toxic training documents at least, and its
 #: log odds differ from the others' by so many standard errors.
 MIN_TOXIC_DOCS = 3
 MIN_Z = 2.3
 GRADE_STEPS = (3, 8)
 PREFIX = 5
-ROUNDS = 250
+ROUNDS = 400
 PENALTY = 0.002
 _WORD = re.compile(r"[^\W\d_]+")
 
