@@ -153,9 +153,30 @@ class Graph:
                 self.edges[nodes[part]] = self.prune(nodes[part], both[part])
 
 
+def _scale(x: np.ndarray) -> float:
+    """Factor that brings a shard's vectors into the range in which the
+    graph's single precision neither overflows nor loses them."""
+    top = float(np.abs(x).max())
+    return 1.0 if 1e-12 < top < 1e12 else 1.0 / top
+
+
+def _distances(x: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Euclidean distances in double precision of each query to its own row
+    of candidates ``x``."""
+    diff = x - q[:, None]
+    with np.errstate(over="ignore"):
+        out = np.sqrt((diff ** 2).sum(axis=2))
+    if np.isinf(out).any():  # squares above the range of doubles
+        top = np.abs(diff).max(axis=2, initial=0.0)
+        scaled = diff / np.where(top > 0, top, 1.0)[:, :, None]
+        out = np.where(np.isinf(out), top * np.sqrt((scaled ** 2).sum(axis=2)), out)
+    return out
+
+
 def _build_shard(pdf: pd.DataFrame) -> pd.DataFrame:
     pdf = pdf.sort_values("node", ignore_index=True)
-    graph = Graph(np.stack(pdf.v.to_numpy())).build()
+    x = np.stack(pdf.v.to_numpy())
+    graph = Graph(x * _scale(x)).build()
     return pdf.assign(entry=graph.entry, edges=[e[e >= 0] for e in graph.edges])
 
 
@@ -170,28 +191,31 @@ def _search_shard(k: int, beam: int):
         for i, e in enumerate(index.edges):
             edges[i, :len(e)] = e
         x = np.stack(index.v.to_numpy())
-        graph = Graph(x, edges=edges, entry=int(index.entry.iloc[0]))
-        node, out = index.node.to_numpy(), []
+        scale = _scale(x)
+        graph = Graph(x * scale, edges=edges, entry=int(index.entry.iloc[0]))
+        node, names, out = index.node.to_numpy(), index.ids.to_numpy(), []
         for at in range(0, len(queries), 256):
             part = queries.iloc[at:at + 256]
             q = np.stack(part.v.to_numpy())
-            ids, _ = graph.search(q, max(beam, k))
-            exact = np.sqrt(((x[ids].astype(np.float64) - q.astype(np.float64)[:, None]) ** 2).sum(axis=2))
+            ids, _ = graph.search(np.clip(q * scale, -1e15, 1e15), max(beam, k))
+            exact = _distances(x[ids], q)
             exact[ids < 0] = np.inf
-            for query, own, score in zip(part.query_id.to_numpy(), ids, exact, strict=True):
-                best = np.lexsort((node[own], score))[:k]
-                best = best[np.isfinite(score[best])]
-                out.append(pd.DataFrame({"query_id": query, "node": node[own[best]],
-                                         "ids": [index.ids.iloc[i] for i in own[best]], "score": score[best]}))
+            order = np.argsort(node[ids], axis=1, kind="stable")
+            order = np.take_along_axis(order, np.argsort(np.take_along_axis(exact, order, axis=1), axis=1, kind="stable"), axis=1)[:, :k]
+            best, score = np.take_along_axis(ids, order, axis=1), np.take_along_axis(exact, order, axis=1)
+            found = best >= 0
+            out.append(pd.DataFrame({"query_id": np.repeat(part.query_id.to_numpy(), found.sum(axis=1)), "node": node[best[found]],
+                                     "ids": names[best[found]], "score": score[found]}))
         return pd.concat(out, ignore_index=True) if out else empty
     return run
 
 
 def valid_vectors(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     """(vec_id, v) of the rows that take part: not null, not all zero, every
-    component a finite number; repeated rows once."""
+    component a finite number; repeated rows once. The graph is searched in
+    single precision; validity and scores are those of the original numbers."""
     ok = F.forall("v", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))) & F.exists("v", lambda c: c != 0)
-    return vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast("array<float>").alias("v")) \
+    return vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast("array<double>").alias("v")) \
                   .filter("vec_id is not null and v is not null").filter(ok)
 
 
@@ -211,7 +235,7 @@ def build_index(vectors: DataFrame, k: int, id_col: str = "vec_id", vec_col: str
     dealt = nodes.select(F.size("v").alias("dim"), F.pmod(F.xxhash64("node"), F.lit(shards)).cast("int").alias("shard"),
                          "node", "ids", "v")
     return shared_table(dealt.groupBy("dim", "shard").applyInPandas(
-        _build_shard, "dim int, shard int, node long, ids array<long>, v array<float>, entry int, edges array<int>"))
+        _build_shard, "dim int, shard int, node long, ids array<long>, v array<double>, entry int, edges array<int>"))
 
 
 def nearest(queries: DataFrame, index: DataFrame, k: int, beam: int = QUERY_BEAM,
