@@ -89,9 +89,14 @@ FROM n JOIN c ON c.id = n.doc_id
 """
 
 
+#: Segment size of the registered query: small enough that many of the test
+#: tables' pages are cut.
+QUERY_SEGMENT_BYTES = 4096
+
+
 def op4_warc_segments(spark, sf_dir):
     """All pages written as WARC records and read back."""
-    return warc.round_trip(table(spark, sf_dir, "pages")).select(
+    return warc.round_trip(table(spark, sf_dir, "pages"), segment_bytes=QUERY_SEGMENT_BYTES).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
@@ -208,7 +213,8 @@ dmg AS (
 pos AS (
   SELECT *, dense_rank() OVER (ORDER BY conv_id) AS c,
          row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, encode(role), encode(text), copy) AS n,
-         regexp_replace(text, '[ 	-]+$', '') AS solid FROM dmg),
+         regexp_replace(text, '[ 	-
+]+$', '') AS solid FROM dmg),
 rws AS (
   SELECT c, conv_id, n, turn, role, text, substr(role, 1, 1) AS ini,
          CASE WHEN solid = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY c, role, text ORDER BY n) > 1 THEN 'duplicate'

@@ -229,9 +229,9 @@ def _decode(batches):
     for batch in batches:
         cols = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
         size, sha, body = [], [], []
-        for block, complete, kind in zip(cols["block"], cols["complete"].to_pylist(),
-                                         cols["warc_type"].to_pylist(), strict=True):
-            head, _, rest = (block.as_py() or b"").partition(END)
+        for blocks, complete, kind in zip(cols["blocks"], cols["complete"].to_pylist(),
+                                          cols["warc_type"].to_pylist(), strict=True):
+            head, _, rest = b"".join(b or b"" for b in blocks.as_py()).partition(END)
             lines = head.lower().split(b"\r\n")
             payload = None
             if kind == "revisit":
@@ -245,7 +245,7 @@ def _decode(batches):
             size.append(None if payload is None else len(payload))
             sha.append(None if payload is None else hashlib.sha1(payload).hexdigest())
             body.append(payload)
-        out = {n: c for n, c in cols.items() if n != "block"}
+        out = {n: c for n, c in cols.items() if n != "blocks"}
         yield pa.record_batch(out | {"payload": pa.array(body, pa.binary()), "payload_bytes": pa.array(size, pa.int64()),
                                      "payload_digest": pa.array(sha, pa.string())})
 
@@ -262,17 +262,18 @@ def reassemble(records: DataFrame) -> DataFrame:
     """
     head = ["warc_type", "record_id", "uri", "page_id", "digest", "refers_to"]
     alone = records.filter("segment is null").select(
-        *head, (F.octet_length("block") == F.col("length")).alias("complete"), "block")
+        *head, (F.octet_length("block") == F.col("length")).alias("complete"), F.array("block").alias("blocks"))
     segmented = records.filter("segment is not null")
     parts = segmented.groupBy(F.coalesce("origin_id", "record_id").alias("record_id")).agg(
         *[F.max(F.when(F.col("segment") == 1, F.col(c))).alias(c) for c in head if c != "record_id"],
         F.max("total").alias("total"),
         F.array_sort(F.collect_set(F.struct("segment", "block"))).alias("parts"))
-    block = F.aggregate("parts", F.lit(b""), lambda a, p: F.concat(a, p["block"]))
-    joined = parts.withColumn("block", block).select(
-        *head, ((F.octet_length("block") == F.col("total"))
+    # The blocks are joined once, where they are decoded.
+    joined = parts.select(
+        *head, ((F.aggregate("parts", F.lit(0).cast("long"), lambda n, p: n + F.octet_length(p["block"])) == F.col("total"))
                 & (F.element_at("parts", -1)["segment"] == F.size("parts"))
-                & (F.element_at("parts", 1)["segment"] == 1)).alias("complete"), "block").filter("warc_type is not null")
+                & (F.element_at("parts", 1)["segment"] == 1)).alias("complete"),
+        F.col("parts")["block"].alias("blocks")).filter("warc_type is not null")
     return alone.unionByName(joined).mapInArrow(
         _decode, "warc_type string, record_id string, uri string, page_id string, digest string, refers_to string, "
                  "complete boolean, payload binary, payload_bytes long, payload_digest string")
