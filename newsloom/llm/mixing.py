@@ -8,7 +8,7 @@ finish time and the mix ends where the total budget is used up.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsloom.llm.common import WORD, materialise, prefix_sum
@@ -68,7 +68,7 @@ def fair_mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source
     """
     sized = materialise(docs.select(
         F.col(id_col).alias("doc_id"), F.col(source).alias("source"),
-        F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(WORD)).cast("long").alias("size")))
+        _size(F.col(text)).alias("size")))
     targets = materialise(source_targets(sized, weights, max_epochs))
     shuffled = sized.filter("size > 0").withColumn(
         "_mix", F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))).cast("binary")))
@@ -104,23 +104,26 @@ def fair_mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source
 def mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source",
         weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: str = "mix") -> DataFrame:
     """The mixed rows of ``docs`` in all their columns: each as often as the
-    mix takes it, those not taken left out. Rows repeating an id share its
-    copies evenly."""
+    mix takes it, those not taken left out. Rows repeating id, source and
+    size share their copies evenly, so every source gets what
+    :func:`fair_mix` gives it."""
     decided = fair_mix(docs, id_col, text, source, weights, max_epochs, seed)
-    per_id = decided.groupBy(F.col("doc_id").alias("_d")).agg(
-        F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows"))
-    per_id = materialise(per_id.filter("_copies > 0"))
-    single = per_id.filter("_rows = 1").withColumn("_n", F.col("_copies"))
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
-    key = F.col("_row").getField(id_col)
-    first = (packed.join(single, key.eqNullSafe(F.col("_d")))
-             .withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n")))).select("_row.*"))
-    many = per_id.filter("_rows > 1")
-    w = Window.partitionBy("_d").orderBy("_hash")
-    again = (packed.join(many, key.eqNullSafe(F.col("_d"))).withColumn("_hash", F.xxhash64("_row"))
-             .withColumn("_nth", F.row_number().over(w))
+    total = materialise(decided.groupBy(F.col("doc_id").alias("_d"), F.col("source").alias("_s"), F.col("size").alias("_z")).agg(
+        F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows")).filter("_copies > 0"))
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), _size(F.col(f"`{text}`")).alias("_size"))
+    own = packed.join(total, F.col("_row").getField(id_col).eqNullSafe(F.col("_d"))
+                      & F.col("_row").getField(source).eqNullSafe(F.col("_s")) & (F.col("_size") == F.col("_z")))
+    often = lambda n: F.explode(F.sequence(F.lit(1).cast("long"), n))
+    first = own.filter("_rows = 1").withColumn("_i", often(F.col("_copies"))).select("_row.*")
+    # Numbered over ranges of rows: an id that many rows repeat is not one task's.
+    many = (own.filter("_rows > 1").withColumn("_hash", F.xxhash64("_row")).withColumn("_tie", F.monotonically_increasing_id())
+            .withColumn("_one", F.lit(1)))
+    again = (prefix_sum(many, ["_hash", "_tie"], "_one", by=["_d", "_s", "_z"], out="_nth")
              .withColumn("_n", F.floor(F.col("_copies") / F.col("_rows"))
                          + F.when(F.col("_nth") <= F.col("_copies") % F.col("_rows"), 1).otherwise(0))
-             .filter("_n > 0")
-             .withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n").cast("long")))).select("_row.*"))
+             .filter("_n > 0").withColumn("_i", often(F.col("_n").cast("long"))).select("_row.*"))
     return first.unionByName(again)
+
+
+def _size(text) -> Column:
+    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("long")

@@ -132,6 +132,21 @@ def test_mixed_rows(spark):
     assert mixing.mix(empty_docs(spark)).count() == 0 and mixing.fair_mix(empty_docs(spark)).count() == 0
 
 
+def test_mixed_rows_of_ids_in_two_sources(spark):
+    """Every source's rows in the mix are what the mix takes of it."""
+    rng = random.Random(5)
+    rows = [(i % 100, " ".join(words(rng, 5 + i % 9)), "a" if i < 100 else "b") for i in range(200)] + \
+        [(3, "one two three", "a")] * 40 + [(None, "null id here", "b")] * 3
+    docs = docs_frame(spark, rows)
+    taken = collections.Counter()
+    for r in mixing.fair_mix(docs).collect():
+        taken[r["source"]] += r["taken"]
+    mixed = collections.Counter()
+    for r in mixing.mix(docs).collect():
+        mixed[r["source"]] += len(r["text"].split())
+    assert mixed == +taken
+
+
 def pack_checks(rows, capacity):
     bins = collections.defaultdict(list)
     for r in rows:
@@ -239,6 +254,21 @@ def brute_all(rows, q):
     return brute([r for r in rows if r[0] is not None], 10 ** 6, 1 if q % 100 else 100)[q]
 
 
+@pytest.mark.parametrize("top", [1.0, 1e60, 1e200])
+def test_scores_of_double_vectors(spark, top):
+    """Scores are those of the original numbers, also beyond single
+    precision's digits and range."""
+    rng = np.random.default_rng(7)
+    rows = [(i, (rng.normal(size=8) * top).tolist()) for i in range(400)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = graph_ann.search_all(table).collect()
+    exact = {q: {j: top * math.dist([c / top for c in dict(rows)[q]], [c / top for c in v]) for j, v in rows if j != q} for q in (0, 100, 200, 300)}
+    assert len(got) == 40
+    assert all(math.isclose(r["score"], exact[r["query_id"]][r["vec_id"]], rel_tol=1e-12) for r in got)
+    hits = sum(r["vec_id"] in sorted(exact[r["query_id"]], key=exact[r["query_id"]].get)[:10] for r in got)
+    assert hits >= 36
+
+
 def test_nearest_of_nothing(spark):
     assert graph_ann.search_all(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
