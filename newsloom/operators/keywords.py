@@ -15,52 +15,83 @@ scored terms.
 
 from __future__ import annotations
 
+import unicodedata
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from newsloom.operators import segments
 from newsloom.session import cut_lineage
 
 # Runs of one script are terms: two Han or Katakana characters and more, or
-# three letters and more of a script written with spaces.
-_SPACED = ("Latin", "Cyrillic", "Greek", "Arabic", "Hebrew", "Hangul", "Thai", "Devanagari")
-
-
+# three letters and more (each with its combining marks) of any other script
+# but Hiragana.
 def _term_pattern(script) -> str:
-    spaced = "".join(script(s) for s in _SPACED)
-    return f"{script('Han')}{{2,}}|[{script('Katakana')}ー]{{2,}}|[{spaced}]{{3,}}"
+    han, kana, other = script("Han"), script("Katakana"), script("Hiragana")
+    letter = rf"[^\P{{L}}{han}{kana}{other}]"
+    return rf"{han}{{2,}}|[{kana}ー]{{2,}}|(?:{letter}\p{{M}}*){{3,}}"
 
 
 TERM_RE = _term_pattern(lambda s: rf"\p{{Is{s}}}")
 TERM_RE2 = _term_pattern(lambda s: rf"\p{{{s}}}")  # the same in RE2 syntax
+# The same where no character is above U+00FF: a class of that range only.
+_LATIN1_RE = "[a-zªµºß-öø-ÿ]{3,}"
+_KANA_AND_SPACED_RE = TERM_RE.split("|", 1)[1]
 DEFAULT_K = 10
 
 
-def terms(text: Column) -> Column:
-    """All terms of a text, in order."""
-    return F.regexp_extract_all(F.lower(text), F.lit(TERM_RE), 0)
+@F.pandas_udf(T.StringType())
+def _nfc(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda t: None if t is None else unicodedata.normalize("NFC", t))
+
 
+def composed(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``docs`` with the text in composed form (NFC), so that a letter and its
+    mark make the same term whichever way they are written. Only texts with
+    combining marks are handed to Python."""
+    marked = F.when(F.col(text_col).rlike(r"\p{M}"), F.col(text_col))
+    return docs.withColumn(text_col, F.coalesce(_nfc(marked), F.col(text_col)))
 
-def term_counts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``(doc, term, tf)``."""
-    toks = docs.select(F.col(id_col).alias("doc"), F.explode(terms(F.col(text_col))).alias("term"))
-    return toks.groupBy("doc", "term").agg(F.count(F.lit(1)).alias("tf"))
 
+def terms(text: Column, pattern: str = TERM_RE) -> Column:
+    """All terms of a composed text, in order."""
+    low = F.lower(text)
+    find = lambda p: F.regexp_extract_all(low, F.lit(p), 0)
+    return F.when(low.rlike(r"[^\x00-\xFF]"), find(pattern)).otherwise(find(_LATIN1_RE))
 
-def document_frequencies(corpus: DataFrame, text_col: str = "text") -> DataFrame:
+
+def term_counts(docs: DataFrame, id_col: str, text_col: str, lexicon: DataFrame | None = None) -> DataFrame:
+    """``(doc, term, tf)``. With a ``lexicon`` (:func:`segments.lexicon`) runs
+    of Han characters are split into its words; without one they are terms as
+    they are."""
+    own = composed(docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")))
+    toks = own.select("doc", F.explode(terms(F.col("text"), TERM_RE if lexicon is None else _KANA_AND_SPACED_RE)).alias("term"))
+    counted = toks.groupBy("doc", "term").agg(F.count(F.lit(1)).alias("tf"))
+    return counted if lexicon is None else counted.unionByName(segments.words_of(own, "doc", "text", lexicon))
+
+
+def document_frequencies(corpus: DataFrame, text_col: str = "text", lexicon: DataFrame | None = None) -> DataFrame:
     """``(term, df)``; the distinct terms are taken inside each row."""
-    return (corpus.select(F.explode(F.array_distinct(terms(F.col(text_col)))).alias("term"))
-            .groupBy("term").agg(F.count(F.lit(1)).alias("df")))
+    if lexicon is not None:
+        numbered = cut_lineage(corpus.select(F.monotonically_increasing_id().alias("doc"), text_col))
+        each = term_counts(numbered, "doc", text_col, lexicon).select("term")
+    else:
+        each = composed(corpus.select(text_col), text_col).select(F.explode(F.array_distinct(terms(F.col(text_col)))).alias("term"))
+    return each.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 
 def keyword_terms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  k: int = DEFAULT_K, salt: int | None = None, corpus: DataFrame | None = None) -> DataFrame:
+                  k: int = DEFAULT_K, salt: int | None = None, corpus: DataFrame | None = None,
+                  lexicon: DataFrame | None = None) -> DataFrame:
     """``(id, rank, term, tf, df, score)`` for the top ``k`` terms of each
     document; ties broken by term. ``corpus`` (same text column; default
     ``docs``) is what document frequencies are counted over."""
     n_docs = (docs if corpus is None else corpus).count()  # one number reaches the driver
-    tf = term_counts(docs.select(id_col, text_col), id_col, text_col)
+    tf = term_counts(docs, id_col, text_col, lexicon)
     dfreq = (tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")) if corpus is None
-             else document_frequencies(corpus, text_col))
+             else document_frequencies(corpus, text_col, lexicon))
     return top_terms(tf, cut_lineage(dfreq), n_docs, id_col, k, salt)
 
 

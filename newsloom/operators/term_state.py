@@ -65,7 +65,7 @@ class TermState:
         self.settle()
         run = max(self._runs(self.log_table), default=0) + 1
         terms = F.when(F.coalesce(F.col("text") != "", F.lit(False)), F.array_distinct(KW.terms(F.col("text"))))
-        plus = texts.select("url", "fetched_at", F.lit(1).alias("sign"), terms.alias("terms"))
+        plus = KW.composed(texts).select("url", "fetched_at", F.lit(1).alias("sign"), terms.alias("terms"))
         log = self._read(self.log_table)
         old = rows_with_keys(log, texts.select("url"), ["url"])
         # What a url has on balance: its one fetch that still counts.

@@ -12,10 +12,12 @@ from newsloom.functions import summary as SM
 from newsloom.functions import text as X
 from newsloom.operators import keywords as KW
 from newsloom.operators import search
+from newsloom.operators import segments as SG
 from newsloom.plans import enrich as EN
 from newsloom.registered.base import ARTICLES_CTE
 from newsloom.registered.page_queries import _BLOCKS_SQL, _squeeze_sql, _strip_sql
 from newsloom.registry import register
+from newsloom.session import cut_lineage
 from newsloom.sources.tables import articles, first_line, read_table
 
 NOW = _dt.datetime(2026, 12, 1, 6, 0, 0)
@@ -70,9 +72,9 @@ def keyword_ctes(src: str, k: int = KW.DEFAULT_K, corpus: str | None = None) ->
     ``kwt(id, tags)``."""
     corpus = corpus or src
     return [
-        f"kt AS (SELECT id, unnest(regexp_extract_all(lower(text), '{KW.TERM_RE2}')) AS term FROM {src})",
+        f"kt AS (SELECT id, unnest(regexp_extract_all(lower(nfc_normalize(text)), '{KW.TERM_RE2}')) AS term FROM {src})",
         "ktf AS (SELECT id, term, count(*) AS tf FROM kt GROUP BY id, term)",
-        f"kdf AS (SELECT term, count(*) AS df FROM (SELECT unnest(list_distinct(regexp_extract_all(lower(text), "
+        f"kdf AS (SELECT term, count(*) AS df FROM (SELECT unnest(list_distinct(regexp_extract_all(lower(nfc_normalize(text)), "
         f"'{KW.TERM_RE2}'))) AS term FROM {corpus}) GROUP BY term)",
         f"kn AS (SELECT count(*) AS n FROM {corpus})",
         "ks AS (SELECT ktf.id, ktf.term, ktf.tf, kdf.df, "
@@ -89,7 +91,7 @@ def _with(*ctes: str, body: str) -> str:
 
 
 # ---------------------------------------------------------------- queries
-_WORDS_SQL = "string_split(split_part(text, chr(10), 1), ' ')"
+_WORDS_SQL = "string_split(text, ' ')"
 _TAG_TEXT_SQL = (f"CASE WHEN doc_id % 2 = 0 THEN array_to_string({_WORDS_SQL}, ', ') "
                  f"ELSE array_to_string({_WORDS_SQL}, ' ,') END || ', ' || chr(12288) || ' , '")
 
@@ -100,7 +102,7 @@ def x10_tag_split(spark, sf):
     both spacings, a blank and an empty part) split back to a list."""
     d = read_table(spark, sf, "documents")
     sep = F.when(F.col("doc_id") % 2 == 0, F.lit(", ")).otherwise(F.lit(" ,"))
-    words = F.split(first_line(F.col("text")), " ")
+    words = F.split("text", " ")
     tag_text = F.concat(F.replace(F.array_join(words, "\u0000"), F.lit("\u0000"), sep),
                         F.lit(", 　 , "))
     return d.select("doc_id", X.split_tags(tag_text).alias("tags"))
@@ -163,10 +165,85 @@ def x20_summary(spark, sf):
     "ksrc AS (SELECT doc_id AS id, text FROM documents)", *keyword_ctes("ksrc"),
     body="SELECT id AS doc_id, rank, term, tf, df FROM kw"))
 def x21_keyword_terms(spark, sf):
-    d = read_table(spark, sf, "documents")
+    d = read_table(spark, sf, "documents", spread_out=True)
     return KW.keyword_terms(d, "doc_id", "text").drop("score")
 
 
+# -- terms of several scripts, made from the documents ------------------------
+# Words that stand for the documents' own, by their first letter and length.
+JAPANESE = ("東京都", "半導体", "工場", "建設", "計画", "発表", "市場", "株価", "上昇", "政府", "経済", "新聞",
+            "大学", "研究", "開発", "電池", "輸出", "会議", "首相", "予算", "法案", "電力", "技術", "企業")
+TAMIL = ("தமிழ்நாடு", "அரசு", "அறிவிப்பு", "செய்தி", "தேர்தல்", "நகரம்", "பள்ளி")
+
+
+def _spelled_sql(words, sep: str) -> str:
+    listed = "[" + ", ".join(_q(w) for w in words) + "]"
+    return (f"array_to_string(list_transform(list_filter(string_split(text, ' '), lambda w: w <> ''), lambda w: "
+            f"{listed}[(unicode(w) + 7 * length(w)) % {len(words)} + 1] || CASE WHEN contains(w, '.') THEN '。' ELSE '' END), '{sep}')")
+
+
+def _spelled(words, sep: str):
+    listed = F.array(*[F.lit(w) for w in words])
+    own = F.filter(F.split("text", " "), lambda w: w != "")
+    return F.array_join(F.transform(own, lambda w: F.concat(
+        F.element_at(listed, ((F.ascii(w) + 7 * F.char_length(w)) % len(words) + 1).cast("int")),
+        F.when(F.contains(w, F.lit(".")), F.lit("。")).otherwise(F.lit("")))), sep)
+
+
+_SCRIPTS_SRC = ("ssrc AS (SELECT doc_id AS id, CASE lang WHEN 'en' THEN " + _spelled_sql(JAPANESE, "") + " WHEN 'es' THEN " +
+                _spelled_sql(TAMIL, " ") + " WHEN 'fr' THEN replace(text, 'é', 'e' || chr(769)) ELSE text END AS text FROM documents)")
+_N = SG.MAX_WORD
+_LATER = range(2, _N + 1)
+_LEXICON_CTES = [
+    f"hr AS (SELECT id, unnest(regexp_extract_all(text, '{SG.RUN_RE2}')) AS run FROM ssrc)",
+    "hw AS (SELECT run, count(*) AS n FROM hr GROUP BY run)",
+    "hp AS (SELECT run, n, unnest(range(1, length(run) + 1)) AS p FROM hw)",
+    f"hs AS (SELECT run, n, p, unnest(range(1, least({_N}, length(run) - p + 1) + 1)) AS size FROM hp)",
+    "hg AS (SELECT substr(run, p, size) AS gram, n, CASE WHEN p > 1 THEN substr(run, p - 1, 1) END AS before, "
+    "nullif(substr(run, p + size, 1), '') AS after FROM hs)",
+    "hc AS (SELECT gram, CAST(sum(n) AS BIGINT) AS c FROM hg GROUP BY gram)",
+    "ht AS (SELECT CAST(sum(c) AS DOUBLE) AS t FROM hc WHERE length(gram) = 1)",
+    f"hk AS (SELECT gram, c, unnest(range(1, length(gram))) AS k FROM hc WHERE length(gram) > 1 AND c >= {SG.MIN_COUNT})",
+    "hm AS (SELECT hk.gram, round(min(ln(CAST(hk.c AS DOUBLE) * t / (CAST(a.c AS DOUBLE) * CAST(b.c AS DOUBLE)))), 6) AS cohesion "
+    "FROM hk JOIN hc a ON a.gram = substr(hk.gram, 1, k) JOIN hc b ON b.gram = substr(hk.gram, k + 1) CROSS JOIN ht GROUP BY hk.gram)",
+    *[f"h{side[0]} AS (SELECT gram, ln(CAST(sum(c) AS DOUBLE)) - sum(CASE WHEN {side} IS NOT NULL THEN c * ln(CAST(c AS DOUBLE)) ELSE 0 END) / sum(c) AS h "
+      f"FROM (SELECT gram, {side}, CAST(sum(n) AS BIGINT) AS c FROM hg WHERE length(gram) > 1 GROUP BY gram, {side}) x GROUP BY gram)"
+      for side in ("before", "after")],
+    "lex AS (SELECT hm.gram AS word, CAST(round((cohesion + round(least(hb.h, ha.h), 6)) * 1000) AS BIGINT) * (length(hm.gram) - 1) AS score "
+    f"FROM hm JOIN hb ON hb.gram = hm.gram JOIN ha ON ha.gram = hm.gram WHERE cohesion >= {SG.MIN_COHESION} "
+    f"AND round(least(hb.h, ha.h), 6) >= {SG.MIN_BRANCHING})",
+    # Best split of each run, a character at a time, then back from the end.
+    "dp AS (SELECT run, CAST(0 AS BIGINT) AS i, CAST(0 AS BIGINT) AS b0, "
+    + ", ".join(f"CAST(NULL AS BIGINT) AS b{k}" for k in range(1, _N)) + ", []::BIGINT[] AS lens FROM hw UNION ALL "
+    "SELECT run, i + 1, w.score, b0, " + ", ".join(f"b{k}" for k in range(1, _N - 1)) + ", list_append(lens, w.len) FROM ("
+    "SELECT dp.*, greatest(" + ", ".join(
+        ["{'score': b0, 'len': CAST(1 AS BIGINT)}"]
+        + [f"{{'score': coalesce(b{k - 1} + l{k}.score, -4611686018427387904), 'len': CAST({k} AS BIGINT)}}" for k in _LATER]) + ") AS w FROM dp "
+    + " ".join(f"LEFT JOIN lex l{k} ON dp.i + 1 >= {k} AND l{k}.word = substr(dp.run, dp.i + 2 - {k}, {k})" for k in _LATER)
+    + " WHERE dp.i < length(dp.run)) s)",
+    "bk AS (SELECT run, lens, CAST(length(run) AS BIGINT) AS pos, CAST(NULL AS VARCHAR) AS word FROM dp WHERE i = length(run) UNION ALL "
+    "SELECT run, lens, pos - lens[pos], substr(run, pos - lens[pos] + 1, lens[pos]) FROM bk WHERE pos > 0)",
+    f"st AS (SELECT id, term, count(*) AS tf FROM (SELECT id, unnest(regexp_extract_all(lower(nfc_normalize(text)), '{KW.TERM_RE2.split('|', 1)[1]}')) AS term "
+    "FROM ssrc UNION ALL SELECT hr.id, bk.word FROM hr JOIN bk ON bk.run = hr.run WHERE length(bk.word) > 1) x GROUP BY id, term)",
+    "sd AS (SELECT term, count(*) AS df FROM st GROUP BY term)",
+    "sk AS (SELECT st.id, st.term, st.tf, sd.df, row_number() OVER (PARTITION BY st.id ORDER BY "
+    "round(st.tf * (ln(CAST((SELECT count(*) FROM documents) + 1 AS DOUBLE) / (sd.df + 1)) + 1), 9) DESC, st.term) AS rank FROM st JOIN sd USING (term))",
+]
+
+
+@register("x21_mixed_scripts", "WITH RECURSIVE " + ",\n".join([_SCRIPTS_SRC, *_LEXICON_CTES]) +
+          f"\nSELECT id AS doc_id, rank, term, tf, df FROM sk WHERE rank <= {KW.DEFAULT_K}")
+def x21_mixed_scripts(spark, sf):
+    """Terms of the documents respelled in Japanese without spaces (split by
+    what their own corpus teaches), Tamil, and decomposed French."""
+    d = read_table(spark, sf, "documents", spread_out=True)
+    text = (F.when(F.col("lang") == "en", _spelled(JAPANESE, "")).when(F.col("lang") == "es", _spelled(TAMIL, " "))
+            .when(F.col("lang") == "fr", F.replace("text", F.lit("é"), F.lit("é"))).otherwise(F.col("text")))
+    docs = cut_lineage(d.select("doc_id", text.alias("text")))
+    words = SG.lexicon(SG.runs(docs, "doc_id", "text"))
+    return KW.keyword_terms(docs, lexicon=words).drop("score")
+
+
 # -- whole enrich pipeline ----------------------------------------------------
 _C2_CTES = [
     ARTICLES_CTE,

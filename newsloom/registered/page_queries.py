@@ -141,6 +141,32 @@ def x6_native_day(spark, sf):
     return orders_pages(spark, sf).select("o_orderkey", D.native_day("date_string").alias("day"))
 
 
+# Each order's day, written in one of these ways by order number: date formats
+# with text before and after (``{era}``: year of the Heisei era).
+SPELLINGS = (
+    ("", "d MMM ''yy", ""), ("Published ", "MMM d, yy", " by X"), ("", "yyyy MMM d", ""), ("on ", "MMMM d'th of' yyyy", " at noon"),
+    ("", "{era}'年'M'月'd'日'", " 更新"), ("10:15 ", "MMM d yyyy", ""), ("", "yyyyMMdd", ""), ("", "yyyyMMdd'T101500Z'", ""),
+    ("updated ", "M/d/yy", ""), ("", "MM-dd-yyyy", ""), ("am ", "M.d.yyyy", " um 9"), ("", "dd-MMM-yyyy", ""), ("", "yyyy-MMM-dd", ""),
+    ("", "MMMM 'the' d yyyy", ""), ("", "EEE MMM d", " 10:15:00 {year}"), ("", "EEEE, d MMMM yyyy", " 10:00 GMT"),
+    ("", "yyyy.MM.dd", " 18:00"), ("", "yyyy'年'M'月'd'日'", " 10時30分"), ("３ more, ", "yyyy/M/d", " 18:00 更新"),
+    ("", "yyyy-MM-dd'T23:30:00'", "+09:00"),
+)
+
+
+@register("x6_date_spellings", "SELECT o_orderkey, " + sql_day("o_orderdate") + " AS day FROM orders")
+def x6_date_spellings(spark, sf):
+    """Every order's day back from twenty spellings."""
+    o = read_table(spark, sf, "orders", spread_out=True)
+    d, year = F.col("o_orderdate"), F.date_format("o_orderdate", "yyyy")
+    text = F.lit(None).cast("string")
+    for i, (before, form, after) in enumerate(SPELLINGS):
+        written = (F.concat(F.lit("平成"), (F.year(d) - 1988).cast("string"), F.date_format(d, form.partition("{era}")[2]))
+                   if "{era}" in form else F.date_format(d, form))
+        tail = F.concat(F.lit(after.partition("{year}")[0]), year) if "{year}" in after else F.lit(after)
+        text = F.when(F.col("o_orderkey") % len(SPELLINGS) == i, F.concat(F.lit(before), written, tail)).otherwise(text)
+    return o.select("o_orderkey", D.resolve_day(text, REF).alias("day"))
+
+
 @register("k1_page_dates",
           f"SELECT o_orderkey, {_EXPECTED_DAY} AS published_day, false AS bad_date, "
           "CASE WHEN floor(o_orderkey / 6) % 2 = 0 THEN 'https://img.example.org/o' || "
