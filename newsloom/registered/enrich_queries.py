@@ -4,21 +4,25 @@ and the whole enrich pipeline over pending articles and their pages."""
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
 from pyspark.sql import functions as F
 
 from newsloom.checkout import sql_arr, sql_ts
 from newsloom.functions import summary as SM
 from newsloom.functions import text as X
+from newsloom.functions.times import ntz
 from newsloom.operators import keywords as KW
 from newsloom.operators import search
 from newsloom.operators import segments as SG
+from newsloom.operators.enrich import ModelResults
+from newsloom.operators.term_state import TermState
 from newsloom.plans import enrich as EN
 from newsloom.registered.base import ARTICLES_CTE
 from newsloom.registered.page_queries import _BLOCKS_SQL, _squeeze_sql, _strip_sql
 from newsloom.registry import register
-from newsloom.session import cut_lineage
-from newsloom.sources.tables import articles, first_line, read_table
+from newsloom.session import cut_lineage, ensure_checkpoint_dir
+from newsloom.sources.tables import articles, doc_number, first_line, read_table
 
 NOW = _dt.datetime(2026, 12, 1, 6, 0, 0)
 _NOW_SQL = "TIMESTAMP '2026-12-01 06:00:00'"
@@ -299,3 +303,76 @@ def c2_enrich_rows(spark, sf):
     res = EN.enrich(a, read_table(spark, sf, "pages"))
     out = EN.apply(a, res, NOW)
     return out.select("id", "content", "summary", "tags", "updated_at", "metadata_generated")
+
+
+# -- two enrich runs in sequence ----------------------------------------------
+_REFETCHED = "CASE WHEN page_id % 3 = 0 THEN replace(html, '</body>', '<p>refetched zebra</p></body>') ELSE html END"
+
+
+def _run_ctes(parity: int, html: str) -> list[str]:
+    """The enrich pipeline over the pending articles of one half, with the
+    pages as ``html`` has them."""
+    own = {"work": f"work AS (SELECT id, title, url FROM articles WHERE metadata_generated = false AND CAST(substr(id, 3) AS BIGINT) % 2 = {parity})",
+           "pt": f"pt AS (SELECT url, max({_BLOCKS_SQL}) AS text FROM (SELECT url, {html} AS html FROM pages) GROUP BY url)"}
+    return [own.get(c.split(" AS ", 1)[0], c) for c in _C2_CTES]
+
+
+def _two_enriches(spark, sf):
+    """Half of the pending articles are enriched after the first fetch of all
+    pages, the others after a third of the pages was fetched again; the
+    frequencies are carried over."""
+    a, pages = articles(spark, sf), read_table(spark, sf, "pages")
+    first = pages.withColumn("fetched_at", ntz(_dt.datetime(2026, 12, 1, 4)))
+    again = (pages.filter("page_id % 3 = 0").withColumn("html", F.replace("html", F.lit("</body>"), F.lit("<p>refetched zebra</p></body>")))
+             .withColumn("fetched_at", ntz(_dt.datetime(2026, 12, 2, 4))))
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/terms-{uuid.uuid4().hex}"
+    state = TermState(spark, f"terms_{uuid.uuid4().hex}", folder)
+    one = cut_lineage(EN.enrich_new(a.filter(doc_number() % 2 == 0), first, state).updates)
+    two = cut_lineage(EN.enrich_new(a.filter(doc_number() % 2 == 1), first.unionByName(again), state).updates)
+    return one, two, state
+
+
+@register("i2_two_enriches", " UNION ALL ".join(
+    f"SELECT {run} AS run, * FROM (" + _with(*_run_ctes(run - 1, html), body=f"SELECT id, summary, {sql_arr('tags')} AS tags FROM upd") + ")"
+    for run, html in ((1, "html"), (2, _REFETCHED))))
+def i2_two_enriches(spark, sf):
+    """Summaries and tags of two runs, each by the frequencies of its day."""
+    one, two, _ = _two_enriches(spark, sf)
+    rows = [u.select(F.lit(i + 1).alias("run"), "id", "summary", "tags") for i, u in enumerate((one, two))]
+    return rows[0].unionByName(rows[1])
+
+
+@register("i2_frequencies", _with(*_run_ctes(1, _REFETCHED), body="SELECT term, df FROM kdf"))
+def i2_frequencies(spark, sf):
+    """The kept document frequencies after both runs, against a recount."""
+    return _two_enriches(spark, sf)[2].frequencies()
+
+
+# -- model answers ------------------------------------------------------------
+def _shout():
+    """A stand-in for a model: the beginning in small letters, the lengths of
+    the text as tags; no answer to every seventh text length."""
+    def run(pdf):
+        text = pdf["text"]
+        return pdf[["id"]].assign(
+            summary=text.str[:40].str.lower().where(text.str.len() % 7 != 0, None),
+            tag_text=text.str.len().astype(str) + ", " + (text.str.len() % 7).astype(str) + " ,")
+    return run
+
+
+@register("k3_model_answers", _with(*_C2_CTES[:6], body=(
+    "SELECT id, CASE WHEN length(content) % 7 <> 0 THEN lower(substr(content, 1, 40)) END AS summary, "
+    "CASE WHEN length(content) % 7 <> 0 THEN CAST(length(content) AS VARCHAR) || '|' || CAST(length(content) % 7 AS VARCHAR) END AS tags, "
+    "length(content) % 7 <> 0 AS answered FROM okr")))
+def k3_model_answers(spark, sf):
+    """Answers of a model to all pending texts by way of the log: asked twice,
+    what it has is not asked again."""
+    work, pages = EN.worklist(articles(spark, sf)), read_table(spark, sf, "pages")
+    texts = work.join(EN.page_texts(pages), "url").select("id", X.squeeze("text").alias("text")).filter("text <> ''")
+    asked = cut_lineage(texts)
+    name = f"answers_{uuid.uuid4().hex}"
+    results = ModelResults(spark, name, f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}")
+    results.complete(asked, _shout)
+    found = results.complete(asked, _shout)
+    return asked.select("id").join(found, "id", "left").select(
+        "id", "summary", "tags", F.col("summary").isNotNull().alias("answered"))
