@@ -42,3 +42,20 @@ def icontains(col: Column, text: str, literal: bool = False) -> Column:
     if literal:
         return F.contains(F.lower(col), F.lower(F.lit(text)))
     return col.ilike(contains_pattern(text))
+
+
+def literal_parts(text: str, literal: bool = False) -> list[str]:
+    """Parts of user search text that a hit contains as they are: the text
+    between wildcards, without escapes."""
+    if literal:
+        return [text]
+    parts, part, chars = [], [], iter(normalise_like(text))
+    for ch in chars:
+        if ch == ESCAPE:
+            part.append(next(chars))
+        elif ch in "%_":
+            parts.append("".join(part))
+            part = []
+        else:
+            part.append(ch)
+    return [*parts, "".join(part)]

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from newsloom.operators import paging, projections, search
+from newsloom.operators import facets, paging, projections, search
+from newsloom.operators import postings as PO
+from newsloom.session import cut_lineage
 
 
 def search_page(articles: DataFrame, source=None, tag=None, q=None, date=None,
@@ -51,3 +54,50 @@ def stored_day(store, day) -> DataFrame:
     """Rows of one calendar day: one month's partitions, and of those the
     files that hold the day."""
     return store.between(day, day)
+
+
+def stored_search(store, source=None, tag=None, q=None, date=None, tags=None, tags_mode: str = "any",
+                  literal: bool = False) -> DataFrame:
+    """:func:`search.search` on an indexed table: the postings give candidate
+    rows, only their partitions are read, and the search predicates decide
+    them. Filters whose patterns have no gram give no candidates; when none
+    has, the rows (of the day, if one is given) are scanned."""
+    tags = [t for t in tags or [] if t]
+    filters = [([tag], "all", (PO.TAG,)), ([q], "all", (PO.TITLE, PO.TAG)), (tags, tags_mode, (PO.TAG,))]
+    found = None
+    for patterns, mode, fields in filters:
+        wanted = [PO.pattern_grams(store.spark, p, literal) for p in patterns if p]
+        if mode == "any" and not all(wanted):
+            continue
+        each = [PO.candidates(store.postings(), grams, fields) for grams in wanted if grams]
+        if not each:
+            continue
+        keys = each[0]
+        for more in each[1:]:
+            keys = keys.unionByName(more).distinct() if mode == "any" else keys.join(more, ["id", "month"])
+        found = keys if found is None else found.join(keys, ["id", "month"])
+    if found is not None:
+        rows = store.named(cut_lineage(found))
+    elif date is not None and date != "":
+        day = search.parse_day(date)
+        rows = store.between(day, day)
+    else:
+        rows = store.read()
+    return search.search(rows, source=source, tag=tag, q=q, date=date, tags=tags, tags_mode=tags_mode, literal=literal)
+
+
+def stored_sources(store) -> DataFrame:
+    """Sources in order, from the kept counts."""
+    return facets.distinct_sources(store.counts("source").withColumnRenamed("value", "source"))
+
+
+def stored_tags(store) -> DataFrame:
+    """Tags in order, NULL last, from the kept counts."""
+    return store.counts("tag").select(F.col("value").alias("tag")).orderBy(F.col("tag").asc_nulls_last())
+
+
+def stored_source_counts(store, order_by: str = "count") -> DataFrame:
+    """Rows per source, from the kept counts."""
+    keys = [F.col("count").desc()] if order_by == "count" else []
+    return store.counts("source").select(F.col("value").alias("source"), F.col("n").alias("count")).orderBy(
+        *keys, F.col("source").asc_nulls_last())

@@ -3,10 +3,12 @@
 Rows are partitioned by ``state`` (pending / done) and the month of
 ``published_date``, and sorted on it in the files, so the worklist, a day, a
 date range and an enrich run read (and an update rewrites) the partitions
-they need and no others. Two narrow tables go with them: the urls, bucketed
-and sorted on ``url``, against which a batch is anti-joined without moving the
-table's side, and the number of rows by day, from which a listing page knows
-its date range.
+they need and no others. Narrow tables go with them: the urls, bucketed and
+sorted on ``url``, against which a batch is anti-joined without moving the
+table's side; the number of rows by day, source and tag, as signed changes of
+every run, from which a listing page knows its date range and the facets are
+read; and, for an ``indexed`` table, the postings of
+:mod:`newsloom.operators.postings`, bucketed by gram.
 
 The view names the current version. :meth:`ArticleTable.replace` writes a new
 version beside it and then points the view there, one catalog statement; the
@@ -25,6 +27,7 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from newsloom.operators import postings as PO
 from newsloom.operators import writes
 from newsloom.schema import ARTICLE_COLUMNS, ARTICLE_SCHEMA
 from newsloom.session import cut_lineage
@@ -40,12 +43,17 @@ def month_of(date: Column) -> Column:
     return F.coalesce(F.date_format(date, "yyyy-MM"), F.lit(UNDATED))
 
 
+def _labelled(values: Column, kind: str) -> Column:
+    return F.transform(values, lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("value")))
+
+
 class ArticleTable:
     """``name`` in the session catalog; ``path`` for a folder outside the
-    warehouse; ``parts`` buckets of the url table, fixed for a version."""
+    warehouse; ``parts`` buckets of the url table and the postings, fixed for
+    a version; ``indexed``: keep postings for :func:`search.stored_search`."""
 
-    def __init__(self, spark: SparkSession, name: str, path: str | None = None, parts: int = 64):
-        self.spark, self.name, self.parts = spark, name, parts
+    def __init__(self, spark: SparkSession, name: str, path: str | None = None, parts: int = 64, indexed: bool = False):
+        self.spark, self.name, self.parts, self.indexed = spark, name, parts, indexed
         self._within = ""
         if path:
             self._within = f"{name}_tables."
@@ -55,22 +63,29 @@ class ArticleTable:
             self._point(1)
 
     # -- versions ---------------------------------------------------------
-    def _tables(self, version: int) -> tuple[str, str, str]:
+    def _tables(self, version: int) -> tuple[str, str, str, str]:
         base = f"{self._within}{self.name}_v{version}"
-        return base, f"{base}_urls", f"{base}_days"
+        return base, f"{base}_urls", f"{base}_counts", f"{base}_grams"
+
+    def _side(self, which: int) -> DataFrame:
+        t = self._tables(self._version())[which]
+        self.spark.catalog.refreshTable(t)
+        return self.spark.table(t)
 
     def _version(self) -> int:
         rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.name}").collect()
         return int({r["key"]: r["value"] for r in rows}[_VERSION])
 
     def _create(self, version: int) -> None:
-        rows, urls, days = self._tables(version)
-        for t in (rows, urls, days):
+        rows, urls, counts, grams = self._tables(version)
+        for t in (rows, urls, counts, grams):
             self.spark.sql(f"DROP TABLE IF EXISTS {t}")
         empty = self.spark.createDataFrame([], ARTICLE_SCHEMA)
         self._placed(empty).write.format("parquet").partitionBy(*_PLACE).saveAsTable(rows)
         empty.select("url").write.format("parquet").bucketBy(self.parts, "url").sortBy("url").saveAsTable(urls)
-        self._day_counts(empty).write.format("parquet").saveAsTable(days)
+        self._counts(empty).write.format("parquet").saveAsTable(counts)
+        if self.indexed:
+            (PO.postings(self._placed(empty)).write.format("parquet").bucketBy(self.parts, "gram").sortBy("gram", "id").saveAsTable(grams))
 
     def _point(self, version: int) -> None:
         columns = ", ".join([*ARTICLE_COLUMNS, *_PLACE])
@@ -102,8 +117,14 @@ class ArticleTable:
         return placed.repartitionByRange(*order).sortWithinPartitions(*order)
 
     @staticmethod
-    def _day_counts(rows: DataFrame) -> DataFrame:
-        return rows.groupBy(F.to_date("published_date").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    def _counts(rows: DataFrame, kinds: tuple[str, ...] = ("day", "source", "tag"), sign: int = 1) -> DataFrame:
+        """``(kind, value, n)``: rows by published day, by source and by tag
+        (one a tag and row)."""
+        tags = F.array_distinct(F.coalesce("tags", F.array().cast("array<string>")))
+        found = {"day": F.array(F.date_format("published_date", "yyyy-MM-dd")), "source": F.array("source"), "tag": tags}
+        values = F.flatten(F.array(*[_labelled(found[k], k) for k in kinds]))
+        return (rows.select(F.explode(values).alias("v")).groupBy("v.kind", "v.value")
+                .agg((F.count(F.lit(1)) * sign).alias("n")))
 
     def _physical(self) -> DataFrame:
         t = self._tables(self._version())[0]
@@ -148,15 +169,29 @@ class ArticleTable:
 
     def urls(self) -> DataFrame:
         """``url`` of every row, bucketed: a join on it moves the other side."""
-        t = self._tables(self._version())[1]
-        self.spark.catalog.refreshTable(t)
-        return self.spark.table(t)
+        return self._side(1)
+
+    def counts(self, kind: str) -> DataFrame:
+        """``(value, n)``: rows by ``day``, ``source`` or ``tag`` now, summed
+        over the runs' changes; the table itself is not read."""
+        return (self._side(2).filter(F.col("kind") == kind).groupBy("value").agg(F.sum("n").alias("n")).filter("n > 0"))
 
     def days(self) -> DataFrame:
         """``(day, n)``: rows by published day, null for undated ones."""
-        t = self._tables(self._version())[2]
-        self.spark.catalog.refreshTable(t)
-        return self.spark.table(t).groupBy("day").agg(F.sum("n").alias("n"))
+        return self.counts("day").select(F.col("value").cast("date").alias("day"), "n")
+
+    def postings(self) -> DataFrame:
+        """``(gram, field, id, month)`` of an indexed table."""
+        if not self.indexed:
+            raise ValueError(f"{self.name} is kept without postings")
+        return self._side(3)
+
+    def named(self, keys: DataFrame) -> DataFrame:
+        """Rows of ``keys`` (``id, month``; written down): only their months'
+        partitions are read. Names of months reach the driver."""
+        months = [r["month"] for r in keys.select("month").distinct().collect()]
+        rows = self._rows().filter(F.col("month").isin(months))
+        return writes.rows_with_keys(rows, keys.select("id"), ["id"]).select(*ARTICLE_COLUMNS)
 
     def day_range(self, limit: int, offset: int = 0, after: _dt.date | None = None) -> dict | None:
         """Of the listing (newest day first, undated rows last), the days that
@@ -188,10 +223,16 @@ class ArticleTable:
         self._note(None)
 
     def _insert(self, rows: DataFrame, version: int) -> None:
-        t, urls, days = self._tables(version)
-        self._clustered(self._placed(rows)).write.insertInto(t)
+        t, urls, counts, grams = self._tables(version)
+        placed = self._placed(rows)
+        self._clustered(placed).write.insertInto(t)
         self._insert_urls(rows.select("url"), urls)
-        self._day_counts(rows).coalesce(1).write.insertInto(days)
+        self._counts(rows).coalesce(1).write.insertInto(counts)
+        if self.indexed:
+            self._insert_postings(PO.postings(placed), grams)
+
+    def _insert_postings(self, postings: DataFrame, table: str) -> None:
+        postings.repartition(self.parts, "gram").sortWithinPartitions("gram", "id").write.insertInto(table)
 
     def _insert_urls(self, urls: DataFrame, table: str) -> None:
         # The writer's buckets are the shuffle's: one file a bucket and run.
@@ -221,7 +262,11 @@ class ArticleTable:
         for state, months in by_state.items():
             old = old.unionByName(rows.filter((F.col("state") == state) & F.col("month").isin(months)))
         new = cut_lineage(self._placed(writes.update_by_key(old.select(*ARTICLE_COLUMNS), updates, "id", now)))
-        t = self._tables(self._version())[0]
+        # What the facets gain and lose: counts of the updated rows, after and before.
+        hit = lambda df: df.join(updates.select("id"), "id", "left_semi")
+        change = cut_lineage(self._counts(hit(new), ("source", "tag")).unionByName(
+            self._counts(hit(old), ("source", "tag"), -1)).groupBy("kind", "value").agg(F.sum("n").alias("n")).filter("n <> 0"))
+        t, _, counts, grams = self._tables(self._version())
         self._note({"step": "move", "months": by_state.get(PENDING, [])})
         self._clustered(new.filter(~here())).write.insertInto(t)
         stay = new.filter(here())
@@ -229,8 +274,20 @@ class ArticleTable:
         left = {(r["state"], r["month"]) for r in stay.select(*_PLACE).distinct().collect()}
         for state, month in set(touched) - left:
             self.spark.sql(f"ALTER TABLE {t} DROP IF EXISTS PARTITION (state='{state}', month='{month}')")
+        change.coalesce(1).write.insertInto(counts)
+        if self.indexed and {"tags", "title"} & set(updates.columns):
+            fields = [f for f, c in ((PO.TITLE, "title"), (PO.TAG, "tags")) if c in updates.columns]
+            self._insert_postings(PO.postings(hit(new), fields=tuple(fields)), grams)
         self._note(None)
 
+    def _recount(self) -> None:
+        """Make the side tables anew from the rows: counts, and postings."""
+        _, _, counts, grams = self._tables(self._version())
+        rows = self._physical()
+        self._counts(rows).coalesce(1).write.insertInto(counts, overwrite=True)
+        if self.indexed:
+            PO.postings(rows).repartition(self.parts, "gram").sortWithinPartitions("gram", "id").write.insertInto(grams, overwrite=True)
+
     def _overwrite(self, placed: DataFrame, table: str) -> None:
         # Only the session setting reaches an insert into a catalog table.
         conf, mode = self.spark.conf, "spark.sql.sources.partitionOverwriteMode"
@@ -248,18 +305,20 @@ class ArticleTable:
         for t in self._tables(version - 1):
             self.spark.sql(f"DROP TABLE IF EXISTS {t}")
         self._create(version + 1)
-        t, urls, days = self._tables(version + 1)
+        t, urls, counts, grams = self._tables(version + 1)
         self._clustered(self._placed(rows)).write.insertInto(t)
         self.spark.catalog.refreshTable(t)
         written = self.spark.table(t)
         self._insert_urls(written.select("url"), urls)
-        self._day_counts(written).coalesce(1).write.insertInto(days)
+        self._counts(written).coalesce(1).write.insertInto(counts)
+        if self.indexed:
+            self._insert_postings(PO.postings(written), grams)
         self._point(version + 1)
 
     def settle(self) -> None:
         """Finish what a stopped writer noted. A move: pending rows that have
-        arrived are taken out. An append: urls and counts are made anew from
-        the rows."""
+        arrived are taken out, counts and postings made anew from the rows. An
+        append: all side tables are made anew, as a new version."""
         step = self._noted()
         if step is None:
             return
@@ -274,4 +333,5 @@ class ArticleTable:
         have = {r["month"] for r in left.select("month").distinct().collect()}
         for month in set(months) - have:
             self.spark.sql(f"ALTER TABLE {t} DROP IF EXISTS PARTITION (state='{PENDING}', month='{month}')")
+        self._recount()
         self._note(None)

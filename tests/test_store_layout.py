@@ -43,6 +43,7 @@ def files(scratch):
 
 def read_figures(df):
     """(files, partitions) that the scans of the rows' table read."""
+    df = df.select("*")          # a plan of its own: figures of a plan that ran before are gone
     df.collect()
     n, parts, todo = 0, 0, [df._jdf.queryExecution().executedPlan()]
     while todo:
@@ -70,7 +71,7 @@ def test_enrich_reads_and_rewrites_pending_partitions_only(spark, scratch):
     assert counts == {"updated": 3, "skipped": 1}
     gone, new = before - files(scratch), files(scratch) - before
     assert gone and all("state=pending/month=2024-05" in f for f in gone)
-    assert new and all("month=2024-05" in f for f in new)
+    assert new and all("month=2024-05" in f or "_counts/" in f for f in new)
     rows = store.read().filter("id >= 'id99'").collect()
     assert sorted((r.id, r.metadata_generated, r.content) for r in rows) == [
         (f"id{99_000 + i}", i < 3, f"text{i}" if i < 3 else None) for i in range(4)]
@@ -122,7 +123,7 @@ def test_day_and_deep_pages_read_a_constant_part(spark, scratch):
         assert [r.id for r in SP.stored_after(store, tuple(undated), 10).collect()] == whole[total - 4:]
         assert SP.stored_page(store, 10, total).count() == 0
     small, large = figures
-    assert large == small and all(parts <= 6 for _, parts in large)
+    assert large == small and all(0 < parts <= 6 for _, parts in large)
 
 
 def test_url_side_is_not_exchanged(spark, scratch):
