@@ -28,13 +28,14 @@ from newsloom.session import cut_lineage
 # Runs of one script are terms: two Han or Katakana characters and more, or
 # three letters and more (each with its combining marks) of any other script
 # but Hiragana.
-def _term_pattern(script) -> str:
+def _term_pattern(script, once: str = "") -> str:
     han, kana, other = script("Han"), script("Katakana"), script("Hiragana")
     letter = rf"[^\P{{L}}{han}{kana}{other}]"
-    return rf"{han}{{2,}}|[{kana}ー]{{2,}}|(?:{letter}\p{{M}}*){{3,}}"
+    return rf"{han}{{2,}}|[{kana}ー]{{2,}}|(?:{letter}\p{{M}}*{once}){{3,}}{once}"
 
 
-TERM_RE = _term_pattern(lambda s: rf"\p{{Is{s}}}")
+# Possessive in Java, where a repeated group takes stack on long words else.
+TERM_RE = _term_pattern(lambda s: rf"\p{{Is{s}}}", "+")
 TERM_RE2 = _term_pattern(lambda s: rf"\p{{{s}}}")  # the same in RE2 syntax
 # The same where no character is above U+00FF: a class of that range only.
 _LATIN1_RE = "[a-zªµºß-öø-ÿ]{3,}"

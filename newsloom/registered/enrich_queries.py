@@ -59,7 +59,7 @@ def summary_ctes(src: str, budget: int = SM.DEFAULT_BUDGET) -> list[str]:
     return [
         f"sx AS (SELECT t.id, list_distinct(regexp_extract_all(lower(t.title), '{SM.WORD_RE}')) AS tw, "
         f"{strip} AS s, u.pos FROM {src} t, "
-        f"unnest(regexp_extract_all(t.text, '{SM.SENTENCE_RE}')) WITH ORDINALITY AS u(s, pos))",
+        f"unnest(regexp_extract_all(t.text, '{SM.SENTENCE_RE2}')) WITH ORDINALITY AS u(s, pos))",
         "sy AS (SELECT id, s, pos, length(s) AS len, "
         f"len(list_distinct(list_filter(regexp_extract_all(lower(s), '{SM.WORD_RE}'), "
         "lambda w: list_contains(tw, w)))) AS score FROM sx WHERE s <> '')",
@@ -165,6 +165,14 @@ def x20_summary(spark, sf):
     return d.select("doc_id", SM.extractive_summary(F.col("text"), first_line(F.col("text"))).alias("summary"))
 
 
+@register("x20_central_summary")
+def x20_central_summary(spark, sf):
+    """Summary of every whole document by sentence centrality (no SQL: the
+    tests hold it against a dense version of the graph)."""
+    d = read_table(spark, sf, "documents", spread_out=True)
+    return d.select("doc_id", SM.central_summary(F.col("text"), first_line(F.col("text"))).alias("summary"))
+
+
 @register("x21_keyword_terms", _with(
     "ksrc AS (SELECT doc_id AS id, text FROM documents)", *keyword_ctes("ksrc"),
     body="SELECT id AS doc_id, rank, term, tf, df FROM kw"))
