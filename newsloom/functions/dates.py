@@ -269,18 +269,41 @@ def _partial(s: Column, ref: Column) -> Column:
     return F.when(ref.isNotNull(), day)
 
 
+# What a date takes at least: a digit, a weekday or a relative word.
+_SOME = r"(?i)[0-9]|\b(?:" + "|".join(sorted({n[:3] for n in WEEKDAYS})) + r")|yesterday|today|just now|元"
+# Dates that most texts begin with, as the grammar reads them: fields in
+# order, and what may not follow.
+_NAMED = r"(?i)^\s*(" + "|".join(sorted(MONTHS, key=len, reverse=True)) + r")\.?\s+([0-9]{1,2}),?\s+([0-9]{4})(?![0-9\p{L}]|[-/.:][0-9])"
+_PLAIN = (r"^\s*([0-9]{4})[-/.]([0-9]{1,2})[-/.]([0-9]{1,2})(?![0-9]|[-/.][0-9])", r"^\s*([0-9]{4})年([0-9]{1,2})月([0-9]{1,2})日")
+
+
+def _leading_day(text: Column) -> Column:
+    """Day of a plain complete date at the beginning; NULL sends the text
+    through the grammar, which gives the same where this gives one."""
+    parts = lambda p: [F.regexp_extract(text, p, i) for i in (1, 2, 3)]
+    month, day, year = parts(_NAMED)
+    named = _ymd(F.nullif(year, F.lit("")), _lookup(MONTHS, F.lower(month)), day)
+    return F.coalesce(*[_ymd(*[F.nullif(x, F.lit("")) for x in parts(p)]) for p in _PLAIN], named)
+
+
+def _read(text: Column, of) -> Column:
+    """``of`` the grammar's last state, for texts that can hold a date."""
+    return F.when(text.rlike(_SOME), _use(date_fields(text), of))
+
+
 def native_day(col, normalised: bool = False) -> Column:
     """Calendar day of the first complete date in free text; NULL without
     one. Pass ``normalised=True`` for a column already through
     :func:`ascii_digits` (staged as its own column, it is computed once)."""
-    return _use(date_fields(_c(col) if normalised else ascii_digits(col)), lambda s: _complete_day(s, None))
+    text = _c(col) if normalised else ascii_digits(col)
+    return F.coalesce(_leading_day(text), _read(text, lambda s: _complete_day(s, None)))
 
 
 def partial_day(col, ref: Column) -> Column:
     """Day of the first partial or relative date in (normalised) text, filled
     up from ``ref``; NULL without ``ref``. Hours and minutes ago are the
     reference day; a weekday is the next one, the reference day included."""
-    return _use(date_fields(_c(col)), lambda s: _partial(s, ref))
+    return _read(_c(col), lambda s: _partial(s, ref))
 
 
 def free_text_day(col, ref_date, normalised=None) -> Column:
@@ -288,7 +311,7 @@ def free_text_day(col, ref_date, normalised=None) -> Column:
     ``normalised``: the same text already through :func:`ascii_digits`."""
     text = normalised if normalised is not None else ascii_digits(col)
     ref = ref_date if isinstance(ref_date, Column) else F.lit(None if ref_date is None else str(ref_date)).cast("date")
-    return _use(date_fields(text), lambda s: F.coalesce(_complete_day(s, ref), _partial(s, ref)))
+    return F.coalesce(_leading_day(text), _read(text, lambda s: F.coalesce(_complete_day(s, ref), _partial(s, ref))))
 
 
 def resolve_day(raw, ref_date, normalised=None) -> Column:
