@@ -148,7 +148,7 @@ def _luhn(digits: Column, last: bool) -> Column:
 
 def _draw(kind: Column, entity: Column, attempt: Column, numbers: Column, domain: Column) -> Column:
     """The surrogate of a canonical entity. From the fourth attempt on it may
-    be longer, so that short formats don't run out."""
+    be longer, numbers from the seventh, so that short formats don't run out."""
     more = F.when(attempt >= 3, _spelled(F.repeat(F.lit("0"), F.least(attempt - 1, F.lit(9))), F.reverse(numbers))).otherwise("")
     spelled = _spelled(entity, numbers)
     first = F.element_at(numbers, -1) % 9 + 1
@@ -157,6 +157,7 @@ def _draw(kind: Column, entity: Column, attempt: Column, numbers: Column, domain
     card = F.when(_luhn(entity, True) % 10 == 0,
                   F.concat(body, ((10 - _luhn(body, False) % 10) % 10).cast("string"))).otherwise(
         F.concat(F.substr(entity, F.lit(1), F.lit(1)), F.substr(spelled, F.lit(2))))
+    wide = F.when(attempt >= 6, more).otherwise("")
     byte = lambda i: F.element_at(numbers, i)
     ip = F.concat_ws(".", (byte(1) % 223 + 1).cast("string"), *[byte(i).cast("string") for i in (2, 3)],
                      (byte(4) % 254 + 1).cast("string"))
@@ -176,19 +177,20 @@ def _draw(kind: Column, entity: Column, attempt: Column, numbers: Column, domain
             given = F.when(hit, one) if given is None else given.when(hit, one)
     person = F.concat(sex, F.lit(":"), F.when(F.instr(name, " ") > 0, F.concat_ws(" ", given, surname)).otherwise(surname))
     mail = F.concat(_spelled(F.substring_index(entity, "@", 1), numbers), more, F.lit("@"), domain)
-    return (F.when(kind == "email", mail).when(kind.isin("phone", "ssn"), number).when(kind == "card", card)
+    return (F.when(kind == "email", mail).when(kind.isin("phone", "ssn"), F.concat(number, wide))
+            .when(kind == "card", F.concat(card, wide))
             .when(kind == "ip", ip).when(kind == "person", person)
             .when(kind == "ip6", F.array_join(F.transform(
                 F.split(F.regexp_replace(F.sha2(F.concat_ws("|", entity, attempt.cast("string"), F.element_at(numbers, 7).cast("string")), 256),
                                          "^(.{4})(.{4})(.{4})(.{4})(.{4})(.{4})(.{4})(.{4}).*", "$1:$2:$3:$4:$5:$6:$7:$8"), ":"), lambda x: x), ":"))
-            .when(kind == "iban", F.concat(F.substr(entity, F.lit(1), F.lit(2)), F.substr(spelled, F.lit(3))))
+            .when(kind == "iban", F.concat(F.substr(entity, F.lit(1), F.lit(2)), F.substr(spelled, F.lit(3)), wide))
             .otherwise(F.concat(spelled, F.when(kind == "secret", more).otherwise(""))))
 
 
 def surrogate_table(entities: DataFrame, key: str, rounds: int = ROUNDS) -> DataFrame:
     """``kind, entity, surrogate`` for the distinct ``entities`` (kind,
-    entity): one surrogate each, none shared within a kind, none that is
-    itself an entity.
+    entity): one surrogate each; as they are seen in a text, none is shared,
+    not even between kinds, and none is itself an entity.
 
     Every round draws for the entities still open, by a keyed digest of
     kind, entity and round; of those that draw the same, and of those that
@@ -207,11 +209,12 @@ def surrogate_table(entities: DataFrame, key: str, rounds: int = ROUNDS) -> Data
             F.substring_index(site, ".", -1))))
         drawn = materialise(drawn.select("kind", "entity", _draw(
             F.col("kind"), F.col("entity"), F.lit(attempt), F.col("_numbers"), F.col("_domain")).alias("surrogate")))
-        winner = drawn.groupBy("kind", "surrogate").agg(F.min("entity").alias("entity"))
-        free = winner.join(all_.select("kind", F.col("entity").alias("surrogate")), ["kind", "surrogate"], "left_anti")
+        seen = lambda c: F.when(F.col("kind") == "person", F.substring_index(c, ":", -1)).otherwise(F.col(c)).alias("_seen")
+        winner = drawn.groupBy(seen("surrogate")).agg(F.min(F.struct("kind", "entity", "surrogate")).alias("_first"))
+        free = winner.join(all_.select(seen("entity")), "_seen", "left_anti")
         if done is not None:
-            free = free.join(done.select("kind", "surrogate"), ["kind", "surrogate"], "left_anti")
-        won = free.select("kind", "entity", "surrogate")
+            free = free.join(done.select(seen("surrogate")), "_seen", "left_anti")
+        won = free.select("_first.*")
         done = materialise(won if done is None else done.unionByName(won))
         open_ = materialise(all_.join(done, ["kind", "entity"], "left_anti"))
         if not open_.limit(1).count():
@@ -221,17 +224,20 @@ def surrogate_table(entities: DataFrame, key: str, rounds: int = ROUNDS) -> Data
 
 def _render(kind: Column, found: Column, surrogate: Column) -> Column:
     """The surrogate in the format of this occurrence: digits take the
-    places of digits, a name keeps its title."""
+    places of digits (of a longer number the rest follows), a name keeps its
+    title."""
     places = F.filter(F.split(found, ""), lambda c: c != "")
     start = F.struct(F.lit("").alias("out"), surrogate.alias("left"))
     dealt = F.aggregate(places, start, lambda a, c: F.struct(
         F.concat(a["out"], F.when(c.rlike("[0-9]"), F.substr(a["left"], F.lit(1), F.lit(1))).otherwise(c)).alias("out"),
-        F.when(c.rlike("[0-9]"), F.substr(a["left"], F.lit(2))).otherwise(a["left"]).alias("left")))["out"]
+        F.when(c.rlike("[0-9]"), F.substr(a["left"], F.lit(2))).otherwise(a["left"]).alias("left")))
     title = F.regexp_extract(found, rf"^(?:{_ALL_TITLES})\.? ", 0)
     blanks = F.aggregate(places, start, lambda a, c: F.struct(
         F.concat(a["out"], F.when(c != " ", F.substr(a["left"], F.lit(1), F.lit(1))).otherwise(c)).alias("out"),
-        F.when(c != " ", F.substr(a["left"], F.lit(2))).otherwise(a["left"]).alias("left")))["out"]
-    return (F.when(kind.isin("phone", "card", "ssn"), dealt).when(kind == "iban", blanks)
+        F.when(c != " ", F.substr(a["left"], F.lit(2))).otherwise(a["left"]).alias("left")))
+    # The folds are one element each, so they are made once an occurrence.
+    joined = lambda x: F.element_at(F.transform(F.array(x), lambda v: F.concat(v["out"], v["left"])), 1)
+    return (F.when(kind.isin("phone", "card", "ssn"), joined(dealt)).when(kind == "iban", joined(blanks))
             .when(kind == "person", F.concat(title, F.substring_index(surrogate, ":", -1))).otherwise(surrogate))
 
 
