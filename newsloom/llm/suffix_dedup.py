@@ -1,29 +1,31 @@
 """Repeated passages by a sparse suffix array.
 
 Suffixes are retained only where the content selects them: at the positions
-that have the smallest hash among ``WINDOW`` neighbouring word groups, so
-that equal passages retain the same suffixes. They are ordered by a key of
-their first words; a run of equal keys is a candidate, found by an
-aggregate whose partial step keeps two places per key and task, so a
-passage that very many documents share is no large group. Around the
-candidates the matches are extended to the left and right: every stretch of
-``LENGTH`` words that holds a candidate is compared with all others, and
+that have the smallest hash among neighbouring word groups (minimisers), so
+that equal passages retain the same suffixes. The retained suffixes of all
+documents are range-sorted on their first words, and neighbours in that order
+are compared, also across the borders of the sorted ranges: a suffix whose
+common prefix with a neighbour has ``KEY`` words is a match. A passage that
+very many documents share is a long run of matches, spread over as many ranges
+as it needs. The matches are then extended to the left and right: every
+stretch of ``LENGTH`` words that holds one is compared with all others, and
 overlapping stretches grow together into maximal passages.
 
-A stretch of ``LENGTH`` words always holds a retained suffix with its whole
-key inside, so no repeated stretch is missed. Documents with the same words
-are compared once.
+A stretch of ``LENGTH`` words always holds a retained suffix with its first
+``KEY`` words inside, so no repeated stretch is missed. Documents with the same
+words are compared once.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import materialise, rows_named, shared_table
+from newsloom.llm.common import BROADCAST_IDS, materialise, rows_named, shared_table, shuffle_partitions
 
 LENGTH = 50
 KEY = 20
@@ -67,23 +69,108 @@ class Words:
         return view.argmin(axis=1) + np.arange(m)
 
 
-def _retain(length: int, key: int):
+def _print(w: Words) -> int:
+    return xxhash.xxh3_64_intdigest(w.h.tobytes(), seed=w.n) - (1 << 63)
+
+
+def _prints(batches):
+    """Number of words of each text and what tells it from others."""
+    for batch in batches:
+        found = [(w.n, _print(w)) for w in (Words(text.as_py()) for text in batch.column(1))]
+        yield pa.record_batch({"id": batch.column(0), "print": pa.array([p for _, p in found], pa.int64()),
+                               "n": pa.array([n for n, _ in found], pa.int64())})
+
+
+def _suffixes(length: int, key: int):
+    """The retained suffixes of each text, with their first ``key`` words."""
     def run(batches):
         for batch in batches:
-            prints, count, keys, places = [], [], [], []
-            for text in batch.column(1):
-                w = Words(text.as_py())
-                at = np.unique(w.selected(length, key))
-                prints.append(xxhash.xxh3_64_intdigest(w.h.tobytes(), seed=w.n) - (1 << 63))
-                count.append(w.n)
-                keys.append(w.grams(key)[at].view(np.int64))
-                places.append(at.astype(np.int32))
-            yield pa.record_batch({
-                "id": batch.column(0), "print": pa.array(prints, pa.int64()), "n": pa.array(count, pa.int64()),
-                "keys": pa.array(keys, pa.list_(pa.int64())), "places": pa.array(places, pa.list_(pa.int32()))})
+            ids, prints, places, prefixes = [], [], [], []
+            for doc, text, expected in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
+                data = text.as_py() or b""
+                w = Words(data)
+                if _print(w) != expected:  # another text under the same id
+                    continue
+                words = data.split()
+                for at in np.unique(w.selected(length, key)).tolist():
+                    ids.append(doc)
+                    prints.append(expected)
+                    places.append(at)
+                    prefixes.append(b" ".join(words[at:at + key]))
+                if len(places) > 20_000:
+                    yield _suffix_batch(ids, prints, places, prefixes)
+                    ids, prints, places, prefixes = [], [], [], []
+            if places:
+                yield _suffix_batch(ids, prints, places, prefixes)
     return run
 
 
+def _suffix_batch(ids, prints, places, prefixes):
+    return pa.record_batch({"id": pa.array(ids, pa.int64()), "print": pa.array(prints, pa.int64()),
+                            "place": pa.array(places, pa.int32()), "prefix": pa.array(prefixes, pa.binary())})
+
+
+FIRST, LAST = 1, 2
+
+
+def _neighbours(batches):
+    """Of a sorted range, the suffixes that have their first words in common
+    with the one before or behind, and its first and last one with their
+    words, which the ranges beside it decide. The last row of a batch waits
+    for the next batch. A suffix that comes twice (a repeated row) is one."""
+    held = None
+
+    def out(rows, found, edge, prefix):
+        return pa.record_batch({
+            "id": rows["id"], "print": rows["print"], "place": rows["place"], "part": rows["part"],
+            "found": pa.array(found, pa.bool_()), "edge": pa.array(edge, pa.int32()), "prefix": pa.array(prefix, pa.binary())})
+
+    names = ("id", "print", "place", "part", "prefix")
+    for batch in batches:
+        rows = {n: batch.column(batch.schema.get_field_index(n)) for n in names}
+        if held is not None:
+            rows = {n: pa.concat_arrays([held[0][n], rows[n]]) for n in names}
+        if not len(rows["id"]):
+            continue
+        doc, place = rows["id"].to_numpy(), rows["place"].to_numpy()
+        new = np.concatenate([[True], (doc[1:] != doc[:-1]) | (place[1:] != place[:-1])])
+        rows = {n: c.filter(pa.array(new)) for n, c in rows.items()}
+        n = len(rows["id"])
+        # Equal first words: a common prefix of at least their number.
+        same = np.asarray(pc.equal(rows["prefix"].slice(1), rows["prefix"].slice(0, n - 1)).to_numpy(zero_copy_only=False), bool)
+        before = np.concatenate([[held[1] if held is not None else False], same])
+        edge = np.zeros(n, np.int32)
+        edge[0] = FIRST if held is None else held[2]
+        found = before.copy()
+        found[:-1] |= same
+        keep = np.flatnonzero((found | (edge > 0))[:n - 1])
+        if len(keep):
+            taken = {c: rows[c].take(pa.array(keep)) for c in names}
+            prefix = [p if e else None for p, e in zip(taken["prefix"].to_pylist(), edge[keep])]
+            yield out(taken, found[keep], edge[keep], prefix)
+        held = ({c: rows[c].slice(n - 1) for c in names}, bool(before[-1]), int(edge[-1]))
+    if held is not None:
+        rows, found, edge = held
+        yield out(rows, [found], [edge | LAST], rows["prefix"].to_pylist())
+
+
+def matches(suffixes: DataFrame) -> DataFrame:
+    """``id, print, place`` of the suffixes (``id, print, place, prefix``)
+    whose prefix a neighbour in suffix order has too. Equal prefixes are
+    ordered by id and place, so that any number of them can be spread."""
+    order = ["prefix", "id", "place"]
+    ranged = (suffixes.repartitionByRange(shuffle_partitions(suffixes), *order).sortWithinPartitions(*order)
+              .withColumn("part", F.spark_partition_id()).select("id", "print", "place", "part", "prefix"))
+    flagged = shared_table(ranged.mapInArrow(
+        _neighbours, "id long, print long, place int, part int, found boolean, edge int, prefix binary"))
+    # Two rows a range at most: each looks at the row of the range beside it.
+    line = Window.orderBy("part", "edge")
+    first, last = F.col("edge").bitwiseAND(FIRST) > 0, F.col("edge").bitwiseAND(LAST) > 0
+    met = (flagged.filter("edge > 0").withColumn("_before", F.lag("prefix").over(line)).withColumn("_behind", F.lead("prefix").over(line))
+           .filter(F.col("found") | (first & (F.col("prefix") == F.col("_before"))) | (last & (F.col("prefix") == F.col("_behind")))))
+    return flagged.filter("found AND edge = 0").select("id", "print", "place").unionByName(met.select("id", "print", "place"))
+
+
 def _batch(gram, ids, starts, heads):
     return pa.record_batch({"gram": pa.array(np.concatenate(gram)), "id": pa.array(np.concatenate(ids)),
                             "start": pa.array(np.concatenate(starts)), "head": pa.array(np.concatenate(heads))})
@@ -163,21 +250,22 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text: str = "text
     not read.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).cast("binary").alias("t")).filter("id is not null")
-    kept = shared_table(rows.mapInArrow(
-        _retain(length, key), "id long, print long, n long, keys array<long>, places array<int>").filter(f"n >= {length}"))
-    same = kept.groupBy("print").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.min("n").alias("n"))
-    suffixes = kept.select("print", F.explode(F.arrays_zip("keys", "places")).alias("s")).select(
-        "print", F.col("s.keys").alias("key"), F.col("s.places").alias("place"))
-    at = F.xxhash64("print", "place")
-    runs = suffixes.groupBy("key").agg(F.min(at).alias("lo"), F.max(at).alias("hi")).filter("lo <> hi").select("key")
-    found = suffixes.join(runs, "key", "left_semi").groupBy("print").agg(F.collect_set("place").alias("places"))
+    kept = shared_table(rows.mapInArrow(_prints, "id long, print long, n long").filter(f"n >= {length}"))
+    same = materialise(kept.groupBy("print").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.min("n").alias("n")))
+    reps = same.select(F.col("rep").alias("id"), "print")
+    # 16 bytes each: texts stay where they are as long as that many are broadcast.
+    few = reps.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    named = rows.join(F.broadcast(reps) if few else reps, "id").select("id", "t", "print")
+    found = matches(named.mapInArrow(_suffixes(length, key), "id long, print long, place int, prefix binary")) \
+        .groupBy("print").agg(F.collect_set("place").alias("places"))
     found = materialise(found.join(same, "print").select(F.col("rep").alias("id"), "print", "places", "copies", "n"))
     texts = rows_named(rows, "id", found.select("id")).dropDuplicates(["id"])
     grams = shared_table(texts.join(found.select("id", "places"), "id").select("id", "t", "places").mapInArrow(
         _stretches(length, key), "gram long, id long, start int, head boolean"))
-    repeated = grams.groupBy("gram").agg(
-        F.min("id").alias("lo"), F.max("id").alias("hi"), F.min("start").alias("from"), F.max("start").alias("to")) \
-        .filter("lo <> hi or from <> to")
+    # Written down, so that the join with a stretch that very many documents have can be split.
+    repeated = shared_table(grams.groupBy("gram").agg(
+        F.min("id").alias("lo"), F.max("id").alias("hi"), F.min("start").alias("from"), F.max("start").alias("to"))
+        .filter("lo <> hi or from <> to").select("gram", "lo"))
     starts = grams.join(repeated, "gram").groupBy("id").agg(F.collect_list(F.struct(
         "start", ((F.col("id") == F.col("lo")) & F.col("head")).alias("first"))).alias("starts"))
     spans = starts.join(found.select("id", "print", "n", "copies"), "id").select("print", "n", "copies", "starts").mapInArrow(

@@ -251,6 +251,25 @@ def test_first_is_one_place_with_copies_and_repeats_inside(spark):
     assert out[11] == ["-"] * 50 and out[12] == q
 
 
+@pytest.mark.parametrize("ranges", [1, 7, 40])
+def test_neighbours_in_suffix_order(spark, ranges):
+    """Matches are the suffixes whose first words another one has, wherever
+    the borders of the sorted ranges fall; a repeated row is no match."""
+    rng = random.Random(ranges)
+    prefixes = [b"hot words"] * 150 + [b"two", b"two", b"one"] + [f"p{rng.randrange(60)}".encode() for _ in range(60)] + \
+        [f"single {i}".encode() for i in range(40)]
+    rows = [(i // 3, -i // 3, i, p) for i, p in enumerate(prefixes)]
+    df = spark.createDataFrame(rows + rows[150:], "id long, print long, place int, prefix binary").repartition(3)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(ranges))
+    try:
+        got = sorted((r["id"], r["print"], r["place"]) for r in suffix_dedup.matches(df).collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert got == sorted(r[:3] for r in rows if prefixes.count(r[3]) > 1)
+    assert suffix_dedup.matches(df.limit(0)).count() == 0
+
+
 def test_every_stretch_holds_a_retained_suffix():
     rng = random.Random(8)
     w = suffix_dedup.Words(" ".join(words(rng, 500, 30)).encode())
