@@ -223,7 +223,9 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "te
     """One row per row of ``docs``: ``doc_id, severity, grade, p_toxic,
     toxic``. A null or empty text has no features and gets the model's
     baseline; repeated rows are scored alike; an empty table gives an empty
-    result; other columns are not read. Rows don't shuffle."""
+    result; other columns are not read. Rows don't shuffle. The labels know
+    two grades only: what ``severity`` and ``grade`` tell apart among toxic
+    texts is how often they use the terms that are the model's features."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("_text")).mapInArrow(

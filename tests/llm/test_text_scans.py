@@ -1,5 +1,7 @@
 """Licence rules, surrogates and toxicity grades."""
 
+import collections
+import math
 import random
 import re
 
@@ -218,6 +220,64 @@ def test_toxicity_held_out(spark):
     assert sorted(r["doc_id"] for r in stay.collect()) == sorted(i for i, r in got.items() if not r["toxic"])
 
 
+def plain_terms(text):
+    found = []
+    for w in re.findall(r"[^\W\d_]+", (text or "").lower()):
+        found += [w, w[:5] + "*"] if len(w) > 5 else [w]
+    return found
+
+
+def plain_loss(x, grades, weights, thresholds, penalty):
+    """Penalised negative log likelihood of the ordinal model, row by row."""
+    total = 0.0
+    for row, grade in zip(x, grades):
+        eta = float(row @ weights)
+        above = [1.0] + [1 / (1 + math.exp(-(eta - t))) for t in thresholds] + [0.0]
+        total -= math.log(max(above[grade] - above[grade + 1], 1e-9))
+    return total / len(x) + penalty * float(weights @ weights) / 2 / math.sqrt(len(x))
+
+
+def test_fit_is_a_minimum_of_the_plain_loss():
+    rng = np.random.default_rng(6)
+    counts = rng.poisson(0.4, size=(160, 6))
+    grades = np.clip(counts[:, :3].sum(axis=1) + rng.integers(-1, 2, 160), 0, 3)
+    r, c = np.nonzero(counts)
+    weights, thresholds = toxicity.fit(r, c, counts[r, c], grades, 6, rounds=3000)
+    x = np.where(counts > 0, 1 + np.log(np.maximum(counts, 1)), 0.0)
+    best = plain_loss(x, grades, weights, thresholds, toxicity.PENALTY)
+    assert np.all(np.diff(thresholds) > 0)
+    for _ in range(60):
+        near = plain_loss(x, grades, weights + rng.normal(0, 0.05, 6), thresholds + rng.normal(0, 0.05, 3), toxicity.PENALTY)
+        assert near > best - 1e-5
+    early, cuts = toxicity.fit(r, c, counts[r, c], grades, 6, rounds=5)
+    assert best < plain_loss(x, grades, early, cuts, toxicity.PENALTY)
+
+
+def test_markers_and_scores_against_plain_code(spark):
+    rows, labels = toxic_rows(random.Random(8), 300)
+    rows += [(900, None, "s"), (901, "", "s"), (902, "IDIOT idiots moronic " * 40, "s")]
+    docs, toxic = docs_frame(spark, rows), dict(labels)
+    model = toxicity.train(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    # one row a text, as equal texts count once
+    texts = {t: toxic[i] for i, t, _ in rows if i in toxic}
+    n1, n0 = sum(texts.values()), len(texts) - sum(texts.values())
+    t, c = collections.Counter(), collections.Counter()
+    for text, bad in texts.items():
+        (t if bad else c).update(set(plain_terms(text)))
+    odds = lambda k, n: math.log((k + 0.5) / (n + 0.5 - k))
+    z = {w: (odds(t[w], n1) - odds(c[w], n0)) / math.sqrt(1 / (t[w] + 0.5) + 1 / (c[w] + 0.5))
+         for w in t if t[w] >= toxicity.MIN_TOXIC_DOCS}
+    assert set(model.terms) == {w for w, v in z.items() if v >= toxicity.MIN_Z} and len(model.terms) <= toxicity.MAX_FEATURES
+    text_of = {i: text for i, text, _ in rows}
+    for r in toxicity.score(docs, model).collect():
+        found = collections.Counter(w for w in plain_terms(text_of[r["doc_id"]]) if w in model.terms)
+        eta = sum(model.weights[model.terms[w]] * (1 + math.log(n)) for w, n in found.items())
+        p = [1 / (1 + math.exp(-max(-30, min(30, eta - cut)))) for cut in model.thresholds]
+        levels = -np.diff([1.0, *p, 0.0])
+        assert math.isclose(r["severity"], sum(p), abs_tol=1e-9) and math.isclose(r["p_toxic"], p[0], abs_tol=1e-12)
+        assert r["grade"] == int(np.argmax(levels)) and r["toxic"] == (p[0] >= 0.5)
+
+
 def test_toxicity_odd_inputs(spark):
     docs = docs_frame(spark, awkward(random.Random(4)))
     none = spark.createDataFrame([], "doc_id long, toxic int")
