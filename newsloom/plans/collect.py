@@ -102,7 +102,7 @@ def collect(catalogue: DataFrame, landed_feeds: DataFrame, pages: DataFrame,
     # pages of what is left.
     acceptable = cand.filter(F.col("_stage").isNull())
     new = keep(writes.insert_if_absent(existing, acceptable.select("url", *ORDER), "url", order=ORDER))
-    info = page_fields(pages, ref_date, keep(states.join(new.select("url"), "url", "left_semi")))
+    info = page_fields(pages, ref_date, states.join(new.select("url"), "url", "left_semi"))
     found = new.join(info, "url", "left").withColumn("_new", F.lit(True))
     rest = cand.filter(F.col("_stage").isNotNull()).withColumn("outcome", F.col("_stage"))
     labelled = acceptable.join(found, ["url", *ORDER], "left").withColumn(
