@@ -93,7 +93,7 @@ def _token(kind: str, *values: Column, short: Column | None = None) -> Column:
                     (F.lit(False) if short is None else F.coalesce(short, F.lit(False))).alias("short"))
 
 
-def _chain_token(word: Column) -> Column:
+def _chain_token(word: Column, stop: Column) -> Column:
     """Two or three numbers with separators; ``stop`` if they are no date."""
     parts = F.split(word, "[-/.]")
     at = lambda i: F.get(parts, F.lit(i))
@@ -105,17 +105,18 @@ def _chain_token(word: Column) -> Column:
               .when(low(0, 1) & size(2).isin(2, 4) & (x > 31) & (size(2) == 2), _token("full", x, y, z, short=F.lit(True)))
               .when(low(0, 1) & size(2).isin(2, 4) & (x > 12), _token("full", z, y, x, short=size(2) == 2))
               .when(low(0, 1) & size(2).isin(2, 4), _token("full", z, x, y, short=size(2) == 2))
-              .otherwise(_token("stop")))
+              .otherwise(stop))
     two = (F.when((size(0) == 4) & low(1) & ~F.contains(word, F.lit(".")), _token("pair", x, y))
             .when(low(0, 1) & F.contains(word, F.lit("/")) & (x > 12), _token("pair", F.lit(None), y, x))
             .when(low(0, 1) & F.contains(word, F.lit("/")), _token("pair", F.lit(None), x, y))
             .when(low(0) & (size(1) == 4) & ~F.contains(word, F.lit(".")), _token("pair", y, x))
-            .otherwise(_token("stop")))
-    return F.when(F.size(parts) == 3, three).when(F.size(parts) == 2, two).otherwise(_token("stop"))
+            .otherwise(stop))
+    return F.when(F.size(parts) == 3, three).when(F.size(parts) == 2, two).otherwise(stop)
 
 
 def _typed(word: Column) -> Column:
     """The token that a piece of text is."""
+    stop = _token("stop")
     digits = F.regexp_extract(word, "[0-9]+", 0)
     number = F.when(F.char_length(digits).between(1, 4), F.try_to_number(digits, F.lit("9999"))).cast("int")
     size = F.char_length(digits)
@@ -125,7 +126,7 @@ def _typed(word: Column) -> Column:
     is_word = size == 0
     month, weekday = _lookup(MONTHS, word), _lookup(WEEKDAYS, word)
     return (F.when(F.contains(word, F.lit(":")), _token("clock"))
-             .when(word.rlike("^" + _CHAIN + r"\z"), _chain_token(word))
+             .when(word.rlike("^" + _CHAIN + r"\z"), _chain_token(word, stop))
              .when(ends("ago") & ~is_word, _token("ago", number, F.array_position(F.array(*[F.lit(u) for u in UNITS]), unit)))
              .when(era.isNotNull() & ends("年"), _token("year", era + F.coalesce(number, F.lit(1))))
              .when(is_word & month.isNotNull(), _token("month", month))
@@ -133,16 +134,16 @@ def _typed(word: Column) -> Column:
              .when(word == "yesterday", _token("ago", F.lit(1), F.lit(4)))
              .when(word.isin("today", "just now"), _token("ago", F.lit(0), F.lit(4)))
              .when(word.isin("of", "the"), _token("fill"))
-             .when(is_word, _token("stop"))
-             .when(ends("年"), F.when(size == 4, _token("year", number)).otherwise(_token("stop")))
-             .when(ends("月"), F.when(size <= 2, _token("month", number)).otherwise(_token("stop")))
-             .when(ends("日") | word.rlike("[a-z]"), F.when(size <= 2, _token("day", number)).otherwise(_token("stop")))
+             .when(is_word, stop)
+             .when(ends("年"), F.when(size == 4, _token("year", number)).otherwise(stop))
+             .when(ends("月"), F.when(size <= 2, _token("month", number)).otherwise(stop))
+             .when(ends("日") | word.rlike("[a-z]"), F.when(size <= 2, _token("day", number)).otherwise(stop))
              .when(word.rlike("^['’]"), _token("year", number, short=F.lit(True)))
              .when(size == 4, _token("year", number))
              .when(size <= 2, _token("number", number))
              .when(size.isin(8, 12, 14), _token("full", *[F.try_to_number(F.substring(digits, i, n), F.lit("9999")).cast("int")
                                                           for i, n in ((1, 4), (5, 2), (7, 2))]))
-             .otherwise(_token("stop")))
+             .otherwise(stop))
 
 
 # The fold's state: the fields of the date being read (``soft``: a second
@@ -271,19 +272,19 @@ def _partial(s: Column, ref: Column) -> Column:
 
 # What a date takes at least: a digit, a weekday or a relative word.
 _SOME = r"(?i)[0-9]|\b(?:" + "|".join(sorted({n[:3] for n in WEEKDAYS})) + r")|yesterday|today|just now|元"
-# Dates that most texts begin with, as the grammar reads them: fields in
-# order, and what may not follow.
-_NAMED = r"(?i)^\s*(" + "|".join(sorted(MONTHS, key=len, reverse=True)) + r")\.?\s+([0-9]{1,2}),?\s+([0-9]{4})(?![0-9\p{L}]|[-/.:][0-9])"
-_PLAIN = (r"^\s*([0-9]{4})[-/.]([0-9]{1,2})[-/.]([0-9]{1,2})(?![0-9]|[-/.][0-9])", r"^\s*([0-9]{4})年([0-9]{1,2})月([0-9]{1,2})日")
+# Dates that most texts begin with, as the grammar reads them: year first, or
+# a month name first, and what may not follow.
+_PLAIN = (r"^\s*(?:[0-9]{4}[-/.][0-9]{1,2}[-/.][0-9]{1,2}(?![0-9]|[-/.][0-9])|[0-9]{4}年[0-9]{1,2}月[0-9]{1,2}日)")
+_NAMED = r"(?i)^\s*(?:" + "|".join(sorted(MONTHS, key=len, reverse=True)) + r")\.?\s+[0-9]{1,2},?\s+[0-9]{4}(?![0-9\p{L}]|[-/.:][0-9])"
 
 
 def _leading_day(text: Column) -> Column:
     """Day of a plain complete date at the beginning; NULL sends the text
     through the grammar, which gives the same where this gives one."""
-    parts = lambda p: [F.regexp_extract(text, p, i) for i in (1, 2, 3)]
-    month, day, year = parts(_NAMED)
-    named = _ymd(F.nullif(year, F.lit("")), _lookup(MONTHS, F.lower(month)), day)
-    return F.coalesce(*[_ymd(*[F.nullif(x, F.lit("")) for x in parts(p)]) for p in _PLAIN], named)
+    numbers = F.translate(F.regexp_extract(text, _PLAIN, 0), "/.年月日 \t\n\x0b\f\r", "----")
+    named = _use(F.split(F.lower(F.btrim(F.regexp_extract(text, _NAMED, 0))), "[^a-z0-9]+"),
+                 lambda p: _ymd(F.get(p, F.lit(2)), _lookup(MONTHS, F.get(p, F.lit(0))), F.get(p, F.lit(1))))
+    return F.coalesce(F.try_to_date(F.nullif(numbers, F.lit("")), "yyyy-M-d"), named)
 
 
 def _read(text: Column, of) -> Column:
