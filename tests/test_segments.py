@@ -93,3 +93,18 @@ def test_terms_of_all_scripts(spark):
     assert got["composed"] == got["decomposed"] == {"café", "déjà", "voilà"}
     assert got["latin"] == {"über", "straße", "naïve"}
     assert got["mixed"] == {"abc", "東京", "タワー", "def", "한국어", "привет"} and not got["none"]
+
+
+def test_long_runs_and_large_lexicons(spark, monkeypatch):
+    rng = random.Random(5)
+    texts = ["".join(rng.choice(WORDS) for _ in range(6000)), TARGET + "、" + TARGET + "𠀀𠀁𠀀", "none", None, TARGET + "の" + TARGET]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id int, text string").repartition(2)
+    words = spark.createDataFrame([(w, 100 + i) for i, w in enumerate(WORDS)] + [("都半", 150), ("𠀀𠀁", 7)], "word string, score long")
+    scores = {r.word: r.score for r in words.collect()}
+    want = {i: [w for run in re.findall(r"[一-鿿𠀀-𪛟]{2,}", t or "") for w in brute_split(run, scores)] for i, t in enumerate(texts)}
+    cut = SG.with_words(docs, "text", words)
+    assert {r.id: r.words for r in cut.collect()} == want
+    # The texts are split where they are: nothing is shuffled for it.
+    assert "hashpartitioning" not in cut._jdf.queryExecution().toString()
+    monkeypatch.setattr(SG, "BROADCAST_WORDS", 3)
+    assert {r.id: r.words for r in SG.with_words(docs, "text", words).collect()} == want
