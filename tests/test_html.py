@@ -96,3 +96,13 @@ def test_blocks_are_separated_and_inline_text_is_not():
     r = parse_html("<title>A news</title><h1>zebra</h1><p>one <b>two</b>three<br>four</p>")
     assert r["text"] == "A newszebraone twothreefour"
     assert r["blocks"] == "A news\nzebra\none twothree\nfour"
+
+
+def test_fields_of_few_pages_are_held_at_once():
+    import pyarrow as pa
+
+    from newsloom.functions import html as H
+    pages = [None if i % 7 == 0 else f"<title>t{i}</title><p>text {i}</p>" for i in range(2 * H.PAGES_AT_ONCE + 30)]
+    parts = list(H.parse_batches(iter([pa.array(pages), pa.array([], pa.string()), pa.array(pages[:5])])))
+    assert max(len(p) for p in parts) <= H.PAGES_AT_ONCE
+    assert [row for p in parts for row in p.to_pylist()] == [H.parse_html(h) for h in pages + pages[:5]]
