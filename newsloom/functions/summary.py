@@ -15,6 +15,7 @@ from __future__ import annotations
 import math
 import re
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -116,10 +117,31 @@ def _vectors(sents: list[str]) -> list[dict[str, float]]:
     return out
 
 
-def _likeness(a: dict[str, float], b: dict[str, float]) -> float:
-    if len(a) > len(b):
-        a, b = b, a
-    return sum(x * b[w] for w, x in a.items() if w in b)
+class _Graph:
+    """Sentences and their words as arrays: entry ``i`` is word ``word[i]`` of
+    sentence ``row[i]`` with weight ``x[i]``."""
+
+    def __init__(self, vectors: list[dict[str, float]]):
+        number: dict[str, int] = {}
+        self.word = np.array([number.setdefault(w, len(number)) for v in vectors for w in v], np.int64)
+        self.x = np.array([x for v in vectors for x in v.values()])
+        self.size = np.array([len(v) for v in vectors])
+        self.row = np.repeat(np.arange(len(vectors)), self.size)
+        self.words = len(number)
+
+    def handed_on(self, n: np.ndarray) -> np.ndarray:
+        """Likenesses times ``n``: by way of the words, without listing them."""
+        flow = np.bincount(self.word, self.x * n[self.row], self.words)
+        return np.bincount(self.row, self.x * flow[self.word], len(self.size))
+
+    def visits(self, start: list[float]) -> np.ndarray:
+        jump = np.array(start) / sum(start)
+        empty = self.size == 0
+        share = np.where(empty, 1.0, self.handed_on(np.ones(len(self.size))))
+        visits = jump
+        for _ in range(STEPS):
+            visits = DAMPING * (self.handed_on(visits / share) + visits[empty].sum() * jump) + (1 - DAMPING) * jump
+        return visits
 
 
 def centrality(vectors: list[dict[str, float]], start: list[float]) -> list[float]:
@@ -128,25 +150,7 @@ def centrality(vectors: list[dict[str, float]], start: list[float]) -> list[floa
     in a while, to one dealt by ``start``. The likenesses are never listed: a
     sentence hands its visits to its words and the words hand them on, so a
     step is linear in the text."""
-    total = sum(start)
-    jump = [x / total for x in start]
-    words: dict[str, float] = {}
-    for v in vectors:
-        for w, x in v.items():
-            words[w] = words.get(w, 0.0) + x
-    degree = [sum(x * words[w] for w, x in v.items()) for v in vectors]
-    visits = jump
-    for _ in range(STEPS):
-        flow: dict[str, float] = {}
-        lost = 0.0
-        for v, d, n in zip(vectors, degree, visits):
-            if not v:
-                lost += n
-            for w, x in v.items():
-                flow[w] = flow.get(w, 0.0) + x * n / d
-        visits = [DAMPING * (sum(x * flow[w] for w, x in v.items()) + lost * j) + (1 - DAMPING) * j
-                  for v, j in zip(vectors, jump)]
-    return visits
+    return _Graph(vectors).visits(start).tolist()
 
 
 def choose(sents: list[str], title: str, budget: int) -> list[int]:
@@ -155,18 +159,25 @@ def choose(sents: list[str], title: str, budget: int) -> list[int]:
     those taken (earlier first on ties)."""
     vectors = _vectors(sents)
     own = set(re.findall(r"[^\W\d_]+", title.lower()))
-    visits = centrality(vectors, [1.0 + len(own & v.keys()) for v in vectors])
-    top = max(visits)
+    graph = _Graph(vectors)
+    visits = graph.visits([1.0 + len(own & v.keys()) for v in vectors])
+    central = BALANCE * visits / visits.max()
     taken: list[int] = []
-    alike = [0.0] * len(sents)
-    left, room = set(range(len(sents))), budget
-    while left:
-        best = min(left, key=lambda i: (-round(BALANCE * visits[i] / top - (1 - BALANCE) * alike[i], 9), i))
+    alike = np.zeros(len(sents))
+    length = np.array([len(s) for s in sents])
+    left, room = np.ones(len(sents), bool), budget
+    while left.any():
+        worth = np.where(left, central - (1 - BALANCE) * alike, -np.inf)
+        near = np.flatnonzero(worth >= worth.max() - 2e-9).tolist()
+        best = min(near, key=lambda i: (-round(float(worth[i]), 9), i))
         taken.append(best)
         room -= len(sents[best])
-        left = {i for i in left if i != best and len(sents[i]) <= room}
-        for i in left:
-            alike[i] = max(alike[i], _likeness(vectors[i], vectors[best]))
+        left &= length <= room
+        left[best] = False
+        if left.any():
+            one = np.zeros(len(sents))
+            one[best] = 1.0
+            alike = np.maximum(alike, graph.handed_on(one))
     return sorted(taken)
 
 
