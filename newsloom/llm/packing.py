@@ -61,7 +61,9 @@ class WordTokens:
         from tokenizers import Tokenizer
         self.whole = Tokenizer.from_file(path)
         self.model = self.whole.model
-        self.special = {t.content for t in self.whole.get_added_tokens_decoder().values()}
+        special = {t.content for t in self.whole.get_added_tokens_decoder().values()}
+        self.special = re.compile("|".join(map(re.escape, sorted(special))) or "(?!)")
+        self.letters_only = not any(t.isalpha() for t in special)
         letters = _byte_letters()
         self.letters = str.maketrans({chr(i): "".join(letters[b] for b in chr(i).encode()) for i in range(33, 256)})
         # Words and pieces in use, and those of the generation before: what is
@@ -90,7 +92,9 @@ class WordTokens:
             self.words[word] = ids
             return ids
         text = word.decode()
-        if _SIMPLE.fullmatch(text) and not any(s in text for s in self.special):
+        if self.letters_only and text.isascii() and text.isalpha():
+            ids = self._piece(text.lower())
+        elif _SIMPLE.fullmatch(text) and not self.special.search(text):
             ids = b"".join([self._piece(p) for p in _PIECE.findall(text.lower())])
         else:
             ids = array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
@@ -100,12 +104,11 @@ class WordTokens:
 
     def encode(self, text: bytes) -> bytes:
         """The ids as native 32-bit integers."""
-        known = self.words
-        out = []
-        for word in text.split():
-            ids = known.get(word)
-            out.append(self._word(word) if ids is None else ids)
-        return b"".join(out)
+        words = text.split()
+        found = list(map(self.words.get, words))
+        if None in found:
+            found = [self._word(w) if ids is None else ids for w, ids in zip(words, found)]
+        return b"".join(found)
 
 
 _loaded: dict[str, WordTokens] = {}
