@@ -7,6 +7,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,6 +27,12 @@ def materialise(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
 
 
+def release_unused() -> None:
+    """At a task's end: Arrow returns the memory of its batches, which it would
+    keep while the Python worker waits for the next task."""
+    pa.default_memory_pool().release_unused()
+
+
 def shared_table(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: a lineage
     cut for wide tables that are read more than once, by columns."""

@@ -21,14 +21,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import materialise, prefix_sum
+from newsloom.llm.common import materialise, prefix_sum, release_unused
 
 CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
-#: Entries of a generation of a worker's caches of words and of their pieces;
-#: two generations of each are kept (about 60 MB).
-CACHE_WORDS = 150_000
-CACHE_PIECES = 60_000
+#: Entries of a generation of a worker's cache of words and their pieces; two
+#: generations are kept (about 45 MB), between tasks one.
+CACHE_WORDS = 170_000
 
 # --- tokens ---------------------------------------------------------------
 
@@ -36,6 +35,10 @@ _LETTERS = "a-zß-öø-ÿ"
 #: Words this simple need no Unicode normalisation: ASCII and Latin-1 letters.
 _SIMPLE = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ0-9!-/:-@\[-`{-~]+")
 _PIECE = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[!-/:-@\[-`{{-~]+")
+#: Most words: one piece of letters, or one and a stop.
+_PLAIN = re.compile(rf"([{_LETTERS}]+)([.,]?)")
+#: First bytes of characters beyond Latin-1.
+_WIDE = re.compile(rb"[\xc4-\xff]")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -50,65 +53,64 @@ def _byte_letters() -> dict[int, str]:
     return out
 
 
-class WordTokens:
+class WordTokens(dict):
     """Ids of white-space separated words, cached. The tokenizer drops white
     space and never merges across it, so a text's ids are those of its words
-    in turn. Plain words are split as the tokenizer's own pattern does and
+    in turn. Simple words are split as the tokenizer's own pattern does and
     only their pieces go through the BPE model; all others (special tokens,
-    scripts that need normalising) go through the whole tokenizer."""
+    scripts that need normalising) go through the whole tokenizer. Pieces are
+    cached among the words: as a word, a piece is itself its only piece."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        super().__init__()
         self.whole = Tokenizer.from_file(path)
         self.model = self.whole.model
         special = {t.content for t in self.whole.get_added_tokens_decoder().values()}
         self.special = re.compile("|".join(map(re.escape, sorted(special))) or "(?!)")
-        self.letters_only = not any(t.isalpha() for t in special)
+        self.special_bytes = re.compile(self.special.pattern.encode())
+        self.none_plain = not any(re.fullmatch(r"[^\W\d_]*[.,]?", t) for t in special)
         letters = _byte_letters()
         self.letters = str.maketrans({chr(i): "".join(letters[b] for b in chr(i).encode()) for i in range(33, 256)})
-        # Words and pieces in use, and those of the generation before: what is
-        # still asked for moves to the new one, the rest goes.
-        self.words: dict[bytes, bytes] = {}
-        self.old_words: dict[bytes, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
-        self.old_pieces: dict[str, bytes] = {}
-
-    def _piece(self, piece: str) -> bytes:
-        ids = self.pieces.get(piece)
+        # The words of the generation before: what is still asked for moves
+        # to the new one, the rest goes.
+        self.old: dict[bytes, bytes] = {}
+
+    def _model_ids(self, piece: str) -> bytes:
+        if not piece.isascii():
+            piece = piece.translate(self.letters)
+        return array("I", [t.id for t in self.model.tokenize(piece)]).tobytes()
+
+    def _ids(self, text: str) -> bytes:
+        plain = self.none_plain and _PLAIN.fullmatch(text)
+        if plain:
+            letters, stop = plain.groups()
+            return self[letters.encode()] + self[stop.encode()] if stop else self._model_ids(letters)
+        if not _SIMPLE.fullmatch(text) or self.special.search(text):
+            return array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
+        pieces = _PIECE.findall(text.lower())
+        return self._model_ids(text) if pieces == [text] else b"".join([self[p.encode()] for p in pieces])
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.old.get(word)
         if ids is None:
-            if len(self.pieces) >= CACHE_PIECES:
-                self.old_pieces, self.pieces = self.pieces, {}
-            ids = self.old_pieces.get(piece)
-            if ids is None:
-                ids = array("I", [t.id for t in self.model.tokenize(piece.translate(self.letters))]).tobytes()
-            self.pieces[piece] = ids
-        return ids
-
-    def _word(self, word: bytes) -> bytes:
-        if len(self.words) >= CACHE_WORDS:
-            self.old_words, self.words = self.words, {}
-        ids = self.words.get(word) or self.old_words.get(word)
-        if ids is not None:
-            self.words[word] = ids
-            return ids
-        text = word.decode()
-        if self.letters_only and text.isascii() and text.isalpha():
-            ids = self._piece(text.lower())
-        elif _SIMPLE.fullmatch(text) and not self.special.search(text):
-            ids = b"".join([self._piece(p) for p in _PIECE.findall(text.lower())])
-        else:
-            ids = array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
+            ids = self._ids(word.decode())
         if len(word) <= 64:
-            self.words[word] = ids
+            if len(self) >= CACHE_WORDS:
+                self.old = dict(self)
+                self.clear()
+            self[word] = ids
         return ids
 
     def encode(self, text: bytes) -> bytes:
         """The ids as native 32-bit integers."""
-        words = text.split()
-        found = list(map(self.words.get, words))
-        if None in found:
-            found = [self._word(w) if ids is None else ids for w, ids in zip(words, found)]
-        return b"".join(found)
+        # The tokenizer lower-cases. Done here, fewer words differ; but not
+        # where it may compose letters before, or know a special token.
+        if not _WIDE.search(text):
+            lower = text.lower()
+            if not self.special_bytes.search(lower):
+                text = lower
+        return b"".join(map(self.__getitem__, text.split()))
 
 
 _loaded: dict[str, WordTokens] = {}
@@ -127,20 +129,25 @@ def _pieces(path: str, capacity: int, id_type: pa.DataType):
 
     def run(batches):
         tokens = words_of(path)
-        for batch in batches:
-            ids, piece, start, length, crc = [], [], [], [], []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                data = tokens.encode(text.as_py() or b"") + end
-                for n, at in enumerate(range(0, len(data), width)):
-                    part = data[at:at + width]
-                    ids.append(doc)
-                    piece.append(n)
-                    start.append(at // 4)
-                    length.append(len(part) // 4)
-                    crc.append(zlib.crc32(np.frombuffer(part, "=u4").astype("<u4").tobytes()))
-            yield pa.record_batch({"doc_id": pa.array(ids, id_type), "piece": pa.array(piece, pa.int32()),
-                                   "start": pa.array(start, pa.int64()), "length": pa.array(length, pa.int64()),
-                                   "ids_crc32": pa.array(crc, pa.int64())})
+        try:
+            for batch in batches:
+                ids, piece, start, length, crc = [], [], [], [], []
+                for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                    data = tokens.encode(text.as_py() or b"") + end
+                    for n, at in enumerate(range(0, len(data), width)):
+                        part = data[at:at + width]
+                        ids.append(doc)
+                        piece.append(n)
+                        start.append(at // 4)
+                        length.append(len(part) // 4)
+                        crc.append(zlib.crc32(np.frombuffer(part, "=u4").astype("<u4").tobytes()))
+                yield pa.record_batch({"doc_id": pa.array(ids, id_type), "piece": pa.array(piece, pa.int32()),
+                                       "start": pa.array(start, pa.int64()), "length": pa.array(length, pa.int64()),
+                                       "ids_crc32": pa.array(crc, pa.int64())})
+        finally:
+            batch = text = None
+            tokens.old = {}
+            release_unused()
     return run
 
 

@@ -183,6 +183,30 @@ def test_packing_against_the_tokenizer(spark):
     assert packing.pack_documents(empty_docs(spark)).count() == 0
 
 
+def test_words_are_cached_by_their_small_letters(monkeypatch):
+    import public_tokenizers
+    from array import array
+    path = public_tokenizers.path(packing.TOKENIZER)
+    tokens = packing.WordTokens(path)
+    texts = ["Foo foo FOO foo. Foo, It's it's", "<|ENDOFTEXT|> foo <|endoftext|> FOO", "H\u0331 h\u0331 I\u0307 Foo", "Éte été. Ångström! ß5a µ",
+             "a" * 70 + ". " + "É" * 40 + ",x 中文Foo", ""]
+    for t in texts:
+        assert array("I", tokens.encode(t.encode())).tolist() == tokens.whole.encode(t, add_special_tokens=False).ids, t
+    tokens.clear()
+    tokens.encode(texts[0].encode())
+    assert set(tokens) == {b"foo", b"foo.", b".", b"foo,", b",", b"it's", b"it", b"'s"}
+    # Between generations nothing is lost; after a task one of them stays.
+    monkeypatch.setattr(packing, "CACHE_WORDS", 3)
+    many = [f"{t} w{i}" for i, t in enumerate(texts * 3)]
+    for t in many:
+        assert array("I", tokens.encode(t.encode())).tolist() == tokens.whole.encode(t, add_special_tokens=False).ids, t
+        assert len(tokens) <= 8 and len(tokens.old) <= 8
+    import pyarrow as pa
+    batch = pa.record_batch({"d": pa.array(range(len(many)), pa.int64()), "t": pa.array([t.encode() for t in many])})
+    assert sum(b.num_rows for b in packing._pieces(path, 2048, pa.int64())([batch])) == len(many)
+    assert packing.words_of(path).old == {}
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_plan_places_every_piece_once(seed):
     rng = random.Random(seed)
