@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import materialise
+from newsloom.llm.common import materialise, release_unused
 
 #: Documented bound of the training sample, half of it for either class.
 MAX_TRAIN = 20_000
@@ -41,6 +41,8 @@ GRADE_STEPS = (3, 8)
 PREFIX = 5
 ROUNDS = 400
 PENALTY = 0.002
+#: Training documents whose terms a task holds at once.
+TRAIN_ROWS = 256
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -108,7 +110,7 @@ def fit(rows, cols, counts, grades: np.ndarray, features: int,
 
 
 def _train_rows(batches):
-    for batch in batches:
+    for batch in (b.slice(at, TRAIN_ROWS) for b in batches for at in range(0, b.num_rows, TRAIN_ROWS)):
         terms, counts = [], []
         for text in batch.column(2):
             found = term_counts(text.as_py())
@@ -116,6 +118,7 @@ def _train_rows(batches):
             counts.append(list(found.values()))
         yield pa.record_batch({"row": batch.column(0), "toxic": batch.column(1), "weight": batch.column(3),
                                "terms": pa.array(terms, pa.list_(pa.string())), "counts": pa.array(counts, pa.list_(pa.int32()))})
+    release_unused()
 
 
 def _columns(df: DataFrame) -> dict[str, np.ndarray]:
@@ -207,15 +210,18 @@ def severity(model: Model, text: str | None) -> tuple[float, int, float]:
     return sum(p), max(range(len(levels)), key=levels.__getitem__), p[0]
 
 
-def _score(shared):
+def _score(shared, field: int | None = None):
+    """``field``: place of the text in the rows, when it is no column."""
     def run(batches):
         model = shared.value
         for batch in batches:
-            out = [severity(model, t.as_py()) for t in batch.column(batch.schema.get_field_index("_text"))]
+            texts = batch.column(batch.schema.get_field_index("_text")) if field is None else batch.column(0).field(field)
+            out = [severity(model, t.as_py()) for t in texts]
             cols = {n: batch.column(i) for i, n in enumerate(batch.schema.names) if n != "_text"}
             yield pa.record_batch(cols | {
                 "severity": pa.array([x[0] for x in out], pa.float64()), "grade": pa.array([x[1] for x in out], pa.int32()),
                 "p_toxic": pa.array([x[2] for x in out], pa.float64()), "toxic": pa.array([x[2] >= 0.5 for x in out], pa.bool_())})
+        release_unused()
     return run
 
 
@@ -233,9 +239,10 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "te
 
 
 def reject_toxic(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that are more probably not toxic, all columns."""
+    """The rows of ``docs`` that are more probably not toxic, all columns.
+    The text goes to Python once, in its row."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(text).alias("_text"))
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
     kind = packed.schema["_row"].dataType.simpleString()
-    return packed.mapInArrow(_score(shared), f"_row {kind}, severity double, grade int, p_toxic double, toxic boolean") \
+    return packed.mapInArrow(_score(shared, docs.columns.index(text)), f"_row {kind}, severity double, grade int, p_toxic double, toxic boolean") \
                  .filter("not toxic").select("_row.*")

@@ -278,6 +278,24 @@ def test_markers_and_scores_against_plain_code(spark):
         assert r["grade"] == int(np.argmax(levels)) and r["toxic"] == (p[0] >= 0.5)
 
 
+def test_toxicity_memory_of_a_task(spark):
+    """The terms of a batch are made a slice at a time; a text goes to Python
+    once."""
+    import pyarrow as pa
+    n = 3 * toxicity.TRAIN_ROWS + 1
+    batch = pa.record_batch({"row": pa.array(range(n), pa.int64()), "toxic": pa.array([0] * n, pa.int32()),
+                             "text": pa.array([None if i % 50 == 0 else f"word{i} other words" for i in range(n)]),
+                             "weight": pa.array([1.0] * n)})
+    out = list(toxicity._train_rows([batch]))
+    assert [b.num_rows for b in out] == [toxicity.TRAIN_ROWS] * 3 + [1]
+    assert pa.Table.from_batches(out).column("row").to_pylist() == list(range(n))
+    model = toxicity.Model({"bad": 0}, np.array([9.0]), np.array([1.0]))
+    docs = docs_frame(spark, [(1, "a bad day", "s"), (2, "a day", None), (None, "", "s"), (4, None, "s"), (5, "BAD", "t")])
+    stay = toxicity.reject_toxic(docs, model)
+    assert "_text" not in stay._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, stay.collect()), key=str) == sorted(map(tuple, docs.filter("doc_id IS NULL OR doc_id IN (2, 4)").collect()), key=str)
+
+
 def test_toxicity_odd_inputs(spark):
     docs = docs_frame(spark, awkward(random.Random(4)))
     none = spark.createDataFrame([], "doc_id long, toxic int")
