@@ -112,6 +112,21 @@ def enrich_texts(work: DataFrame, texts: DataFrame, frequencies, make_model=None
     return EnrichResult(updates, outcomes)
 
 
+def count_fetches(pages: DataFrame, state, work: DataFrame | None = None) -> DataFrame:
+    """Count the landed fetches that ``state`` doesn't have yet. Returns the
+    page texts of these and of the pages of ``work``, written down."""
+    state.settle()
+    latest = cut_lineage(latest_fetches(pages))
+    fresh = cut_lineage(state.uncounted(latest))
+    wanted = fresh if work is None else cut_lineage(
+        fresh.unionByName(latest.join(work.select("url"), "url", "left_semi")).distinct())
+    texts = cut_lineage(page_texts(rows_with_keys(_dated(pages), wanted, ["url", "fetched_at"])))
+    new = texts if work is None else cut_lineage(texts.join(fresh.select("url"), "url", "left_semi"))
+    if not new.isEmpty():
+        state.count(new)
+    return texts
+
+
 def enrich_new(articles: DataFrame, pages: DataFrame, state, limit: int | None = None, k: int = 10,
                budget: int = 200) -> EnrichResult:
     """Enrich pending articles with the document frequencies of ``state``
@@ -119,15 +134,8 @@ def enrich_new(articles: DataFrame, pages: DataFrame, state, limit: int | None =
     the landed pages, the html of those fetches and of the pending articles'
     pages is read and parsed, once; of all others only url and time. Tags equal
     those of :func:`enrich`."""
-    state.settle()
     work = worklist(articles, limit)
-    latest = cut_lineage(latest_fetches(pages))
-    fresh = cut_lineage(state.uncounted(latest))
-    wanted = cut_lineage(fresh.unionByName(latest.join(work.select("url"), "url", "left_semi")).distinct())
-    texts = cut_lineage(page_texts(rows_with_keys(_dated(pages), wanted, ["url", "fetched_at"])))
-    new = cut_lineage(texts.join(fresh.select("url"), "url", "left_semi"))
-    if not new.isEmpty():
-        state.count(new)
+    texts = count_fetches(pages, state, work)
     return enrich_texts(work, texts, lambda terms: (state.frequencies(terms), state.documents()), None, k, budget)
 
 

@@ -74,6 +74,15 @@ def test_tags_equal_those_of_a_full_count(spark, scratch):
     assert got == {r.id: r.tags for r in EN.enrich(a, pages).updates.collect()}
 
 
+def test_counting_summarises_nothing(spark, scratch, monkeypatch):
+    state = TermState(spark, "ts_count", scratch + "/s")
+    pages = spark.createDataFrame([page(0, "common worda", 0), page(1, "common", 0), page(1, "changed", 1)], PAGES)
+    monkeypatch.setattr(EN, "enrich_texts", None)
+    for some in (pages.filter("fetched_at = timestamp_ntz'2026-12-01 06:00:00'"), pages):
+        EN.count_fetches(some, state)
+        assert kept(state) == recount(some)
+
+
 def test_run_that_stopped_after_its_log_is_finished(spark, scratch, monkeypatch):
     state = TermState(spark, "ts_stop", scratch + "/s")
     texts = spark.createDataFrame([("u1", NOW, "alpha beta"), ("u2", NOW, "beta")], "url string, fetched_at timestamp_ntz, text string")
