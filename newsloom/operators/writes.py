@@ -73,14 +73,16 @@ def first_per_key(df: DataFrame, key: str | list[str], order: list[str]) -> Data
 BROADCAST_KEYS, BROADCAST_CHARS = 200_000, 16_000_000
 
 
-def rows_with_keys(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
+def rows_with_keys(df: DataFrame, keys: DataFrame, on: list[str], counted: DataFrame | None = None) -> DataFrame:
     """Rows of ``df`` whose ``on`` columns occur in ``keys`` (a null first key
     occurs nowhere, other nulls are equal).
     ``keys`` is read twice, so it should be cheap or written down: it is
     measured first and broadcast if it is small, so that wide rows of ``df``
-    stay where they are; beyond that both sides are shuffled."""
+    stay where they are; beyond that both sides are shuffled. ``counted``: rows
+    that hold every key at least once and are cheaper to measure than ``keys``."""
     chars = sum((F.coalesce(F.char_length(F.col(c).cast("string")), F.lit(0)) for c in on), F.lit(0))
-    head = keys.limit(BROADCAST_KEYS + 1).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(chars), F.lit(0)).alias("chars")).first()
+    # Sums of the tasks: no row of the keys leaves its task to be counted.
+    head = (keys if counted is None else counted).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(chars), F.lit(0)).alias("chars")).first()
     small = head["n"] <= BROADCAST_KEYS and head["chars"] <= BROADCAST_CHARS
     k = keys.select(*[F.col(c).alias(f"_key_{c}") for c in on])
     same = [df[on[0]] == F.col(f"_key_{on[0]}"), *[df[c].eqNullSafe(F.col(f"_key_{c}")) for c in on[1:]]]

@@ -64,12 +64,13 @@ def collect(catalogue: DataFrame, landed_feeds: DataFrame, pages: DataFrame,
 
     The work follows what is new: of the landed pages, the narrow columns are
     semi-joined with the batch's links; of the acceptable entries the first per
-    url is chosen and urls that the table has are taken out; only the pages of
-    the urls that are left are parsed. Published day and image are those of
-    inserted rows, null in others.
+    url is chosen and urls that the table has are marked; only the pages of
+    the new urls are parsed. What is known of a url is one row, which meets
+    the entries once. Published day and image are those of inserted rows, null
+    in others.
 
-    With ``materialise`` (default) the entries of the batch and the urls to
-    insert are written to the shared checkpoint folder, as several steps read
+    With ``materialise`` (default) the entries of the batch and the row of each
+    url are written to the shared checkpoint folder, as several steps read
     them; they hold links and titles, no page."""
     keep = cut_lineage if materialise else (lambda df: df)
     cat = catalogue.select("feed_key", "source", "source_pos", "feed_pos", F.lit(True).alias("_known_feed"))
@@ -82,8 +83,19 @@ def collect(catalogue: DataFrame, landed_feeds: DataFrame, pages: DataFrame,
     # Entries without a url have nothing to join; together they would be one
     # hot key.
     linked, bare = ent.filter(F.col("url").isNotNull()), ent.filter(F.col("url").isNull())
-    states = keep(P.fetch_states(pages, linked.select("url").distinct()))
-    gate = states.select("url", "reachable", "page_reason")
+
+    # One row per url: its first acceptable entry (combined in every task
+    # before the shuffle), the state of its page, and whether the table has it.
+    sound = F.col("_known_feed") & F.col("feed_ok") & writes.contract_reason().isNull()
+    urls = linked.groupBy("url").agg(F.min(F.when(sound, F.struct(*ORDER))).alias("_first"))
+    states = P.fetch_states(pages, urls.select("url"), counted=linked.select("url"))
+    known = writes.known_keys(existing, urls.filter(F.col("_first").isNotNull())).distinct().withColumn("_known", F.lit(True))
+    new = F.col("_first").isNotNull() & F.coalesce("reachable", F.lit(False)) & F.col("_known").isNull()
+    gate = keep(urls.join(states, "url", "left").join(known, "url", "left").withColumn("_new", new).drop("_known"))
+
+    # The pages of the new urls, then back to the entries, on the url alone.
+    info = page_fields(pages, ref_date, gate.filter("_new"))
+    found = gate.select("url", "reachable", "page_reason", "_first", "_new").join(info, "url", "left")
     reason = (F.when(F.col("_known_feed").isNull(), F.lit("unknown_feed"))
                .when(~F.col("feed_ok"), F.lit("bad_feed"))
                .when(F.col("url").isNull(), F.lit("no_link"))
@@ -94,21 +106,16 @@ def collect(catalogue: DataFrame, landed_feeds: DataFrame, pages: DataFrame,
               .when(F.col("url").isNull(), F.lit(S.OUTCOME_NO_LINK))
               .when(~F.coalesce("reachable", F.lit(False)), F.lit(S.OUTCOME_UNREACHABLE))
               .when(F.col("reason").isNotNull(), F.lit(S.OUTCOME_REJECTED)))
-    cand = (linked.join(gate, "url", "left").unionByName(bare, allowMissingColumns=True)
-            .withColumn("reason", reason).withColumn("_stage", stage)
-            .select("feed_key", *ORDER, "title", "url", "source", "reason", "_stage"))
-
-    # First per url among acceptable entries, then insert-if-absent, then the
-    # pages of what is left.
-    acceptable = cand.filter(F.col("_stage").isNull())
-    new = keep(writes.insert_if_absent(existing, acceptable.select("url", *ORDER), "url", order=ORDER))
-    info = page_fields(pages, ref_date, states.join(new.select("url"), "url", "left_semi"))
-    found = new.join(info, "url", "left").withColumn("_new", F.lit(True))
-    rest = cand.filter(F.col("_stage").isNotNull()).withColumn("outcome", F.col("_stage"))
-    labelled = acceptable.join(found, ["url", *ORDER], "left").withColumn(
-        "outcome", F.when(F.col("_new"), F.lit(S.OUTCOME_INSERTED)).otherwise(F.lit(S.OUTCOME_CONFLICT))).drop("_new")
+    inserted = F.col("_new")
+    for c in ORDER:
+        inserted = inserted & (F.col(c) == F.col("_first")[c])
+    labelled = (linked.join(found, "url", "left").unionByName(bare, allowMissingColumns=True)
+                .withColumn("reason", reason)
+                .withColumn("outcome", F.coalesce(stage, F.when(inserted, F.lit(S.OUTCOME_INSERTED)), F.lit(S.OUTCOME_CONFLICT)))
+                .withColumns({c: F.when(F.col("outcome") == S.OUTCOME_INSERTED, F.col(c))
+                              for c in ("published_day", "bad_date", "image_url")}))
     stamp = ntz(now)
-    out = labelled.unionByName(rest, allowMissingColumns=True).select(
+    out = labelled.select(
         "feed_key", "run_id", "source_pos", "feed_pos", "entry_pos", "outcome", "reason",
         F.coalesce(F.col("bad_date"), F.lit(False)).alias("bad_date"),
         writes.article_id(F.col("url")).alias("id"), "title", "url", "source", "image_url",

@@ -144,13 +144,18 @@ _NEXT = sql_ts("TIMESTAMP '2026-12-02 05:00:00'")
 _TWO_CTE = (_ORDERS_CTE + ", d AS (SELECT *, sha1('https://feeds.example.org/o/' || CAST(k AS VARCHAR))[1] < '8' AS early FROM o)")
 
 
+_TWO_COLUMNS = ["url", "title", "published_date", "created_at"]
+
+
 def _two_collects(spark, sf):
     """Some feeds land on the first day, all of them (with other titles) on
-    the second; the second run meets the first one's urls."""
+    the second; the second run meets the first one's urls. Of the first run
+    only what is asked for later is written down."""
     cat, landed, pages, known = order_feeds(spark, sf)
-    first = cut_lineage(C.collect(cat, landed.filter(F.substring("feed_key", 1, 1) < "8"), pages, known, NOW, REF).outcomes)
+    first = C.collect(cat, landed.filter(F.substring("feed_key", 1, 1) < "8"), pages, known, NOW, REF).outcomes
+    first = cut_lineage(first.select("outcome", *_TWO_COLUMNS))
     late = landed.select("feed_key", F.lit("r2").alias("run_id"), F.replace("body", F.lit("Order &"), F.lit("Late &")).alias("body"))
-    have = known.unionByName(C.article_rows(first).select("url"))
+    have = known.unionByName(first.filter("outcome = 'inserted'").select("url"))
     return first, C.collect(cat, late, pages, have, NEXT_DAY, REF).outcomes
 
 
@@ -160,7 +165,7 @@ def _two_collects(spark, sf):
 def i1_two_collects(spark, sf):
     """Rows after two collect runs: the first run's title stays."""
     first, second = _two_collects(spark, sf)
-    return C.article_rows(first).unionByName(C.article_rows(second)).select("url", "title", "published_date", "created_at")
+    return first.unionByName(second.select(*first.columns)).filter("outcome = 'inserted'").select(*_TWO_COLUMNS)
 
 
 _OUTCOME = ("CASE n WHEN 3 THEN 'rejected' WHEN 5 THEN 'conflict' WHEN 6 THEN 'unreachable' WHEN 8 THEN 'rejected' "

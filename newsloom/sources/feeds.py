@@ -113,7 +113,7 @@ def _repair(text: Column) -> Column:
         return (F.when(i == 0, p)
                 .when(p.rlike(r"^(?:amp|lt|gt|quot|apos|#[0-9]+|#x[0-9A-Fa-f]+);"), F.concat(F.lit("&"), p))
                 .otherwise(F.coalesce(
-                    F.concat(F.try_element_at(table, name), F.regexp_replace(p, "^[A-Za-z0-9]+;", "")),
+                    F.concat(F.try_element_at(table, F.nullif(name, F.lit(""))), F.regexp_replace(p, "^[A-Za-z0-9]+;", "")),
                     F.concat(F.lit("&amp;"), p))))
     return F.array_join(F.transform(F.split(text, "&", -1), one), "")
 

@@ -40,12 +40,13 @@ def _fetch_keys(pages: DataFrame) -> list[str]:
     return [c for c in ("fetched_at", "http_status", "fetch_error") if c in pages.columns]
 
 
-def fetch_states(pages: DataFrame, urls: DataFrame) -> DataFrame:
+def fetch_states(pages: DataFrame, urls: DataFrame, counted: DataFrame | None = None) -> DataFrame:
     """State of the latest fetch of each of ``urls`` (one column ``url``):
     the fetch's own columns, ``reachable`` and ``page_reason``. Only the
-    narrow columns of the landed pages are read."""
+    narrow columns of the landed pages are read. ``counted``: see
+    :func:`rows_with_keys`."""
     keys = _fetch_keys(pages)
-    last = latest_fetch(rows_with_keys(pages.select("url", *keys), urls, ["url"]))
+    last = latest_fetch(rows_with_keys(pages.select("url", *keys), urls, ["url"], counted))
     return (last.withColumn("_has_page", F.lit(True)).withColumn("page_reason", reject_reason())
             .select("url", *keys, F.col("page_reason").isNull().alias("reachable"), "page_reason"))
 

@@ -106,3 +106,25 @@ def test_fields_of_few_pages_are_held_at_once():
     parts = list(H.parse_batches(iter([pa.array(pages), pa.array([], pa.string()), pa.array(pages[:5])])))
     assert max(len(p) for p in parts) <= H.PAGES_AT_ONCE
     assert [row for p in parts for row in p.to_pylist()] == [H.parse_html(h) for h in pages + pages[:5]]
+
+
+def test_plain_tags_are_read_as_the_tokenizer_reads_them():
+    """Tags in one step give what the standard library's own steps give."""
+    import random
+    from html.parser import HTMLParser
+
+    from newsloom.functions import html as H
+
+    class Stock(H.PageParser):
+        parse_starttag, parse_endtag, updatepos = HTMLParser.parse_starttag, HTMLParser.parse_endtag, HTMLParser.updatepos
+
+    assert "parse_starttag" in vars(H.PageParser) and "updatepos" in vars(H.PageParser)
+    bits = ["<p>", "</p>", "<TIME>", "</time>", "<title>", "</title>", "<script>", "</script>", "</SCRIPT >", "< p>", "</ p>", "<p ",
+            "<span class=date>", "</span>", "<br/>", "<!-- c -->", "<![CDATA[x]]>", "<?pi?>", "<!", "<", "</", "</>", "&amp;", "&nbsp",
+            "text", "\n", "2024-01-02", "<meta property='og:image' content='u&amp;v'>", "<a-b>", "</a-b>", ">", "<textarea>", "<rt>"]
+    rng = random.Random(5)
+    for _ in range(3000):
+        page = "".join(rng.choice(bits) for _ in range(rng.randint(1, 14)))
+        p = Stock()
+        p.feed(page)
+        assert parse_html(page) == p.result(), page

@@ -66,6 +66,38 @@ def test_only_pages_of_new_urls_are_parsed(spark, scratch):
     assert parsed_rows(none.outcomes) == 0 and none.rows.count() == 0
 
 
+def test_entries_meet_what_is_known_of_their_urls_once(spark, scratch):
+    """The entries that were written down are read for those with a url and
+    those without, no more; a url that the table names twice or that failed
+    multiplies nothing."""
+    pages = landed_pages(spark, scratch)
+    land(scratch + "/feeds", "https://a.example/rss", "r1", RSS)
+    land(scratch + "/feeds", "https://a.example/rss", "r2", RSS)
+    have = spark.createDataFrame([("https://x.example/2",)] * 3 + [("https://x.example/3",), (None,)], "url string")
+    res = C.collect(FD.catalogue(spark, CONFIG), FD.read_landed(spark, scratch + "/feeds"), pages, have, NOW, REF)
+    plan = res.outcomes._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("LogicalRDD" in line and "feed_key" in line for line in plan.splitlines()) == 2
+    got = sorted((r.run_id, r.entry_pos, r.outcome, r.reason, r.image_url) for r in res.outcomes.collect())
+    assert got == [
+        ("r1", 0, "inserted", None, "https://x.example/1.png"), ("r1", 1, "conflict", None, None),
+        ("r1", 2, "unreachable", "http_500", None), ("r1", 3, "no_link", "no_link", None), ("r1", 4, "no_link", "no_link", None),
+        ("r2", 0, "conflict", None, None), ("r2", 1, "conflict", None, None),
+        ("r2", 2, "unreachable", "http_500", None), ("r2", 3, "no_link", "no_link", None), ("r2", 4, "no_link", "no_link", None)]
+
+
+def test_first_acceptable_entry_is_taken_not_the_first(spark, scratch):
+    """An entry that breaks the contract does not keep its url from a later one."""
+    pages = landed_pages(spark, scratch, 5)
+    item = "<rss><channel><item><title>{}</title><link>https://x.example/1</link></item></channel></rss>"
+    land(scratch + "/feeds", "https://a.example/rss", "r1", item.format("x" * 501))
+    land(scratch + "/feeds", "https://nobody.example/rss", "r0", item.format("unknown"))
+    land(scratch + "/feeds", "https://a.example/rss", "r2", item.format("good"))
+    res = C.collect(FD.catalogue(spark, CONFIG), FD.read_landed(spark, scratch + "/feeds"), pages,
+                    spark.createDataFrame([], "url string"), NOW, REF)
+    got = sorted((r.run_id, r.outcome, r.reason) for r in res.outcomes.collect())
+    assert got == [("r0", "rejected", "unknown_feed"), ("r1", "rejected", "title_too_long"), ("r2", "inserted", None)]
+
+
 def test_semi_join_stands_below_the_parse(spark, scratch):
     pages = landed_pages(spark, scratch)
     states = P.fetch_states(pages, spark.createDataFrame([("https://x.example/1",)], "url string"))
